@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualpath.plans import features, staging
+from dualpath.session import tune
 from dualpath.sources import bindings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,8 +17,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,7 +128,8 @@ def _halo_rows(df: DataFrame, hot: HotGroups, order: Sequence[Column], back: int
     given = F.flatten(F.collect_list("_tail").over(before))
     nearest = F.slice(given, F.greatest(F.size(given) - back + 1, F.lit(1)), back)
     return (
-        tails.select(F.col(_SEG).alias("_to"), F.explode(nearest).alias("_r"))
+        tails.select(F.col(_SEG).alias("_to"), nearest.alias("_rows"))
+        .select("_to", F.explode("_rows").alias("_r"))
         .select("_to", "_r._row.*")
         .withColumn(_SEG, F.col("_to"))
         .withColumn(_HALO, F.lit(True))

@@ -14,6 +14,7 @@ from dualpath.operators.corrections import (
 from dualpath.operators.dedup import newest_per_key, pitch_recency
 from dualpath.operators.ordered import find_hot_groups
 from dualpath.schemas import BRONZE_PITCH, PITCH, PITCH_KEY
+from dualpath.session import CO_PARTITION
 
 STAGED = [f.name for f in PITCH if f.name not in ("is_late_arrival", "is_duplicate", "correction_of")]
 
@@ -31,7 +32,8 @@ def by_game(bronze: DataFrame, corrections: DataFrame) -> tuple[DataFrame, DataF
     """
     corrections = with_pitch_key(corrections)
     if (
-        find_hot_groups(bronze, ["game_pk"], game_order_slot()) is not None
+        bronze.sparkSession.conf.get(CO_PARTITION) == "true"
+        or find_hot_groups(bronze, ["game_pk"], game_order_slot()) is not None
         or find_hot_groups(corrections, ["game_pk"], F.unix_micros("event_time")) is not None
     ):
         return bronze, corrections
