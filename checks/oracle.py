@@ -106,6 +106,11 @@ def mean(column: str, frame: str) -> str:
     return f"cast(sum({unit}) over ({frame}) as bigint) / (count({unit}) over ({frame}) * 1000000.0::double)"
 
 
+def rounded(x: str, digits: int) -> str:
+    unit = f"1e{digits}"
+    return f"floor(({x}) * {unit} + 0.5e0) / {unit}"
+
+
 def group_mean(column: str) -> str:
     return f"cast(sum(cast({column} as decimal(18,6))) as double) / count({column})"
 
@@ -178,3 +183,574 @@ select game_pk, pitcher_id, count(*) as pitch_count, {group_mean("release_speed"
   case when count(*) < 25 then 'low' when count(*) < 50 then 'medium' else 'high' end as fatigue_bucket
 from dedup group by all order by pitch_count desc, game_pk, pitcher_id""",
 }
+
+
+# Game-state events by comparing neighbouring pitches of a game.
+GAME_ORDINAL = "partition by game_pk order by inning, inning_topbot desc, at_bat_number, pitch_number"
+
+
+def transitions_of(relation: str) -> str:
+    return f"""
+stepped as (
+  select *, lag(inning) over w as p_inning, lag(inning_topbot) over w as p_half, lag(pitcher_id) over w as p_pitcher,
+    lag(home_score) over w as p_home, lag(away_score) over w as p_away, row_number() over w as step
+  from {relation} window w as ({GAME_ORDINAL})
+),
+state_kinds as (
+  select *, 'game_start' as event_type, true as named from stepped where step = 1
+  union all select *, 'inning_start', false from stepped
+    where step > 1 and (inning <> p_inning or inning_topbot <> p_half)
+  union all select *, 'pitching_change', true from stepped
+    where step > 1 and inning = p_inning and inning_topbot = p_half and pitcher_id <> p_pitcher
+  union all select *, 'scoring_play', false from stepped
+    where step > 1 and (home_score > p_home or away_score > p_away)
+),
+states as (
+  select event_time, ingest_time, game_pk, inning, inning_topbot, home_score, away_score,
+    case when named and inning_topbot = 'Top' then pitcher_id end as home_pitcher_id,
+    case when named and inning_topbot = 'Bot' then pitcher_id end as away_pitcher_id,
+    batter_id as next_batter_id, event_type
+  from state_kinds
+)"""
+
+
+STATES = STAGED + "," + transitions_of("staged")
+
+
+def _word(seed: int, tag: str, at: int) -> str:
+    digest = f"md5(concat_ws(':', game_pk, at_bat_number, pitch_number) || '|{seed}|{tag}')"
+    return f"cast(('0x' || substr({digest}, {8 * at + 1}, 8)) as bigint)"
+
+
+def _hit(seed: int, at: int, rate: float) -> str:
+    return f"{_word(seed, 'draw', at)} < {round(rate * 2**32)}"
+
+
+PERTURBED = (
+    PITCHES
+    + f""",
+clean as (select * exclude (event_id), false as is_late_arrival, false as is_duplicate from pitches),
+perturbed as (
+  select * from clean
+  union all select * replace (true as is_duplicate) from clean where {_hit(7, 0, 0.005)}
+  union all select * replace (true as is_late_arrival,
+    event_time - to_seconds({_word(7, "amount", 0)} % 271 + 30) as event_time) from clean where {_hit(7, 1, 0.03)}
+),
+drawn as (
+  select event_time + to_minutes({_word(7, "amount", 2)} % 41 + 5) as event_time,
+    ingest_time + to_minutes({_word(7, "amount", 3)} % 41 + 5) as ingest_time, game_pk,
+    concat_ws(':', game_pk, at_bat_number, pitch_number) as original_pitch_uid, 'pitch_type' as field,
+    pitch_type as old_value,
+    case pitch_type
+      when 'FF' then ['FT', 'SI'][{_word(7, "amount", 1)} % 2 + 1]
+      when 'SL' then ['CU', 'FC'][{_word(7, "amount", 1)} % 2 + 1]
+      when 'CU' then ['SL', 'KC'][{_word(7, "amount", 1)} % 2 + 1]
+      when 'CH' then 'FS' end as new_value
+  from clean where pitch_type is not null and {_hit(7, 2, 0.01)}
+)"""
+)
+
+RAW = (
+    PITCHES
+    + """,
+raw_text as (
+  select event_id, event_time, ingest_time, game_pk, case when event_id % 501 <> 500 then at_bat_number end as at_bat_number,
+    pitch_number, inning,
+    case when event_id % 8 in (0, 1) then 'Top' else 'Bot' end as inning_topbot,
+    pitcher_id, batter_id,
+    case event_id % 6 when 0 then null when 1 then null when 2 then 'SL' else pitch_type end as pitch_type,
+    case event_id % 7 when 0 then null when 1 then null when 2 then null when 3 then 95.1::double
+      else release_speed end as release_speed,
+    release_spin_rate, plate_x, plate_z,
+    case event_id % 5 when 0 then null when 1 then 5 when 2 then null when 3 then -2 else zone end as zone,
+    balls, strikes, outs_when_up, on_1b, on_2b, on_3b, description, events, 0 as home_score, away_score,
+    false as is_late_arrival, false as is_duplicate, correction_of
+  from pitches
+)"""
+)
+
+
+def _null_checks(table: str, relation: str, columns: list[str]) -> str:
+    return " union all ".join(
+        f"select 'not_null' as check_name, '{table}.{c}' as subject, count(*) filter ({c} is null) as violations "
+        f"from {relation}"
+        for c in columns
+    )
+
+
+def _unique_check(table: str, relation: str, keys: list[str]) -> str:
+    k = ",".join(keys)
+    return (
+        f"select 'unique', '{table}({k})', count(*) from "
+        f"(select {k} from {relation} group by all having count(*) > 1)"
+    )
+
+
+def _allowed_check(table: str, relation: str, column: str, values: list[str]) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"select 'allowed_values', '{table}.{column}', count(*) filter ({column} not in ({listed})) from {relation}"
+
+
+def _reference_check(child: str, column: str, parent: str, key: str) -> str:
+    return (
+        f"select 'references', '{child}.{column}', count(*) from {child} c "
+        f"where {column} is not null and not exists (select 1 from {parent} p where p.{key} = c.{column})"
+    )
+
+
+_REQUIRED = (
+    "event_time ingest_time game_pk at_bat_number pitch_number inning inning_topbot pitcher_id batter_id "
+    "balls strikes outs_when_up home_score away_score is_late_arrival is_duplicate"
+).split()
+
+_QUALITY = " union all ".join(
+    [
+        _null_checks("pitches", "bronze", _REQUIRED + ["pitch_type", "release_speed", "on_1b"]),
+        _null_checks("lineitem", "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
+        _unique_check("pitches", "bronze", ["game_pk", "at_bat_number", "pitch_number"]),
+        _unique_check("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
+        _unique_check("orders", "orders", ["o_orderkey"]),
+        _unique_check("documents", "documents", ["doc_id"]),
+        _allowed_check("pitches", "bronze", "inning_topbot", ["Top", "Bot"]),
+        _allowed_check("events", "events", "event_type", ["view", "click"]),
+        _allowed_check("orders", "orders", "o_orderstatus", ["F", "O", "P"]),
+        _reference_check("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        _reference_check("orders", "o_custkey", "customer", "c_custkey"),
+        _reference_check("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        _reference_check("customer", "c_nationkey", "nation", "n_nationkey"),
+        _reference_check("documents", "doc_id", "labels", "doc_id"),
+    ]
+)
+
+_PLAYS = """
+select o_orderkey as game_pk, cast(o_orderkey % 9 + 1 as integer) as inning, half as inning_topbot,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as about_time, incoming as incoming_pitcher_id,
+  outgoing as outgoing_pitcher_id
+from orders, lateral (values
+  (o_orderstatus = 'F', 'Top', o_custkey, o_orderkey),
+  (o_orderkey % 3 = 0, 'Top', o_custkey + 1, o_custkey),
+  (o_orderkey % 5 = 0, case when o_orderkey % 2 = 0 then 'Bottom' else '' end, o_orderkey, o_custkey)
+) v(hit, half, incoming, outgoing)
+where hit"""
+
+_LINEUPS = """
+select o_orderkey as game_pk, side, batting_slot, batter_id
+from orders, lateral (values
+  (o_orderkey % 4 <> 0, 'home', 1, o_orderkey),
+  (o_orderkey % 4 <> 0, 'home', 2, o_custkey),
+  (o_orderkey % 7 <> 0, 'away', 1, o_custkey),
+  (o_orderkey % 7 <> 0, 'away', 2, o_orderkey),
+  (o_orderkey % 7 <> 0, 'away', 3, o_orderkey + 1)
+) v(present, side, batting_slot, batter_id)
+where present"""
+
+ORACLE |= {
+    "dedup_natural": """
+select * from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber
+  order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc, l_quantity desc, l_discount desc,
+    l_tax desc, l_returnflag desc, l_linestatus desc) = 1""",
+    "first_20_pitches": f"""with {STAGED}
+select game_pk, pitcher_id, at_bat_number, pitch_number, release_speed from dedup
+qualify row_number() over ({ORDINAL}) <= 20""",
+    "game_state_events": f"with {STATES} select * from states",
+    "game_state_counts": f"with {STATES} select event_type, count(*) as n from states group by 1",
+    "role_changes": """
+select * from (select conv_id, turn, role,
+  lag(role) over (partition by conv_id order by turn, role) as previous_role from conversations)
+where role <> previous_role""",
+    "synth_event_time": f"""with {STAGED},
+stepped as (
+  select *, lag(at_bat_number) over ({GAME_ORDINAL}) as p from staged
+),
+gapped as (
+  select *, case when p is null then 0 when p <> at_bat_number then 90 else 23 end as gap from stepped
+)
+select game_pk, at_bat_number, pitch_number, inning, inning_topbot,
+  cast(cast(event_time as date) as timestamp) + interval 19 hours
+    + to_seconds(cast(sum(gap) over ({GAME_ORDINAL}) as bigint)) as event_time
+from gapped""",
+    "late_split": f"""with {BRONZE}
+select game_pk, pitcher_id, event_time, kafka_partition, source_offset, is_late_arrival, is_duplicate,
+  event_time < max(event_time) over (partition by game_pk, pitcher_id
+    order by kafka_partition, source_offset, is_late_arrival, is_duplicate
+    rows between unbounded preceding and current row) - interval 5 minutes as is_late
+from bronze""",
+    "clean_rows": f"with {RAW} select * exclude (event_id) from raw_text where at_bat_number is not null",
+    "quarantined_rows": f"""with {RAW}
+select event_time, game_pk, at_bat_number, pitch_number, pitcher_id from raw_text where at_bat_number is null""",
+    "canonical_top": f"""with {STAGED}
+select game_pk, at_bat_number, pitch_number, inning, inning_topbot, event_time from dedup
+order by game_pk, inning, inning_topbot desc, at_bat_number, pitch_number limit 250""",
+    "games_list": f"with {BRONZE} select distinct game_pk from bronze",
+    "one_game": f"""with {BRONZE}
+select game_pk, at_bat_number, pitch_number, event_time, is_late_arrival from bronze where game_pk = 3""",
+    "time_bounds": f"""with {BRONZE}
+select count(*) as rows, count(distinct game_pk) as games, min(event_time) as first_event_time,
+  max(event_time) as last_event_time from bronze""",
+    "bronze_profile": f"""with {BRONZE}
+select count(*) as rows, count(distinct pitcher_id) as pitchers,
+  count(distinct (game_pk, at_bat_number, pitch_number)) as pitches from bronze""",
+    "route_events": f"""with {STATES}
+select 'pitches.raw' as topic, concat_ws(':', game_pk, at_bat_number, pitch_number) as key,
+  epoch_us(event_time) // 1000 as event_millis, 28 as fields from bronze
+union all select 'game_state.raw', concat_ws(':', game_pk, event_type), epoch_us(event_time) // 1000, 11 from states
+union all select 'corrections.cdc', original_pitch_uid, epoch_us(event_time) // 1000, 7 from corrections""",
+    "wire_roundtrip": f"""with {BRONZE}
+select concat_ws(':', game_pk, at_bat_number, pitch_number) as key, * exclude (source_offset, kafka_partition)
+  replace (date_trunc('milliseconds', event_time) as event_time, date_trunc('milliseconds', ingest_time) as ingest_time)
+from bronze""",
+    "iso_encoding": f"""with {BRONZE}
+select concat_ws(':', game_pk, at_bat_number, pitch_number) as key,
+  strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') as event_time from bronze""",
+    "perturbed_pitches": f"""with {PERTURBED}
+select game_pk, at_bat_number, pitch_number, event_time, ingest_time, is_late_arrival, is_duplicate from perturbed""",
+    "drawn_corrections": f"with {PERTURBED} select * from drawn where new_value is not null",
+    "kind_counts": f"""with {PERTURBED}, {transitions_of("clean")}
+select case when is_duplicate then 'duplicate' when is_late_arrival then 'late' else 'pitch' end as kind,
+  count(*) as n from perturbed group by 1
+union all select 'correction', count(*) from drawn where new_value is not null
+union all select 'game_state', count(*) from states""",
+    "nested_plays": _PLAYS,
+    "nested_lineups": _LINEUPS,
+    "quality_report": f"with {BRONZE} {_QUALITY}",
+}
+
+
+# Signals: the canonical side over staged pitches, the provisional side over rows as they arrive.
+def _features(name: str, relation: str, order: str, running: bool) -> str:
+    by = f"partition by game_pk, pitcher_id order by {order}"
+    frame = f"{by} rows between 15 preceding and current row"
+    base = f"{by} rows between unbounded preceding and current row" if running else "partition by game_pk, pitcher_id"
+    speed = mean("case when pitch_idx <= 20 then release_speed end", base)
+    spin = mean("case when pitch_idx <= 20 then release_spin_rate end", base)
+    return f"""
+{name}_idx as (select *, row_number() over ({by}) as pitch_idx from {relation}),
+{name}_features as (
+  select *, {mean("release_speed", frame)} as velocity_mean, {mean("release_spin_rate", frame)} as spin_mean,
+    count(*) filter (zone <= 9) over ({frame}) / cast(count(*) over ({frame}) as double) as zone_share,
+    {speed} as velocity_baseline, {spin} as spin_baseline
+  from {name}_idx
+)"""
+
+
+def _clamp(x: str) -> str:
+    return f"case when ({x}) is not null then greatest(0e0, least(1e0, {x})) end"
+
+
+def _snapshots(name: str, where: str) -> str:
+    return f"""
+{name}_raw as (
+  select *, {_clamp("-(velocity_mean - velocity_baseline) / 3.5e0")} as v,
+    {_clamp("-(spin_mean - spin_baseline) / 200e0")} as s,
+    {_clamp("(0.68e0 - zone_share) / 0.3e0")} as c, least(1e0, pitch_idx / 110e0) as n
+  from {name}_features where pitch_idx >= 20 {where}
+),
+{name}_scored as (
+  select *, 0.3e0 * coalesce(v, 0e0) + 0.2e0 * coalesce(s, 0e0) + 0.2e0 * coalesce(c, 0e0) + 0.3e0 * n as f from {name}_raw
+),
+{name}_signals as (
+  select event_time, ingest_time, game_pk, pitcher_id, at_bat_number, pitch_number, pitch_idx,
+    {rounded("f", 3)} as fatigue, {rounded("v", 3)} as fatigue_velocity_component,
+    {rounded("s", 3)} as fatigue_spin_component, {rounded("c", 3)} as fatigue_command_component,
+    {rounded("""case when pitch_idx < 50 then 0.8e0 + pitch_idx / 200e0
+      when pitch_idx < 80 then 1.1e0 + (pitch_idx - 50) * 0.02e0
+      else 1.7e0 + (pitch_idx - 80) * 0.08e0 end""", 2)} as leverage,
+    {rounded("-0.02e0 + (f - 0.4e0) * 0.08e0", 3)} as matchup_edge
+  from {name}_scored
+),
+{name} as (
+  select *, {rounded(f"""0.6e0 * fatigue + 0.3e0 * {_clamp("leverage / 3.5e0")}
+    + 0.1e0 * {_clamp("(matchup_edge + 0.1e0) / 0.2e0")}""", 3)} as composite
+  from {name}_signals
+)"""
+
+
+CANONICAL = (
+    STAGED
+    + ","
+    + _features("canonical", "staged", "at_bat_number, pitch_number", False)
+    + ","
+    + _snapshots("canonical", "")
+)
+BOTH = (
+    CANONICAL
+    + ", arrived as (select * from bronze where not is_duplicate),"
+    + _features("provisional", "arrived", "at_bat_number, pitch_number, is_late_arrival, source_offset", True)
+    + ","
+    + _snapshots("provisional", "and not is_late_arrival")
+)
+
+SEVERITY = "case when {0} >= 0.7e0 then 'action' when {0} >= 0.55e0 then 'warning' when {0} >= 0.4e0 then 'info' end"
+RANK = "case {0} when 'action' then 3 when 'warning' then 2 when 'info' then 1 else 0 end"
+POSITION = "(cast(at_bat_number as bigint) * 4294967296 + pitch_number)"
+
+ALERTS = (
+    BOTH
+    + f""",
+banded as (select *, composite as score, {SEVERITY.format("composite")} as severity from provisional),
+ranked as (select *, {RANK.format("severity")} as rnk from banded),
+risen as (
+  select *, coalesce(lag(rnk) over ({ORDINAL}), 0) as before from ranked
+),
+alerts as (
+  select event_time, ingest_time as emitted_time,
+    concat_ws('-', game_pk, pitcher_id, at_bat_number, pitch_number, severity) as alert_uid, game_pk, pitcher_id,
+    'composite' as signal_type, severity, score,
+    case severity when 'action' then 0.7e0 when 'warning' then 0.55e0 else 0.4e0 end as score_threshold,
+    'composite reached ' || severity as rationale,
+    concat_ws(':', 'snap', game_pk, pitcher_id, at_bat_number, pitch_number) as inputs_snapshot_uid,
+    'fatigue_v1.0' as model_version, at_bat_number, pitch_number, fatigue, leverage, matchup_edge
+  from risen where rnk > before
+)"""
+)
+
+_MILLI = "(cast(round({0} * 1000e0) as bigint) - cast(round({1} * 1000e0) as bigint)) / 1000e0"
+
+RECONCILED = (
+    ALERTS
+    + f""",
+reached as (
+  select game_pk, pitcher_id, max({POSITION}) filter (composite >= 0.4e0) as last_info,
+    max({POSITION}) filter (composite >= 0.55e0) as last_warning,
+    max({POSITION}) filter (composite >= 0.7e0) as last_action
+  from canonical group by all
+),
+said as (
+  select game_pk, pitcher_id, at_bat_number, pitch_number, alert_uid, severity, score as streaming_score, false as near
+  from alerts
+  union all
+  select game_pk, pitcher_id, at_bat_number, pitch_number, null, null, composite, true
+  from provisional where composite < 0.4e0 and composite >= 0.35e0
+),
+faced as (
+  select s.*, c.composite as canonical_score, r.last_info, r.last_warning, r.last_action,
+    {RANK.format("s.severity")} as said_rank,
+    {RANK.format(SEVERITY.format("coalesce(c.composite, 0e0)"))} as meant_rank
+  from said s left join canonical c using (game_pk, pitcher_id, at_bat_number, pitch_number)
+    left join reached r using (game_pk, pitcher_id)
+),
+judged as (
+  select *, case
+    when near then case when meant_rank > 0 then 'suppressed_but_warranted' end
+    when meant_rank = said_rank then 'confirmed'
+    when meant_rank > said_rank then 'escalated'
+    when case severity when 'action' then last_action when 'warning' then last_warning else last_info end
+      > {POSITION} then 'confirmed_late'
+    when meant_rank > 0 then 'softened'
+    else 'reversed' end as outcome
+  from faced
+),
+reconciled as (
+  select game_pk, pitcher_id, at_bat_number, pitch_number, alert_uid, severity, streaming_score, canonical_score,
+    {_MILLI.format("canonical_score", "streaming_score")} as delta, outcome, replace(outcome, '_', ' ') as outcome_label
+  from judged where outcome is not null
+)"""
+)
+
+_SIGNAL_VALUES = """lateral (values
+  ('fatigue', s.fatigue, c.fatigue), ('leverage', s.leverage, c.leverage),
+  ('matchup_edge', s.matchup_edge, c.matchup_edge)) v(signal, streaming_value, canonical_value)"""
+
+DELTAS = (
+    BOTH
+    + f""",
+deltas as (
+  select s.game_pk, s.pitcher_id, s.at_bat_number, s.pitch_number, signal, streaming_value, canonical_value,
+    {_MILLI.format("canonical_value", "streaming_value")} as delta
+  from provisional s join canonical c using (game_pk, pitcher_id, at_bat_number, pitch_number), {_SIGNAL_VALUES}
+)"""
+)
+
+_STATE_COLUMNS = "inning_bin, inning_topbot, outs_when_up, bases, score_bin"
+
+_HANDED = STAGED + ", handed as (select *, case when batter_id % 2 = 0 then 'L' else 'R' end as batter_hand from staged)"
+
+_USAGE = ", ".join(
+    f"count(*) filter (pitch_type = '{t}') / cast(count(pitch_type) as double) as usage_{t.lower()}"
+    for t in ["FF", "SL", "CH", "CU", "SI", "FC", "KC", "FT", "FS"]
+)
+
+PITCHER_SEASON = f"""
+select pitcher_id, cast(year(event_time) as integer) as season, count(*) as pitches,
+  count(distinct game_pk) as games,
+  {group_mean("release_speed")} as season_velocity, {group_mean("release_spin_rate")} as season_spin, {_USAGE}
+from staged group by 1, 2"""
+
+ORACLE |= {
+    "pace_trend": f"""with {STAGED},
+paced as (
+  select *, epoch_us(event_time) - lag(epoch_us(event_time)) over ({ORDINAL}) as pace from staged
+),
+listed as (
+  select *, list(pace) filter (pace is not null) over ({_last(10)}) as paces from paced
+),
+summed as (
+  select *, coalesce(len(paces), 0) as n, coalesce(cast(list_sum(paces) as bigint), 0) as y,
+    coalesce(cast(list_sum(list_transform(paces, lambda v, i: v * i)) as bigint), 0) as xy
+  from listed
+)
+select game_pk, pitcher_id, at_bat_number, pitch_number, event_time, pace / 1000000e0 as pace_seconds,
+  case when n >= 2 then cast((n * xy * 2 - n * (n + 1) * y) * 6 as double)
+    / cast(n * n * (n * n - 1) * 1000000 as double) end as pace_trend_last_10
+from summed""",
+    "signals_canonical": f"with {CANONICAL} select * from canonical",
+    "signals_provisional": f"with {BOTH} select * from provisional",
+    "signal_display": f"""with {CANONICAL},
+starts as (select game_pk, min(event_time) as first_pitch from canonical_features group by 1)
+select game_pk, pitcher_id, at_bat_number, pitch_number, pitch_idx,
+  strftime(event_time, '%H:%M:%S') || ' UTC' as clock, first_pitch + to_seconds(pitch_idx * 25) as scheduled_time,
+  cast(least((pitch_idx - 1) // 15 + 1, 7) as integer) as scheduled_inning,
+  cast((pitch_idx - 1) // 4 + 1 as integer) as scheduled_at_bat,
+  cast((pitch_idx - 1) % 4 + 1 as integer) as scheduled_pitch, leverage / 3.5e0 as leverage_scaled,
+  {rounded("case when pitch_idx > 70 then fatigue + 0.03e0 else fatigue - 0.01e0 end", 3)} as fatigue_shifted
+from canonical join starts using (game_pk)""",
+    "velocity_line": f"""with {STAGED}
+select game_pk, pitcher_id, at_bat_number, pitch_number, release_speed,
+  {mean("release_speed", _last(10))} as velocity_rolling from staged""",
+    "snapshot_at": f"with {CANONICAL} select * from canonical where game_pk = 0 and pitcher_id = 101 and pitch_idx = 92",
+    "alerts_banded": f"with {ALERTS} select * from alerts",
+    "latest_alert": f"""with {ALERTS} select alert_uid, emitted_time, severity from alerts
+order by emitted_time desc, alert_uid desc limit 1""",
+    "alert_values": f"""with {ALERTS},
+valued as (
+  select s.game_pk, s.pitcher_id, s.at_bat_number, s.pitch_number, s.alert_uid, signal, streaming_value, canonical_value,
+    {_MILLI.format("canonical_value", "streaming_value")} as delta
+  from alerts s join canonical c using (game_pk, pitcher_id, at_bat_number, pitch_number), {_SIGNAL_VALUES}
+)
+select *, case when delta >= 0 then 'positive' else 'negative' end as delta_class,
+  printf('%+.3f', delta) as delta_text, printf('%+.3f', streaming_value) as streaming_text from valued""",
+    "alert_reconciliation": f"with {RECONCILED} select * from reconciled",
+    "outcome_distribution": f"""with {RECONCILED}
+select outcome, count(*) as n, count(*) filter (severity = 'action') as n_action from reconciled group by 1""",
+    "correction_rate": f"""with {RECONCILED}
+select count(*) as alerts, count(*) filter (outcome <> 'confirmed') / cast(count(*) as double) as correction_rate,
+  count(*) filter (severity = 'action' and outcome <> 'reversed') as action_preserved,
+  count(*) filter (severity = 'action' and outcome = 'reversed') as action_reversed
+from reconciled where alert_uid is not null""",
+    "signal_delta": f"with {DELTAS} select * from deltas",
+    "delta_histogram": f"""with {DELTAS}
+select signal, cast(case when delta < -0.5e0 then 0 when delta >= 0.5e0 then 21
+  else floor((delta + 0.5e0) * 20) + 1 end as bigint) as bin, count(*) as n
+from deltas group by all""",
+    "decision_outcomes": f"""with {BOTH},
+crossed as (
+  select side, game_pk, pitcher_id, severity, min({POSITION}) filter (composite >= floor) as first_at
+  from (select 's' as side, * from provisional union all select 'c', * from canonical),
+    (values ('info', 0.4e0), ('warning', 0.55e0), ('action', 0.7e0)) b(severity, floor)
+  group by all
+),
+sides as (
+  select game_pk, pitcher_id, severity, max(first_at) filter (side = 's') as streaming_first,
+    max(first_at) filter (side = 'c') as canonical_first
+  from crossed group by all
+)
+select *, case when streaming_first is null and canonical_first is null then 'neither'
+  when canonical_first is null then 'streaming_only' when streaming_first is null then 'canonical_only'
+  when streaming_first < canonical_first then 'streaming' when streaming_first > canonical_first then 'canonical'
+  else 'together' end as fired_first
+from sides""",
+    "kpi_latency": f"""with {ALERTS},
+timed as (select severity, epoch_us(emitted_time) // 1000000 - epoch_us(event_time) // 1000000 as latency from alerts)
+select severity, count(*) as n, round(quantile_cont(latency, 0.5), 3) as p50,
+  round(quantile_cont(latency, 0.95), 3) as p95, round(quantile_cont(latency, 0.99), 3) as p99
+from timed group by 1""",
+    "stationarity_probe": f"""with {CANONICAL},
+gaps as (
+  select case when cast(event_time as date) < date '2024-01-15' then 'before' else 'after' end as period,
+    cast(round((0.4e0 - composite) * 1000) as bigint) as gap from canonical
+)
+select period, count(*) as states, count(*) filter (gap <= 0) / cast(count(*) as double) as activation_rate,
+  count(*) filter (gap > 0 and gap <= 50) / cast(count(*) as double) as near_miss_rate,
+  round(quantile_cont(gap, 0.5), 3) as evidence_gap_median, round(quantile_cont(gap, 0.9), 3) as evidence_gap_p90
+from gaps group by 1""",
+    "matchup_revisions": f"""with {BOTH},
+confirmed as (
+  select game_pk, at_bat_number, pitch_number, batter_id from pitches where event_id % 10 <> 0
+),
+revised as (
+  select s.game_pk, s.pitcher_id, s.at_bat_number, s.pitch_number, s.pitch_idx,
+    {_MILLI.format("c.matchup_edge", "s.matchup_edge")} as delta, b.batter_id
+  from provisional s join canonical c using (game_pk, pitcher_id, at_bat_number, pitch_number)
+    left join confirmed b on b.game_pk = s.game_pk and b.at_bat_number = s.at_bat_number
+      and b.pitch_number = s.pitch_number
+)
+select game_pk, pitcher_id, at_bat_number, pitch_number, delta,
+  case when batter_id is null then 'BATTER_UNCERTAIN' else 'BATTER_CONFIRMED' end as batter_state,
+  case when pitch_idx < 30 then 'suppressed_by_governance' when abs(delta) >= 0.002e0 then 'material_update'
+    else 'baseline_confirmed' end as revision
+from revised""",
+    "leverage_lookup": f"""with {STAGED},
+stated as (
+  select *, least(inning, 9) as inning_bin,
+    (on_1b is not null)::integer + 2 * (on_2b is not null)::integer + 4 * (on_3b is not null)::integer as bases,
+    greatest(-3, least(3, home_score - away_score)) as score_bin,
+    lag(home_score) over ({GAME_ORDINAL}) as p_home, lag(away_score) over ({GAME_ORDINAL}) as p_away
+  from dedup
+),
+marked as (
+  select *, coalesce(home_score > p_home or away_score > p_away, false)::integer as moved,
+    row(inning, inning_topbot, outs_when_up, bases, home_score, away_score, balls, strikes) as state from stated
+),
+li as (
+  select {_STATE_COLUMNS}, cast(sum(moved) as double) / count(*)
+    / (select cast(sum(moved) as double) / count(*) from marked) as leverage_index
+  from marked group by all
+),
+stepped as (
+  select *, lag(state) over ({GAME_ORDINAL}) as was,
+    cast(sum(is_late_arrival::integer) over ({GAME_ORDINAL} rows between 9 preceding and current row) as bigint) as recent_late
+  from marked
+)
+select game_pk, at_bat_number, pitch_number, home_score - away_score as score_differential, recent_late, leverage_index
+from stepped left join li using ({_STATE_COLUMNS})
+where was is null or was <> state""",
+    "matchup_edge": f"""with {_HANDED},
+thrown as (
+  select pitcher_id, balls, strikes, batter_hand, pitch_type, count(*) as thrown from handed
+  where pitch_type is not null group by all
+),
+mix as (
+  select *, sum(thrown) over (partition by pitcher_id, balls, strikes, batter_hand) as total from thrown
+),
+splits as (
+  select batter_id, pitch_type, batter_hand, cast(count(events) as double) / count(*) as xwoba from handed
+  where pitch_type is not null group by all
+),
+matchups as (
+  select distinct pitcher_id, batter_id, balls, strikes, batter_hand, game_pk % 25 as park_id from handed
+),
+terms as (
+  select m.*, x.pitch_type, cast(x.thrown as double) / cast(x.total as double) * p.xwoba as term
+  from matchups m join mix x using (pitcher_id, balls, strikes, batter_hand)
+    join splits p on p.batter_id = m.batter_id and p.pitch_type = x.pitch_type and p.batter_hand = m.batter_hand
+),
+summed as (
+  select pitcher_id, batter_id, balls, strikes, batter_hand, park_id, {rounded("sum(term)", 6)} as expected,
+    max(row(round(term, 9), pitch_type)) as top from terms group by all
+),
+edged as (
+  select s.*, {rounded("expected * (0.9e0 + (n_nationkey % 20) / 100e0) - 0.25e0", 6)} as matchup_edge
+  from summed s join nation on n_nationkey = park_id
+)
+select pitcher_id, batter_id, balls, strikes, batter_hand, park_id, matchup_edge,
+  case when matchup_edge >= 0.08e0 then 'REPLACE' when matchup_edge >= 0.02e0 then 'WARM' else 'KEEP' end as recommendation,
+  top[2] as top_contributing_pitch_type
+from edged""",
+    "pitcher_season": f"with {STAGED} {PITCHER_SEASON}",
+    "batter_season": f"""with {_HANDED}
+select batter_id, cast(year(event_time) as integer) as season, batter_hand, pitch_type, count(*) as pitches,
+  count(events) as outcomes, {group_mean("release_speed")} as mean_speed_faced
+from handed group by all""",
+    "canonical_pitches": f"""with {STAGED}, dim as ({PITCHER_SEASON})
+select game_pk, at_bat_number, pitch_number, s.pitcher_id, d.season, pitch_type, season_velocity, season_spin,
+  release_speed - season_velocity as velocity_vs_season
+from staged s join dim d on d.pitcher_id = s.pitcher_id and d.season = year(s.event_time)""",
+    "removal_label": f"""with {STAGED},
+at_bats as (
+  select game_pk, inning_topbot, at_bat_number, max(row(pitch_number, event_time, pitcher_id))[3] as pitcher_id
+  from staged group by all
+)
+select *, coalesce(lead(pitcher_id, 1) over w <> pitcher_id, false)
+    or coalesce(lead(pitcher_id, 2) over w <> pitcher_id, false) as removed_soon
+from at_bats window w as (partition by game_pk, inning_topbot order by at_bat_number)""",
+}

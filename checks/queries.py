@@ -8,9 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.plans import features, staging
+from dualpath import schemas
+from dualpath.functions.events import game_order_slot
+from dualpath.operators import dedup, event_time, nested, perturb, quality, transitions
+from dualpath.operators.ordered import OrderedGroups, find_hot_groups
+from dualpath.plans import features, lookups, marts, reconcile, signals, staging
 from dualpath.session import tune
-from dualpath.sources import bindings
+from dualpath.sources import bindings, raw, topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +75,388 @@ def pitcher_game_fatigue_raw(spark, sf_dir):
 @query
 def workload_ranking(spark, sf_dir):
     return features.workload_ranking(pitcher_game_fatigue(spark, sf_dir))
+
+
+@query
+def dedup_natural(spark, sf_dir):
+    items = bindings.table(spark, sf_dir, "lineitem")
+    newest = [F.desc("l_shipdate"), *[F.desc(c) for c in ("l_partkey", "l_suppkey", "l_extendedprice")]]
+    rest = [F.desc(c) for c in ("l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")]
+    return dedup.newest_per_key(items, ["l_orderkey", "l_linenumber"], newest + rest)
+
+
+@query
+def first_20_pitches(spark, sf_dir):
+    pitches = staging.deduplicated(_bronze(spark, sf_dir))
+    order = [F.asc("at_bat_number"), F.asc("pitch_number")]
+    return dedup.first_n_per_key(pitches, schemas.PITCHER_GAME_KEY, order, 20).select(
+        *schemas.PITCHER_GAME_KEY, "at_bat_number", "pitch_number", "release_speed"
+    )
+
+
+def _hot_games(spark, sf_dir):
+    return find_hot_groups(_bronze(spark, sf_dir), ["game_pk"], game_order_slot())
+
+
+def _states(spark, sf_dir):
+    return transitions.game_state_events(
+        _staged(spark, sf_dir), _hot_games(spark, sf_dir), ingest_time=F.col("ingest_time")
+    )
+
+
+@query
+def game_state_events(spark, sf_dir):
+    return _states(spark, sf_dir)
+
+
+@query
+def game_state_counts(spark, sf_dir):
+    return _states(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def role_changes(spark, sf_dir):
+    turns = bindings.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    hot = find_hot_groups(turns, ["conv_id"], F.col("turn"))
+    groups = OrderedGroups(("conv_id",), (F.asc_nulls_last("turn"), F.asc_nulls_last("role")), hot)
+    return transitions.value_changes(turns, groups, "role")
+
+
+@query
+def synth_event_time(spark, sf_dir):
+    pitches = _staged(spark, sf_dir).withColumn("game_date", F.to_date("event_time"))
+    clocked = event_time.synthesize_event_time(pitches, _hot_games(spark, sf_dir))
+    return clocked.select(*schemas.PITCH_KEY, "inning", "inning_topbot", "event_time")
+
+
+@query
+def late_split(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    keys = schemas.PITCHER_GAME_KEY
+    hot = find_hot_groups(bronze, keys, F.col("source_offset"))
+    arrival = ("kafka_partition", "source_offset", "is_late_arrival", "is_duplicate")
+    groups = OrderedGroups(tuple(keys), tuple(F.asc_nulls_last(c) for c in arrival), hot)
+    return event_time.tag_late(bronze.select(*keys, "event_time", *arrival), groups)
+
+
+@query
+def clean_rows(spark, sf_dir):
+    typed = raw.typed_pitches(bindings.raw_rows(_events(spark, sf_dir)))
+    return quality.quarantine_split(typed, schemas.PITCH, schemas.ALLOWED_VALUES)[0]
+
+
+@query
+def quarantined_rows(spark, sf_dir):
+    typed = raw.typed_pitches(bindings.raw_rows(_events(spark, sf_dir)))
+    bad = quality.quarantine_split(typed, schemas.PITCH, schemas.ALLOWED_VALUES)[1]
+    return bad.select("event_time", "game_pk", "at_bat_number", "pitch_number", "pitcher_id")
+
+
+@query
+def canonical_top(spark, sf_dir):
+    return raw.first_pitches(staging.deduplicated(_bronze(spark, sf_dir)), 250).select(
+        *schemas.PITCH_KEY, "inning", "inning_topbot", "event_time"
+    )
+
+
+@query
+def games_list(spark, sf_dir):
+    return raw.games(_bronze(spark, sf_dir))
+
+
+@query
+def one_game(spark, sf_dir):
+    return raw.one_game(_bronze(spark, sf_dir), 3).select(*schemas.PITCH_KEY, "event_time", "is_late_arrival")
+
+
+@query
+def time_bounds(spark, sf_dir):
+    return raw.time_bounds(_bronze(spark, sf_dir))
+
+
+@query
+def bronze_profile(spark, sf_dir):
+    return _bronze(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("pitcher_id").alias("pitchers"),
+        F.countDistinct(*schemas.PITCH_KEY).alias("pitches"),
+    )
+
+
+@query
+def route_events(spark, sf_dir):
+    bronze, corrections = bindings.load_bronze(spark, sf_dir)
+    routed = topics.route_all(
+        {"pitch": bronze, "game_state": _states(spark, sf_dir), "correction": corrections}
+    )
+    return routed.select(
+        "topic",
+        "key",
+        F.get_json_object("value", "$.event_time").cast("bigint").alias("event_millis"),
+        F.size(F.json_object_keys("value")).alias("fields"),
+    )
+
+
+@query
+def wire_roundtrip(spark, sf_dir):
+    routed = topics.route(_bronze(spark, sf_dir), "pitch")
+    return topics.decode(routed, "pitch").drop("topic")
+
+
+@query
+def iso_encoding(spark, sf_dir):
+    routed = topics.route(_bronze(spark, sf_dir), "pitch", "json_iso")
+    return routed.select("key", F.get_json_object("value", "$.event_time").alias("event_time"))
+
+
+@query
+def perturbed_pitches(spark, sf_dir):
+    pitches = bindings.clean_pitches(_events(spark, sf_dir))
+    return perturb.with_copies(pitches, seed=7).select(
+        *schemas.PITCH_KEY, "event_time", "ingest_time", "is_late_arrival", "is_duplicate"
+    )
+
+
+@query
+def drawn_corrections(spark, sf_dir):
+    return perturb.drawn_corrections(bindings.clean_pitches(_events(spark, sf_dir)), seed=7)
+
+
+@query
+def kind_counts(spark, sf_dir):
+    pitches = bindings.clean_pitches(_events(spark, sf_dir))
+    return perturb.kind_counts(
+        perturb.with_copies(pitches, seed=7),
+        perturb.drawn_corrections(pitches, seed=7),
+        transitions.game_state_events(pitches, _hot_games(spark, sf_dir)),
+    )
+
+
+@query
+def nested_plays(spark, sf_dir):
+    return nested.pitching_changes(bindings.play_documents(bindings.table(spark, sf_dir, "orders")))
+
+
+@query
+def nested_lineups(spark, sf_dir):
+    docs = bindings.play_documents(bindings.table(spark, sf_dir, "orders"))
+    return nested.batting_slots(nested.lineups(docs))
+
+
+@query
+def quality_report(spark, sf_dir):
+    t = {
+        n: bindings.table(spark, sf_dir, n)
+        for n in "customer documents events labels lineitem nation orders part supplier".split()
+    }
+    bronze = _bronze(spark, sf_dir)
+    return quality.report(
+        quality.not_null(bronze, schemas.required_fields(schemas.PITCH), "pitches"),
+        quality.not_null(bronze, ["pitch_type", "release_speed", "on_1b"], "pitches"),
+        quality.not_null(t["lineitem"], ["l_orderkey", "l_linenumber", "l_shipdate"], "lineitem"),
+        quality.unique(bronze, schemas.PITCH_KEY, "pitches"),
+        quality.unique(t["lineitem"], ["l_orderkey", "l_linenumber"], "lineitem"),
+        quality.unique(t["orders"], ["o_orderkey"], "orders"),
+        quality.unique(t["documents"], ["doc_id"], "documents"),
+        quality.allowed(bronze, "inning_topbot", schemas.ALLOWED_VALUES["inning_topbot"], "pitches"),
+        quality.allowed(t["events"], "event_type", ["view", "click"], "events"),
+        quality.allowed(t["orders"], "o_orderstatus", ["F", "O", "P"], "orders"),
+        quality.references(t["lineitem"], "l_orderkey", t["orders"], "o_orderkey", "lineitem.l_orderkey"),
+        quality.references(t["orders"], "o_custkey", t["customer"], "c_custkey", "orders.o_custkey"),
+        quality.references(t["lineitem"], "l_suppkey", t["supplier"], "s_suppkey", "lineitem.l_suppkey"),
+        quality.references(t["customer"], "c_nationkey", t["nation"], "n_nationkey", "customer.c_nationkey"),
+        quality.references(t["documents"], "doc_id", t["labels"], "doc_id", "documents.doc_id"),
+    )
+
+
+@query
+def pace_trend(spark, sf_dir):
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    rows = _staged(spark, sf_dir).select(*signals.STATE_KEY, "event_time")
+    return features.with_pace(rows, hot)
+
+
+def _canonical(spark, sf_dir):
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    return signals.signal_snapshots(signals.canonical_features(_staged(spark, sf_dir), hot))
+
+
+def _provisional(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    return signals.signal_snapshots(signals.provisional_features(bronze, features.hot_pitchers(bronze)))
+
+
+def _alerts(spark, sf_dir):
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    snapshots = _provisional(spark, sf_dir)
+    fatigue = snapshots.select("event_time", "ingest_time", *signals.STATE_KEY, "fatigue")
+    aligned = signals.align_signals(
+        fatigue,
+        signals.changes_only(snapshots, "leverage", hot),
+        signals.changes_only(snapshots, "matchup_edge", hot),
+        hot,
+    )
+    return signals.orchestrate(aligned, hot)
+
+
+@query
+def signals_canonical(spark, sf_dir):
+    return _canonical(spark, sf_dir)
+
+
+@query
+def signals_provisional(spark, sf_dir):
+    return _provisional(spark, sf_dir)
+
+
+@query
+def signal_display(spark, sf_dir):
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    base = signals.canonical_features(_staged(spark, sf_dir), hot)
+    return signals.display_rows(signals.signal_snapshots(base), base)
+
+
+@query
+def velocity_line(spark, sf_dir):
+    return signals.velocity_line(_staged(spark, sf_dir), features.hot_pitchers(_bronze(spark, sf_dir)))
+
+
+@query
+def snapshot_at(spark, sf_dir):
+    return signals.snapshot_at(_canonical(spark, sf_dir), 0, 101, 92)
+
+
+@query
+def alerts_banded(spark, sf_dir):
+    return _alerts(spark, sf_dir)
+
+
+@query
+def latest_alert(spark, sf_dir):
+    return signals.latest_alert(_alerts(spark, sf_dir)).select("alert_uid", "emitted_time", "severity")
+
+
+@query
+def alert_values(spark, sf_dir):
+    return reconcile.alert_values(_alerts(spark, sf_dir), _canonical(spark, sf_dir))
+
+
+def _reconciled(spark, sf_dir):
+    return reconcile.alert_reconciliation(
+        _alerts(spark, sf_dir), _provisional(spark, sf_dir), _canonical(spark, sf_dir)
+    )
+
+
+@query
+def alert_reconciliation(spark, sf_dir):
+    return _reconciled(spark, sf_dir)
+
+
+@query
+def outcome_distribution(spark, sf_dir):
+    return reconcile.outcome_distribution(_reconciled(spark, sf_dir))
+
+
+@query
+def correction_rate(spark, sf_dir):
+    return reconcile.correction_rate(_reconciled(spark, sf_dir))
+
+
+@query
+def signal_delta(spark, sf_dir):
+    return reconcile.signal_deltas(_provisional(spark, sf_dir), _canonical(spark, sf_dir))
+
+
+@query
+def delta_histogram(spark, sf_dir):
+    return reconcile.delta_histogram(signal_delta(spark, sf_dir))
+
+
+@query
+def decision_outcomes(spark, sf_dir):
+    return reconcile.decision_outcomes(_provisional(spark, sf_dir), _canonical(spark, sf_dir))
+
+
+@query
+def kpi_latency(spark, sf_dir):
+    return reconcile.latency_percentiles(_alerts(spark, sf_dir))
+
+
+@query
+def stationarity_probe(spark, sf_dir):
+    return reconcile.stationarity_probe(_canonical(spark, sf_dir), "2024-01-15")
+
+
+@query
+def matchup_revisions(spark, sf_dir):
+    confirmed = (
+        bindings.clean_pitches(_events(spark, sf_dir))
+        .where(F.col("source_offset") % 10 != 0)
+        .select(*schemas.PITCH_KEY, "batter_id")
+    )
+    return reconcile.matchup_revisions(_provisional(spark, sf_dir), _canonical(spark, sf_dir), confirmed)
+
+
+@query
+def leverage_lookup(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    hot = _hot_games(spark, sf_dir)
+    pitches = staging.deduplicated(bronze)
+    return lookups.leverage_changes(pitches, lookups.leverage_table(pitches, hot), hot)
+
+
+def _handed(spark, sf_dir):
+    hand = F.when(F.col("batter_id") % 2 == 0, "L").otherwise("R")
+    return _staged(spark, sf_dir).withColumn("batter_hand", hand)
+
+
+@query
+def matchup_edge(spark, sf_dir):
+    pitches = _handed(spark, sf_dir)
+    nation = bindings.table(spark, sf_dir, "nation")
+    parks = nation.select(
+        F.col("n_nationkey").cast("bigint").alias("park_id"),
+        (F.lit(0.9) + (F.col("n_nationkey") % 20) / F.lit(100.0)).alias("park_factor"),
+    )
+    matchups = pitches.select(
+        "pitcher_id", "batter_id", "balls", "strikes", "batter_hand", (F.col("game_pk") % 25).alias("park_id")
+    ).distinct()
+    value = F.col("events").isNotNull().cast("int")
+    return lookups.matchup_edges(
+        matchups, lookups.pitch_mix(pitches), lookups.batter_splits(pitches, value), parks
+    )
+
+
+@query
+def pitcher_season(spark, sf_dir):
+    return marts.pitcher_season(_staged(spark, sf_dir))
+
+
+@query
+def batter_season(spark, sf_dir):
+    return marts.batter_season(_handed(spark, sf_dir))
+
+
+@query
+def canonical_pitches(spark, sf_dir):
+    staged = _staged(spark, sf_dir)
+    return marts.canonical_pitches(staged, marts.pitcher_season(staged)).select(
+        *schemas.PITCH_KEY, "pitcher_id", "season", "pitch_type", "season_velocity", "season_spin", "velocity_vs_season"
+    )
+
+
+def _labels(spark, sf_dir):
+    bronze = _bronze(spark, sf_dir)
+    hot = find_hot_groups(bronze, ["game_pk", "inning_topbot"], -F.col("at_bat_number").cast("bigint"))
+    return marts.removal_label(_staged(spark, sf_dir), hot)
+
+
+@query
+def removal_label(spark, sf_dir):
+    return _labels(spark, sf_dir)
+
+
+@query
+def calibrated_weights(spark, sf_dir):
+    rows = marts.training_rows(_canonical(spark, sf_dir), _labels(spark, sf_dir))
+    return marts.weights_table(spark, marts.fit_weights(rows, "fatigue_v1.1"))

@@ -33,3 +33,9 @@ def share(flag: Column, window) -> Column:
 def clamp01(c: Column) -> Column:
     """Clamp to [0, 1]; unlike greatest/least alone, NULL stays NULL."""
     return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)))
+
+
+def rounded(c: Column, digits: int) -> Column:
+    """Round half up on the double itself, the same on every engine; never gives -0.0."""
+    unit = F.lit(float(10**digits))
+    return F.floor(c * unit + F.lit(0.5)).cast("double") / unit

@@ -154,3 +154,83 @@ def corrections(events: DataFrame) -> DataFrame:
 def load_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     events = table(spark, sf_dir, "events")
     return bronze_pitches(events), corrections(events)
+
+
+def raw_rows(events: DataFrame) -> DataFrame:
+    """Raw text rows with the damage a scrape shows: NaN, blanks, words for numbers, mixed case.
+
+    There is no home_score column.
+    """
+    i = F.col("event_id")
+    p = _pitch_columns()
+    nowhere = F.lit(None).cast("string")
+    speed = (
+        F.when(i % 7 == 0, "NaN").when(i % 7 == 1, "").when(i % 7 == 2, "abc").when(i % 7 == 3, " 95.1 ")
+    )
+    zone = F.when(i % 5 == 0, "nan").when(i % 5 == 1, "5.9").when(i % 5 == 2, "inf").when(i % 5 == 3, "-2.7")
+    kind = F.when(i % 6 == 0, "  ").when(i % 6 == 1, "NaN").when(i % 6 == 2, "\tSL\n")
+    half = F.when(i % 8 == 0, "top").when(i % 8 == 1, "TOP 1").when(i % 8 == 2, nowhere)
+    return events.select(
+        p["event_time"].alias("event_time"),
+        p["ingest_time"].alias("ingest_time"),
+        p["game_pk"].cast("string").alias("game_pk"),
+        F.when(i % 501 != 500, p["at_bat_number"].cast("string")).alias("at_bat_number"),
+        p["pitch_number"].cast("string").alias("pitch_number"),
+        p["inning"].cast("string").alias("inning"),
+        half.otherwise("bottom").alias("inning_topbot"),
+        p["pitcher_id"].cast("string").alias("pitcher"),
+        p["batter_id"].cast("string").alias("batter"),
+        kind.otherwise(p["pitch_type"]).alias("pitch_type"),
+        speed.otherwise(p["release_speed"].cast("string")).alias("release_speed"),
+        p["release_spin_rate"].alias("release_spin_rate"),
+        p["plate_x"].alias("plate_x"),
+        p["plate_z"].alias("plate_z"),
+        zone.otherwise(p["zone"].cast("string")).alias("zone"),
+        p["balls"].alias("balls"),
+        p["strikes"].alias("strikes"),
+        p["outs_when_up"].alias("outs_when_up"),
+        p["on_1b"].cast("double").alias("on_1b"),
+        p["on_2b"].cast("double").alias("on_2b"),
+        p["on_3b"].cast("double").alias("on_3b"),
+        p["description"].alias("description"),
+        p["events"].alias("events"),
+        p["away_score"].alias("away_score"),
+    )
+
+
+def play_documents(orders: DataFrame) -> DataFrame:
+    """One play-by-play and box-score document per order, built from that order's columns."""
+    k = F.col("o_orderkey")
+
+    def event(kind: Column, incoming: Column, outgoing: Column) -> Column:
+        return F.struct(
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("startTime"),
+            F.struct(
+                kind.alias("eventType"),
+                incoming.alias("replacementPlayerId"),
+                outgoing.alias("playerId"),
+            ).alias("details"),
+        )
+
+    change = F.lit("pitching_substitution")
+    first = F.array(
+        event(F.when(F.col("o_orderstatus") == "F", change).otherwise("ball"), F.col("o_custkey"), k),
+        event(F.when(k % 3 == 0, change).otherwise("strike"), F.col("o_custkey") + 1, F.col("o_custkey")),
+    )
+    second = F.array(event(F.when(k % 5 == 0, change).otherwise("foul"), k, F.col("o_custkey")))
+    plays = F.array(
+        F.struct(
+            F.struct((k % 9 + 1).alias("inning"), F.lit("top").alias("halfInning")).alias("about"),
+            first.alias("playEvents"),
+        ),
+        F.struct(
+            F.struct((k % 9 + 1).alias("inning"), F.when(k % 2 == 0, "bottom").alias("halfInning")).alias(
+                "about"
+            ),
+            second.alias("playEvents"),
+        ),
+    )
+    home = F.when(k % 4 != 0, F.struct(F.array(k, F.col("o_custkey")).alias("battingOrder")))
+    away = F.struct(F.when(k % 7 != 0, F.array(F.col("o_custkey"), k, k + 1)).alias("battingOrder"))
+    doc = F.to_json(F.struct(plays.alias("allPlays"), home.alias("home"), away.alias("away")))
+    return orders.select(k.alias("game_pk"), doc.alias("document"))

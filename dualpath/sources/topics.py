@@ -27,16 +27,16 @@ def topic_key(entity: str) -> Column:
     return pitch_uid()
 
 
+def _wire_columns(entity: str) -> list[Column]:
+    return [
+        (to_millis(F.col(f.name)) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(f.name)
+        for f in ENTITIES[entity]
+    ]
+
+
 def to_wire(df: DataFrame, entity: str) -> DataFrame:
     """The entity's columns in order, timestamps as epoch milliseconds."""
-    return df.select(
-        *[
-            (to_millis(F.col(f.name)) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(
-                f.name
-            )
-            for f in ENTITIES[entity]
-        ]
-    )
+    return df.select(*_wire_columns(entity))
 
 
 def from_wire(df: DataFrame, entity: str) -> DataFrame:
@@ -45,27 +45,16 @@ def from_wire(df: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def _wire_struct(entity: str) -> Column:
-    return F.struct(
-        *[
-            (to_millis(F.col(f.name)) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(
-                f.name
-            )
-            for f in ENTITIES[entity]
-        ]
-    )
-
-
 def wire_value(entity: str, encoding: str = "json") -> Column:
     """json: epoch milliseconds; json_iso: ISO timestamps; avro: needs the Avro package."""
     if encoding == "json":
-        return F.to_json(_wire_struct(entity), {"ignoreNullFields": "false"})
+        return F.to_json(F.struct(*_wire_columns(entity)), {"ignoreNullFields": "false"})
     if encoding == "json_iso":
         return F.to_json(F.struct(*[f.name for f in ENTITIES[entity]]), _ISO)
     if encoding == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        return to_avro(_wire_struct(entity), avro_schema(entity))
+        return to_avro(F.struct(*_wire_columns(entity)), avro_schema(entity))
     raise ValueError(f"encoding must be json, json_iso or avro, got {encoding!r}")
 
 
