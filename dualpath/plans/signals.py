@@ -127,7 +127,7 @@ def signal_snapshots(
             ),
         )
     )
-    rounded = raw.select(
+    signals = raw.select(
         "event_time",
         "ingest_time",
         *STATE_KEY,
@@ -139,7 +139,7 @@ def signal_snapshots(
         rounded(scores.leverage_by_pitch(idx), 2).alias("leverage"),
         rounded(scores.matchup_from_fatigue(F.col("_f")), 3).alias("matchup_edge"),
     )
-    return rounded.withColumn(
+    return signals.withColumn(
         "composite",
         scores.composite_score(F.col("fatigue"), F.col("leverage"), F.col("matchup_edge"), mix),
     )
