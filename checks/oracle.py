@@ -754,3 +754,83 @@ select *, coalesce(lead(pitcher_id, 1) over w <> pitcher_id, false)
     or coalesce(lead(pitcher_id, 2) over w <> pitcher_id, false) as removed_soon
 from at_bats window w as (partition by game_pk, inning_topbot order by at_bat_number)""",
 }
+
+
+# Streams: what the sinks hold after all input.
+_COUNTED = (
+    BRONZE
+    + """,
+counted as (
+  select game_pk, pitcher_id, time_bucket(interval 1 minute, event_time) as window_start,
+    time_bucket(interval 1 minute, event_time) + interval 1 minute as window_end, count(*) as pitch_count
+  from bronze group by all
+),
+closed as (
+  select * from counted where window_end <=
+    (select date_trunc('milliseconds', max(event_time)) - interval 5 minutes from bronze)
+)"""
+)
+
+_ARRIVED = "partition by game_pk, pitcher_id order by at_bat_number, pitch_number, is_late_arrival, source_offset"
+
+
+def _arrived_last(n: int) -> str:
+    return f"{_ARRIVED} rows between {n - 1} preceding and current row"
+
+
+_THROWN = ", ".join(
+    f"count(*) filter (pitch_type = '{t}') over ({_ARRIVED}) as thrown_{t.lower()}"
+    for t in ["FF", "SL", "CH", "CU", "SI", "FC", "KC", "FT", "FS"]
+)
+
+LIVE = (
+    BOTH
+    + f""",
+paced as (
+  select *, epoch_us(event_time) - lag(epoch_us(event_time)) over ({_ARRIVED}) as pace from provisional_features
+),
+live_raw as (
+  select *, {mean("release_speed", _arrived_last(20))} as velocity_last_20_avg,
+    {mean("release_spin_rate", _arrived_last(20))} as spin_last_20_avg,
+    {mean("pace / 1000000e0", _arrived_last(10))} as pace_last_10_avg,
+    count(*) filter (zone <= 9) over ({_arrived_last(15)})
+      / cast(count(*) over ({_arrived_last(15)}) as double) as zone_last_15_share, {_THROWN}
+  from paced
+)"""
+)
+
+ORACLE |= {
+    "tumble_counts_batch": f"with {_COUNTED} select * from counted",
+    "tumble_counts_stream": f"with {_COUNTED} select * from closed",
+    "bronze_stream_append": f"""with {BRONZE}
+select * exclude (ingest_time), cast(event_time as date) as event_day from bronze""",
+    "multi_sink": f"""with {_COUNTED}
+select 'arrivals' as sink, pitcher_id, count(*) as n, max(event_time) as latest from bronze group by all
+union all select 'bronze', pitcher_id, count(*), max(event_time) from bronze group by all
+union all select 'counts', pitcher_id, cast(sum(pitch_count) as bigint), max(window_end) from closed group by all""",
+    "stream_features": f"""with {LIVE}
+select game_pk, pitcher_id, at_bat_number, pitch_number, is_late_arrival, event_time, pitch_idx, velocity_last_20_avg,
+  spin_last_20_avg, pace_last_10_avg, zone_last_15_share, columns('thrown_.*')
+from live_raw""",
+    "stream_alerts": f"with {ALERTS} select * from alerts",
+    "stream_game_state": f"with {PITCHES}, {transitions_of('pitches')} select * from states",
+    "stream_late_rows": ORACLE["late_split"].replace(
+        "from bronze", "from bronze qualify is_late"
+    ),
+    "stream_corrections": f"""with {PITCHES}, {CORRECTIONS}
+select * from corrections qualify row_number() over (partition by original_pitch_uid, field
+  order by ingest_time desc, event_time desc, new_value desc nulls last) = 1""",
+    "snapshot_query": f"""with {BRONZE},
+loads as (
+  select *, case when source_offset > (select max(event_id) // 2 from events) or is_late_arrival then 1 else 0 end as load
+  from bronze
+)
+select cast(s as integer) as snapshot_id, pitcher_id, count(*) as n, count(distinct game_pk) as games
+from loads, (values (0), (1)) v(s) where load <= s group by all""",
+    "count_where": f"""with {BRONZE}
+select 'all' as predicate, count(*) as n from bronze
+union all select 'is_duplicate', count(*) from bronze where is_duplicate
+union all select 'inning_topbot = ''Top'' AND event_day >= DATE''2024-01-10''', count(*) from bronze
+  where inning_topbot = 'Top' and cast(event_time as date) >= date '2024-01-10'""",
+    "incremental_equals_full": ORACLE["pitcher_game_window"],
+}

@@ -12,9 +12,11 @@ from dualpath import schemas
 from dualpath.functions.events import game_order_slot
 from dualpath.operators import dedup, event_time, nested, perturb, quality, transitions
 from dualpath.operators.ordered import OrderedGroups, find_hot_groups
-from dualpath.plans import features, lookups, marts, reconcile, signals, staging
-from dualpath.session import tune
+from dualpath.plans import features, incremental, lookups, marts, reconcile, signals, staging
+from dualpath.session import new_run_dir, tune
 from dualpath.sources import bindings, raw, topics
+from dualpath.sources.lake import Lake
+from dualpath.streaming import jobs, sources, state, steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -460,3 +462,147 @@ def removal_label(spark, sf_dir):
 def calibrated_weights(spark, sf_dir):
     rows = marts.training_rows(_canonical(spark, sf_dir), _labels(spark, sf_dir))
     return marts.weights_table(spark, marts.fit_weights(rows, "fatigue_v1.1"))
+
+
+@query
+def tumble_counts_batch(spark, sf_dir):
+    return jobs.windowed_counts(_bronze(spark, sf_dir))
+
+
+def _bronze_stream(spark, sf_dir):
+    return bindings.bronze_pitches(sources.read_events(spark, sf_dir))
+
+
+@query
+def tumble_counts_stream(spark, sf_dir):
+    root = new_run_dir(spark, "tumble")
+    counts = jobs.windowed_counts(_bronze_stream(spark, sf_dir))
+    jobs.append_files(counts, f"{root}/counts", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{root}/counts")
+
+
+@query
+def bronze_stream_append(spark, sf_dir):
+    root = new_run_dir(spark, "bronze")
+    stream = _bronze_stream(spark, sf_dir)
+    jobs.append_bronze(stream, f"{root}/pitches", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{root}/pitches").drop("ingestion_time")
+
+
+@query
+def multi_sink(spark, sf_dir):
+    root = new_run_dir(spark, "smoke")
+    jobs.wait_all(jobs.start_smoke_job(_bronze_stream(spark, sf_dir), root, once=True))
+    arrivals = state.read_output(spark, root, "arrivals").groupBy("pitcher_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest")
+    )
+    bronze = state.read_output(spark, root, "bronze").groupBy("pitcher_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest")
+    )
+    counted = spark.read.parquet(f"{root}/counts").groupBy("pitcher_id").agg(
+        F.sum("pitch_count").alias("n"), F.max("window_end").alias("latest")
+    )
+    return (
+        arrivals.withColumn("sink", F.lit("arrivals"))
+        .unionByName(bronze.withColumn("sink", F.lit("bronze")))
+        .unionByName(counted.withColumn("sink", F.lit("counts")))
+    )
+
+
+def _live(spark, sf_dir):
+    root = new_run_dir(spark, "live")
+    stream = _bronze_stream(spark, sf_dir)
+    state.run_stateful(stream, steps.live_step(), steps.LIVE_STATE, root, once=True).awaitTermination()
+    return root
+
+
+@query
+def stream_features(spark, sf_dir):
+    return state.read_output(spark, _live(spark, sf_dir), "features")
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    return state.read_output(spark, _live(spark, sf_dir), "alerts")
+
+
+@query
+def stream_game_state(spark, sf_dir):
+    root = new_run_dir(spark, "states")
+    stream = bindings.clean_pitches(sources.read_events(spark, sf_dir))
+    step = steps.game_state_step(F.col("ingest_time"))
+    state.run_stateful(stream, step, steps.GAME_LAST, root, once=True).awaitTermination()
+    return state.read_output(spark, root, "game_state")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    root = new_run_dir(spark, "late")
+    stream = _bronze_stream(spark, sf_dir)
+    state.run_stateful(stream, steps.late_step(), steps.LATEST_CLOCK, root, once=True).awaitTermination()
+    return state.read_output(spark, root, "late")
+
+
+@query
+def stream_corrections(spark, sf_dir):
+    root = new_run_dir(spark, "cdc")
+    stream = bindings.corrections(sources.read_events(spark, sf_dir))
+    state.run_stateful(stream, steps.change_step, None, root, once=True).awaitTermination()
+    return steps.current_corrections(state.read_output(spark, root, "changes"))
+
+
+def _lake(spark, name):
+    root = new_run_dir(spark, name)
+    lake = Lake(spark, root, suffix="_" + root.rsplit("-", 1)[1])
+    lake.create_namespaces()
+    return lake
+
+
+def _two_loads(spark, sf_dir, lake):
+    """Commit the events in two loads; the second also brings late copies of the first."""
+    bronze, fixes = bindings.load_bronze(spark, sf_dir)
+    lake.ensure_snapshot_table("bronze.pitches", bronze.schema)
+    lake.ensure_snapshot_table("bronze.corrections", fixes.schema)
+    middle = _events(spark, sf_dir).agg(F.floor(F.max("event_id") / 2).alias("m")).first()["m"]
+    second = (F.col("source_offset") > middle) | F.col("is_late_arrival")
+    lake.commit(bronze.where(~second), "bronze.pitches", 0)
+    lake.commit(fixes.where(F.col("old_value").isNotNull()), "bronze.corrections", 0)
+    yield
+    lake.commit(bronze.where(second), "bronze.pitches", 1)
+    lake.commit(fixes.where(F.col("old_value").isNull()), "bronze.corrections", 1)
+    yield
+
+
+@query
+def snapshot_query(spark, sf_dir):
+    lake = _lake(spark, "snapshots")
+    list(_two_loads(spark, sf_dir, lake))
+    text = "SELECT pitcher_id, count(*) AS n, count(DISTINCT game_pk) AS games FROM bronze_pitches GROUP BY 1"
+    before = lake.query_snapshot(text, "bronze.pitches", 0, "bronze_pitches").withColumn("snapshot_id", F.lit(0))
+    after = lake.query(text, {"bronze_pitches": "bronze.pitches"}).withColumn("snapshot_id", F.lit(1))
+    return before.unionByName(after)
+
+
+@query
+def count_where(spark, sf_dir):
+    lake = _lake(spark, "counts")
+    list(_two_loads(spark, sf_dir, lake))
+    wheres = [None, "is_duplicate", "inning_topbot = 'Top' AND event_day >= DATE'2024-01-10'"]
+    rows = [(w or "all", lake.count_rows("bronze.pitches", w)) for w in wheres]
+    return spark.createDataFrame(rows, "predicate string, n bigint")
+
+
+@query
+def incremental_equals_full(spark, sf_dir):
+    lake = _lake(spark, "incremental")
+    incremental.ensure_window_table(lake, "silver.pitcher_game_window")
+    for done, _ in enumerate(_two_loads(spark, sf_dir, lake)):
+        incremental.refresh(
+            lake,
+            "bronze.pitches",
+            "bronze.corrections",
+            "silver.pitcher_game_window",
+            after=done - 1 if done else None,
+            games_per_part=3,
+        )
+    return lake.read_plain("silver.pitcher_game_window").drop("game_part")

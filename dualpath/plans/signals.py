@@ -106,42 +106,52 @@ def provisional_features(
     )
 
 
-def signal_snapshots(
-    features: DataFrame, weights: Weights = Weights(), mix: Composite = Composite(), warm_up: int = WARM_UP
+SIGNAL_COLUMNS = [
+    "fatigue",
+    "fatigue_velocity_component",
+    "fatigue_spin_component",
+    "fatigue_command_component",
+    "leverage",
+    "matchup_edge",
+    "composite",
+]
+
+
+def with_signals(
+    features: DataFrame, weights: Weights = Weights(), mix: Composite = Composite()
 ) -> DataFrame:
-    """Fatigue with its components, leverage, matchup edge and their composite, from the warm-up on."""
+    """Add fatigue with its components, leverage, matchup edge and their composite."""
     idx = F.col("pitch_idx")
-    raw = (
-        features.where(idx >= warm_up)
-        .withColumns(
-            {
-                "_v": scores.velocity_component(F.col("velocity_mean"), F.col("velocity_baseline")),
-                "_s": scores.spin_component(F.col("spin_mean"), F.col("spin_baseline")),
-                "_c": scores.command_component(F.col("zone_share")),
-            }
-        )
-        .withColumn(
-            "_f",
-            scores.fatigue_score(
-                F.col("_v"), F.col("_s"), F.col("_c"), scores.pitch_count_component(idx), weights
-            ),
-        )
-    )
-    signals = raw.select(
-        "event_time",
-        "ingest_time",
-        *STATE_KEY,
-        "pitch_idx",
-        rounded(F.col("_f"), 3).alias("fatigue"),
-        rounded(F.col("_v"), 3).alias("fatigue_velocity_component"),
-        rounded(F.col("_s"), 3).alias("fatigue_spin_component"),
-        rounded(F.col("_c"), 3).alias("fatigue_command_component"),
-        rounded(scores.leverage_by_pitch(idx), 2).alias("leverage"),
-        rounded(scores.matchup_from_fatigue(F.col("_f")), 3).alias("matchup_edge"),
+    velocity = scores.velocity_component(F.col("velocity_mean"), F.col("velocity_baseline"))
+    spin = scores.spin_component(F.col("spin_mean"), F.col("spin_baseline"))
+    raw = features.withColumns(
+        {"_fv": velocity, "_fs": spin, "_fc": scores.command_component(F.col("zone_share"))}
+    ).withColumn(
+        "_f",
+        scores.fatigue_score(
+            F.col("_fv"), F.col("_fs"), F.col("_fc"), scores.pitch_count_component(idx), weights
+        ),
     )
-    return signals.withColumn(
-        "composite",
-        scores.composite_score(F.col("fatigue"), F.col("leverage"), F.col("matchup_edge"), mix),
+    signals = raw.withColumns(
+        {
+            "fatigue": rounded(F.col("_f"), 3),
+            "fatigue_velocity_component": rounded(F.col("_fv"), 3),
+            "fatigue_spin_component": rounded(F.col("_fs"), 3),
+            "fatigue_command_component": rounded(F.col("_fc"), 3),
+            "leverage": rounded(scores.leverage_by_pitch(idx), 2),
+            "matchup_edge": rounded(scores.matchup_from_fatigue(F.col("_f")), 3),
+        }
+    ).drop("_f", "_fv", "_fs", "_fc")
+    composite = scores.composite_score(F.col("fatigue"), F.col("leverage"), F.col("matchup_edge"), mix)
+    return signals.withColumn("composite", composite)
+
+
+def signal_snapshots(
+    features: DataFrame, weights: Weights = Weights(), mix: Composite = Composite(), warm_up: int = WARM_UP
+) -> DataFrame:
+    """Signals of each pitch from the warm-up on."""
+    return with_signals(features.where(F.col("pitch_idx") >= warm_up), weights, mix).select(
+        "event_time", "ingest_time", *STATE_KEY, "pitch_idx", *SIGNAL_COLUMNS
     )
 
 
@@ -215,15 +225,20 @@ def orchestrate(
     rows = pitcher_groups(hot).frames(
         rows, 1, lambda w: {"_before": F.coalesce(F.lag("_rank").over(w), F.lit(0))}
     )
-    uid = F.concat_ws("-", *[F.col(c).cast("string") for c in STATE_KEY], "severity")
-    alerts = rows.where(F.col("_rank") > F.col("_before")).withColumns(
+    return alert_rows(rows.where(F.col("_rank") > F.col("_before")), weights)
+
+
+def alert_rows(rows: DataFrame, weights: Weights) -> DataFrame:
+    """Alert columns for rows that carry a score, its severity and the signals behind it."""
+    keys = [F.col(c).cast("string") for c in STATE_KEY]
+    alerts = rows.withColumns(
         {
             "emitted_time": F.col("ingest_time"),
-            "alert_uid": uid,
+            "alert_uid": F.concat_ws("-", *keys, "severity"),
             "signal_type": F.lit("composite"),
             "score_threshold": scores.band_floor(F.col("severity")),
             "rationale": F.concat(F.lit("composite reached "), F.col("severity")),
-            "inputs_snapshot_uid": F.concat_ws(":", F.lit("snap"), *[F.col(c).cast("string") for c in STATE_KEY]),
+            "inputs_snapshot_uid": F.concat_ws(":", F.lit("snap"), *keys),
             "model_version": F.lit(weights.model_version),
         }
     )
