@@ -5,6 +5,9 @@ that, and their rows are cut into segments along their order. Row frames then se
 their segment as extra "halo" rows; running values add what earlier segments carried. Both side
 tables hold a few rows per segment, and the number of segments is bounded by construction, so they
 can be broadcast. With no hot key the plan is the plain window.
+
+Such a step reads its rows twice. They are written to the shared folder once before it, so a chain
+of steps does not double its lineage each time and a lost executor costs only the current step.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dualpath.functions.numbers import MICRO, micros
+from dualpath.session import new_run_dir
 
 MAX_HOT_KEYS = 4096
 CUT_RESOLUTION = 4096
@@ -86,6 +90,13 @@ def find_hot_groups(
     return HotGroups(tuple(keys), slot, spark.createDataFrame(rows, schema))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder."""
+    path = new_run_dir(df.sparkSession, "segments")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join a side table that MAX_HOT_KEYS bounds."""
     return df.join(F.broadcast(side), list(keys), how)
@@ -154,7 +165,7 @@ class OrderedGroups:
         """Add columns whose row frames reach at most `back` rows back and none ahead."""
         if self.hot is None:
             return df.withColumns(build(self._window()))
-        cut = _with_segment(df, self.hot)
+        cut = _written(_with_segment(df, self.hot))
         halo = _halo_rows(cut, self.hot, self.order, back)
         rows = cut.withColumn(_HALO, F.lit(False)).unionByName(halo)
         return rows.withColumns(build(self._window(_SEG))).where(~F.col(_HALO)).drop(_HALO, _SEG)
@@ -168,7 +179,7 @@ class OrderedGroups:
             w = self._window().rowsBetween(Window.unboundedPreceding, 0)
             return df.withColumns({n: _running(kind, c, w) for n, (kind, c) in measures.items()})
 
-        cut = _with_segment(df, self.hot)
+        cut = _written(_with_segment(df, self.hot))
         w = self._window(_SEG).rowsBetween(Window.unboundedPreceding, 0)
         local = cut.withColumns({n: _running(kind, c, w) for n, (kind, c) in measures.items()})
 
@@ -198,6 +209,7 @@ class OrderedGroups:
             return df.withColumns(
                 {n: F.sum(c).over(w) / (F.count(c).over(w) * unit) for n, c in picked.items()}
             )
+        df = _written(df)
         side = (
             df.where(flag)
             .groupBy(*self.keys)
