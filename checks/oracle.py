@@ -620,6 +620,7 @@ valued as (
 select *, case when delta >= 0 then 'positive' else 'negative' end as delta_class,
   printf('%+.3f', delta) as delta_text, printf('%+.3f', streaming_value) as streaming_text from valued""",
     "alert_reconciliation": f"with {RECONCILED} select * from reconciled",
+    "stored_alert_reconciliation": f"with {RECONCILED} select * from reconciled",
     "outcome_distribution": f"""with {RECONCILED}
 select outcome, count(*) as n, count(*) filter (severity = 'action') as n_action from reconciled group by 1""",
     "correction_rate": f"""with {RECONCILED}

@@ -253,16 +253,19 @@ def quality_report(spark, sf_dir):
     }
     bronze = _bronze(spark, sf_dir)
     return quality.report(
-        quality.not_null(bronze, schemas.required_fields(schemas.PITCH), "pitches"),
-        quality.not_null(bronze, ["pitch_type", "release_speed", "on_1b"], "pitches"),
-        quality.not_null(t["lineitem"], ["l_orderkey", "l_linenumber", "l_shipdate"], "lineitem"),
+        quality.column_checks(
+            bronze,
+            "pitches",
+            [*schemas.required_fields(schemas.PITCH), "pitch_type", "release_speed", "on_1b"],
+            {"inning_topbot": schemas.ALLOWED_VALUES["inning_topbot"]},
+        ),
+        quality.column_checks(t["lineitem"], "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
+        quality.column_checks(t["events"], "events", allowed={"event_type": ["view", "click"]}),
+        quality.column_checks(t["orders"], "orders", allowed={"o_orderstatus": ["F", "O", "P"]}),
         quality.unique(bronze, schemas.PITCH_KEY, "pitches"),
         quality.unique(t["lineitem"], ["l_orderkey", "l_linenumber"], "lineitem"),
         quality.unique(t["orders"], ["o_orderkey"], "orders"),
         quality.unique(t["documents"], ["doc_id"], "documents"),
-        quality.allowed(bronze, "inning_topbot", schemas.ALLOWED_VALUES["inning_topbot"], "pitches"),
-        quality.allowed(t["events"], "event_type", ["view", "click"], "events"),
-        quality.allowed(t["orders"], "o_orderstatus", ["F", "O", "P"], "orders"),
         quality.references(t["lineitem"], "l_orderkey", t["orders"], "o_orderkey", "lineitem.l_orderkey"),
         quality.references(t["orders"], "o_custkey", t["customer"], "c_custkey", "orders.o_custkey"),
         quality.references(t["lineitem"], "l_suppkey", t["supplier"], "s_suppkey", "lineitem.l_suppkey"),
@@ -344,9 +347,16 @@ def alert_values(spark, sf_dir):
 
 
 def _reconciled(spark, sf_dir):
-    return reconcile.alert_reconciliation(
-        _alerts(spark, sf_dir), _provisional(spark, sf_dir), _canonical(spark, sf_dir)
-    )
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    said = reconcile.said_in_one_pass(_provisional(spark, sf_dir), hot)
+    return reconcile.alert_reconciliation(said, _canonical(spark, sf_dir), hot)
+
+
+@query
+def stored_alert_reconciliation(spark, sf_dir):
+    said = reconcile.said_by(_alerts(spark, sf_dir), _provisional(spark, sf_dir))
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    return reconcile.alert_reconciliation(said, _canonical(spark, sf_dir), hot)
 
 
 @query

@@ -14,7 +14,7 @@ def half_inning(c: Column) -> Column:
 
 def lenient_double(c: Column) -> Column:
     """NULL for unreadable text and NaN."""
-    return F.nullif(c.try_cast("double"), F.lit(float("nan")))
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def lenient_int(c: Column) -> Column:

@@ -217,6 +217,15 @@ class OrderedGroups:
         )
         return df.join(side, list(self.keys), "left")
 
+    def maxima_of(self, df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+        """Add, to every row of a key, maxima over all its rows."""
+        if self.hot is None:
+            w = Window.partitionBy(*self.keys)
+            return df.withColumns({n: F.max(c).over(w) for n, c in measures.items()})
+        df = _written(df)
+        side = df.groupBy(*self.keys).agg(*[F.max(c).alias(n) for n, c in measures.items()])
+        return df.join(side, list(self.keys), "left")
+
 
 def _running(kind: str, c: Column | None, w: WindowSpec) -> Column:
     if kind == "count":

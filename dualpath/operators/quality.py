@@ -20,15 +20,26 @@ def _result(df: DataFrame, check: str, subject: str) -> DataFrame:
     )
 
 
-def not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
-    """NULL count of each column, all in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+def column_checks(
+    df: DataFrame, table: str, not_null: Sequence[str] = (), allowed: dict[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """NULL counts and values outside closed vocabularies, all in one pass over the table."""
+    checks = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null]
+    checks += [
+        ("allowed_values", c, F.count_if(~F.col(c).isin(*values))) for c, values in (allowed or {}).items()
+    ]
+    counts = df.agg(*[violations.alias(f"_{i}") for i, (_, _, violations) in enumerate(checks)])
     named = F.array(
-        *[F.struct(F.lit(f"{table}.{c}").alias("subject"), F.col(c).alias("violations")) for c in columns]
-    )
-    return counts.select(F.explode(named).alias("r")).select(
-        F.lit("not_null").alias("check_name"), "r.subject", "r.violations"
+        *[
+            F.struct(
+                F.lit(check).alias("check_name"),
+                F.lit(f"{table}.{c}").alias("subject"),
+                F.col(f"_{i}").alias("violations"),
+            )
+            for i, (check, c, _) in enumerate(checks)
+        ]
     )
+    return counts.select(F.explode(named).alias("r")).select("r.*")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -41,11 +52,6 @@ def unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
     return _result(found, "unique", f"{table}({','.join(keys)})")
 
 
-def allowed(df: DataFrame, column: str, values: Sequence[str], table: str) -> DataFrame:
-    found = df.agg(F.count_if(~F.col(column).isin(*values)).alias("violations"))
-    return _result(found, "allowed_values", f"{table}.{column}")
-
-
 def references(child: DataFrame, column: str, parent: DataFrame, key: str, subject: str) -> DataFrame:
     """Child rows whose value no parent holds. Values are counted before the join, so none is hot."""
     held = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))

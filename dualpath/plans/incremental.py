@@ -87,4 +87,4 @@ def _windows(pitches: DataFrame, fixes: DataFrame) -> DataFrame:
 
 
 def _write(lake: Lake, target: str, rows: DataFrame) -> None:
-    lake.overwrite_partitions(rows, target)
+    lake.overwrite_partitions(rows, target, "game_part")

@@ -6,7 +6,7 @@ measured size allows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dualpath.functions.numbers import rounded
@@ -80,8 +80,8 @@ def pitch_mix(pitches: DataFrame) -> DataFrame:
         .groupBy(*situation, "pitch_type")
         .agg(F.count(F.lit(1)).alias("thrown"))
     )
-    totals = thrown.groupBy(*situation).agg(F.sum("thrown").alias("total"))
-    return thrown.join(totals, situation)
+    # A situation has one row per pitch type by now, so its window is small.
+    return thrown.withColumn("total", F.sum("thrown").over(Window.partitionBy(*situation)))
 
 
 def batter_splits(pitches: DataFrame, value: Column) -> DataFrame:

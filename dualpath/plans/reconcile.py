@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from dualpath.functions import scores
 from dualpath.functions.events import class_label, pitcher_order_slot
-from dualpath.plans.signals import STATE_KEY
+from dualpath.operators.ordered import HotGroups
+from dualpath.plans.features import pitcher_groups
+from dualpath.plans.signals import STATE_KEY, alert_uid, with_rises
 from dualpath.schemas import PITCHER_GAME_KEY
 
 # The signals compared.
@@ -60,49 +62,53 @@ def alert_values(alerts: DataFrame, canonical: DataFrame) -> DataFrame:
     )
 
 
-def _rank(score: Column) -> Column:
-    return scores.severity_rank(scores.severity(score))
+def _near(composite: Column, margin: float) -> Column:
+    floor = scores.BANDS["info"]
+    return (composite < floor) & (composite >= floor - margin)
 
 
-def last_reached(canonical: DataFrame) -> DataFrame:
-    """Per (game, pitcher), the last position where the batch stood at each severity or above."""
-    position = pitcher_order_slot()
-    return canonical.groupBy(*PITCHER_GAME_KEY).agg(
-        *[
-            F.max(F.when(F.col("composite") >= floor, position)).alias(f"last_{name}")
-            for name, floor in scores.BANDS.items()
-        ]
+def said_by(alerts: DataFrame, streaming: DataFrame, margin: float = NEAR_MARGIN) -> DataFrame:
+    """Stored alerts, and near misses: states less than `margin` under the lowest band."""
+    fired = alerts.select(
+        *STATE_KEY, "alert_uid", "severity", F.col("score").alias("streaming_score"), F.lit(False).alias("near")
+    )
+    held = streaming.where(_near(F.col("composite"), margin)).select(
+        *STATE_KEY, F.col("composite").alias("streaming_score"), F.lit(True).alias("near")
+    )
+    return fired.unionByName(held, allowMissingColumns=True)
+
+
+def said_in_one_pass(
+    streaming: DataFrame, hot: HotGroups | None = None, margin: float = NEAR_MARGIN
+) -> DataFrame:
+    """The same straight from the snapshots, without computing them once for alerts and once more."""
+    near = _near(F.col("composite"), margin)
+    rows = with_rises(streaming.withColumn("score", F.col("composite")), hot)
+    fired = F.col("rises")
+    return rows.where(fired | near).select(
+        *STATE_KEY,
+        F.when(fired, alert_uid()).alias("alert_uid"),
+        F.when(fired, F.col("severity")).alias("severity"),
+        F.col("score").alias("streaming_score"),
+        (~fired).alias("near"),
     )
 
 
 def alert_reconciliation(
-    alerts: DataFrame, streaming: DataFrame, canonical: DataFrame, margin: float = NEAR_MARGIN
+    said: DataFrame, canonical: DataFrame, hot: HotGroups | None = None
 ) -> DataFrame:
     """One row per streaming alert, and one per near miss the batch would have raised.
 
-    A near miss is a state whose streaming composite stayed less than `margin` under the lowest band.
+    Each side is computed once; how far the batch ever got is a group value on its own rows.
     """
-    floor = scores.BANDS["info"]
-    near = streaming.where((F.col("composite") < floor) & (F.col("composite") >= floor - margin))
-    fired = alerts.select(
-        *STATE_KEY, "alert_uid", "severity", F.col("score").alias("streaming_score"), F.lit(False).alias("near")
-    )
-    held = near.select(
-        *STATE_KEY,
-        F.lit(None).cast("string").alias("alert_uid"),
-        F.lit(None).cast("string").alias("severity"),
-        F.col("composite").alias("streaming_score"),
-        F.lit(True).alias("near"),
-    )
-    batch = canonical.select(*STATE_KEY, F.col("composite").alias("canonical_score"))
-    joined = (
-        fired.unionByName(held)
-        .join(batch, STATE_KEY, "full_outer")
-        .where(F.col("near").isNotNull())
-        .join(last_reached(canonical), PITCHER_GAME_KEY, "left")
+    position = pitcher_order_slot()
+    reached = pitcher_groups(hot).maxima_of(
+        canonical.select(*STATE_KEY, "composite"),
+        {f"last_{n}": F.when(F.col("composite") >= floor, position) for n, floor in scores.BANDS.items()},
     )
-    said = scores.severity_rank(F.col("severity"))
-    meant = _rank(F.coalesce("canonical_score", F.lit(0.0)))
+    joined = said.join(reached.withColumnRenamed("composite", "canonical_score"), STATE_KEY, "left")
+    rank = scores.severity_rank(F.col("severity"))
+    meant = scores.severity_rank(scores.severity(F.coalesce("canonical_score", F.lit(0.0))))
     later = (
         F.when(F.col("severity") == "action", F.col("last_action"))
         .when(F.col("severity") == "warning", F.col("last_warning"))
@@ -110,9 +116,9 @@ def alert_reconciliation(
     )
     outcome = (
         F.when(F.col("near"), F.when(meant > 0, "suppressed_but_warranted"))
-        .when(meant == said, "confirmed")
-        .when(meant > said, "escalated")
-        .when(later > pitcher_order_slot(), "confirmed_late")
+        .when(meant == rank, "confirmed")
+        .when(meant > rank, "escalated")
+        .when(later > position, "confirmed_late")
         .when(meant > 0, "softened")
         .otherwise("reversed")
     )

@@ -10,7 +10,7 @@ from dualpath.functions.numbers import MICRO, frame_mean, micros, rounded, share
 from dualpath.functions.scores import Composite, Weights
 from dualpath.operators.ordered import HotGroups
 from dualpath.plans.features import BASELINE_PITCHES, pitcher_groups
-from dualpath.plans.staging import drop_flagged
+from dualpath.plans.staging import arrivals_by_game
 from dualpath.schemas import ALERT, PITCHER_GAME_KEY
 
 # The trailing window and the pitch from which signals are emitted.
@@ -78,7 +78,7 @@ def provisional_features(
     """The same as a stream computes it on arrival: late copies count, nothing is corrected, and the
     baseline knows only the pitches so far. One row per on-time pitch."""
     groups = pitcher_groups(hot, F.asc_nulls_last("is_late_arrival"), F.asc_nulls_last("source_offset"))
-    rows = drop_flagged(bronze).select(*_READ, "is_late_arrival", "source_offset")
+    rows = arrivals_by_game(bronze).select(*_READ, "is_late_arrival", "source_offset")
     rows = groups.running(rows, {"pitch_idx": ("count", None)})
     rows = groups.frames(rows, width - 1, lambda w: _trailing(w, width))
     early = F.col("pitch_idx") <= BASELINE_PITCHES
@@ -220,12 +220,24 @@ def orchestrate(
 ) -> DataFrame:
     """An alert wherever the composite rises into a higher band, with its model version."""
     score = scores.composite_score(F.col("fatigue"), F.col("leverage"), F.col("matchup_edge"), mix)
-    rows = aligned.withColumn("score", score).withColumn("severity", scores.severity(F.col("score")))
+    rows = with_rises(aligned.withColumn("score", score), hot)
+    return alert_rows(rows.where(F.col("rises")), weights)
+
+
+def with_rises(scored: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+    """Add the severity of the score and whether it rose above the pitcher's previous state."""
+    rows = scored.withColumn("severity", scores.severity(F.col("score")))
     rows = rows.withColumn("_rank", scores.severity_rank(F.col("severity")))
-    rows = pitcher_groups(hot).frames(
-        rows, 1, lambda w: {"_before": F.coalesce(F.lag("_rank").over(w), F.lit(0))}
+    return (
+        pitcher_groups(hot)
+        .frames(rows, 1, lambda w: {"_before": F.coalesce(F.lag("_rank").over(w), F.lit(0))})
+        .withColumn("rises", F.col("_rank") > F.col("_before"))
+        .drop("_rank", "_before")
     )
-    return alert_rows(rows.where(F.col("_rank") > F.col("_before")), weights)
+
+
+def alert_uid() -> Column:
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in STATE_KEY], "severity")
 
 
 def alert_rows(rows: DataFrame, weights: Weights) -> DataFrame:
@@ -234,7 +246,7 @@ def alert_rows(rows: DataFrame, weights: Weights) -> DataFrame:
     alerts = rows.withColumns(
         {
             "emitted_time": F.col("ingest_time"),
-            "alert_uid": F.concat_ws("-", *keys, "severity"),
+            "alert_uid": alert_uid(),
             "signal_type": F.lit("composite"),
             "score_threshold": scores.band_floor(F.col("severity")),
             "rationale": F.concat(F.lit("composite reached "), F.col("severity")),

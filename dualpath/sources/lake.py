@@ -108,17 +108,20 @@ class Lake:
             last = self.current_snapshot(identifier)
             snapshot = 0 if last is None else last + 1
         rows = df.withColumns({SNAPSHOT: F.lit(snapshot).cast("bigint"), "event_day": F.to_date("event_time")})
-        self.overwrite_partitions(rows, identifier)
+        self.overwrite_partitions(rows, identifier, "event_day")
         entry = self.spark.range(1).select(
             F.lit(snapshot).cast("bigint").alias(SNAPSHOT), F.current_timestamp().alias("committed_at")
         )
         entry.write.insertInto(self._log(identifier))
         return snapshot
 
-    def overwrite_partitions(self, df: DataFrame, identifier: str) -> None:
+    def overwrite_partitions(self, df: DataFrame, identifier: str, partition: str | None = None) -> None:
         """Replace exactly the partitions the rows belong to."""
         name = self._name(identifier)
         ordered = df.select(*self.spark.table(name).columns)
+        if partition:
+            # Few files per partition; a partition too big for one task is split again.
+            ordered = ordered.hint("rebalance", partition)
         before = self.spark.conf.get(OVERWRITE_MODE)
         self.spark.conf.set(OVERWRITE_MODE, "dynamic")
         try:

@@ -204,9 +204,8 @@ def test_bronze_schema_drops_wire_time_and_adds_audit():
 def test_quality_checks(spark):
     df = frame(spark, [pitch(), pitch(), pitch(pitch_number=2, inning_topbot="Mid", zone=None)])
     found = quality.report(
-        quality.not_null(df, ["zone", "game_pk"], "p"),
+        quality.column_checks(df, "p", ["zone", "game_pk"], {"inning_topbot": ["Top", "Bot"]}),
         quality.unique(df, schemas.PITCH_KEY, "p"),
-        quality.allowed(df, "inning_topbot", ["Top", "Bot"], "p"),
         quality.references(df, "pitch_number", df.where("pitch_number = 1"), "pitch_number", "p.pitch_number"),
     )
     assert [r["violations"] for r in found.collect()] == [1, 0, 1, 1, 1]

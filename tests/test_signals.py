@@ -107,9 +107,8 @@ def test_outcome_classes(spark):
         alert(4, "info", 0.45),
         alert(5, "action", 0.75),
     ]
-    got = reconcile.alert_reconciliation(
-        spark.createDataFrame(alerts, ALERT), states(spark, streaming), states(spark, canonical)
-    ).collect()
+    said = reconcile.said_by(spark.createDataFrame(alerts, ALERT), states(spark, streaming))
+    got = reconcile.alert_reconciliation(said, states(spark, canonical)).collect()
     outcome = {r["at_bat_number"]: r["outcome"] for r in got}
     assert outcome == {
         0: "confirmed",
