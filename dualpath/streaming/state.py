@@ -1,16 +1,22 @@
-"""State carried between micro-batches as a table, so each step is an ordinary batch plan.
+"""State carried between micro-batches as tables, so each step is an ordinary batch plan.
 
 A step sees the batch and the state the previous batch left, and returns its outputs and the next
-state. Hot keys inside a batch are cut as in batch plans. Two state folders alternate: a batch that
-is run again after a crash still finds the state it started from, and every write replaces the
-folder of its own batch, so nothing is lost or repeated. State size is rows per active key.
+state. Hot keys inside a batch are cut as in batch plans. Two folders of active state alternate: a
+batch that is run again after a crash still finds the state it started from, and every write
+replaces the folder of its own batch, so nothing is lost or repeated.
+
+Keys not heard of for a while leave the active state for an archive laid out by runs of game ids.
+A batch looks up there only the keys it holds and the active state does not, so each batch costs
+what is active, and a key that returns after any time goes on where it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,10 +24,59 @@ from pyspark.sql.streaming import StreamingQuery
 Step = Callable[[DataFrame, DataFrame | None], tuple[dict[str, DataFrame], DataFrame | None, list[DataFrame]]]
 
 
+@dataclass(frozen=True)
+class Carried:
+    """What a step carries: rows with event_time and game_pk among their columns, per key."""
+
+    schema: T.StructType
+    keys: tuple[str, ...]
+    keep_seconds: int = 86_400
+    games_per_part: int = 1000
+
+    def part(self) -> Column:
+        return F.floor(F.col("game_pk") / self.games_per_part).cast("bigint").alias("part")
+
+    def load(self, batch: DataFrame, batch_id: int, root: str) -> DataFrame:
+        """Active state, and the archived state of the batch's other keys."""
+        spark = batch.sparkSession
+        if batch_id == 0:
+            return spark.createDataFrame([], self.schema)
+        active = spark.read.schema(self.schema).parquet(f"{root}/state/slot={(batch_id - 1) % 2}")
+        filed = T.StructType(
+            [*self.schema, T.StructField("batch_id", T.LongType()), T.StructField("part", T.LongType())]
+        )
+        wanted = batch.select(*self.keys, self.part()).distinct()
+        newest = F.max("batch_id").over(Window.partitionBy(*self.keys))
+        restored = (
+            spark.read.schema(filed)
+            .parquet(f"{root}/archive")
+            .where(F.col("batch_id") < batch_id)
+            .join(wanted, [*self.keys, "part"], "left_semi")
+            .join(active.select(*self.keys).distinct(), list(self.keys), "left_anti")
+            .withColumn("_newest", newest)
+            .where(F.col("batch_id") == F.col("_newest"))
+        )
+        return active.unionByName(restored.select(*self.schema.fieldNames()))
+
+    def store(self, after: DataFrame, batch: DataFrame, batch_id: int, root: str) -> None:
+        clock = batch.agg(F.max(F.unix_micros("event_time")).alias("m")).first()["m"] or 0
+        seen = F.max(F.unix_micros("event_time")).over(Window.partitionBy(*self.keys))
+        rows = (
+            after.select(*self.schema.fieldNames())
+            .withColumn("_idle", seen < F.lit(clock - self.keep_seconds * 1_000_000))
+            .persist()
+        )
+        active = rows.where(~F.col("_idle")).drop("_idle")
+        active.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
+        idle = rows.where("_idle").drop("_idle").withColumn("part", self.part())
+        idle.write.mode("overwrite").partitionBy("part").parquet(f"{root}/archive/batch_id={batch_id}")
+        rows.unpersist()
+
+
 def run_stateful(
     stream: DataFrame,
     step: Step,
-    state_schema: T.StructType | None,
+    carried: Carried | None,
     root: str,
     once: bool = False,
     interval: str = "30 seconds",
@@ -29,18 +84,11 @@ def run_stateful(
     """Start the query; outputs land in root/<name>/batch_id=<n>."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = None
-        if state_schema is not None:
-            if batch_id == 0:
-                state = spark.createDataFrame([], state_schema)
-            else:
-                state = spark.read.schema(state_schema).parquet(f"{root}/state/slot={(batch_id - 1) % 2}")
         batch.persist()
+        state = carried.load(batch, batch_id, root) if carried else None
         outputs, after, held = step(batch, state)
-        if after is not None:
-            after = after.select(*state_schema.fieldNames())
-            after.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
+        if carried:
+            carried.store(after, batch, batch_id, root)
         for name, rows in outputs.items():
             rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
         for frame in [*held, batch]:

@@ -18,6 +18,7 @@ from dualpath.operators.transitions import STATE, transition_rows
 from dualpath.plans.marts import USAGE_TYPES
 from dualpath.plans.signals import STATE_KEY, TRAILING_WIDTH, WARM_UP, alert_rows, in_zone, with_signals
 from dualpath.schemas import GAME_STATE, PITCH, PITCHER_GAME_KEY
+from dualpath.streaming.state import Carried
 
 # Rows of history a live feature may look back on.
 TAIL = 20
@@ -37,7 +38,7 @@ LIVE_FEATURES = [
 ]
 
 _types = {f.name: f.dataType for f in PITCH} | {"source_offset": T.LongType()}
-LIVE_STATE = T.StructType(
+_LIVE = T.StructType(
     [
         T.StructField(c, _types[c])
         for c in [
@@ -55,6 +56,7 @@ LIVE_STATE = T.StructType(
     + [T.StructField(c, T.LongType()) for c in _COUNTERS]
     + [T.StructField("_rank", T.IntegerType())]
 )
+LIVE_STATE = Carried(_LIVE, tuple(PITCHER_GAME_KEY))
 
 
 def _joined(batch: DataFrame, state: DataFrame) -> DataFrame:
@@ -68,7 +70,7 @@ def live_step(weights: Weights = Weights(), mix: Composite = Composite()):
     """Features, signals and alerts of each arriving pitch from the key's last rows and counters."""
 
     def step(batch: DataFrame, state: DataFrame):
-        names = [f.name for f in LIVE_STATE if f.name in batch.columns]
+        names = [f.name for f in _LIVE if f.name in batch.columns]
         fresh = batch.where(~F.col("is_duplicate")).select(*names)
         slot = F.when(F.col("_old"), F.lit(-1)).otherwise(pitcher_order_slot())
         hot = find_hot_groups(fresh.withColumn("_old", F.lit(False)), PITCHER_GAME_KEY, slot)
@@ -171,8 +173,8 @@ def _ratio(total: Column, n: Column, unit: Column) -> Column:
     return F.when(n > 0, total / (n * unit))
 
 
-_GAME_ROW = ["game_pk", "at_bat_number", "pitch_number", *STATE]
-GAME_LAST = T.StructType([T.StructField(c, _types[c]) for c in _GAME_ROW])
+_GAME_ROW = ["game_pk", "event_time", "at_bat_number", "pitch_number", *STATE]
+GAME_LAST = Carried(T.StructType([T.StructField(c, _types[c]) for c in _GAME_ROW]), ("game_pk",))
 
 
 def game_state_step(ingest_time: Column | None = None):
@@ -201,8 +203,9 @@ def game_state_step(ingest_time: Column | None = None):
 
 
 _POSITION = ["kafka_partition", "source_offset", "is_late_arrival", "is_duplicate"]
-LATEST_CLOCK = T.StructType(
-    [T.StructField(c, T.LongType()) for c in PITCHER_GAME_KEY] + [T.StructField("event_time", T.TimestampType())]
+LATEST_CLOCK = Carried(
+    T.StructType([T.StructField(c, _types[c]) for c in [*PITCHER_GAME_KEY, "event_time"]]),
+    tuple(PITCHER_GAME_KEY),
 )
 
 

@@ -49,13 +49,13 @@ def thirds(column):
     return [F.col(column) < 11, (F.col(column) >= 11) & (F.col(column) < 21), F.col(column) >= 21]
 
 
-def run_steps(spark, df, step, schema, parts, cuts=None):
+def run_steps(spark, df, step, carried, parts):
     root = new_run_dir(spark, "test")
     for part in parts:
         drop_files(df, f"{root}/in", [part])
         # A new query on the same checkpoint each time: a restart between any two batches.
         stream = sources.read_files(spark, f"{root}/in", df.schema, max_files=1)
-        state.run_stateful(stream, step, schema, root, once=True).awaitTermination()
+        state.run_stateful(stream, step, carried, root, once=True).awaitTermination()
     return root
 
 
@@ -169,3 +169,24 @@ def test_print_sink(spark):
     drop_files(frame(spark, [pitch()]), f"{root}/in", [F.lit(True)])
     stream = sources.read_files(spark, f"{root}/in", PITCH)
     jobs.print_rows(jobs.arrival_rows(stream), f"{root}/checkpoint", once=True).awaitTermination()
+
+
+def test_archived_keys_go_on_where_they_were(spark, game_log):
+    """Game 2 runs a day later, between the two halves of game 1."""
+    import dataclasses
+
+    day_later = F.expr("event_time + interval 1 day")
+    log = game_log.withColumn("event_time", F.when(F.col("game_pk") == 2, day_later).otherwise(F.col("event_time")))
+    early = (F.col("game_pk") == 1) & (F.col("at_bat_number") < 16)
+    parts = [early, F.col("game_pk") == 2, (F.col("game_pk") == 1) & (F.col("at_bat_number") >= 16)]
+    carried = dataclasses.replace(steps.LIVE_STATE, keep_seconds=3600)
+    split = run_steps(spark, log, steps.live_step(), carried, parts)
+    assert spark.read.parquet(f"{split}/archive").where("batch_id = 1 and game_pk = 1").count() > 0
+    whole = run_steps(spark, log, steps.live_step(), steps.LIVE_STATE, [F.lit(True)])
+    for name in ("features", "alerts"):
+        assert same(state.read_output(spark, split, name), state.read_output(spark, whole, name))
+    keep = dataclasses.replace(steps.GAME_LAST, keep_seconds=3600)
+    clean = log.where("not is_duplicate and not is_late_arrival")
+    root = run_steps(spark, clean, steps.game_state_step(F.col("ingest_time")), keep, parts)
+    batch = transitions.game_state_events(clean, ingest_time=F.col("ingest_time"))
+    assert same(state.read_output(spark, root, "game_state"), batch)
