@@ -21,7 +21,12 @@ DEFAULTS = {
 
 # One partitioning by game serves joins and windows on longer keys that contain the game.
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
-RUNTIME = {"spark.sql.session.timeZone": "UTC", CO_PARTITION: "false"}
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    CO_PARTITION: "false",
+    # The JVM does not compile methods above this many bytes; wide projections are split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 
 def tune(spark: SparkSession) -> SparkSession:
