@@ -60,11 +60,12 @@ def latest_corrections(corrections: DataFrame) -> DataFrame:
 def correct_pitch_type(pitches: DataFrame, corrections: DataFrame) -> DataFrame:
     """The latest pitch_type correction wins; a NULL correction keeps the reported type.
 
-    Takes corrections that carry the pitch key.
+    Takes corrections that carry the pitch key. They are aggregated by it, so Spark knows the key is
+    unique and drops the join from plans that do not read pitch_type.
     """
     wanted = corrections.where(F.col("field") == "pitch_type")
-    latest = newest_per_key(wanted, PITCH_KEY, _recency()).select(
-        *PITCH_KEY, F.col("new_value").alias("_fix")
+    latest = latest_per_field(wanted, PITCH_KEY, ["pitch_type"], RECENCY).select(
+        *PITCH_KEY, F.col("pitch_type").alias("_fix")
     )
     return (
         pitches.join(latest, PITCH_KEY, "left")

@@ -231,3 +231,23 @@ def test_first_n_and_canonical_order(spark):
     assert got == [(1, "Top", 1)] * 3 + [(1, "Top", 2)] * 2 + [(1, "Bot", 3)]
     order = [F.asc("at_bat_number"), F.asc("pitch_number")]
     assert dedup.first_n_per_key(df, ["pitcher_id"], order, 2).count() == 7
+
+
+def test_load_day_reads_one_day(spark, tmp_path):
+    days = [START.date(), START.date() + datetime.timedelta(days=1)]
+    df = spark.createDataFrame([(d, i) for i, d in enumerate(days)], "game_date date, game_pk long")
+    df.write.parquet(str(tmp_path / "raw"))
+    got = raw.load_day(spark, str(tmp_path / "raw"), days[1])
+    assert [r["game_pk"] for r in got.collect()] == [1]
+    assert "PushedFilters: [IsNotNull(game_date), EqualTo(game_date" in got._jdf.queryExecution().toString()
+
+
+def test_topic_files_keep_topic_and_key(spark, tmp_path):
+    pitches = frame(spark, twelve_rows())
+    routed = topics.route_all({"pitch": pitches, "game_state": transitions.game_state_events(pitches)})
+    topics.write_topics(routed, str(tmp_path / "topics"))
+    back = spark.read.parquet(str(tmp_path / "topics"))
+    counts = {r["topic"]: r["count"] for r in back.groupBy("topic").count().collect()}
+    assert counts == {"pitches.raw": 12, "game_state.raw": 7}
+    states = topics.decode(back.where("topic = 'game_state.raw'"), "game_state")
+    assert states.where("key = concat(game_pk, ':', event_type)").count() == 7

@@ -82,12 +82,16 @@ def test_small_input_is_not_measured(spark):
     assert find_hot_groups(df, ["k"], F.col("s"), max_rows=0) is None
 
 
-def test_plain_pipeline_shuffles_each_input_once(spark):
+@pytest.mark.parametrize(
+    "name, exchanges, joins", [("pitcher_game_window", 1, 0), ("stg_pitches", 2, 1), ("signal_delta", 2, 1)]
+)
+def test_plain_plans_shuffle_each_input_once(spark, name, exchanges, joins):
     from checks.queries import QUERIES
     from conftest import SF_DIR
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = QUERIES["pitcher_game_window"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange") == 2
+    assert plan.count("Exchange hashpartitioning") == exchanges == plan.count("Exchange ")
+    assert plan.count("SortMergeJoin") == joins
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
