@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 from conftest import SF_DIR
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.QUERIES, entry.ORACLE
 
 # Queries whose result has no SQL form; they have tests of their own.
 NO_ORACLE = {"calibrated_weights"}
