@@ -128,3 +128,10 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     ends = np.cumsum(lengths)
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def pattern() -> str:
+    """The pre-token pattern of the byte-level ranks files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN

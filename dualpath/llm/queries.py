@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import common, simhash, substring
+from dualpath.llm import bpe, common, mixing, simhash, substring, token_counts, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,35 @@ def op1_substring_dedup(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     out = simhash.near_dedup(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    manifest, folder = tokenfile.write(docs, common.tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return tokenfile.read(spark, manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, ["doc_id"], common.tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents")
+    files = common.tokenizer_path("byte_bpe_50k.tiktoken"), common.pattern()
+    encoded = bpe.encode_texts(docs, ["doc_id"], *files)
+    return bpe.decode_ids(encoded, ["doc_id", "ids"], *files).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_mix(spark, sf_dir):
+    out = mixing.mix(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies")

@@ -76,7 +76,8 @@ def dedup(
         again = repeated(replies.filter(pa.array(kinds == 1)), high, low, buckets)
         return kept(part, places, again, window, carried)
 
-    first = texts.select("chunk", "_text").groupBy("chunk").applyInArrow(anchors, BLOCK)
+    # All three passes read the same columns, so they share one exchange of the texts.
+    first = texts.groupBy("chunk").applyInArrow(anchors, BLOCK)
     hits = first.groupBy("bucket").applyInArrow(repeated_hashes, "chunk long, kind int, bucket long, payload binary")
     second = texts.groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(windows, BLOCK)
     again = second.groupBy("bucket").applyInArrow(repeated_flags, "chunk long, kind int, bucket long, payload binary")
