@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import bpe, common, mixing, simhash, substring, token_counts, tokenfile
+from dualpath.llm import ann, bpe, common, mixing, simhash, substring, token_counts, tokenfile, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +65,20 @@ def op9_byte_bpe(spark, sf_dir):
 def op10_mix(spark, sf_dir):
     out = mixing.mix(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    docs, labels = (common.table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = toxicity.score(docs, ["doc_id"], toxicity.fit(docs, labels))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_top_k(spark, sf_dir):
+    return topk.top_k(common.table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_neighbours(spark, sf_dir):
+    return ann.neighbours(common.table(spark, sf_dir, "embeddings"))
