@@ -129,3 +129,13 @@ def decode_ids(encoded: DataFrame, keep: list[str], ranks: str, pattern: str, id
 
     out = common.map_texts(carried.take(encoded, _text=F.col(f"`{ids}`")), carried, "decoded binary", make)
     return out.select(*carried.back(), "decoded")
+
+
+def digests(decoded: DataFrame, keep: list[str]) -> DataFrame:
+    """Of rows with ids and decoded: the columns `keep`, n_tokens, and the hashes of the decimal ids and of the bytes."""
+    return decoded.select(
+        *keep,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

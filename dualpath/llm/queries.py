@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import ann, bpe, common, mixing, simhash, substring, token_counts, tokenfile, topk, toxicity
+from dualpath.llm import ann, bpe, common, mixing, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,12 +53,7 @@ def op9_byte_bpe(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     files = common.tokenizer_path("byte_bpe_50k.tiktoken"), common.pattern()
     encoded = bpe.encode_texts(docs, ["doc_id"], *files)
-    return bpe.decode_ids(encoded, ["doc_id", "ids"], *files).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(bpe.decode_ids(encoded, ["doc_id", "ids"], *files), ["doc_id"])
 
 
 @query
@@ -82,3 +77,11 @@ def op2_top_k(spark, sf_dir):
 @query
 def op3_neighbours(spark, sf_dir):
     return ann.neighbours(common.table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_warc(spark, sf_dir):
+    archives = warc.write(common.table(spark, sf_dir, "pages"))
+    return warc.read(spark, archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"
+    )

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dualpath.llm import common
@@ -156,17 +156,37 @@ def link(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
-    """doc_id, fp, component_id: one row per input row.
+    """doc_id, key, fp, component_id, label: one row per input row.
 
-    component_id is the smallest id reachable over fingerprints that differ in at most `distance` bits. Null and empty
-    texts have fingerprint zero and link like any other. Null ids never become a component's id unless it has no other;
-    repeated rows are in the same component. An empty table gives an empty result. Other columns are not read.
+    component_id is the smallest id reachable over fingerprints that differ in at most `distance` bits; label, a
+    fingerprint, names the component too. key is a hash of the text. Null and empty texts have fingerprint zero and link
+    like any other. A null id is a component's id only if it has no other; repeated rows are in the same component. An
+    empty table gives an empty result. Other columns are not read.
     """
-    found = common.written(fingerprints(docs, [id_col], text, shingle).toDF("doc_id", "fp"), "fingerprints")
+    body = F.col(f"`{text}`")
+    read = docs.select(F.col(f"`{id_col}`").alias("doc_id"), body.alias("text"), text_key(body).alias("key"))
+    found = common.written(fingerprints(read, ["doc_id", "key"], "text", shingle), "fingerprints")
     nodes = common.written(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     labels = components(common.written(link(nodes, distance), "links"))
     whole = nodes.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label")
     )
     ids = whole.groupBy("label").agg(F.min("least").alias("component_id"))
-    return found.join(whole.select("fp", "label").join(ids, "label").drop("label"), "fp").select("doc_id", "fp", "component_id")
+    named = whole.select("fp", "label").join(ids, "label")
+    return found.join(named, "fp").select("doc_id", "key", "fp", "component_id", "label")
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
+def one_of_each(docs: DataFrame, near: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that stay: of each component the one with the smallest id, of repeated rows one.
+
+    Null ids come last; equal ids are told apart by the hash of the text.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
+    stay = near.groupBy("label").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
+    own = docs.withColumn("_own", text_key(F.col(f"`{text}`")))
+    kept = own.join(stay, (F.col("_own") == F.col("_key")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.dropDuplicates([id_col, "_own"]).drop("_own")

@@ -185,7 +185,7 @@ class Writer:
         files, path = filesystem(folder)
         files.create_dir(path)
         self.name = f"{shard:08d}-{uuid.uuid4().hex}.ids"
-        self.out = files.open_output_stream(f"{path}/{self.name}")
+        self.out = files.open_output_stream(f"{path}/{self.name}", compression=None)
         self.out.write(MAGIC)
         self.shard, self.width, self.sizes, self.docs, self.nulls = shard, width, [], [], 0
 
