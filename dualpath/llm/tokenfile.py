@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -34,9 +35,12 @@ from dualpath.session import new_run_dir
 MAGIC = b"IDSEF001"
 SAMPLE = 256
 FILE_BYTES = 32 << 20  # text a file, about
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+JOINED = 500  # new words encoded in one call
 CACHE_BYTES = 64  # longer words are not kept
 READ_IDS = 1 << 20
+MARK = b"<|"  # how special tokens begin; words that hold it are encoded alone
+TAIL = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=\s|$)")
 ACCURACY = 10_000
 
 
@@ -99,43 +103,68 @@ def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), WordIds(path)
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, WordIds(path, tokenizer)
+
+
+def split_words(text: str) -> list[bytes]:
+    """Words that a lower-casing tokenizer encodes on their own: punctuation after a letter or digit is its own word.
+
+    ASCII letters are lowered here already, except where a special token, whose case matters, may stand.
+    """
+    data = text.encode()
+    return TAIL.sub(rb" \1", data if MARK in data else data.lower()).split()
 
 
 class WordIds:
-    """Ids of texts under a tokenizer that drops white space: words can't affect each other, so each is encoded once.
+    """Ids of texts under a tokenizer that drops white space and case: no word affects another, so each is encoded once.
 
     The words known are forgotten when there are more than CACHE_WORDS.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, tokenizer):
         self.path = path
+        special = [(t.content, i) for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.special and not t.normalized and t.content.startswith(MARK.decode())]
+        self.mark, self.mark_id = (special[0][0].encode(), special[0][1]) if special else (None, -1)
         self.clear()
 
     def clear(self) -> None:
         self.codes: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
         self.sizes = np.zeros(0, np.int64)
 
     def add(self, words: list[bytes]) -> None:
-        if words:
-            tokenizer = load(self.path)[0]
-            found = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-            self.codes.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
-            self.sizes = np.append(self.sizes, [len(x) for x in found])
-            self.ids = np.append(self.ids, np.array([i for x in found for i in x], np.int64))
+        if not words:
+            return
+        alone = [w for w in words if self.mark is None or MARK in w]
+        joined = sorted(set(words).difference(alone)) if alone else words
+        tokenizer = load(self.path)[0]
+        # A special token between words is one id and keeps them apart, and few long calls are quicker than many short.
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        texts = [(self.mark or b"").join(g).decode() for g in groups] + [w.decode() for w in alone]
+        sizes, ids = [], []
+        for group, encoded in zip([*groups, *[[w] for w in alone]], tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            own = np.array(encoded.ids, np.int32)
+            marks = np.flatnonzero(own == self.mark_id) if len(group) > 1 else np.zeros(0, np.int64)
+            if len(marks) != len(group) - 1:
+                raise ValueError("the tokenizer changed a special token")
+            sizes.append(np.diff(np.concatenate(([-1], marks, [len(own)]))) - 1)
+            ids.append(np.delete(own, marks))
+        self.codes.update(zip([*joined, *alone], range(len(self.sizes), len(self.sizes) + len(words))))
+        self.sizes = np.concatenate([self.sizes, *sizes])
+        self.ids = np.concatenate([self.ids, *ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.sizes) > CACHE_WORDS:
             self.clear()
-        split = [t.encode().split() for t in texts]
+        split = [split_words(t) for t in texts]
         new = {w for words in split for w in words if w not in self.codes}
         rare = sorted(w for w in new if len(w) > CACHE_BYTES)
         self.add(sorted(new.difference(rare)))
         stay = len(self.sizes)
         self.add(rare)
         starts = np.cumsum(self.sizes) - self.sizes
-        codes = [np.array([self.codes[w] for w in words], np.int64) for words in split]
+        codes = [np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words)) for words in split]
         out = [self.ids[common.ranges(starts[c], self.sizes[c])] for c in codes]
         if rare:
             for word in rare:
@@ -278,7 +307,8 @@ def write(
 ) -> tuple[DataFrame, str]:
     """Writes all texts' ids in ascending id order; returns the manifest (shard, file, n_docs, n_ids, start) and its folder.
 
-    `tokenizer` is the path of a tokenizers file that drops white space, there on every machine. Each text's ids end with
+    `tokenizer` is the path of a tokenizers file that drops white space and case and never joins letters or digits with
+    punctuation, there on every machine. Each text's ids end with
     `end_id`. Null and empty texts are that id alone. Null ids come first; rows with equal ids are ordered by their token
     ids, and stay in one file. An empty table has no files. Other columns are not read.
     """
