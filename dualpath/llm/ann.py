@@ -33,6 +33,7 @@ REPLICAS = 4
 RATIO = 0.25
 ENOUGH = 200
 PART = 4096
+BIN_ROWS = 16_384  # rows of lists in a task, about
 WIDTH = 32  # of the first graph search
 MARGIN = 1e-9
 
@@ -225,28 +226,52 @@ def neighbours(
             )
 
     split = F.pmod(F.xxhash64("vec_id"), F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("list") + 1).cast("int")))
-    left = index.select("list", split.cast("long").alias("part"), "vec_id", "vector")
-    right = vectors.queries_of(rows).mapInArrow(probe, "list long, part long, query_id long, vector array<double>")
+    # Several parts of lists share a task, which merges what its queries find in them.
+    bins = common.pieces(sum(row["n"] for row in sizes), BIN_ROWS)
+    bin_of = F.pmod(F.xxhash64("list", "part"), F.lit(bins)).alias("bin")
+    left = index.select("list", split.cast("long").alias("part"), "vec_id", "vector").select(bin_of, "*")
+    right = vectors.queries_of(rows).mapInArrow(probe, "list long, part long, query_id long, vector array<double>").select(bin_of, "*")
 
     def score(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(candidates) and len(asked):
-            ids, x = candidates.column("vec_id").to_numpy(), vectors.matrix(candidates.column("vector"), width)
-            norms, unit_x = np.sqrt(np.einsum("ij,ij->i", x, x)), unit(x)
-            q = vectors.matrix(asked.column("vector"), width)
-            rough = unit(q) @ unit_x.T
-            for own, vector, close in zip(asked.column("query_id").to_pylist(), q, rough):
-                close[ids == own] = -np.inf
-                floor = np.partition(close, -k)[-k] if len(close) > k else -np.inf
-                some = np.flatnonzero((close >= floor - MARGIN) & (close > -np.inf))
-                # Row by row in the same order, so equal vectors get equal scores.
-                exact = np.einsum("ij,j->i", x[some], vector) / (norms[some] * np.sqrt(np.einsum("i,i->", vector, vector)))
-                top = np.lexsort((ids[some], -exact))[:k]
-                out["query_id"] += [own] * len(top)
-                out["vec_id"] += ids[some][top].tolist()
-                out["score"] += exact[top].tolist()
-        kinds = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
-        return pa.table({name: pa.array(v, kinds[name]) for name, v in out.items()})
-
-    scored = left.groupBy("list", "part").cogroup(right.groupBy("list", "part")).applyInArrow(score, "query_id long, vec_id long, score double")
+            ids, owners = candidates.column("vec_id").to_numpy(), asked.column("query_id").to_numpy()
+            x, q = vectors.matrix(candidates.column("vector"), width), vectors.matrix(asked.column("vector"), width)
+            of, wanted = (_by_part(t) for t in (candidates, asked))
+            for part in of.keys() & wanted.keys():
+                found += _search(ids[of[part]], x[of[part]], owners[wanted[part]], q[wanted[part]], k)
+        own, ids, scores = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((ids, -scores, own))
+        own, ids, scores = own[order], ids[order], scores[order]
+        first = np.ones(len(own), bool)
+        first[1:] = (own[1:] != own[:-1]) | (ids[1:] != ids[:-1])  # a row of two lists has one score, so it is next to itself
+        own, ids, scores = own[first], ids[first], scores[first]
+        best = np.arange(len(own)) - np.searchsorted(own, own) < k
+        return pa.table({"query_id": pa.array(own[best]), "vec_id": pa.array(ids[best]), "score": pa.array(scores[best])})
+
+    scored = left.groupBy("bin").cogroup(right.groupBy("bin")).applyInArrow(score, "query_id long, vec_id long, score double")
     return vectors.best(scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+
+
+def _by_part(rows: pa.Table) -> dict[tuple[int, int], np.ndarray]:
+    """Which rows each part of a list has."""
+    lists, parts = rows.column("list").to_numpy(), rows.column("part").to_numpy()
+    order = np.lexsort((parts, lists))
+    lists, parts = lists[order], parts[order]
+    edges = np.flatnonzero((np.diff(lists) != 0) | (np.diff(parts) != 0)) + 1
+    groups = np.split(order, edges)
+    return {(int(lists[a]), int(parts[a])): g for a, g in zip([0, *edges.tolist()], groups)}
+
+
+def _search(ids: np.ndarray, x: np.ndarray, owners: np.ndarray, q: np.ndarray, k: int) -> list[tuple]:
+    """For each query its id, and the ids and scores of the k nearest rows of x."""
+    norms, rough, out = np.sqrt(np.einsum("ij,ij->i", x, x)), unit(q) @ unit(x).T, []
+    for own, vector, close in zip(owners, q, rough):
+        close[ids == own] = -np.inf
+        floor = np.partition(close, -k)[-k] if len(close) > k else -np.inf
+        some = np.flatnonzero((close >= floor - MARGIN) & (close > -np.inf))
+        # Row by row in the same order, so equal vectors get equal scores.
+        exact = np.einsum("ij,j->i", x[some], vector) / (norms[some] * np.sqrt(np.einsum("i,i->", vector, vector)))
+        top = np.lexsort((ids[some], -exact))[:k]
+        out.append((np.full(len(top), own), ids[some][top], exact[top]))
+    return out
