@@ -91,7 +91,7 @@ class Scorer:
         return np.concatenate(([min(found.max(initial=0), 8)], np.log1p(counts), counts / max(1, len(found)) ** 0.5))
 
     def score(self, texts: list[str]) -> np.ndarray:
-        rows = np.array([self.features(t) for t in texts]).reshape(len(texts), -1)
+        rows = np.array([self.features(t) for t in texts]).reshape(len(texts), len(self.model.mean))
         return logistic((rows - self.model.mean) / self.model.scale, self.model.weights)
 
 
@@ -161,9 +161,9 @@ def train(toxic: list[str], ordinary: list[str], totals: dict[int, int]) -> Mode
     held = [(t, 1) for t in toxic[cut[0] :]] + [(t, 0) for t in ordinary[cut[1] :]]
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     scorer = model.scorer()
-    rows = np.array([scorer.features(t) for t, _ in held]).reshape(len(held), -1)
-    labels = np.array([label for _, label in held], float)
     size = 1 + 2 * len(LEVELS)
+    rows = np.array([scorer.features(t) for t, _ in held]).reshape(len(held), size)
+    labels = np.array([label for _, label in held], float)
     if not 0 < labels.sum() < len(labels):  # nothing to tell apart: the class share is all there is
         odds = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
         return Model(model.ordinary, model.toxic, np.zeros(size), np.ones(size), np.concatenate(([odds], np.zeros(size))))
