@@ -47,7 +47,7 @@ bronze as (
   union all
   select * exclude (event_id), false, true from pitches where event_id % 200 = 0
   union all
-  select * exclude (event_id) replace (event_time - to_seconds(event_id % 271 + 30) as event_time), true, false
+  select * exclude (event_id) replace (event_time - to_seconds(event_id % 571 + 30) as event_time), true, false
   from pitches where event_id % 33 = 0
 )"""
 )

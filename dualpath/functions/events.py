@@ -38,10 +38,6 @@ def shift_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(mins=minutes)
 
 
-def clock_label(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss 'UTC'")
-
-
 def class_label(c: Column) -> Column:
     return F.replace(c, F.lit("_"), F.lit(" "))
 

@@ -21,10 +21,11 @@ def pitching_changes(docs: DataFrame, document: str = "document") -> DataFrame:
     """One row per pitching substitution, with the game it belongs to."""
     plays = docs.select("game_pk", F.explode(F.from_json(document, PLAYS).getField("allPlays")).alias("p"))
     events = plays.select("game_pk", "p.about", F.explode("p.playEvents").alias("e"))
+    half = F.coalesce("about.halfInning", F.lit(""))
     return events.where(F.col("e.details.eventType") == SUBSTITUTION).select(
         "game_pk",
         F.col("about.inning").alias("inning"),
-        F.initcap(F.coalesce("about.halfInning", F.lit(""))).alias("inning_topbot"),
+        F.concat(F.upper(F.substring(half, 1, 1)), F.lower(F.substr(half, F.lit(2)))).alias("inning_topbot"),
         F.col("e.startTime").alias("about_time"),
         F.col("e.details.replacementPlayerId").alias("incoming_pitcher_id"),
         F.col("e.details.playerId").alias("outgoing_pitcher_id"),

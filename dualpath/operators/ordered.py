@@ -103,7 +103,10 @@ def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str)
 
 
 def _with_segment(df: DataFrame, hot: HotGroups) -> DataFrame:
-    """Segment number by binary search in the key's cuts; 0 for keys that are not cut."""
+    """Segment number by binary search in the key's cuts; 0 for keys that are not cut.
+
+    Rows without a slot come after all others, as in the orders, which place nulls last.
+    """
     steps = F.array(*[F.lit(1 << b) for b in reversed(range(CUT_RESOLUTION.bit_length()))])
     found = F.aggregate(
         steps,
@@ -112,7 +115,12 @@ def _with_segment(df: DataFrame, hot: HotGroups) -> DataFrame:
     )
     return (
         _join_bounded(df.withColumn("_slot", hot.slot), hot.cuts, hot.keys, "left")
-        .withColumn(_SEG, F.when(F.col("_cuts").isNotNull(), found).otherwise(F.lit(0)))
+        .withColumn(
+            _SEG,
+            F.when(F.col("_cuts").isNull(), F.lit(0))
+            .when(F.col("_slot").isNull(), F.size("_cuts") + 1)
+            .otherwise(found),
+        )
         .drop("_slot", "_cuts")
     )
 

@@ -93,7 +93,7 @@ def bronze_pitches(events: DataFrame) -> DataFrame:
         "event_id", "copy", *[c.alias(n) for n, c in _pitch_columns().items()]
     )
     late = F.col("copy") == "late"
-    moved = shift_seconds(F.col("event_time"), -(F.col("event_id") % 271 + 30))
+    moved = shift_seconds(F.col("event_time"), -(F.col("event_id") % 571 + 30))
     marked = shaped.withColumns(
         {
             "event_time": F.when(late, moved).otherwise(F.col("event_time")),

@@ -9,6 +9,7 @@ One writer per table.
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,8 +108,23 @@ class Lake:
         if snapshot is None:
             last = self.current_snapshot(identifier)
             snapshot = 0 if last is None else last + 1
-        rows = df.withColumns({SNAPSHOT: F.lit(snapshot).cast("bigint"), "event_day": F.to_date("event_time")})
-        self.overwrite_partitions(rows, identifier, "event_day")
+        name = self._name(identifier)
+        rows = df.withColumn("event_day", F.to_date("event_time")).hint("rebalance", "event_day")
+        view = f"commit_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(name).columns if c != SNAPSHOT)
+        before = self.spark.conf.get(OVERWRITE_MODE)
+        # Static: all days of this id go, those included that only an earlier try of it wrote.
+        self.spark.conf.set(OVERWRITE_MODE, "static")
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {name} PARTITION ({SNAPSHOT} = {snapshot}, event_day) SELECT {columns} FROM {view}"
+            )
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, before)
+            self.spark.catalog.dropTempView(view)
+        if not self.snapshots(identifier).where(F.col(SNAPSHOT) == snapshot).isEmpty():
+            return snapshot
         entry = self.spark.range(1).select(
             F.lit(snapshot).cast("bigint").alias(SNAPSHOT), F.current_timestamp().alias("committed_at")
         )

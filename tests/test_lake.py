@@ -108,3 +108,12 @@ def test_incremental_refresh_equals_full(spark, lake):
         assert got.count() == full.count() == got.dropDuplicates(["game_pk", "at_bat_number", "pitch_number"]).count()
         assert full.exceptAll(got).count() == 0
     assert got.where(F.col("game_pk") == 9).count() == 10
+
+
+def test_a_shorter_retry_of_a_commit_leaves_nothing_behind(spark, lake):
+    days = [pitch(pitch_number=i, event_time=START + datetime.timedelta(days=i)) for i in range(3)]
+    df = frame(spark, days)
+    lake.ensure_snapshot_table("bronze.pitches", df.schema)
+    lake.commit(df, "bronze.pitches", 0)
+    lake.commit(df.limit(1), "bronze.pitches", 0)
+    assert lake.count_rows("bronze.pitches") == 1 and lake.snapshots("bronze.pitches").count() == 1

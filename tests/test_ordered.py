@@ -95,3 +95,10 @@ def test_plain_plans_shuffle_each_input_once(spark, name, exchanges, joins):
     assert plan.count("Exchange hashpartitioning") == exchanges == plan.count("Exchange ")
     assert plan.count("SortMergeJoin") == joins
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+
+
+def test_rows_without_an_order_value_come_last_when_cut(spark, hot):
+    df = spark.range(101).select(F.lit("k").alias("k"), F.expr("if(id < 100, id, null)").alias("s"))
+    order = (F.asc_nulls_last("s"),)
+    got = OrderedGroups(("k",), order, find_hot_groups(df, ["k"], F.col("s"))).running(df, {"n": ("count", None)})
+    assert got.where("n != coalesce(s, 100) + 1").count() == 0

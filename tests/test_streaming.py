@@ -168,7 +168,9 @@ def test_print_sink(spark):
     root = new_run_dir(spark, "print")
     drop_files(frame(spark, [pitch()]), f"{root}/in", [F.lit(True)])
     stream = sources.read_files(spark, f"{root}/in", PITCH)
-    jobs.print_rows(jobs.arrival_rows(stream), f"{root}/checkpoint", once=True).awaitTermination()
+    run = jobs.print_rows(jobs.arrival_rows(stream), f"{root}/checkpoint", once=True)
+    run.awaitTermination()
+    assert run.exception() is None and sum(p["numInputRows"] for p in run.recentProgress) == 1
 
 
 def test_archived_keys_go_on_where_they_were(spark, game_log):
