@@ -119,23 +119,6 @@ def _last(n: int) -> str:
     return f"{ORDINAL} rows between {n - 1} preceding and current row"
 
 
-WINDOWED = (
-    STAGED
-    + f""",
-ordered as (
-  select *, row_number() over ({ORDINAL}) as idx from staged
-),
-windowed as (
-  select event_time, game_pk, pitcher_id, at_bat_number, pitch_number, idx as pitches_thrown_so_far,
-    {mean("release_speed", _last(20))} as velocity_last_20_avg,
-    {mean("release_spin_rate", _last(20))} as spin_last_20_avg,
-    {mean("case when idx <= 20 then release_speed end", "partition by game_pk, pitcher_id")} as velocity_first_20_avg,
-    {mean("case when idx <= 20 then release_spin_rate end", "partition by game_pk, pitcher_id")} as spin_first_20_avg
-  from ordered
-)"""
-)
-
-
 def _all_fields() -> str:
     types = {
         "pitch_type": "varchar",
@@ -152,16 +135,35 @@ def _all_fields() -> str:
         f"concat_ws(':', d.game_pk, d.at_bat_number, d.pitch_number)) as {t}), d.{f}) as {f}"
         for f, t in types.items()
     )
-    return f"""with {STAGED}
+    return f"""
 select d.* exclude (is_late_arrival, is_duplicate, correction_of, source_offset, kafka_partition)
   replace ({sets})
 from dedup d"""
 
 
+# Canonical pitches with every correctable field corrected.
+CORRECTED = f"{STAGED}, corrected as ({_all_fields()})"
+
+
+def windowed(relation: str) -> str:
+    return f"""
+ordered as (
+  select *, row_number() over ({ORDINAL}) as idx from {relation}
+),
+windowed as (
+  select event_time, game_pk, pitcher_id, at_bat_number, pitch_number, idx as pitches_thrown_so_far,
+    {mean("release_speed", _last(20))} as velocity_last_20_avg,
+    {mean("release_spin_rate", _last(20))} as spin_last_20_avg,
+    {mean("case when idx <= 20 then release_speed end", "partition by game_pk, pitcher_id")} as velocity_first_20_avg,
+    {mean("case when idx <= 20 then release_spin_rate end", "partition by game_pk, pitcher_id")} as spin_first_20_avg
+  from ordered
+)"""
+
+
 ORACLE: dict[str, str] = {
     "stg_pitches": f"with {STAGED} select * from staged",
-    "stg_all_fields": _all_fields(),
-    "pitcher_game_window": f"with {WINDOWED} select * from windowed",
+    "stg_all_fields": f"with {CORRECTED} select * from corrected",
+    "pitcher_game_window": f"with {STAGED}, {windowed('staged')} select * from windowed",
     "silver_pitch_events": f"""with {BRONZE}
 select concat_ws(':', game_pk, at_bat_number, pitch_number) as pitch_id, * exclude (ingest_time),
   cast(event_time as date) as event_day
@@ -466,9 +468,9 @@ def _snapshots(name: str, where: str) -> str:
 
 
 CANONICAL = (
-    STAGED
+    CORRECTED
     + ","
-    + _features("canonical", "staged", "at_bat_number, pitch_number", False)
+    + _features("canonical", "corrected", "at_bat_number, pitch_number", False)
     + ","
     + _snapshots("canonical", "")
 )
@@ -833,5 +835,5 @@ select 'all' as predicate, count(*) as n from bronze
 union all select 'is_duplicate', count(*) from bronze where is_duplicate
 union all select 'inning_topbot = ''Top'' AND event_day >= DATE''2024-01-10''', count(*) from bronze
   where inning_topbot = 'Top' and cast(event_time as date) >= date '2024-01-10'""",
-    "incremental_equals_full": ORACLE["pitcher_game_window"],
+    "incremental_equals_full": f"with {CORRECTED}, {windowed('corrected')} select * from windowed",
 }

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualpath import schemas
-from dualpath.functions.events import game_order_slot
 from dualpath.operators import dedup, event_time, nested, perturb, quality, transitions
 from dualpath.operators.ordered import OrderedGroups, find_hot_groups
 from dualpath.plans import features, incremental, lookups, marts, reconcile, signals, staging
@@ -43,6 +42,10 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.staged_pitches(*bindings.load_bronze(spark, sf_dir))
 
 
+def _corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.staged_pitches_all_fields(*bindings.load_bronze(spark, sf_dir))
+
+
 @query
 def stg_pitches(spark, sf_dir):
     return _staged(spark, sf_dir)
@@ -50,7 +53,7 @@ def stg_pitches(spark, sf_dir):
 
 @query
 def stg_all_fields(spark, sf_dir):
-    return staging.staged_pitches_all_fields(*bindings.load_bronze(spark, sf_dir))
+    return _corrected(spark, sf_dir)
 
 
 @query
@@ -97,7 +100,7 @@ def first_20_pitches(spark, sf_dir):
 
 
 def _hot_games(spark, sf_dir):
-    return find_hot_groups(_bronze(spark, sf_dir), ["game_pk"], game_order_slot())
+    return find_hot_groups(_bronze(spark, sf_dir), ["game_pk"])
 
 
 def _states(spark, sf_dir):
@@ -119,7 +122,7 @@ def game_state_counts(spark, sf_dir):
 @query
 def role_changes(spark, sf_dir):
     turns = bindings.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    hot = find_hot_groups(turns, ["conv_id"], F.col("turn"))
+    hot = find_hot_groups(turns, ["conv_id"])
     groups = OrderedGroups(("conv_id",), (F.asc_nulls_last("turn"), F.asc_nulls_last("role")), hot)
     return transitions.value_changes(turns, groups, "role")
 
@@ -135,7 +138,7 @@ def synth_event_time(spark, sf_dir):
 def late_split(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
     keys = schemas.PITCHER_GAME_KEY
-    hot = find_hot_groups(bronze, keys, F.col("source_offset"))
+    hot = find_hot_groups(bronze, keys)
     arrival = ("kafka_partition", "source_offset", "is_late_arrival", "is_duplicate")
     groups = OrderedGroups(tuple(keys), tuple(F.asc_nulls_last(c) for c in arrival), hot)
     return event_time.tag_late(bronze.select(*keys, "event_time", *arrival), groups)
@@ -283,7 +286,7 @@ def pace_trend(spark, sf_dir):
 
 def _canonical(spark, sf_dir):
     hot = features.hot_pitchers(_bronze(spark, sf_dir))
-    return signals.signal_snapshots(signals.canonical_features(_staged(spark, sf_dir), hot))
+    return signals.signal_snapshots(signals.canonical_features(_corrected(spark, sf_dir), hot))
 
 
 def _provisional(spark, sf_dir):
@@ -317,7 +320,7 @@ def signals_provisional(spark, sf_dir):
 @query
 def signal_display(spark, sf_dir):
     hot = features.hot_pitchers(_bronze(spark, sf_dir))
-    base = signals.canonical_features(_staged(spark, sf_dir), hot)
+    base = signals.canonical_features(_corrected(spark, sf_dir), hot)
     return signals.display_rows(signals.signal_snapshots(base), base)
 
 
@@ -459,7 +462,7 @@ def canonical_pitches(spark, sf_dir):
 
 def _labels(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    hot = find_hot_groups(bronze, ["game_pk", "inning_topbot"], -F.col("at_bat_number").cast("bigint"))
+    hot = find_hot_groups(bronze, ["game_pk", "inning_topbot"])
     return marts.removal_label(_staged(spark, sf_dir), hot)
 
 

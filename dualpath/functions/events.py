@@ -58,11 +58,3 @@ def game_order() -> list[Column]:
         F.asc_nulls_last("at_bat_number"),
         F.asc_nulls_last("pitch_number"),
     ]
-
-
-def game_order_slot() -> Column:
-    """BIGINT that never falls along game_order()."""
-    half = F.when(F.col("inning_topbot") == "Top", 0).otherwise(1)
-    return (F.col("inning").cast("bigint") * 2 + half) * F.lit(1 << 40) + F.col("at_bat_number").cast(
-        "bigint"
-    ) * 512 + F.least(F.col("pitch_number"), F.lit(511))

@@ -18,7 +18,7 @@ def synthesize_event_time(pitches: DataFrame, hot: HotGroups | None = None) -> D
     """Replace event_time by game_date 19:00 plus the running sum of gaps in canonical order."""
     groups = game_groups(hot)
     rows = groups.frames(
-        pitches,
+        groups.split(pitches),
         1,
         lambda w: {
             "_gap": F.when(F.lag("at_bat_number").over(w).isNull(), 0)
@@ -26,7 +26,7 @@ def synthesize_event_time(pitches: DataFrame, hot: HotGroups | None = None) -> D
             .otherwise(PITCH_GAP)
         },
     )
-    rows = groups.running(rows, {"_offset": ("sum", F.col("_gap"))})
+    rows = groups.running(rows, {"_offset": ("sum", F.col("_gap"))}).merged()
     start = F.col("game_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(FIRST_PITCH_HOURS))
     clock = start + F.make_dt_interval(secs=F.col("_offset"))
     return rows.withColumn("event_time", clock).drop("_gap", "_offset")

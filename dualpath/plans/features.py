@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dualpath.functions.events import pitcher_order_slot
 from dualpath.functions.numbers import frame_mean, group_mean
 from dualpath.operators.ordered import HotGroups, OrderedGroups, find_hot_groups
 from dualpath.plans.staging import drop_flagged
@@ -20,7 +19,7 @@ HIGH_FROM = 50
 
 
 def hot_pitchers(bronze: DataFrame) -> HotGroups | None:
-    return find_hot_groups(bronze, PITCHER_GAME_KEY, pitcher_order_slot())
+    return find_hot_groups(bronze, PITCHER_GAME_KEY)
 
 
 def pitcher_groups(hot: HotGroups | None, *tie_breaks: Column) -> OrderedGroups:
@@ -34,7 +33,7 @@ def pitcher_game_window(staged: DataFrame, hot: HotGroups | None = None) -> Data
     rows = staged.select(
         "event_time", *PITCHER_GAME_KEY, "at_bat_number", "pitch_number", "release_speed", "release_spin_rate"
     )
-    rows = groups.running(rows, {"pitches_thrown_so_far": ("count", None)})
+    rows = groups.running(groups.split(rows), {"pitches_thrown_so_far": ("count", None)})
     rows = groups.frames(
         rows,
         ROLLING_WIDTH - 1,
@@ -51,7 +50,7 @@ def pitcher_game_window(staged: DataFrame, hot: HotGroups | None = None) -> Data
         },
         F.col("pitches_thrown_so_far") <= BASELINE_PITCHES,
     )
-    return rows.drop("release_speed", "release_spin_rate")
+    return rows.merged().drop("release_speed", "release_spin_rate")
 
 
 def fatigue_bucket(pitch_count: Column) -> Column:
@@ -91,7 +90,7 @@ def with_pace(pitches: DataFrame, hot: HotGroups | None = None, width: int = 10)
     """Seconds since the pitcher's previous pitch and its least-squares trend over the last `width`."""
     groups = pitcher_groups(hot)
     rows = groups.frames(
-        pitches,
+        groups.split(pitches),
         1,
         lambda w: {
             "_pace": F.unix_micros("event_time") - F.lag(F.unix_micros("event_time")).over(w),
@@ -100,6 +99,7 @@ def with_pace(pitches: DataFrame, hot: HotGroups | None = None, width: int = 10)
     rows = groups.frames(
         rows, width - 1, lambda w: {"_paces": F.collect_list("_pace").over(w.rowsBetween(1 - width, 0))}
     )
+    rows = rows.merged()
     n = F.size("_paces").cast("bigint")
     pairs = F.zip_with(
         F.sequence(F.lit(1), F.greatest(F.size("_paces"), F.lit(1))),

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from dualpath.operators.corrections import with_pitch_key
 from dualpath.plans.features import hot_pitchers, pitcher_game_window
-from dualpath.plans.staging import staged_pitches
+from dualpath.plans.staging import staged_pitches_all_fields
+from dualpath.session import written
 from dualpath.sources.lake import SNAPSHOT, Lake
 
 GAMES_PER_PART = 1000
@@ -58,20 +59,22 @@ def refresh(
     fresh = all_pitches.where(F.col(SNAPSHOT) > after)
     fresh_fixes = with_pitch_key(all_fixes.where(F.col(SNAPSHOT) > after))
     changed = fresh.select("game_pk").unionByName(fresh_fixes.select("game_pk")).distinct()
+    changed = written(changed, "changed-games")
     touched = changed.select(part.alias("game_part")).distinct()
     old = lake.read_plain(target).join(touched, "game_part", "left_semi")
 
-    # The days the changed games span; a dropped older copy outside them cannot win the dedup.
-    spans = (
+    # The days the changed games were played on, as a filter on the partitions; at most a calendar of
+    # them. A dropped older copy on another day cannot win the dedup.
+    days = (
         old.join(changed, "game_pk", "left_semi")
         .select(F.to_date("event_time").alias("d"))
         .unionByName(fresh.select(F.col("event_day").alias("d")))
-        .agg(F.min("d"), F.max("d"))
-        .first()
+        .distinct()
+        .collect()
     )
-    pitches = all_pitches
-    if spans[0] is not None:
-        pitches = pitches.where(F.col("event_day").between(F.lit(spans[0]), F.lit(spans[1])))
+    known = [r["d"] for r in days if r["d"] is not None]
+    unknown = F.col("event_day").isNull() if len(known) < len(days) else F.lit(False)
+    pitches = all_pitches.where(F.col("event_day").isin(known) | unknown)
     pitches = pitches.join(changed, "game_pk", "left_semi")
     named = with_pitch_key(all_fixes).select("game_pk", "original_pitch_uid")
     wanted = named.join(changed, "game_pk", "left_semi").select("original_pitch_uid").distinct()
@@ -83,7 +86,7 @@ def refresh(
 
 
 def _windows(pitches: DataFrame, fixes: DataFrame) -> DataFrame:
-    return pitcher_game_window(staged_pitches(pitches, fixes), hot_pitchers(pitches))
+    return pitcher_game_window(staged_pitches_all_fields(pitches, fixes), hot_pitchers(pitches))
 
 
 def _write(lake: Lake, target: str, rows: DataFrame) -> None:

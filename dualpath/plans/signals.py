@@ -62,14 +62,14 @@ def canonical_features(
 ) -> DataFrame:
     """Trailing means over deduplicated, corrected pitches, against the whole first-20 baseline."""
     groups = pitcher_groups(hot)
-    rows = groups.running(staged.select(*_READ), {"pitch_idx": ("count", None)})
+    rows = groups.running(groups.split(staged.select(*_READ)), {"pitch_idx": ("count", None)})
     rows = groups.frames(rows, width - 1, lambda w: _trailing(w, width))
     rows = groups.means_of(
         rows,
         {"velocity_baseline": F.col("release_speed"), "spin_baseline": F.col("release_spin_rate")},
         F.col("pitch_idx") <= BASELINE_PITCHES,
     )
-    return rows.select(*_KEEP)
+    return rows.merged().select(*_KEEP)
 
 
 def provisional_features(
@@ -79,7 +79,7 @@ def provisional_features(
     baseline knows only the pitches so far. One row per on-time pitch."""
     groups = pitcher_groups(hot, F.asc_nulls_last("is_late_arrival"), F.asc_nulls_last("source_offset"))
     rows = arrivals_by_game(bronze).select(*_READ, "is_late_arrival", "source_offset")
-    rows = groups.running(rows, {"pitch_idx": ("count", None)})
+    rows = groups.running(groups.split(rows), {"pitch_idx": ("count", None)})
     rows = groups.frames(rows, width - 1, lambda w: _trailing(w, width))
     early = F.col("pitch_idx") <= BASELINE_PITCHES
     speed, spin = (F.when(early, micros(F.col(c))) for c in ("release_speed", "release_spin_rate"))
@@ -95,7 +95,7 @@ def provisional_features(
     )
     unit = F.lit(float(MICRO))
     return (
-        rows.where(~F.col("is_late_arrival"))
+        rows.merged().where(~F.col("is_late_arrival"))
         .withColumns(
             {
                 "velocity_baseline": F.col("_v") / (F.col("_vn") * unit),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dualpath.functions.events import game_order_slot, pitch_uid
+from dualpath.functions.events import pitch_uid
 from dualpath.operators.corrections import (
     correct_all_fields,
     correct_pitch_type,
@@ -32,8 +32,8 @@ def by_game(bronze: DataFrame, corrections: DataFrame) -> tuple[DataFrame, DataF
     """
     corrections = with_pitch_key(corrections)
     if (
-        not _fits_by_game(bronze, game_order_slot())
-        or find_hot_groups(corrections, ["game_pk"], F.unix_micros("event_time")) is not None
+        not _fits_by_game(bronze)
+        or find_hot_groups(corrections, ["game_pk"]) is not None
     ):
         return bronze, corrections
     return bronze.repartition("game_pk"), corrections.repartition("game_pk")
@@ -42,13 +42,13 @@ def by_game(bronze: DataFrame, corrections: DataFrame) -> tuple[DataFrame, DataF
 def arrivals_by_game(bronze: DataFrame) -> DataFrame:
     """Rows not flagged as duplicates, laid out like the canonical side, so the two join in place."""
     rows = drop_flagged(bronze)
-    return rows.repartition("game_pk") if _fits_by_game(bronze, game_order_slot()) else rows
+    return rows.repartition("game_pk") if _fits_by_game(bronze) else rows
 
 
-def _fits_by_game(rows: DataFrame, slot: Column) -> bool:
+def _fits_by_game(rows: DataFrame) -> bool:
     if rows.sparkSession.conf.get(CO_PARTITION) == "true":
         return False
-    return find_hot_groups(rows, ["game_pk"], slot) is None
+    return find_hot_groups(rows, ["game_pk"]) is None
 
 
 def deduplicated(bronze: DataFrame) -> DataFrame:

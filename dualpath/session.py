@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,3 +63,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends there."""
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dualpath.functions import scores
-from dualpath.functions.events import game_order, game_order_slot, pitcher_order_slot
+from dualpath.functions.events import game_order
 from dualpath.functions.numbers import MICRO, frame_mean, micros, share
 from dualpath.functions.scores import Composite, Weights
 from dualpath.operators.corrections import RECENCY
@@ -72,8 +72,7 @@ def live_step(weights: Weights = Weights(), mix: Composite = Composite()):
     def step(batch: DataFrame, state: DataFrame):
         names = [f.name for f in _LIVE if f.name in batch.columns]
         fresh = batch.where(~F.col("is_duplicate")).select(*names)
-        slot = F.when(F.col("_old"), F.lit(-1)).otherwise(pitcher_order_slot())
-        hot = find_hot_groups(fresh.withColumn("_old", F.lit(False)), PITCHER_GAME_KEY, slot)
+        hot = find_hot_groups(fresh, PITCHER_GAME_KEY)
         # Old rows come first, in the order they once arrived; the carried index keeps it.
         order = (
             F.desc("_old"),
@@ -182,8 +181,7 @@ def game_state_step(ingest_time: Column | None = None):
     when = F.current_timestamp() if ingest_time is None else ingest_time
 
     def step(batch: DataFrame, state: DataFrame):
-        slot = F.when(F.col("_old"), F.lit(-1)).otherwise(game_order_slot())
-        hot = find_hot_groups(batch.withColumn("_old", F.lit(False)), ["game_pk"], slot)
+        hot = find_hot_groups(batch, ["game_pk"])
         groups = OrderedGroups(("game_pk",), (F.desc("_old"), *game_order()), hot)
         rows = groups.frames(
             _joined(batch, state), 1, lambda w: {"previous": F.lag(F.struct(*STATE)).over(w)}
@@ -213,8 +211,7 @@ def late_step(delay_seconds: int = 300):
     """Rows behind their key's clock by more than the delay go to a side output."""
 
     def step(batch: DataFrame, state: DataFrame):
-        slot = F.when(F.col("_old"), F.lit(-1)).otherwise(F.col("source_offset"))
-        hot = find_hot_groups(batch.withColumn("_old", F.lit(False)), PITCHER_GAME_KEY, slot)
+        hot = find_hot_groups(batch, PITCHER_GAME_KEY)
         order = (F.desc("_old"), *[F.asc_nulls_last(c) for c in _POSITION])
         rows = _joined(batch.select(*PITCHER_GAME_KEY, "event_time", *_POSITION), state)
         tagged = tag_late(rows, OrderedGroups(tuple(PITCHER_GAME_KEY), order, hot), delay_seconds)
