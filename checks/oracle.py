@@ -565,6 +565,24 @@ deltas as (
 
 _STATE_COLUMNS = "inning_bin, inning_topbot, outs_when_up, bases, score_bin"
 
+LEVERAGE = f"""with {STAGED},
+stated as (
+  select *, least(inning, 9) as inning_bin,
+    (on_1b is not null)::integer + 2 * (on_2b is not null)::integer + 4 * (on_3b is not null)::integer as bases,
+    greatest(-3, least(3, home_score - away_score)) as score_bin,
+    lag(home_score) over ({GAME_ORDINAL}) as p_home, lag(away_score) over ({GAME_ORDINAL}) as p_away
+  from dedup
+),
+marked as (
+  select *, coalesce(home_score > p_home or away_score > p_away, false)::integer as moved,
+    row(inning, inning_topbot, outs_when_up, bases, home_score, away_score, balls, strikes) as state from stated
+),
+li as (
+  select {_STATE_COLUMNS}, cast(sum(moved) as double) / count(*)
+    / (select cast(sum(moved) as double) / count(*) from marked) as leverage_index
+  from marked group by all
+)"""
+
 _HANDED = STAGED + ", handed as (select *, case when batter_id % 2 = 0 then 'L' else 'R' end as batter_hand from staged)"
 
 _USAGE = ", ".join(
@@ -682,23 +700,7 @@ select game_pk, pitcher_id, at_bat_number, pitch_number, delta,
   case when pitch_idx < 30 then 'suppressed_by_governance' when abs(delta) >= 0.002e0 then 'material_update'
     else 'baseline_confirmed' end as revision
 from revised""",
-    "leverage_lookup": f"""with {STAGED},
-stated as (
-  select *, least(inning, 9) as inning_bin,
-    (on_1b is not null)::integer + 2 * (on_2b is not null)::integer + 4 * (on_3b is not null)::integer as bases,
-    greatest(-3, least(3, home_score - away_score)) as score_bin,
-    lag(home_score) over ({GAME_ORDINAL}) as p_home, lag(away_score) over ({GAME_ORDINAL}) as p_away
-  from dedup
-),
-marked as (
-  select *, coalesce(home_score > p_home or away_score > p_away, false)::integer as moved,
-    row(inning, inning_topbot, outs_when_up, bases, home_score, away_score, balls, strikes) as state from stated
-),
-li as (
-  select {_STATE_COLUMNS}, cast(sum(moved) as double) / count(*)
-    / (select cast(sum(moved) as double) / count(*) from marked) as leverage_index
-  from marked group by all
-),
+    "leverage_lookup": f"""{LEVERAGE},
 stepped as (
   select *, lag(state) over ({GAME_ORDINAL}) as was,
     cast(sum(is_late_arrival::integer) over ({GAME_ORDINAL} rows between 9 preceding and current row) as bigint) as recent_late
@@ -837,3 +839,39 @@ union all select 'inning_topbot = ''Top'' AND event_day >= DATE''2024-01-10''',
   where inning_topbot = 'Top' and cast(event_time as date) >= date '2024-01-10'""",
     "incremental_equals_full": f"with {CORRECTED}, {windowed('corrected')} select * from windowed",
 }
+
+ORACLE |= {
+    "kpi_first_signal": f"""with {ALERTS}
+select game_pk, (epoch_us(f.first) - epoch_us(g.start)) / 1e6 as first_signal_seconds,
+  (epoch_us(g.complete) - epoch_us(g.start)) / 1e6 as canonical_seconds
+from (select game_pk, min(event_time) as start, max(ingest_time) as complete from staged group by 1) g
+  left join (select game_pk, min(emitted_time) as first from alerts group by 1) f using (game_pk)""",
+    "leverage_facts": f"""{LEVERAGE}
+select game_pk, at_bat_number, pitch_number, {_STATE_COLUMNS}, leverage_index from marked left join li using ({_STATE_COLUMNS})""",
+    "splits_as_of": f"""with {_HANDED},
+seen_before as (
+  select *, cast(year(event_time) as integer) as season, count(*) over w as seen, count(events) over w as hits
+  from handed where pitch_type is not null
+  window w as (partition by batter_id, year(event_time), batter_hand, pitch_type
+    order by event_time, game_pk, at_bat_number, pitch_number rows between unbounded preceding and 1 preceding)
+)
+select game_pk, at_bat_number, pitch_number, batter_id, season, batter_hand, pitch_type, seen,
+  case when seen > 0 then cast(hits as double) / seen end as xwoba_as_of
+from seen_before""",
+    "batter_context": f"""with {_HANDED}
+select game_pk, at_bat_number, pitch_number, batter_id, batter_hand, pitch_type,
+  count(*) over w as batter_pitches_seen,
+  cast(sum(cast(release_speed as decimal(18,6))) over w as double) / count(release_speed) over w as batter_mean_speed_faced
+from handed window w as (partition by batter_id, year(event_time), batter_hand, pitch_type)""",
+    **{
+        f"resumed_{name}": ORACLE[single]
+        for name, single in {
+            "features": "stream_features",
+            "alerts": "stream_alerts",
+            "game_state": "stream_game_state",
+            "late_rows": "stream_late_rows",
+            "corrections": "stream_corrections",
+            "bronze": "bronze_stream_append",
+        }.items()
+    },
+}

@@ -397,6 +397,11 @@ def kpi_latency(spark, sf_dir):
     return reconcile.latency_percentiles(_alerts(spark, sf_dir))
 
 
+@query
+def kpi_first_signal(spark, sf_dir):
+    return reconcile.first_signals(_staged(spark, sf_dir), _alerts(spark, sf_dir))
+
+
 @query
 def stationarity_probe(spark, sf_dir):
     return reconcile.stationarity_probe(_canonical(spark, sf_dir), "2024-01-15")
@@ -420,6 +425,12 @@ def leverage_lookup(spark, sf_dir):
     return lookups.leverage_changes(pitches, lookups.leverage_table(pitches, hot), hot)
 
 
+@query
+def leverage_facts(spark, sf_dir):
+    pitches = staging.deduplicated(_bronze(spark, sf_dir))
+    return lookups.leverage_facts(pitches, lookups.leverage_table(pitches, _hot_games(spark, sf_dir)))
+
+
 def _handed(spark, sf_dir):
     hand = F.when(F.col("batter_id") % 2 == 0, "L").otherwise("R")
     return _staged(spark, sf_dir).withColumn("batter_hand", hand)
@@ -442,6 +453,13 @@ def matchup_edge(spark, sf_dir):
     )
 
 
+@query
+def splits_as_of(spark, sf_dir):
+    pitches = _handed(spark, sf_dir).withColumn("season", F.year("event_time"))
+    hot = find_hot_groups(pitches, lookups.SPLIT_KEY)
+    return lookups.splits_as_of(pitches, F.col("events").isNotNull().cast("int"), hot)
+
+
 @query
 def pitcher_season(spark, sf_dir):
     return marts.pitcher_season(_staged(spark, sf_dir))
@@ -460,6 +478,14 @@ def canonical_pitches(spark, sf_dir):
     )
 
 
+@query
+def batter_context(spark, sf_dir):
+    pitches = _handed(spark, sf_dir)
+    return marts.with_batter_context(pitches, marts.batter_season(pitches)).select(
+        *schemas.PITCH_KEY, "batter_id", "batter_hand", "pitch_type", "batter_pitches_seen", "batter_mean_speed_faced"
+    )
+
+
 def _labels(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
     hot = find_hot_groups(bronze, ["game_pk", "inning_topbot"])
@@ -564,6 +590,68 @@ def stream_corrections(spark, sf_dir):
     return steps.current_corrections(state.read_output(spark, root, "changes"))
 
 
+def _resumed(spark, sf_dir, name, start):
+    """A stream that is stopped after each of four loads and started again from its checkpoint."""
+    root = new_run_dir(spark, name)
+    for _ in sources.append_events(spark, sf_dir, f"{root}/in"):
+        start(sources.read_files(spark, f"{root}/in", sources.EVENTS), root).awaitTermination()
+    return root
+
+
+def _resumed_live(spark, sf_dir):
+    def start(events, root):
+        rows = bindings.bronze_pitches(events)
+        return state.run_stateful(rows, steps.live_step(), steps.LIVE_STATE, root, once=True)
+
+    return _resumed(spark, sf_dir, "resumed-live", start)
+
+
+@query
+def resumed_features(spark, sf_dir):
+    return state.read_output(spark, _resumed_live(spark, sf_dir), "features")
+
+
+@query
+def resumed_alerts(spark, sf_dir):
+    return state.read_output(spark, _resumed_live(spark, sf_dir), "alerts")
+
+
+@query
+def resumed_game_state(spark, sf_dir):
+    def start(events, root):
+        step = steps.game_state_step(F.col("ingest_time"))
+        return state.run_stateful(bindings.clean_pitches(events), step, steps.GAME_LAST, root, once=True)
+
+    return state.read_output(spark, _resumed(spark, sf_dir, "resumed-states", start), "game_state")
+
+
+@query
+def resumed_late_rows(spark, sf_dir):
+    def start(events, root):
+        rows = bindings.bronze_pitches(events)
+        return state.run_stateful(rows, steps.late_step(), steps.LATEST_CLOCK, root, once=True)
+
+    return state.read_output(spark, _resumed(spark, sf_dir, "resumed-late", start), "late")
+
+
+@query
+def resumed_corrections(spark, sf_dir):
+    def start(events, root):
+        return state.run_stateful(bindings.corrections(events), steps.change_step, None, root, once=True)
+
+    return steps.current_corrections(state.read_output(spark, _resumed(spark, sf_dir, "resumed-cdc", start), "changes"))
+
+
+@query
+def resumed_bronze(spark, sf_dir):
+    def start(events, root):
+        rows = bindings.bronze_pitches(events)
+        return jobs.append_bronze(rows, f"{root}/pitches", f"{root}/checkpoint", once=True)
+
+    root = _resumed(spark, sf_dir, "resumed-bronze", start)
+    return spark.read.parquet(f"{root}/pitches").drop("ingestion_time")
+
+
 def _lake(spark, name):
     root = new_run_dir(spark, name)
     lake = Lake(spark, root, suffix="_" + root.rsplit("-", 1)[1])

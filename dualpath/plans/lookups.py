@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dualpath.functions.numbers import rounded
-from dualpath.operators.ordered import HotGroups
+from dualpath.operators.ordered import HotGroups, OrderedGroups
 from dualpath.operators.transitions import game_groups, with_previous_state
 from dualpath.schemas import PITCH_KEY
 
@@ -72,6 +72,15 @@ def leverage_changes(pitches: DataFrame, table: DataFrame, hot: HotGroups | None
     )
 
 
+def leverage_facts(pitches: DataFrame, table: DataFrame) -> DataFrame:
+    """Each canonical pitch with the state it was thrown in and that state's leverage."""
+    return (
+        pitches.withColumns(leverage_state())
+        .join(table, LEVERAGE_STATE, "left")
+        .select(*PITCH_KEY, *LEVERAGE_STATE, "leverage_index")
+    )
+
+
 def pitch_mix(pitches: DataFrame) -> DataFrame:
     """How often a pitcher throws each type at a count to a hand, with that count's total."""
     situation = ["pitcher_id", "balls", "strikes", "batter_hand"]
@@ -93,6 +102,26 @@ def batter_splits(pitches: DataFrame, value: Column) -> DataFrame:
     )
 
 
+SPLIT_KEY = ["batter_id", "season", "batter_hand", "pitch_type"]
+
+
+def splits_as_of(pitches: DataFrame, value: Column, hot: HotGroups | None = None) -> DataFrame:
+    """Each pitch with its batter's mean outcome value that season so far against its type and hand.
+
+    The pitch itself does not count; NULL where nothing came before it.
+    """
+    order = tuple(F.asc_nulls_last(c) for c in ("event_time", *PITCH_KEY))
+    rows = pitches.where(F.col("pitch_type").isNotNull()).withColumn("_value", value.cast("decimal(18,6)"))
+    rows = rows.select("event_time", *PITCH_KEY, *SPLIT_KEY, "_value")
+    own = F.col("_value")
+    known = own.isNotNull().cast("bigint")
+    rows = OrderedGroups(tuple(SPLIT_KEY), order, hot).running(rows, {"_sum": ("sum", own), "_n": ("sum", known)})
+    before, seen = F.col("_sum") - F.coalesce(own, F.lit(0)), F.col("_n") - known
+    return rows.select(
+        *PITCH_KEY, *SPLIT_KEY, seen.alias("seen"), F.when(seen > 0, before.cast("double") / seen).alias("xwoba_as_of")
+    )
+
+
 def matchup_edges(
     matchups: DataFrame, mix: DataFrame, splits: DataFrame, parks: DataFrame, league: float = 0.25
 ) -> DataFrame:

@@ -65,6 +65,24 @@ def canonical_pitches(staged: DataFrame, pitchers: DataFrame) -> DataFrame:
     )
 
 
+def with_batter_context(pitches: DataFrame, batters: DataFrame) -> DataFrame:
+    """One row per canonical pitch with its batter's season against that hand and pitch type.
+
+    The dimension holds one row per key, a missing pitch type included, so the join never fans out.
+    """
+    key = ["batter_id", "season", "batter_hand", "pitch_type"]
+    context = batters.select(
+        *[F.col(c).alias(f"_{c}") for c in key],
+        F.col("pitches").alias("batter_pitches_seen"),
+        F.col("mean_speed_faced").alias("batter_mean_speed_faced"),
+    )
+    match = F.lit(True)
+    for c in key:
+        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    seasoned = pitches.withColumn("season", F.year("event_time"))
+    return seasoned.join(context, match, "left").drop(*[f"_{c}" for c in key])
+
+
 def removal_label(pitches: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     """Per at-bat: was the pitcher gone within the next two batters the team faced?
 

@@ -280,3 +280,21 @@ def matchup_revisions(
             revision_class(delta, F.col("pitch_idx") < hold_before).alias("revision"),
         )
     )
+
+
+def first_signals(pitches: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Per game: seconds from its first pitch to the stream's first alert, and until the batch had all of it.
+
+    The batch value of a game is known once its last pitch was taken in.
+    """
+    games = pitches.groupBy("game_pk").agg(
+        F.min("event_time").alias("_start"), F.max("ingest_time").alias("_complete")
+    )
+    first = alerts.groupBy("game_pk").agg(F.min("emitted_time").alias("_first"))
+
+    def since(c: str) -> Column:
+        return (F.unix_micros(c) - F.unix_micros("_start")) / F.lit(1_000_000.0)
+
+    return games.join(first, "game_pk", "left").select(
+        "game_pk", since("_first").alias("first_signal_seconds"), since("_complete").alias("canonical_seconds")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,5 +49,18 @@ EVENTS = T.StructType(
 )
 
 
+def append_events(spark: SparkSession, sf_dir: str, folder: str, loads: int = 4) -> Iterator[int]:
+    """Write the events to a folder in several appends by their position, one at each step."""
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    edges = [0] if low is None else [low + (high + 1 - low) * n // loads for n in range(loads)]
+    for n, edge in enumerate(edges):
+        load = events if n == 0 else events.where(F.col("event_id") >= edge)
+        if n + 1 < len(edges):
+            load = load.where(F.col("event_id") < edges[n + 1])
+        load.write.mode("append").parquet(folder)
+        yield n
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, sf_dir, EVENTS, glob="events.parquet")

@@ -37,6 +37,13 @@ HOT = [
     "late_split",
     "signals_provisional",
     "stream_features",
+    "signals_canonical",
+    "pace_trend",
+    "alert_reconciliation",
+    "removal_label",
+    "splits_as_of",
+    "incremental_equals_full",
+    "resumed_late_rows",
 ]
 
 
