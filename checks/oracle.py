@@ -846,6 +846,7 @@ select game_pk, (epoch_us(f.first) - epoch_us(g.start)) / 1e6 as first_signal_se
   (epoch_us(g.complete) - epoch_us(g.start)) / 1e6 as canonical_seconds
 from (select game_pk, min(event_time) as start, max(ingest_time) as complete from staged group by 1) g
   left join (select game_pk, min(emitted_time) as first from alerts group by 1) f using (game_pk)""",
+    "pinned_alerts": f"with {ALERTS} select * replace ('fatigue_v1.1' as model_version) from alerts",
     "leverage_facts": f"""{LEVERAGE}
 select game_pk, at_bat_number, pitch_number, {_STATE_COLUMNS}, leverage_index from marked left join li using ({_STATE_COLUMNS})""",
     "splits_as_of": f"""with {_HANDED},

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dualpath import schemas
+from dualpath.functions.scores import Weights
 from dualpath.operators import dedup, event_time, nested, perturb, quality, transitions
 from dualpath.operators.ordered import OrderedGroups, find_hot_groups
 from dualpath.plans import features, incremental, lookups, marts, reconcile, signals, staging
@@ -339,6 +340,17 @@ def alerts_banded(spark, sf_dir):
     return _alerts(spark, sf_dir)
 
 
+@query
+def pinned_alerts(spark, sf_dir):
+    path = f"{new_run_dir(spark, 'artifact')}/weights"
+    signals.save_weights(spark, Weights(model_version="fatigue_v1.1"), path)
+    pinned = signals.load_weights(spark, path)
+    bronze = _bronze(spark, sf_dir)
+    hot = features.hot_pitchers(bronze)
+    snapshots = signals.signal_snapshots(signals.provisional_features(bronze, hot), pinned)
+    return signals.orchestrate(snapshots, hot, weights=pinned)
+
+
 @query
 def latest_alert(spark, sf_dir):
     return signals.latest_alert(_alerts(spark, sf_dir)).select("alert_uid", "emitted_time", "severity")

@@ -5,9 +5,11 @@ state. Hot keys inside a batch are cut as in batch plans. Two folders of active
 batch that is run again after a crash still finds the state it started from, and every write
 replaces the folder of its own batch, so nothing is lost or repeated.
 
-Keys not heard of for a while leave the active state for an archive laid out by runs of game ids.
-A batch looks up there only the keys it holds and the active state does not, so each batch costs
-what is active, and a key that returns after any time goes on where it was.
+Keys not heard of for a while leave the active state for an archive laid out by runs of game ids, of
+which an index names the current version. A batch reads there only the runs it holds games of, so it
+costs what is active, however many batches there were, and a key that returns after any time goes on
+where it was. A key whose game is NULL matches nothing later and is not archived. Versions that are no
+longer current are left, like finished runs, for the owner of the shared folder to expire.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 Step = Callable[[DataFrame, DataFrame | None], tuple[dict[str, DataFrame], DataFrame | None, list[DataFrame]]]
 
 
+# Which batch last wrote each part of the archive; one row per run of game ids.
+INDEX = T.StructType([T.StructField("part", T.LongType()), T.StructField("version", T.LongType())])
+
+
 @dataclass(frozen=True)
 class Carried:
     """What a step carries: rows with event_time and game_pk among their columns, per key."""
@@ -42,21 +48,26 @@ class Carried:
         if batch_id == 0:
             return spark.createDataFrame([], self.schema)
         active = spark.read.schema(self.schema).parquet(f"{root}/state/slot={(batch_id - 1) % 2}")
-        filed = T.StructType(
-            [*self.schema, T.StructField("batch_id", T.LongType()), T.StructField("part", T.LongType())]
-        )
-        wanted = batch.select(*self.keys, self.part()).distinct()
-        newest = F.max("batch_id").over(Window.partitionBy(*self.keys))
+        wanted = batch.select(*self.keys).distinct()
         restored = (
-            spark.read.schema(filed)
-            .parquet(f"{root}/archive")
-            .where(F.col("batch_id") < batch_id)
-            .join(wanted, [*self.keys, "part"], "left_semi")
+            self._archived(batch.select(self.part()).distinct(), batch_id, root)
+            .join(wanted, list(self.keys), "left_semi")
             .join(active.select(*self.keys).distinct(), list(self.keys), "left_anti")
-            .withColumn("_newest", newest)
-            .where(F.col("batch_id") == F.col("_newest"))
         )
-        return active.unionByName(restored.select(*self.schema.fieldNames()))
+        return active.unionByName(restored)
+
+    def _index(self, spark: SparkSession, batch_id: int, root: str) -> DataFrame:
+        """part, version: the batch that last wrote each part of the archive, as the batch before left it."""
+        if batch_id == 0:
+            return spark.createDataFrame([], INDEX)
+        return spark.read.schema(INDEX).parquet(f"{root}/index/slot={(batch_id - 1) % 2}")
+
+    def _archived(self, parts: DataFrame, batch_id: int, root: str) -> DataFrame:
+        """What the archive holds in these parts. Only their folders are listed, one each."""
+        spark = parts.sparkSession
+        found = self._index(spark, batch_id, root).join(parts, "part", "left_semi").collect()
+        paths = [f"{root}/archive/version={r['version']}/part={r['part']}" for r in found]
+        return spark.read.schema(self.schema).parquet(*paths) if paths else spark.createDataFrame([], self.schema)
 
     def store(self, after: DataFrame, batch: DataFrame, batch_id: int, root: str) -> None:
         clock = batch.agg(F.max(F.unix_micros("event_time")).alias("m")).first()["m"] or 0
@@ -68,10 +79,28 @@ class Carried:
         )
         active = rows.where(~F.col("_idle")).drop("_idle")
         active.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
-        idle = rows.where("_idle").drop("_idle").withColumn("part", self.part())
-        idle.write.mode("overwrite").partitionBy("part").parquet(f"{root}/archive/batch_id={batch_id}")
+        self._file(rows.where("_idle").drop("_idle"), batch_id, root)
         rows.unpersist()
 
+    def _file(self, idle: DataFrame, batch_id: int, root: str) -> None:
+        """Write the parts the idle keys belong to anew, and point the index to them."""
+        touched = idle.where(F.col("game_pk").isNotNull()).select(self.part()).distinct().persist()
+        index = self._index(idle.sparkSession, batch_id, root)
+        if not touched.isEmpty():
+            others = self._archived(touched, batch_id, root).join(
+                idle.select(*self.keys).distinct(), list(self.keys), "left_anti"
+            )
+            filed = idle.where(F.col("game_pk").isNotNull()).unionByName(others)
+            target = f"{root}/archive/version={batch_id}"
+            # Few files a part, however many writes its rows have been through.
+            filed = filed.withColumn("part", self.part()).hint("rebalance", "part")
+            filed.write.mode("overwrite").partitionBy("part").parquet(target)
+            index = index.join(touched, "part", "left_anti").unionByName(
+                touched.withColumn("version", F.lit(batch_id).cast("bigint"))
+            )
+        index.coalesce(1).write.mode("overwrite").parquet(f"{root}/index/slot={batch_id % 2}")
+        touched.unpersist()
+
 
 def run_stateful(
     stream: DataFrame,

@@ -183,7 +183,7 @@ def test_archived_keys_go_on_where_they_were(spark, game_log):
     parts = [early, F.col("game_pk") == 2, (F.col("game_pk") == 1) & (F.col("at_bat_number") >= 16)]
     carried = dataclasses.replace(steps.LIVE_STATE, keep_seconds=3600)
     split = run_steps(spark, log, steps.live_step(), carried, parts)
-    assert spark.read.parquet(f"{split}/archive").where("batch_id = 1 and game_pk = 1").count() > 0
+    assert spark.read.parquet(f"{split}/archive").where("version = 1 and game_pk = 1").count() > 0
     whole = run_steps(spark, log, steps.live_step(), steps.LIVE_STATE, [F.lit(True)])
     for name in ("features", "alerts"):
         assert same(state.read_output(spark, split, name), state.read_output(spark, whole, name))
@@ -192,3 +192,21 @@ def test_archived_keys_go_on_where_they_were(spark, game_log):
     root = run_steps(spark, clean, steps.game_state_step(F.col("ingest_time")), keep, parts)
     batch = transitions.game_state_events(clean, ingest_time=F.col("ingest_time"))
     assert same(state.read_output(spark, root, "game_state"), batch)
+
+
+def test_a_batch_reads_the_same_files_however_many_came_before(spark):
+    schema = "game_pk long, pitcher_id long, event_time timestamp"
+    from pyspark.sql import types as T
+
+    carried = state.Carried(T.StructType.fromDDL(schema), ("game_pk", "pitcher_id"), keep_seconds=60, games_per_part=10)
+    root, files = new_run_dir(spark, "test"), []
+    for n in range(12):
+        batch = spark.createDataFrame([(n % 3, n, START + datetime.timedelta(minutes=10 * n))], schema)
+        batch = batch.coalesce(1)
+        before = carried.load(batch, n, root)
+        carried.store(before.unionByName(batch).coalesce(1), batch, n, root)
+        files.append(len(before.inputFiles()))
+    assert max(files[3:]) == files[3] <= 3
+    # A key that left long ago is found again, and only that one joins the active keys.
+    again = spark.createDataFrame([(1, 4, START)], schema)
+    assert {r["pitcher_id"] for r in carried.load(again, 12, root).collect()} == {4, 11}
