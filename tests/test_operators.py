@@ -34,7 +34,7 @@ def test_clean_text(spark):
 def test_absent_score_columns_default_to_zero(spark):
     df = frame(spark, [pitch()]).withColumnsRenamed({"pitcher_id": "pitcher", "batter_id": "batter"})
     got = raw.typed_pitches(df.drop("home_score", "away_score")).first()
-    assert (got["home_score"], got["away_score"], got["pitcher_id"]) == (0, 0, 605400)
+    assert (got["home_score"], got["away_score"], got["pitcher_id"]) == (0, 0, 5150)
 
 
 def test_twelve_pitch_game(spark):
@@ -66,7 +66,7 @@ def test_transition_pairs(spark, second, expected):
         assert (named == 2) == (r["event_type"] == "pitching_change")
 
 
-@pytest.mark.parametrize("half, home, away", [("Top", 605400, None), ("Bot", None, 605400)])
+@pytest.mark.parametrize("half, home, away", [("Top", 5150, None), ("Bot", None, 5150)])
 def test_game_start_names_the_fielding_pitcher(spark, half, home, away):
     got = transitions.game_state_events(frame(spark, [pitch(inning_topbot=half)])).first()
     assert (got["home_pitcher_id"], got["away_pitcher_id"]) == (home, away)
@@ -104,14 +104,14 @@ def test_dedup_prefers_newest_then_on_time(spark):
     ]
     got = staging.deduplicated(frame(spark, rows, position=True)).orderBy("pitch_number").collect()
     assert [(r["pitch_number"], r["is_late_arrival"], r["release_speed"]) for r in got] == [
-        (1, False, 95.0),
+        (1, False, 93.5),
         (2, False, 90.0),
     ]
 
 
 def fixes(spark, *rows):
     at = [START + datetime.timedelta(minutes=m) for _, _, _, m in rows]
-    data = [(t, t, 999001, uid, field, None, new) for t, (uid, field, new, _) in zip(at, rows)]
+    data = [(t, t, 41007, uid, field, None, new) for t, (uid, field, new, _) in zip(at, rows)]
     return spark.createDataFrame(data, schemas.CORRECTION)
 
 
@@ -119,22 +119,22 @@ def test_corrections(spark):
     rows = [pitch(pitch_number=n) for n in (1, 2, 3, 4)]
     log = fixes(
         spark,
-        ("999001:1:1", "pitch_type", "SI", 1),
-        ("999001:1:1", "pitch_type", "FC", 2),
-        ("999001:1:2", "pitch_type", "SI", 1),
-        ("999001:1:2", "pitch_type", None, 2),
-        ("0999001:1:3", "pitch_type", "KC", 1),
-        ("999001:1:3", "zone", "9", 1),
-        ("999001:1:4", "release_speed", "n/a", 1),
+        ("41007:1:1", "pitch_type", "SI", 1),
+        ("41007:1:1", "pitch_type", "FC", 2),
+        ("41007:1:2", "pitch_type", "SI", 1),
+        ("41007:1:2", "pitch_type", None, 2),
+        ("041007:1:3", "pitch_type", "KC", 1),
+        ("41007:1:3", "zone", "9", 1),
+        ("41007:1:4", "release_speed", "n/a", 1),
         ("1:1:1", "pitch_type", "KC", 1),
     )
     bronze = frame(spark, rows, position=True)
     typed = {r["pitch_number"]: r for r in staging.staged_pitches(bronze, log).collect()}
     assert [typed[n]["pitch_type"] for n in (1, 2, 3, 4)] == ["FC", "FF", "FF", "FF"]
-    assert typed[3]["zone"] == 5
+    assert typed[3]["zone"] == 4
     full = {r["pitch_number"]: r for r in staging.staged_pitches_all_fields(bronze, log).collect()}
     assert [full[n]["pitch_type"] for n in (1, 2, 3, 4)] == ["FC", "FF", "FF", "FF"]
-    assert (full[3]["zone"], full[4]["release_speed"]) == (9, 95.0)
+    assert (full[3]["zone"], full[4]["release_speed"]) == (9, 93.5)
     assert corrections.latest_corrections(log).count() == 6
 
 
