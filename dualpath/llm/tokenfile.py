@@ -40,7 +40,7 @@ JOINED = 500  # new words encoded in one call
 CACHE_BYTES = 64  # longer words are not kept
 READ_IDS = 1 << 20
 MARK = b"<|"  # how special tokens begin; words that hold it are encoded alone
-TAIL = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=\s|$)")
+TAIL = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?]+)(?=\s|$)")
 ACCURACY = 10_000
 
 
@@ -110,10 +110,13 @@ def load(path: str):
 def split_words(text: str) -> list[bytes]:
     """Words that a lower-casing tokenizer encodes on their own: punctuation after a letter or digit is its own word.
 
-    ASCII letters are lowered here already, except where a special token, whose case matters, may stand.
+    Words that are wholly ASCII are lowered here already, except where a special token, whose case matters, may stand.
+    Others are left to the tokenizer, which composes a letter and its marks before it lowers them.
     """
     data = text.encode()
-    return TAIL.sub(rb" \1", data if MARK in data else data.lower()).split()
+    plain = data.isascii() and MARK not in data
+    split = TAIL.sub(rb" \1", data.lower() if plain else data).split()
+    return split if plain else [w.lower() if w.isascii() and MARK not in w else w for w in split]
 
 
 class WordIds:
