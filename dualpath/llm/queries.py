@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import ann, bpe, common, mixing, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
+from dualpath.llm import ann, bpe, common, mixing, phrases, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
+from dualpath.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
@@ -85,3 +85,8 @@ def op5_warc(spark, sf_dir):
     return warc.read(spark, archives, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"
     )
+
+
+@query
+def op11_phrases(spark, sf_dir):
+    return phrases.phrases(common.table(spark, sf_dir, "documents"))
