@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import ann, bpe, common, mixing, phrases, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
+from dualpath.llm import ann, bpe, common, conversations, mixing, phrases, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
 from dualpath.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op5_warc(spark, sf_dir):
 @query
 def op11_phrases(spark, sf_dir):
     return phrases.phrases(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversations(spark, sf_dir):
+    return conversations.Repair(common.table(spark, sf_dir, "conversations")).report()
