@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dualpath.llm import ann, bpe, common, conversations, mixing, phrases, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
+from dualpath.llm import ann, bpe, common, conversations, mixing, phrases, quality, simhash, substring, token_counts, tokenfile, topk, toxicity, warc
 from dualpath.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,10 @@ def op11_phrases(spark, sf_dir):
 @query
 def op13_conversations(spark, sf_dir):
     return conversations.Repair(common.table(spark, sf_dir, "conversations")).report()
+
+
+@query
+def op12_quality(spark, sf_dir):
+    docs, labels = (common.table(spark, sf_dir, t) for t in ("documents", "labels"))
+    ranked = quality.rank(docs, labels, ["doc_id"])
+    return ranked.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
