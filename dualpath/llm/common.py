@@ -36,7 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends there and lost executors cost nothing."""
     path = new_run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by written() that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def text_bytes(df: DataFrame, col: str) -> int:

@@ -11,6 +11,7 @@ their words, exactly, and their sums decide. A bit map that is full lets more n-
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,11 @@ TOP = 2000
 COVERED = 50  # percent
 SCALE = 1_000_000
 CHUNK = 1 << 20  # words and piece ends counted at a time
-GRAMS = 4 << 20  # occurrences a hash partition, about
+GRAMS = 16 << 20  # occurrences a hash partition, about
 BYTES_A_GRAM = 1.8  # of text
 MOST_PARTS = 1 << 17
 CODE_BITS = 21
-HASH_BITS = 40
+HASH_BITS = 32
 MAP_BITS = 28  # of the bit map, at most: 32 MB
 SEGMENT_BITS = 19
 HELD = 2 << 20  # exact counts that a task holds before it passes them on
@@ -96,9 +97,13 @@ def grams(codes: np.ndarray, skip: int, hashes: np.ndarray, lang: str, parts: in
         total = total[:n] + mixed(word[size - 1 :] + _STEP[size - 1]) * _STEP[size - 1]
         at = np.flatnonzero(here)
         at = at[at + size > skip]
-        hashed = mixed(total[at])
-        part = (hashed & np.uint64(0xFFFFFF)) * np.uint64(parts) >> np.uint64(24)
-        yield size, at, part << np.uint64(HASH_BITS) | hashed >> np.uint64(64 - HASH_BITS)
+        yield size, at, keyed(mixed(total[at]), parts)
+
+
+def keyed(hashed: np.ndarray, parts: int) -> np.ndarray:
+    """Hash partition and hash, from low and high bits of a 64-bit hash."""
+    part = (hashed & np.uint64(0xFFFFFF)) * np.uint64(parts) >> np.uint64(24)
+    return part << np.uint64(HASH_BITS) | hashed >> np.uint64(64 - HASH_BITS)
 
 
 def packed(hashes: np.ndarray, counts: np.ndarray | None = None) -> bytes:
@@ -159,12 +164,12 @@ def summaries(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, own, skip, codes in chunks(batches):
             keys = np.concatenate([k for _, _, k in grams(own, skip, codes.hashes, lang, parts)])
-            yield from _rows(*np.unique(keys, return_counts=True))
+            yield from packed_rows(*np.unique(keys, return_counts=True))
 
     return run
 
 
-def _rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def packed_rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     part = (keys >> np.uint64(HASH_BITS)).astype(np.int32)
     hashes = keys & np.uint64((1 << HASH_BITS) - 1)
     edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)]))
@@ -236,42 +241,50 @@ def bit_map(survivors: DataFrame, most_bits: int) -> np.ndarray:
     """One bit for each survivor, in a map of 16 bits a survivor and at most 2 ** most_bits."""
     n = survivors.agg(F.sum("n")).first()[0] or 0
     bits = min(most_bits, max(SEGMENT_BITS, (16 * n).bit_length()))
+    return np.packbits(cells(survivors, bits, pack=True), bitorder="little")
+
+
+def cells(found: DataFrame, bits: int, pack: bool = False) -> np.ndarray:
+    """2 ** bits cells (part, n, data): at each hash's place the logarithm of its largest count, or 1 if none is packed."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p, k, data in zip(*(batch.column(c).to_pylist() for c in ("part", "n", "data"))):
-                at = np.unique(_place(np.uint64(p) << np.uint64(HASH_BITS) | unpacked(data, k)[0], bits))
+                hashes, counts = unpacked(data, k)
+                at = place(np.uint64(p) << np.uint64(HASH_BITS) | hashes, bits)
+                value = (np.log2(counts) + 1).astype(np.uint8) if len(counts) else np.ones(len(at), np.uint8)
+                order = np.argsort(at)
+                at, value = at[order], value[order]
                 segment = at >> np.uint64(SEGMENT_BITS)
                 edges = np.concatenate(([0], np.flatnonzero(np.diff(segment)) + 1, [len(at)])).tolist()
                 spans = [(a, b) for a, b in zip(edges[:-1], edges[1:]) if a < b]
                 low = (at & np.uint64((1 << SEGMENT_BITS) - 1)).astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(segment[a]) for a, _ in spans], pa.int32()), pa.array([low[a:b].tobytes() for a, b in spans], pa.binary())],
-                    names=["segment", "places"],
-                )
+                columns = [int(segment[a]) for a, _ in spans], [low[a:b].tobytes() for a, b in spans], [value[a:b].tobytes() for a, b in spans]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], names=["segment", "places", "most"])
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[int, np.ndarray] = {}
         for batch in batches:
-            for segment, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = out.setdefault(segment, np.zeros(1 << SEGMENT_BITS, bool))
-                own[np.frombuffer(data, "<u4")] = True
+            for segment, data, most in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                own = out.setdefault(segment, np.zeros(1 << SEGMENT_BITS, np.uint8))
+                np.maximum.at(own, np.frombuffer(data, "<u4"), np.frombuffer(most, np.uint8))
         for segment, own in out.items():
-            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], names=["segment", "bits"])
-
-    dealt = survivors.mapInArrow(places, "segment int, places binary").repartition(common.partitions(survivors.sparkSession), "segment")
-    whole = np.zeros(1 << (bits - 3), np.uint8)
-    each = 1 << (SEGMENT_BITS - 3)
-    for r in dealt.mapInArrow(filled, "segment int, bits binary").collect():  # the map in segments: at most 2 ** most_bits bits
-        whole[r["segment"] * each : (r["segment"] + 1) * each] = np.frombuffer(r["bits"], np.uint8)
+            own = np.packbits(own > 0, bitorder="little") if pack else own
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["segment", "cells"])
+
+    dealt = found.mapInArrow(places, "segment int, places binary, most binary").repartition(common.partitions(found.sparkSession), "segment")
+    whole = np.zeros(1 << bits, np.uint8)
+    for r in dealt.mapInArrow(filled, "segment int, cells binary").collect():  # the map in segments, of a size that is given
+        own = np.frombuffer(r["cells"], np.uint8)
+        whole[r["segment"] << SEGMENT_BITS : r["segment"] + 1 << SEGMENT_BITS] = np.unpackbits(own, bitorder="little") if pack else own
     return whole
 
 
-def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+def place(keys: np.ndarray, bits: int) -> np.ndarray:
     return mixed(keys) & np.uint64((1 << bits) - 1)
 
 
-COUNTS = "lang string, size int, phrase string, f long"
+COUNTS = "bucket int, lang string, n long, phrases binary, counts binary"
 
 
 class Exact:
@@ -292,25 +305,58 @@ class Exact:
     def __len__(self) -> int:
         return sum(len(k) for k, _, _ in self.by_lang.values())
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
+    def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        """Per language and bucket its n-grams in order, one a line, and their counts; the empty one counts the words."""
         word, low = self.codes.words.__getitem__, (1 << CODE_BITS) - 1
         for lang, (keys, counts, total) in self.by_lang.items():
-            yield self._batch(lang, np.zeros(1, np.int64), [b""], np.array([total]))
-            for at in range(0, len(keys), 1 << 16):
-                some = keys[at : at + (1 << 16)].astype(np.int64)
-                parts = [(some >> (CODE_BITS * (LONGEST - 1 - i)) & low) for i in range(LONGEST)]
-                sizes = sum((p > 0).astype(np.int64) for p in parts)
-                names = [b" ".join(map(word, filter(None, ws))) for ws in zip(*(p.tolist() for p in parts))]
-                yield self._batch(lang, sizes, names, counts[at : at + (1 << 16)])
+            parts = [(keys >> (CODE_BITS * (LONGEST - 1 - i)) & low).tolist() for i in range(LONGEST)]
+            names = [b" ".join(map(word, filter(None, ws))) for ws in zip(*parts)] + [b""]
+            counts = np.append(counts, total)
+            bucket = np.fromiter((zlib.crc32(n) % buckets for n in names), np.int64, len(names))
+            order = np.argsort(bucket, kind="stable")
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)])).tolist()
+            press = zstandard.ZstdCompressor(level=1).compress
+            for a, b in zip(edges[:-1], edges[1:]):
+                own = sorted(order[a:b].tolist(), key=names.__getitem__)
+                lines = press(b"\n".join([names[i] for i in own]))
+                columns = [int(bucket[order[a]])], [lang], [len(own)], [lines], [press(counts[own].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())]
+                kinds = common.arrow_types(COUNTS)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
+
+
+FREQUENT = "lang string, size int, phrase string, f long"
 
-    @staticmethod
-    def _batch(lang: str, sizes: np.ndarray, names: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array([lang] * len(names)), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "f"])
+
+def summed(least: int):
+    """Packed exact counts, sorted by bucket, to the n-grams with f >= least, and per language size 0 with all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, sums = None, {}
+        for batch in batches:
+            for b, lang, n, lines, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "lang", "n", "phrases", "counts"))):
+                if b != bucket:
+                    yield from rows(sums)
+                    bucket, sums = b, {}
+                unpack = zstandard.ZstdDecompressor().decompress
+                own, planes = sums.setdefault(lang, {}), np.frombuffer(unpack(counts), np.uint8).reshape(8, n)
+                for name, f in zip(unpack(lines).split(b"\n"), np.ascontiguousarray(planes.T).view("<u8").ravel().tolist()):
+                    own[name] = own.get(name, 0) + f
+        yield from rows(sums)
+
+    def rows(sums: dict) -> Iterator[pa.RecordBatch]:
+        for lang, own in sums.items():
+            kept = [(name, f) for name, f in own.items() if f >= least or not name]
+            for at in range(0, len(kept), 1 << 16):
+                names, counts = zip(*kept[at : at + (1 << 16)])
+                sizes = [name.count(b" ") + 1 if name else 0 for name in names]
+                columns = [pa.array([lang] * len(names)), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "f"])
+
+    return run
 
 
-def exact_counts(parts: int, shared):
-    """Texts to exact counts of the n-grams that hit the bit map; size 0 holds the number of words."""
+def exact_counts(parts: int, buckets: int, shared):
+    """Texts to packed exact counts of the n-grams that hit the bit map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits_of = shared.value
@@ -319,20 +365,20 @@ def exact_counts(parts: int, shared):
         for lang, codes, skip, book in chunks(batches):
             if own is None or own.codes is not book or len(own) > HELD:
                 if own is not None:
-                    yield from own.rows()
+                    yield from own.rows(buckets)
                 own = Exact(book)
             hit, total = [], 0
             for size, at, keys in grams(codes, skip, book.hashes, lang, parts):
                 total += len(at) if size == 1 else 0
-                place = _place(keys, bits)
-                at = at[(bits_of[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+                cell = place(keys, bits)
+                at = at[(bits_of[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0]
                 key = np.zeros(len(at), np.int64)
                 for i in range(size):
                     key |= codes[at + i] << (CODE_BITS * (LONGEST - 1 - i))
                 hit.append(key)
             own.add(lang, np.concatenate(hit), total)
         if own is not None:
-            yield from own.rows()
+            yield from own.rows(buckets)
 
     return run
 
@@ -348,9 +394,11 @@ def frequent_grams(docs: DataFrame, lang: str, text: str, least: int, map_bits:
     dealt = found.select("part", "n", "data").repartition(max(common.partitions(spark), min(parts, 1 << 13)), "part").sortWithinPartitions("part")
     survivors = common.written(dealt.mapInArrow(merged(masses, least), SURVIVORS), "survivors")
     shared = spark.sparkContext.broadcast(bit_map(survivors, map_bits))
-    counted = read.mapInArrow(exact_counts(parts, shared), COUNTS)
-    sums = counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-    return common.written(sums.filter((F.col("size") == 0) | (F.col("f") >= least)), "counts")
+    buckets = max(common.partitions(spark), 4 * parts)
+    counts = read.mapInArrow(exact_counts(parts, buckets, shared), COUNTS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    out = common.written(counts.mapInArrow(summed(least), FREQUENT), "counts")
+    common.discard(found, survivors)
+    return out
 
 
 def phrases(

@@ -84,7 +84,7 @@ def test_summaries_keep_what_is_frequent(steps):
 
 
 def test_packed_hashes():
-    hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 999).astype(np.uint64))
+    hashes = np.unique(np.random.default_rng(1).integers(0, 1 << 32, 999).astype(np.uint64))
     counts = np.arange(len(hashes)) * 1000
     back, n = phrases.unpacked(phrases.packed(hashes, counts), len(hashes))
     assert back.tolist() == hashes.tolist() and n.tolist() == counts.tolist()
