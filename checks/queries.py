@@ -16,7 +16,7 @@ from dualpath.plans import features, incremental, lookups, marts, reconcile, sig
 from dualpath.session import new_run_dir, tune
 from dualpath.sources import bindings, raw, topics
 from dualpath.sources.lake import Lake
-from dualpath.streaming import jobs, sources, state, steps
+from dualpath.streaming import jobs, sources, steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -544,10 +544,10 @@ def bronze_stream_append(spark, sf_dir):
 def multi_sink(spark, sf_dir):
     root = new_run_dir(spark, "smoke")
     jobs.wait_all(jobs.start_smoke_job(_bronze_stream(spark, sf_dir), root, once=True))
-    arrivals = state.read_output(spark, root, "arrivals").groupBy("pitcher_id").agg(
+    arrivals = jobs.read_batches(spark, f"{root}/arrivals").groupBy("pitcher_id").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest")
     )
-    bronze = state.read_output(spark, root, "bronze").groupBy("pitcher_id").agg(
+    bronze = jobs.read_batches(spark, f"{root}/bronze").groupBy("pitcher_id").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_time").alias("latest")
     )
     counted = spark.read.parquet(f"{root}/counts").groupBy("pitcher_id").agg(
@@ -560,107 +560,121 @@ def multi_sink(spark, sf_dir):
     )
 
 
-def _live(spark, sf_dir):
-    root = new_run_dir(spark, "live")
-    stream = _bronze_stream(spark, sf_dir)
-    state.run_stateful(stream, steps.live_step(), steps.LIVE_STATE, root, once=True).awaitTermination()
-    return root
+def _one_load(spark, sf_dir):
+    """The stream of all events at once."""
+    yield sources.read_events(spark, sf_dir)
+
+
+def _four_loads(spark, sf_dir):
+    """The events in four loads; each time the stream is taken up anew."""
+    folder = new_run_dir(spark, "loads")
+    for _ in sources.append_events(spark, sf_dir, folder):
+        yield sources.read_files(spark, folder, sources.EVENTS)
+
+
+def _appended(spark, sf_dir, loads, job, partitions=()):
+    """What a job has appended once every load has run and ended, each from the checkpoint of the one before."""
+    root = new_run_dir(spark, "job")
+    for events in loads(spark, sf_dir):
+        out = job(events)
+        jobs.append_files(out, f"{root}/out", f"{root}/checkpoint", partitions, once=True).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def _features_of(events):
+    return steps.live_features(bindings.bronze_pitches(events))
+
+
+def _live_features(spark, sf_dir, loads):
+    rows = _appended(spark, sf_dir, loads, _features_of)
+    return rows.select(*signals.STATE_KEY, "is_late_arrival", "event_time", "pitch_idx", *steps.LIVE_FEATURES)
+
+
+def _live_alerts(spark, sf_dir, loads):
+    """Two jobs: one appends features, the other reads them as its own stream."""
+    root = new_run_dir(spark, "alerts")
+    for events in loads(spark, sf_dir):
+        features = _features_of(events)
+        jobs.append_files(features, f"{root}/features", f"{root}/checkpoint/features", once=True).awaitTermination()
+        alerts = steps.live_alerts(sources.read_files(spark, f"{root}/features", features.schema))
+        jobs.append_files(alerts, f"{root}/alerts", f"{root}/checkpoint/alerts", once=True).awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(f"{root}/alerts")
+
+
+def _live_states(spark, sf_dir, loads):
+    job = lambda events: steps.game_states(bindings.clean_pitches(events), F.col("ingest_time"))
+    return _appended(spark, sf_dir, loads, job)
+
+
+def _live_late(spark, sf_dir, loads):
+    job = lambda events: steps.tagged_late(bindings.bronze_pitches(events))
+    return _appended(spark, sf_dir, loads, job, ("is_late",)).where("is_late")
+
+
+def _live_changes(spark, sf_dir, loads):
+    root = new_run_dir(spark, "changes")
+    for events in loads(spark, sf_dir):
+        job = jobs.append_batches(bindings.corrections(events), f"{root}/log", f"{root}/checkpoint", steps.newest_changes, once=True)
+        job.awaitTermination()
+    return steps.newest_changes(jobs.read_batches(spark, f"{root}/log"))
 
 
 @query
 def stream_features(spark, sf_dir):
-    return state.read_output(spark, _live(spark, sf_dir), "features")
+    return _live_features(spark, sf_dir, _one_load)
 
 
 @query
 def stream_alerts(spark, sf_dir):
-    return state.read_output(spark, _live(spark, sf_dir), "alerts")
+    return _live_alerts(spark, sf_dir, _one_load)
 
 
 @query
 def stream_game_state(spark, sf_dir):
-    root = new_run_dir(spark, "states")
-    stream = bindings.clean_pitches(sources.read_events(spark, sf_dir))
-    step = steps.game_state_step(F.col("ingest_time"))
-    state.run_stateful(stream, step, steps.GAME_LAST, root, once=True).awaitTermination()
-    return state.read_output(spark, root, "game_state")
+    return _live_states(spark, sf_dir, _one_load)
 
 
 @query
 def stream_late_rows(spark, sf_dir):
-    root = new_run_dir(spark, "late")
-    stream = _bronze_stream(spark, sf_dir)
-    state.run_stateful(stream, steps.late_step(), steps.LATEST_CLOCK, root, once=True).awaitTermination()
-    return state.read_output(spark, root, "late")
+    return _live_late(spark, sf_dir, _one_load)
 
 
 @query
 def stream_corrections(spark, sf_dir):
-    root = new_run_dir(spark, "cdc")
-    stream = bindings.corrections(sources.read_events(spark, sf_dir))
-    state.run_stateful(stream, steps.change_step, None, root, once=True).awaitTermination()
-    return steps.current_corrections(state.read_output(spark, root, "changes"))
-
-
-def _resumed(spark, sf_dir, name, start):
-    """A stream that is stopped after each of four loads and started again from its checkpoint."""
-    root = new_run_dir(spark, name)
-    for _ in sources.append_events(spark, sf_dir, f"{root}/in"):
-        start(sources.read_files(spark, f"{root}/in", sources.EVENTS), root).awaitTermination()
-    return root
-
-
-def _resumed_live(spark, sf_dir):
-    def start(events, root):
-        rows = bindings.bronze_pitches(events)
-        return state.run_stateful(rows, steps.live_step(), steps.LIVE_STATE, root, once=True)
-
-    return _resumed(spark, sf_dir, "resumed-live", start)
+    return _live_changes(spark, sf_dir, _one_load)
 
 
 @query
 def resumed_features(spark, sf_dir):
-    return state.read_output(spark, _resumed_live(spark, sf_dir), "features")
+    return _live_features(spark, sf_dir, _four_loads)
 
 
 @query
 def resumed_alerts(spark, sf_dir):
-    return state.read_output(spark, _resumed_live(spark, sf_dir), "alerts")
+    return _live_alerts(spark, sf_dir, _four_loads)
 
 
 @query
 def resumed_game_state(spark, sf_dir):
-    def start(events, root):
-        step = steps.game_state_step(F.col("ingest_time"))
-        return state.run_stateful(bindings.clean_pitches(events), step, steps.GAME_LAST, root, once=True)
-
-    return state.read_output(spark, _resumed(spark, sf_dir, "resumed-states", start), "game_state")
+    return _live_states(spark, sf_dir, _four_loads)
 
 
 @query
 def resumed_late_rows(spark, sf_dir):
-    def start(events, root):
-        rows = bindings.bronze_pitches(events)
-        return state.run_stateful(rows, steps.late_step(), steps.LATEST_CLOCK, root, once=True)
-
-    return state.read_output(spark, _resumed(spark, sf_dir, "resumed-late", start), "late")
+    return _live_late(spark, sf_dir, _four_loads)
 
 
 @query
 def resumed_corrections(spark, sf_dir):
-    def start(events, root):
-        return state.run_stateful(bindings.corrections(events), steps.change_step, None, root, once=True)
-
-    return steps.current_corrections(state.read_output(spark, _resumed(spark, sf_dir, "resumed-cdc", start), "changes"))
+    return _live_changes(spark, sf_dir, _four_loads)
 
 
 @query
 def resumed_bronze(spark, sf_dir):
-    def start(events, root):
+    root = new_run_dir(spark, "resumed-bronze")
+    for events in _four_loads(spark, sf_dir):
         rows = bindings.bronze_pitches(events)
-        return jobs.append_bronze(rows, f"{root}/pitches", f"{root}/checkpoint", once=True)
-
-    root = _resumed(spark, sf_dir, "resumed-bronze", start)
+        jobs.append_bronze(rows, f"{root}/pitches", f"{root}/checkpoint", once=True).awaitTermination()
     return spark.read.parquet(f"{root}/pitches").drop("ingestion_time")
 
 

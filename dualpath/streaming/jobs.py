@@ -6,7 +6,9 @@ is laid out by it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,6 +65,19 @@ def append_files(
     )
 
 
+def append_batches(df: DataFrame, path: str, checkpoint: str, change: Callable[[DataFrame], DataFrame], once: bool = False) -> StreamingQuery:
+    """Each batch, changed as a whole, to a folder of its own that a repeated batch overwrites."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        change(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(df, checkpoint, once, lambda w: w.foreachBatch(handle))
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def append_bronze(pitches: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     return append_files(bronze_rows(pitches), path, checkpoint, ("event_day",), once)
 

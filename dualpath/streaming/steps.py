@@ -1,33 +1,31 @@
-"""Steps for run_stateful: live features and alerts, game-state events, late rows, corrections."""
+"""Stateful jobs on Spark's own state: live features, alerts, game-state events, late rows, corrections.
+
+Each takes a stream and returns one. What a task carries from batch to batch is in keyed.py; everything else is plain columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dualpath.functions import scores
-from dualpath.functions.events import game_order
-from dualpath.functions.numbers import MICRO, frame_mean, micros, share
+from dualpath.functions.numbers import MICRO, micros
 from dualpath.functions.scores import Composite, Weights
 from dualpath.operators.corrections import RECENCY
-from dualpath.operators.dedup import first_n_per_key, newest_per_key
-from dualpath.operators.event_time import tag_late
-from dualpath.operators.ordered import OrderedGroups, find_hot_groups
+from dualpath.operators.dedup import newest_per_key
 from dualpath.operators.transitions import STATE, transition_rows
 from dualpath.plans.marts import USAGE_TYPES
-from dualpath.plans.signals import STATE_KEY, TRAILING_WIDTH, WARM_UP, alert_rows, in_zone, with_signals
-from dualpath.schemas import GAME_STATE, PITCH, PITCHER_GAME_KEY
-from dualpath.streaming.state import Carried
+from dualpath.plans.signals import SIGNAL_COLUMNS, STATE_KEY, TRAILING_WIDTH, WARM_UP, alert_rows, in_zone, with_signals
+from dualpath.schemas import GAME_STATE, PITCHER_GAME_KEY
+from dualpath.streaming.keyed import Running, carry
 
 # Rows of history a live feature may look back on.
 TAIL = 20
 PACE_WIDTH = 10
 ZONE_WIDTH = 15
+BASELINE = 20
 
-_ARRIVAL = ["at_bat_number", "pitch_number", "is_late_arrival", "source_offset"]
 _TYPES = {t: f"thrown_{t.lower()}" for t in USAGE_TYPES}
-_COUNTERS = ["pitch_idx", "_v", "_vn", "_s", "_sn", *_TYPES.values()]
 
 LIVE_FEATURES = [
     "velocity_last_20_avg",
@@ -37,201 +35,127 @@ LIVE_FEATURES = [
     *_TYPES.values(),
 ]
 
-_types = {f.name: f.dataType for f in PITCH} | {"source_offset": T.LongType()}
-_LIVE = T.StructType(
-    [
-        T.StructField(c, _types[c])
-        for c in [
-            *PITCHER_GAME_KEY,
-            *_ARRIVAL,
-            "event_time",
-            "ingest_time",
-            "release_speed",
-            "release_spin_rate",
-            "zone",
-            "pitch_type",
-        ]
-    ]
-    + [T.StructField("_pace", T.LongType())]
-    + [T.StructField(c, T.LongType()) for c in _COUNTERS]
-    + [T.StructField("_rank", T.IntegerType())]
+LIVE = Running(
+    index="pitch_idx",
+    windows={
+        "speed_20": ("speed", TAIL),
+        "spin_20": ("spin", TAIL),
+        "zone_15": ("zoned", ZONE_WIDTH),
+        "speed_16": ("speed", TRAILING_WIDTH),
+        "spin_16": ("spin", TRAILING_WIDTH),
+        "zone_16": ("zoned", TRAILING_WIDTH),
+    },
+    gaps={"pace_10": ("clock", PACE_WIDTH)},
+    totals={name: f"is_{t.lower()}" for t, name in _TYPES.items()},
+    first={"speed_first": ("speed", BASELINE), "spin_first": ("spin", BASELINE)},
 )
-LIVE_STATE = Carried(_LIVE, tuple(PITCHER_GAME_KEY))
 
 
-def _joined(batch: DataFrame, state: DataFrame) -> DataFrame:
-    """State rows, marked and first, with the batch's rows after them."""
-    return state.withColumn("_old", F.lit(True)).unionByName(
-        batch.withColumn("_old", F.lit(False)), allowMissingColumns=True
-    )
+def _mean(name: str) -> Column:
+    n = F.col(f"{name}_n")
+    return F.when(n > 0, F.col(name) / (n * F.lit(float(MICRO))))
 
 
-def live_step(weights: Weights = Weights(), mix: Composite = Composite()):
-    """Features, signals and alerts of each arriving pitch from the key's last rows and counters."""
-
-    def step(batch: DataFrame, state: DataFrame):
-        names = [f.name for f in _LIVE if f.name in batch.columns]
-        fresh = batch.where(~F.col("is_duplicate")).select(*names)
-        hot = find_hot_groups(fresh, PITCHER_GAME_KEY)
-        # Old rows come first, in the order they once arrived; the carried index keeps it.
-        order = (
-            F.desc("_old"),
-            F.when(F.col("_old"), F.col("pitch_idx")).asc_nulls_last(),
-            *[F.asc_nulls_last(c) for c in _ARRIVAL],
-        )
-        groups = OrderedGroups(tuple(PITCHER_GAME_KEY), order, hot)
-        rows = _joined(fresh, state)
-        old, new = F.col("_old"), ~F.col("_old")
-
-        carried = F.struct(*_COUNTERS)
-        rows = groups.running(
-            rows.withColumn("_was", F.when(old, carried)),
-            {"_c": ("last", F.col("_was")), "_n": ("sum", new.cast("bigint"))},
-        )
-        index = F.coalesce(F.col("_c.pitch_idx"), F.lit(0)) + F.col("_n")
-        rows = rows.withColumn("_idx", F.when(old, F.col("pitch_idx")).otherwise(index))
-
-        early = new & (F.col("_idx") <= 20)
-        speed = F.when(early, micros(F.col("release_speed")))
-        spin = F.when(early, micros(F.col("release_spin_rate")))
-        rows = groups.running(
-            rows,
-            {
-                "_r__v": ("sum", speed),
-                "_r__vn": ("sum", F.when(speed.isNotNull(), 1)),
-                "_r__s": ("sum", spin),
-                "_r__sn": ("sum", F.when(spin.isNotNull(), 1)),
-                **{
-                    f"_r_{n}": ("sum", F.when(new & (F.col("pitch_type") == t), 1))
-                    for t, n in _TYPES.items()
-                },
-            },
-        )
-        totals = {
-            c: F.when(old, F.col(c)).otherwise(_plus(F.col("_c")[c], F.col(f"_r_{c}")))
-            for c in _COUNTERS
-            if c != "pitch_idx"
-        }
-        rows = rows.withColumns(totals).withColumn("pitch_idx", F.col("_idx"))
-
-        rows = groups.frames(
-            rows,
-            1,
-            lambda w: {
-                "_pace": F.when(old, F.col("_pace")).otherwise(
-                    F.unix_micros("event_time") - F.lag(F.unix_micros("event_time")).over(w)
-                )
-            },
-        )
-        seconds = F.col("_pace") / F.lit(1_000_000.0)
-        rows = groups.frames(
-            rows,
-            TAIL - 1,
-            lambda w: {
-                "velocity_last_20_avg": frame_mean(F.col("release_speed"), w.rowsBetween(1 - TAIL, 0)),
-                "spin_last_20_avg": frame_mean(F.col("release_spin_rate"), w.rowsBetween(1 - TAIL, 0)),
-                "pace_last_10_avg": frame_mean(seconds, w.rowsBetween(1 - PACE_WIDTH, 0)),
-                "zone_last_15_share": share(in_zone(F.col("zone")), w.rowsBetween(1 - ZONE_WIDTH, 0)),
-                "velocity_mean": frame_mean(F.col("release_speed"), w.rowsBetween(1 - TRAILING_WIDTH, 0)),
-                "spin_mean": frame_mean(F.col("release_spin_rate"), w.rowsBetween(1 - TRAILING_WIDTH, 0)),
-                "zone_share": share(in_zone(F.col("zone")), w.rowsBetween(1 - TRAILING_WIDTH, 0)),
-            },
-        )
-        unit = F.lit(float(MICRO))
-        rows = rows.withColumns(
-            {
-                "velocity_baseline": _ratio(F.col("_v"), F.col("_vn"), unit),
-                "spin_baseline": _ratio(F.col("_s"), F.col("_sn"), unit),
-            }
-        )
-        rows = with_signals(rows, weights, mix)
-        rows = rows.withColumn("severity", scores.severity(F.col("composite")))
-        counts = new & ~F.col("is_late_arrival") & (F.col("pitch_idx") >= WARM_UP)
-        own = F.when(old, F.col("_rank")).when(counts, scores.severity_rank(F.col("severity")))
-        rows = groups.running(rows.withColumn("_own", own), {"_rank": ("last", F.col("_own"))})
-        rows = groups.frames(
-            rows, 1, lambda w: {"_before": F.coalesce(F.lag("_rank").over(w), F.lit(0))}
-        ).persist()
-
-        features = rows.where(new).select(
-            *STATE_KEY, "is_late_arrival", "event_time", "pitch_idx", *LIVE_FEATURES
-        )
-        risen = rows.where(counts & (F.col("_own") > F.col("_before"))).withColumn("score", F.col("composite"))
-        tail = first_n_per_key(rows, PITCHER_GAME_KEY, [F.desc("pitch_idx")], TAIL)
-        outputs = {"features": features, "alerts": alert_rows(risen, weights)}
-        return outputs, tail, [rows]
-
-    return step
-
-
-def _plus(a: Column, b: Column) -> Column:
-    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-
-
-def _ratio(total: Column, n: Column, unit: Column) -> Column:
-    return F.when(n > 0, total / (n * unit))
-
-
-_GAME_ROW = ["game_pk", "event_time", "at_bat_number", "pitch_number", *STATE]
-GAME_LAST = Carried(T.StructType([T.StructField(c, _types[c]) for c in _GAME_ROW]), ("game_pk",))
-
-
-def game_state_step(ingest_time: Column | None = None):
-    """Game-state events, comparing each pitch with the last one its game has shown."""
-    when = F.current_timestamp() if ingest_time is None else ingest_time
+def _share(name: str) -> Column:
+    return F.col(name) / F.col(f"{name}_n")
 
-    def step(batch: DataFrame, state: DataFrame):
-        hot = find_hot_groups(batch, ["game_pk"])
-        groups = OrderedGroups(("game_pk",), (F.desc("_old"), *game_order()), hot)
-        rows = groups.frames(
-            _joined(batch, state), 1, lambda w: {"previous": F.lag(F.struct(*STATE)).over(w)}
-        )
-        events = transition_rows(rows.where(~F.col("_old")), when)
-        newest = [
-            F.asc("_old"),
-            F.desc("inning"),
-            F.asc("inning_topbot"),
-            F.desc("at_bat_number"),
-            F.desc("pitch_number"),
-        ]
-        last = newest_per_key(_joined(batch.select(*_GAME_ROW), state), ["game_pk"], newest)
-        return {"game_state": events.select(*[f.name for f in GAME_STATE])}, last, []
-
-    return step
 
+def _flag(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False)).cast("bigint")
+
+
+def live_features(pitches: DataFrame, weights: Weights = Weights(), mix: Composite = Composite()) -> DataFrame:
+    """Features and signals of each arriving pitch, duplicates left out, from its key's last rows and counters.
+
+    Rows that arrive in one micro-batch are ordered by at-bat and pitch, late copies after the pitch itself.
+    """
+    fresh = pitches.where(~F.col("is_duplicate")).select(
+        *STATE_KEY,
+        "is_late_arrival",
+        F.unix_micros("event_time").alias("clock"),
+        F.unix_micros("ingest_time").alias("ingested"),
+        F.col("source_offset").alias("place"),
+        micros(F.col("release_speed")).alias("speed"),
+        micros(F.col("release_spin_rate")).alias("spin"),
+        _flag(in_zone(F.col("zone"))).alias("zoned"),
+        *[_flag(F.col("pitch_type") == t).alias(source) for t, source in zip(_TYPES, LIVE.totals.values())],
+    )
+    order = [F.col("at_bat_number"), F.col("pitch_number"), F.col("is_late_arrival").cast("int"), F.col("place")]
+    rows = carry(fresh, PITCHER_GAME_KEY, order, LIVE).select(
+        *STATE_KEY,
+        "is_late_arrival",
+        F.timestamp_micros("clock").alias("event_time"),
+        F.timestamp_micros("ingested").alias("ingest_time"),
+        "pitch_idx",
+        _mean("speed_20").alias("velocity_last_20_avg"),
+        _mean("spin_20").alias("spin_last_20_avg"),
+        _mean("pace_10").alias("pace_last_10_avg"),
+        _share("zone_15").alias("zone_last_15_share"),
+        *_TYPES.values(),
+        _mean("speed_16").alias("velocity_mean"),
+        _mean("spin_16").alias("spin_mean"),
+        _share("zone_16").alias("zone_share"),
+        _mean("speed_first").alias("velocity_baseline"),
+        _mean("spin_first").alias("spin_baseline"),
+    )
+    return with_signals(rows, weights, mix).select(
+        *STATE_KEY, "is_late_arrival", "event_time", "ingest_time", "pitch_idx", *LIVE_FEATURES, *SIGNAL_COLUMNS
+    )
+
+
+def rising(scored: DataFrame, weights: Weights = Weights()) -> DataFrame:
+    """Alerts where the score of a stream of (state key, pitch_idx, score and signals) rises into a higher band."""
+    kept = [*STATE_KEY, "pitch_idx", "score", "fatigue", "leverage", "matchup_edge"]
+    severity = scores.severity(F.col("score"))
+    rows = scored.select(
+        *kept,
+        F.unix_micros("event_time").alias("clock"),
+        F.unix_micros("ingest_time").alias("ingested"),
+        severity.alias("severity"),
+        scores.severity_rank(severity).cast("bigint").alias("level"),
+    )
+    seen = carry(rows, PITCHER_GAME_KEY, [F.col("pitch_idx")], Running(previous={"level_before": "level"}))
+    risen = seen.where(F.col("level") > F.coalesce("level_before", F.lit(0)))
+    timed = risen.withColumns({"event_time": F.timestamp_micros("clock"), "ingest_time": F.timestamp_micros("ingested")})
+    return alert_rows(timed, weights)
 
-_POSITION = ["kafka_partition", "source_offset", "is_late_arrival", "is_duplicate"]
-LATEST_CLOCK = Carried(
-    T.StructType([T.StructField(c, _types[c]) for c in [*PITCHER_GAME_KEY, "event_time"]]),
-    tuple(PITCHER_GAME_KEY),
-)
 
+def live_alerts(features: DataFrame, weights: Weights = Weights()) -> DataFrame:
+    """Alerts from the stream of live features: on-time pitches from the warm-up on."""
+    counted = features.where(~F.col("is_late_arrival") & (F.col("pitch_idx") >= WARM_UP))
+    return rising(counted.withColumn("score", F.col("composite")), weights)
 
-def late_step(delay_seconds: int = 300):
-    """Rows behind their key's clock by more than the delay go to a side output."""
 
-    def step(batch: DataFrame, state: DataFrame):
-        hot = find_hot_groups(batch, PITCHER_GAME_KEY)
-        order = (F.desc("_old"), *[F.asc_nulls_last(c) for c in _POSITION])
-        rows = _joined(batch.select(*PITCHER_GAME_KEY, "event_time", *_POSITION), state)
-        tagged = tag_late(rows, OrderedGroups(tuple(PITCHER_GAME_KEY), order, hot), delay_seconds)
-        fresh = tagged.where(~F.col("_old")).drop("_old")
-        clock = rows.groupBy(*PITCHER_GAME_KEY).agg(F.max("event_time").alias("event_time"))
-        return {
-            "on_time": fresh.where(~F.col("is_late")),
-            "late": fresh.where(F.col("is_late")),
-        }, clock, []
+def game_states(pitches: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Game-state events, comparing each pitch with the last one its game has shown."""
+    when = F.current_timestamp() if ingest_time is None else ingest_time
+    own = ["game_pk", "at_bat_number", "pitch_number", *STATE]
+    rest = [f.name for f in GAME_STATE if f.name in pitches.columns and f.name not in (*own, "event_time", "ingest_time")]
+    rows = pitches.withColumn("ingest_time", when).select(
+        *own, *rest, *([] if "batter_id" in rest else ["batter_id"]),
+        F.unix_micros("event_time").alias("clock"), F.unix_micros("ingest_time").alias("ingested"),
+    )
+    order = [F.col("inning"), F.when(F.col("inning_topbot") == "Top", 0).otherwise(1), F.col("at_bat_number"), F.col("pitch_number")]
+    spec = Running(index="nth", previous={f"{c}_before": c for c in STATE})
+    previous = F.when(F.col("nth") > 1, F.struct(*[F.col(f"{c}_before").alias(c) for c in STATE]))
+    seen = carry(rows, ["game_pk"], order, spec).withColumns(
+        {"previous": previous, "event_time": F.timestamp_micros("clock"), "ingest_time": F.timestamp_micros("ingested")}
+    )
+    return transition_rows(seen, F.col("ingest_time")).select(*[f.name for f in GAME_STATE])
 
-    return step
+
+_POSITION = ["kafka_partition", "source_offset", "is_late_arrival", "is_duplicate"]
 
 
-def change_step(batch: DataFrame, _state: None):
-    """The newest change per (pitch, field) of a batch, appended to the change log."""
-    order = [F.desc_nulls_last(c) for c in RECENCY]
-    return {"changes": newest_per_key(batch, ["original_pitch_uid", "field"], order)}, None, []
+def tagged_late(pitches: DataFrame, delay_seconds: int = 300) -> DataFrame:
+    """Position rows with is_late: the clock is more than the delay behind the latest that the key has shown so far."""
+    rows = pitches.select(*PITCHER_GAME_KEY, F.unix_micros("event_time").alias("clock"), *_POSITION)
+    order = [F.col(c).cast("double") for c in _POSITION]
+    seen = carry(rows, PITCHER_GAME_KEY, order, Running(highest={"latest": "clock"}))
+    late = F.col("clock") < F.col("latest") - F.lit(delay_seconds * MICRO)
+    return seen.select(*PITCHER_GAME_KEY, F.timestamp_micros("clock").alias("event_time"), *_POSITION, late.alias("is_late"))
 
 
-def current_corrections(changes: DataFrame) -> DataFrame:
-    """The change log read as a table: the newest change per (pitch, field)."""
-    order = [F.desc_nulls_last(c) for c in RECENCY]
-    return newest_per_key(changes, ["original_pitch_uid", "field"], order)
+def newest_changes(batch: DataFrame) -> DataFrame:
+    """The newest change per (pitch, field): of a batch for the change log, and of the log as it reads now."""
+    return newest_per_key(batch, ["original_pitch_uid", "field"], [F.desc_nulls_last(c) for c in RECENCY])

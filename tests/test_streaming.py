@@ -10,7 +10,7 @@ from dualpath.operators import transitions
 from dualpath.operators.corrections import latest_corrections
 from dualpath.schemas import CORRECTION, PITCH
 from dualpath.session import new_run_dir
-from dualpath.streaming import jobs, sources, state, steps
+from dualpath.streaming import jobs, keyed, sources, steps
 
 
 def same(a, b):
@@ -49,48 +49,59 @@ def thirds(column):
     return [F.col(column) < 11, (F.col(column) >= 11) & (F.col(column) < 21), F.col(column) >= 21]
 
 
-def run_steps(spark, df, step, carried, parts):
+def run_job(spark, df, job, parts):
+    """What the job appends; it is stopped after each part and started again from its checkpoint."""
     root = new_run_dir(spark, "test")
     for part in parts:
         drop_files(df, f"{root}/in", [part])
-        # A new query on the same checkpoint each time: a restart between any two batches.
-        stream = sources.read_files(spark, f"{root}/in", df.schema, max_files=1)
-        state.run_stateful(stream, step, carried, root, once=True).awaitTermination()
-    return root
+        out = job(sources.read_files(spark, f"{root}/in", df.schema))
+        jobs.append_files(out, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out"), root
+
+
+WHOLE = ["true"]
 
 
 def test_live_features_equal_one_batch(spark, game_log):
-    step = steps.live_step()
-    split = run_steps(spark, game_log, step, steps.LIVE_STATE, thirds("at_bat_number"))
-    whole = run_steps(spark, game_log, step, steps.LIVE_STATE, [F.lit(True)])
-    for name in ("features", "alerts"):
-        a, b = state.read_output(spark, split, name), state.read_output(spark, whole, name)
-        assert a.count() > 0 and same(a, b)
+    split, _ = run_job(spark, game_log, steps.live_features, thirds("at_bat_number"))
+    whole, _ = run_job(spark, game_log, steps.live_features, WHOLE)
+    assert split.count() == game_log.where("not is_duplicate").count() and same(split, whole)
+    alerts = [run_job(spark, rows.orderBy("pitch_idx"), steps.live_alerts, WHOLE)[0] for rows in (split, whole)]
+    halves, _ = run_job(spark, whole, steps.live_alerts, thirds("at_bat_number"))
+    assert halves.count() > 0 and same(*alerts) and same(halves, alerts[0])
 
 
-def test_live_features_equal_when_groups_are_cut(spark, game_log, hot):
-    step = steps.live_step()
-    split = run_steps(spark, game_log, step, steps.LIVE_STATE, thirds("at_bat_number")[:2])
-    spark.conf.set("spark.dualpath.hotRows", "1000000")
-    whole = run_steps(spark, game_log.where("at_bat_number < 21"), step, steps.LIVE_STATE, [F.lit(True)])
-    a, b = state.read_output(spark, split, "features"), state.read_output(spark, whole, "features")
-    assert same(a, b)
+def test_the_store_holds_what_is_small(spark, game_log):
+    """One row a key, with no more past values than the widest frame, after any number of batches."""
+    _, root = run_job(spark, game_log, steps.live_features, thirds("at_bat_number"))
+    held = spark.read.format("statestore").option("stateVarName", "carried").load(f"{root}/checkpoint")
+    rows = held.select("key.*", "value.*").collect()
+    fresh = game_log.where("not is_duplicate").groupBy("game_pk", "pitcher_id").count().collect()
+    assert {(r["game_pk"], r["pitcher_id"]): r["rows"] for r in rows} == {tuple(r)[:2]: r["count"] for r in fresh}
+    widest = max(n for _, n in [*steps.LIVE.windows.values(), *steps.LIVE.gaps.values()])
+    assert all(len(r[f"w{i}"]) < widest for r in rows for i in range(len(steps.LIVE.windows)))
 
 
 def test_game_states_equal_batch(spark, game_log):
     clean = game_log.where("not is_duplicate and not is_late_arrival")
-    step = steps.game_state_step(F.col("ingest_time"))
-    root = run_steps(spark, clean, step, steps.GAME_LAST, thirds("at_bat_number"))
-    batch = transitions.game_state_events(clean, ingest_time=F.col("ingest_time"))
-    assert same(state.read_output(spark, root, "game_state"), batch)
+    got, _ = run_job(spark, clean, lambda s: steps.game_states(s, F.col("ingest_time")), thirds("at_bat_number"))
+    assert same(got, transitions.game_state_events(clean, ingest_time=F.col("ingest_time")))
+
+
+def test_keys_go_on_where_they_were(spark, game_log):
+    """Game 2 runs between the two halves of game 1, and a game without a number is a game of its own."""
+    log = game_log.withColumn("game_pk", F.when(F.col("game_pk") == 1, F.col("game_pk")))
+    early = F.col("game_pk").isNotNull() & (F.col("at_bat_number") < 16)
+    parts = [early, F.col("game_pk").isNull(), F.col("game_pk").isNotNull() & (F.col("at_bat_number") >= 16)]
+    split, _ = run_job(spark, log, steps.live_features, parts)
+    whole, _ = run_job(spark, log, steps.live_features, WHOLE)
+    assert same(split, whole) and split.where("game_pk is null").agg(F.max("pitch_idx")).first()[0] > 50
 
 
 def test_twelve_pitch_game_as_a_stream(spark):
     df = frame(spark, twelve_rows())
-    cut = [F.col("at_bat_number") == i for i in range(1, 6)]
-    root = run_steps(spark, df, steps.game_state_step(), steps.GAME_LAST, cut)
-    got = state.read_output(spark, root, "game_state").groupBy("event_type").count().collect()
-    assert {r["event_type"]: r["count"] for r in got} == {
+    got, _ = run_job(spark, df, steps.game_states, [F.col("at_bat_number") == i for i in range(1, 6)])
+    assert {r["event_type"]: r["count"] for r in got.groupBy("event_type").count().collect()} == {
         "game_start": 1,
         "inning_start": 2,
         "pitching_change": 2,
@@ -102,10 +113,30 @@ def test_late_rows_do_not_depend_on_batching(spark, game_log):
     moved = game_log.withColumn(
         "event_time", F.when(F.col("is_late_arrival"), F.expr("event_time - interval 5 minutes")).otherwise(F.col("event_time"))
     )
-    split = run_steps(spark, moved, steps.late_step(), steps.LATEST_CLOCK, thirds("at_bat_number"))
-    whole = run_steps(spark, moved, steps.late_step(), steps.LATEST_CLOCK, [F.lit(True)])
-    a, b = state.read_output(spark, split, "late"), state.read_output(spark, whole, "late")
-    assert a.count() > 0 and same(a, b)
+    split, _ = run_job(spark, moved, steps.tagged_late, thirds("at_bat_number"))
+    whole, _ = run_job(spark, moved, steps.tagged_late, WHOLE)
+    assert split.where("is_late").count() > 0 and same(split, whole)
+
+
+def test_running_values(spark):
+    schema = "k long, o long, x long, s string"
+    one = [(1, 1, 10, "a"), (1, 2, None, "b"), (2, 1, 5, None), (None, 3, 7, "q")]
+    two = [(1, 4, 40, "c"), (1, 3, 30, None), (2, 2, 6, "z"), (None, 4, 8, "r")]
+    spec = keyed.Running("i", {"w": ("x", 2)}, {"g": ("x", 1)}, {"t": "x"}, {"f": ("x", 2)}, {"ps": "s", "px": "x"}, {"h": "x"})
+    df = spark.createDataFrame(one + two, schema)
+    first = "(k = 1 and o < 3) or (k = 2 and o = 1) or (k is null and o = 3)"
+    parts = [F.expr(first), ~F.coalesce(F.expr(first), F.lit(False))]
+    got, _ = run_job(spark, df, lambda s: keyed.carry(s, ["k"], [F.col("o")], spec), parts)
+    assert {tuple(r) for r in got.collect()} == {
+        (None, 3, 7, "q", 1, 7, 1, 0, 0, 7, 1, 7, 7, None, None),
+        (None, 4, 8, "r", 2, 15, 2, 1, 1, 15, 2, 15, 8, "q", 7),
+        (1, 1, 10, "a", 1, 10, 1, 0, 0, 10, 1, 10, 10, None, None),
+        (1, 2, None, "b", 2, 10, 1, 0, 0, 10, 1, 10, 10, "a", 10),
+        (1, 3, 30, None, 3, 30, 1, 0, 0, 10, 1, 40, 30, "b", None),
+        (1, 4, 40, "c", 4, 70, 2, 10, 1, 10, 1, 80, 40, None, 30),
+        (2, 1, 5, None, 1, 5, 1, 0, 0, 5, 1, 5, 5, None, None),
+        (2, 2, 6, "z", 2, 11, 2, 1, 1, 11, 2, 11, 6, None, 5),
+    }
 
 
 def test_change_log_reads_as_latest(spark):
@@ -118,8 +149,12 @@ def test_change_log_reads_as_latest(spark):
     ]
     df = spark.createDataFrame(rows, CORRECTION)
     parts = [F.col("event_time") <= F.lit(at[1]), F.col("event_time") > F.lit(at[1])]
-    root = run_steps(spark, df, steps.change_step, None, parts)
-    current = steps.current_corrections(state.read_output(spark, root, "changes"))
+    root = new_run_dir(spark, "changes")
+    for part in parts:
+        drop_files(df, f"{root}/in", [part])
+        stream = sources.read_files(spark, f"{root}/in", df.schema)
+        jobs.append_batches(stream, f"{root}/log", f"{root}/checkpoint", steps.newest_changes, once=True).awaitTermination()
+    current = steps.newest_changes(jobs.read_batches(spark, f"{root}/log"))
     assert same(latest_corrections(df), current.select("original_pitch_uid", "field", "new_value"))
 
 
@@ -149,8 +184,8 @@ def test_windows_close_at_the_watermark_and_bronze_keeps_late_rows(spark):
         jobs.wait_all(jobs.start_smoke_job(stream, root, once=True))
     counts = spark.read.parquet(f"{root}/counts").collect()
     assert sum(r["pitch_count"] for r in counts) == 12
-    assert state.read_output(spark, root, "bronze").count() == 15
-    assert state.read_output(spark, root, "arrivals").columns == ["pitcher_id", "event_time"]
+    assert jobs.read_batches(spark, f"{root}/bronze").count() == 15
+    assert jobs.read_batches(spark, f"{root}/arrivals").columns == ["pitcher_id", "event_time"]
 
 
 def test_file_position(spark):
@@ -171,42 +206,3 @@ def test_print_sink(spark):
     run = jobs.print_rows(jobs.arrival_rows(stream), f"{root}/checkpoint", once=True)
     run.awaitTermination()
     assert run.exception() is None and sum(p["numInputRows"] for p in run.recentProgress) == 1
-
-
-def test_archived_keys_go_on_where_they_were(spark, game_log):
-    """Game 2 runs a day later, between the two halves of game 1."""
-    import dataclasses
-
-    day_later = F.expr("event_time + interval 1 day")
-    log = game_log.withColumn("event_time", F.when(F.col("game_pk") == 2, day_later).otherwise(F.col("event_time")))
-    early = (F.col("game_pk") == 1) & (F.col("at_bat_number") < 16)
-    parts = [early, F.col("game_pk") == 2, (F.col("game_pk") == 1) & (F.col("at_bat_number") >= 16)]
-    carried = dataclasses.replace(steps.LIVE_STATE, keep_seconds=3600)
-    split = run_steps(spark, log, steps.live_step(), carried, parts)
-    assert spark.read.parquet(f"{split}/archive").where("version = 1 and game_pk = 1").count() > 0
-    whole = run_steps(spark, log, steps.live_step(), steps.LIVE_STATE, [F.lit(True)])
-    for name in ("features", "alerts"):
-        assert same(state.read_output(spark, split, name), state.read_output(spark, whole, name))
-    keep = dataclasses.replace(steps.GAME_LAST, keep_seconds=3600)
-    clean = log.where("not is_duplicate and not is_late_arrival")
-    root = run_steps(spark, clean, steps.game_state_step(F.col("ingest_time")), keep, parts)
-    batch = transitions.game_state_events(clean, ingest_time=F.col("ingest_time"))
-    assert same(state.read_output(spark, root, "game_state"), batch)
-
-
-def test_a_batch_reads_the_same_files_however_many_came_before(spark):
-    schema = "game_pk long, pitcher_id long, event_time timestamp"
-    from pyspark.sql import types as T
-
-    carried = state.Carried(T.StructType.fromDDL(schema), ("game_pk", "pitcher_id"), keep_seconds=60, games_per_part=10)
-    root, files = new_run_dir(spark, "test"), []
-    for n in range(12):
-        batch = spark.createDataFrame([(n % 3, n, START + datetime.timedelta(minutes=10 * n))], schema)
-        batch = batch.coalesce(1)
-        before = carried.load(batch, n, root)
-        carried.store(before.unionByName(batch).coalesce(1), batch, n, root)
-        files.append(len(before.inputFiles()))
-    assert max(files[3:]) == files[3] <= 3
-    # A key that left long ago is found again, and only that one joins the active keys.
-    again = spark.createDataFrame([(1, 4, START)], schema)
-    assert {r["pitcher_id"] for r in carried.load(again, 12, root).collect()} == {4, 11}
