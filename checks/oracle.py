@@ -876,3 +876,137 @@ from handed window w as (partition by batter_id, year(event_time), batter_hand,
         }.items()
     },
 }
+
+
+# Late copies come one load after their pitch; a start of the stream refuses windows that the watermark of all loads before closed.
+_LATE_LOADS = (
+    BRONZE
+    + """,
+bounds as (select min(event_id) as low, max(event_id) as high from events),
+loads as (
+  select b.*, time_bucket(interval 1 minute, event_time) as window_start,
+    time_bucket(interval 1 minute, event_time) + interval 1 minute as window_end,
+    least(3, (source_offset - low) * 4 // (high + 1 - low) + is_late_arrival::integer) as load
+  from bronze b, bounds
+),
+marks as (
+  select n as load, (select date_trunc('milliseconds', max(event_time)) - interval 5 minutes from loads where load < n) as closed
+  from range(5) r(n)
+),
+judged as (select l.*, coalesce(window_end <= closed, false) as refused from loads l join marks m using (load)),
+counted as (
+  select game_pk, pitcher_id, window_start, window_end, count(*) as pitch_count from judged
+  where not refused and window_end <= (select closed from marks where load = 4) group by all
+)"""
+)
+
+_LIVE_LEVERAGE = f"""{LEVERAGE},
+arriving as (
+  select *, least(inning, 9) as inning_bin,
+    (on_1b is not null)::integer + 2 * (on_2b is not null)::integer + 4 * (on_3b is not null)::integer as bases,
+    greatest(-3, least(3, home_score - away_score)) as score_bin,
+    row(inning, inning_topbot, outs_when_up, (on_1b is not null)::integer + 2 * (on_2b is not null)::integer
+      + 4 * (on_3b is not null)::integer, home_score, away_score, balls, strikes) as context
+  from bronze where not is_duplicate
+),
+paced_states as (
+  select *, lag(context) over w as was, cast(sum(is_late_arrival::integer) over (w rows between 9 preceding and current row) as bigint) as recent_late,
+    count(*) over (w rows between 9 preceding and current row) as recent
+  from arriving
+  window w as (partition by game_pk order by inning, inning_topbot desc, at_bat_number, pitch_number, is_late_arrival, source_offset)
+),
+live_leverage as (
+  select game_pk, at_bat_number, pitch_number, pitcher_id, event_time, home_score - away_score as score_differential, recent_late,
+    1 - cast(recent_late as double) / recent as confidence, leverage_index
+  from paced_states left join li using ({_STATE_COLUMNS})
+  where was is null or was <> context
+)"""
+
+_MATCHUP_CTES = f"""
+bounds as (select min(event_id) as low, max(event_id) as high from events),
+seen as (
+  select p.*, case when batter_id % 2 = 0 then 'L' else 'R' end as batter_hand,
+    (select count(*) from range(1, 4) r(n) where low + (high + 1 - low) * n // 4 <= event_id) as load
+  from pitches p, bounds
+),
+versions as (select v, (select max(event_time) from seen where load < v) as valid_from from range(1, 4) r(v)),
+thrown_by as (
+  select v, pitcher_id, balls, strikes, batter_hand, pitch_type, count(*) as thrown from seen, versions
+  where load < v and pitch_type is not null group by all
+),
+mixed as (select *, sum(thrown) over (partition by v, pitcher_id, balls, strikes, batter_hand) as total from thrown_by),
+split_by as (
+  select v, batter_id, batter_hand, pitch_type, cast(count(events) as double) / count(*) as xwoba from seen, versions
+  where load < v and pitch_type is not null group by all
+),
+dated as (select s.*, (select max(v) from versions where v <= s.load and valid_from <= s.event_time) as v from seen s),
+known as (select distinct v, pitcher_id, balls, strikes, batter_hand, total from mixed),
+term_rows as (
+  select d.event_id, m.pitch_type, cast(m.thrown as double) / cast(m.total as double) * x.xwoba as term
+  from dated d join mixed m using (v, pitcher_id, balls, strikes, batter_hand)
+    join split_by x on x.v = d.v and x.batter_id = d.batter_id and x.batter_hand = d.batter_hand and x.pitch_type = m.pitch_type
+),
+summed_terms as (
+  select event_id, {rounded("list_sum(list(term order by pitch_type))", 6)} as expected, max(row(round(term, 9), pitch_type)) as top
+  from term_rows group by all
+),
+live_matchup as (
+  select d.game_pk, d.at_bat_number, d.pitch_number, d.pitcher_id, d.batter_id, d.event_time, k.v as version,
+    {rounded("expected * (0.9e0 + (n_nationkey % 20) / 100e0) - 0.25e0", 6)} as edge, top[2] as top_contributing_pitch_type,
+    cast(k.total as double) / (cast(k.total as double) + 50e0) as confidence
+  from dated d join nation on n_nationkey = d.game_pk % 25
+    left join known k using (v, pitcher_id, balls, strikes, batter_hand) left join summed_terms using (event_id)
+)"""
+
+_LIVE_SCORES = f"""{_LIVE_LEVERAGE}, {_MATCHUP_CTES}, arrived as (select * from bronze where not is_duplicate),
+{_features("provisional", "arrived", "at_bat_number, pitch_number, is_late_arrival, source_offset", True)},
+{_snapshots("provisional", "and not is_late_arrival")},
+tired as (select event_time, ingest_time, game_pk, pitcher_id, at_bat_number, pitch_number, pitch_idx, fatigue from provisional),
+levered as (
+  select t.*, l.leverage_index from tired t left join live_leverage l
+    on l.game_pk = t.game_pk and l.event_time <= t.event_time and l.event_time >= t.event_time - interval 10 minutes
+  qualify row_number() over (partition by t.game_pk, t.pitcher_id, t.at_bat_number, t.pitch_number order by l.event_time desc nulls last) = 1
+),
+matched as (
+  select t.*, m.edge from levered t left join live_matchup m
+    on m.game_pk = t.game_pk and m.pitcher_id = t.pitcher_id and m.event_time <= t.event_time
+      and m.event_time >= t.event_time - interval 10 minutes
+  qualify row_number() over (partition by t.game_pk, t.pitcher_id, t.at_bat_number, t.pitch_number order by m.event_time desc nulls last) = 1
+),
+combined as (
+  select * exclude (leverage_index, edge), {rounded("coalesce(leverage_index, 1e0)", 2)} as leverage,
+    {rounded("coalesce(edge, 0e0)", 3)} as matchup_edge from matched
+),
+scored as (
+  select *, {rounded(f"""0.6e0 * fatigue + 0.3e0 * {_clamp("leverage / 3.5e0")}
+    + 0.1e0 * {_clamp("(matchup_edge + 0.1e0) / 0.2e0")}""", 3)} as score from combined
+)"""
+
+ORACLE |= {
+    "resumed_tumble": f"with {_LATE_LOADS} select * from counted",
+    "refused_windows": f"""with {_LATE_LOADS}
+select cast(n as integer) as load, (select count(*) from (
+  select distinct game_pk, pitcher_id, window_start from judged where refused and judged.load = n)) as refused
+from range(4) r(n)""",
+    "refused_rows": f"""with {_LATE_LOADS}
+select game_pk, pitcher_id, window_start, count(*) as refused from judged
+where refused and window_end <= (select max(window_end) from counted) group by all""",
+    "live_leverage": f"{_LIVE_LEVERAGE} select * from live_leverage",
+    "live_matchup": f"""with {PITCHES}, {_MATCHUP_CTES}
+select * exclude (edge), edge as matchup_edge,
+  case when edge >= 0.08e0 then 'REPLACE' when edge >= 0.02e0 then 'WARM' when edge is not null then 'KEEP' end as recommendation
+from live_matchup""",
+    "live_scores": f"{_LIVE_SCORES} select * from scored",
+    "live_alerts": f"""{_LIVE_SCORES},
+banded as (select *, {SEVERITY.format("score")} as severity from scored),
+ranked as (select *, {RANK.format("severity")} as rnk from banded),
+risen as (select *, coalesce(lag(rnk) over ({ORDINAL}), 0) as before from ranked)
+select event_time, ingest_time as emitted_time,
+  concat_ws('-', game_pk, pitcher_id, at_bat_number, pitch_number, severity) as alert_uid, game_pk, pitcher_id,
+  'composite' as signal_type, severity, score,
+  case severity when 'action' then 0.7e0 when 'warning' then 0.55e0 else 0.4e0 end as score_threshold,
+  'composite reached ' || severity as rationale,
+  concat_ws(':', 'snap', game_pk, pitcher_id, at_bat_number, pitch_number) as inputs_snapshot_uid,
+  'fatigue_v1.0' as model_version, at_bat_number, pitch_number, fatigue, leverage, matchup_edge
+from risen where rnk > before""",
+}

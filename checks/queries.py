@@ -13,10 +13,10 @@ from dualpath.functions.scores import Weights
 from dualpath.operators import dedup, event_time, nested, perturb, quality, transitions
 from dualpath.operators.ordered import OrderedGroups, find_hot_groups
 from dualpath.plans import features, incremental, lookups, marts, reconcile, signals, staging
-from dualpath.session import new_run_dir, tune
+from dualpath.session import new_run_dir, tune, written
 from dualpath.sources import bindings, raw, topics
 from dualpath.sources.lake import Lake
-from dualpath.streaming import jobs, sources, steps
+from dualpath.streaming import jobs, live, sources, steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -443,25 +443,30 @@ def leverage_facts(spark, sf_dir):
     return lookups.leverage_facts(pitches, lookups.leverage_table(pitches, _hot_games(spark, sf_dir)))
 
 
+def _with_hand(pitches):
+    return pitches.withColumn("batter_hand", F.when(F.col("batter_id") % 2 == 0, "L").otherwise("R"))
+
+
 def _handed(spark, sf_dir):
-    hand = F.when(F.col("batter_id") % 2 == 0, "L").otherwise("R")
-    return _staged(spark, sf_dir).withColumn("batter_hand", hand)
+    return _with_hand(_staged(spark, sf_dir))
 
 
-@query
-def matchup_edge(spark, sf_dir):
-    pitches = _handed(spark, sf_dir)
-    nation = bindings.table(spark, sf_dir, "nation")
-    parks = nation.select(
+def _parks(spark, sf_dir):
+    return bindings.table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("park_id"),
         (F.lit(0.9) + (F.col("n_nationkey") % 20) / F.lit(100.0)).alias("park_factor"),
     )
+
+
+@query
+def matchup_edge(spark, sf_dir):
+    pitches = _handed(spark, sf_dir)
     matchups = pitches.select(
         "pitcher_id", "batter_id", "balls", "strikes", "batter_hand", (F.col("game_pk") % 25).alias("park_id")
     ).distinct()
     value = F.col("events").isNotNull().cast("int")
     return lookups.matchup_edges(
-        matchups, lookups.pitch_mix(pitches), lookups.batter_splits(pitches, value), parks
+        matchups, lookups.pitch_mix(pitches), lookups.batter_splits(pitches, value), _parks(spark, sf_dir)
     )
 
 
@@ -565,10 +570,15 @@ def _one_load(spark, sf_dir):
     yield sources.read_events(spark, sf_dir)
 
 
-def _four_loads(spark, sf_dir):
-    """The events in four loads; each time the stream is taken up anew."""
+def _load_folders(spark, sf_dir):
     folder = new_run_dir(spark, "loads")
     for _ in sources.append_events(spark, sf_dir, folder):
+        yield folder
+
+
+def _four_loads(spark, sf_dir):
+    """The events in four loads; each time the stream is taken up anew."""
+    for folder in _load_folders(spark, sf_dir):
         yield sources.read_files(spark, folder, sources.EVENTS)
 
 
@@ -678,6 +688,138 @@ def resumed_bronze(spark, sf_dir):
     return spark.read.parquet(f"{root}/pitches").drop("ingestion_time")
 
 
+def _late_loads(spark, sf_dir, folder):
+    """Bronze rows in four loads by their position, late copies one load after their pitch."""
+    rows = _bronze(spark, sf_dir)
+    low, high = rows.agg(F.min("source_offset"), F.max("source_offset")).first()
+    quarter = F.expr(f"(source_offset - {low or 0}) * 4 div {(high or 0) + 1 - (low or 0)}")
+    load = F.least(F.lit(3), quarter + F.col("is_late_arrival").cast("int"))
+    yield from sources.append_parts(rows, folder, load, 4)
+
+
+def _counted_loads(spark, sf_dir):
+    """Windowed counts over the loads, the stream started anew for each; what each start refused by its own progress."""
+    root, refused = new_run_dir(spark, "windows"), []
+    for n in _late_loads(spark, sf_dir, f"{root}/in"):
+        rows = sources.read_files(spark, f"{root}/in", _bronze(spark, sf_dir).schema)
+        counts = jobs.windowed_counts(rows)
+        run = jobs.append_files(counts, f"{root}/counts", f"{root}/checkpoint", once=True)
+        run.awaitTermination()
+        refused.append((n, jobs.refused_by_watermark(run)))
+    return spark.read.parquet(f"{root}/in"), spark.read.schema(counts.schema).parquet(f"{root}/counts"), refused
+
+
+@query
+def resumed_tumble(spark, sf_dir):
+    return _counted_loads(spark, sf_dir)[1]
+
+
+@query
+def refused_windows(spark, sf_dir):
+    """Per load, the (game, pitcher, window) groups that came too late, as the query's own progress counts them."""
+    return spark.createDataFrame(_counted_loads(spark, sf_dir)[2], "load int, refused bigint")
+
+
+@query
+def refused_rows(spark, sf_dir):
+    """Bronze rows of closed windows that the counts lack."""
+    bronze, counts, _ = _counted_loads(spark, sf_dir)
+    closed = counts.agg(F.max("window_end").alias("upto"))
+    return jobs.missing_from_counts(bronze, counts, closed)
+
+
+def _leverage_table(spark, sf_dir):
+    """The table as it is pinned when the stream starts."""
+    pitches = staging.deduplicated(_bronze(spark, sf_dir))
+    return written(lookups.leverage_table(pitches, _hot_games(spark, sf_dir)), "leverage")
+
+
+@query
+def live_leverage(spark, sf_dir):
+    table = _leverage_table(spark, sf_dir)
+    return _appended(spark, sf_dir, _four_loads, lambda events: live.leverage_updates(bindings.bronze_pitches(events), table))
+
+
+def _matchup_of(spark, sf_dir, events, sides):
+    pitches = _with_hand(bindings.clean_pitches(events)).withColumn("park_id", F.col("game_pk") % 25)
+    return live.matchup_updates(pitches, sides, _parks(spark, sf_dir))
+
+
+def _refresh(spark, folder, sides, version):
+    so_far = _with_hand(bindings.clean_pitches(spark.read.schema(sources.EVENTS).parquet(folder)))
+    sides.refresh(so_far, F.col("events").isNotNull().cast("int"), version)
+
+
+@query
+def live_matchup(spark, sf_dir):
+    """The sides are refreshed after each load, so each load is read against what was known before it."""
+    root = new_run_dir(spark, "matchup")
+    sides = live.Sides(spark, f"{root}/sides")
+    for n, folder in enumerate(_load_folders(spark, sf_dir)):
+        out = _matchup_of(spark, sf_dir, sources.read_files(spark, folder, sources.EVENTS), sides)
+        jobs.append_files(out, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+        _refresh(spark, folder, sides, n + 1)
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def _live_scores(spark, sf_dir):
+    """Three jobs write a topic each, the orchestrator joins them; matchup is always one load behind.
+
+    A last heartbeat on every topic closes what is still waiting.
+    """
+    root, table = new_run_dir(spark, "orchestra"), _leverage_table(spark, sf_dir)
+    sides = live.Sides(spark, f"{root}/sides")
+    jobs_of = {
+        "fatigue": _features_of,
+        "leverage": lambda events: live.leverage_updates(bindings.bronze_pitches(events), table),
+        "matchup": lambda events: _matchup_of(spark, sf_dir, events, sides),
+    }
+    empty = spark.createDataFrame([], sources.EVENTS)
+    kinds = {name: job(empty).schema for name, job in jobs_of.items() if name == "matchup"}
+
+    def publish(name, folder):
+        out = jobs_of[name](sources.read_files(spark, folder, sources.EVENTS))
+        kinds[name] = out.schema
+        jobs.append_files(out, f"{root}/{name}", f"{root}/checkpoint/{name}", once=True).awaitTermination()
+
+    def topic(name):
+        beats = sources.read_files(spark, f"{root}/beats/{name}", kinds[name])
+        return sources.read_files(spark, f"{root}/{name}", kinds[name]).unionByName(beats)
+
+    def orchestrate():
+        scored = live.scored(topic("fatigue"), topic("leverage"), topic("matchup"))
+        jobs.append_files(scored, f"{root}/scores", f"{root}/checkpoint/scores", once=True).awaitTermination()
+        alerts = steps.rising(live.without_heartbeats(sources.read_files(spark, f"{root}/scores", scored.schema)))
+        jobs.append_files(alerts, f"{root}/alerts", f"{root}/checkpoint/alerts", once=True).awaitTermination()
+        scores = spark.read.schema(scored.schema).parquet(f"{root}/scores")
+        return live.without_heartbeats(scores), spark.read.schema(alerts.schema).parquet(f"{root}/alerts")
+
+    spark.createDataFrame([], kinds["matchup"]).write.parquet(f"{root}/matchup")
+    for n, folder in enumerate(_load_folders(spark, sf_dir)):
+        publish("fatigue", folder)
+        publish("leverage", folder)
+        if n == 0:
+            for name, kind in kinds.items():
+                spark.createDataFrame([], kind).write.parquet(f"{root}/beats/{name}")
+        orchestrate()
+        publish("matchup", folder)
+        _refresh(spark, folder, sides, n + 1)
+    last = spark.read.parquet(f"{root}/fatigue").agg((F.max("event_time") + F.expr("interval 1 day")).alias("event_time"))
+    for name, kind in kinds.items():
+        live.heartbeat(kind, last).write.mode("append").parquet(f"{root}/beats/{name}")
+    return orchestrate()
+
+
+@query
+def live_scores(spark, sf_dir):
+    return _live_scores(spark, sf_dir)[0]
+
+
+@query
+def live_alerts(spark, sf_dir):
+    return _live_scores(spark, sf_dir)[1]
+
+
 def _lake(spark, name):
     root = new_run_dir(spark, name)
     lake = Lake(spark, root, suffix="_" + root.rsplit("-", 1)[1])

@@ -36,6 +36,24 @@ def windowed_counts(pitches: DataFrame, delay: str = WATERMARK_DELAY, size: str
     )
 
 
+def refused_by_watermark(run: StreamingQuery) -> int:
+    """Groups that a run's stateful operators refused as late, as its progress reports say."""
+    return sum(o["numRowsDroppedByWatermark"] for p in run.recentProgress for o in p["stateOperators"])
+
+
+def missing_from_counts(bronze: DataFrame, counts: DataFrame, upto: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
+    """Closed windows whose counts lack rows that bronze keeps: the late rows that the windows refused.
+
+    `upto` is one row with the end of the last closed window.
+    """
+    key = ["game_pk", "pitcher_id", "window_start"]
+    kept = bronze.groupBy("game_pk", "pitcher_id", F.window("event_time", size).alias("w")).agg(F.count(F.lit(1)).alias("kept"))
+    kept = kept.select("game_pk", "pitcher_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "kept")
+    both = kept.where(F.col("window_end") <= upto.scalar()).join(counts.select(*key, "pitch_count"), key, "left")
+    missing = F.col("kept") - F.coalesce("pitch_count", F.lit(0))
+    return both.select(*key, missing.alias("refused")).where("refused > 0")
+
+
 def arrival_rows(pitches: DataFrame) -> DataFrame:
     """The two columns the print sink shows."""
     return pitches.select("pitcher_id", "event_time")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,5 +62,12 @@ def append_events(spark: SparkSession, sf_dir: str, folder: str, loads: int = 4)
         yield n
 
 
+def append_parts(rows: DataFrame, folder: str, part: Column, parts: int) -> Iterator[int]:
+    """Write rows to a folder in appends numbered by `part`, one at each step."""
+    for n in range(parts):
+        rows.where(part == n).write.mode("append").parquet(folder)
+        yield n
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, sf_dir, EVENTS, glob="events.parquet")
