@@ -16,6 +16,7 @@ import functools
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +114,7 @@ def encode_texts(
 
     def make():
         encoding = load(ranks, pattern)
-        return lambda texts: {"ids": [encode(encoding, t or "", leaf) for t in texts]}
+        return lambda texts: {"ids": [np.array(encode(encoding, t or "", leaf), np.int32) for t in texts]}
 
     out = common.map_texts(carried.take(docs, _text=F.col(f"`{text}`")), carried, "ids array<int>", make)
     return out.select(*carried.back(), "ids")
@@ -125,7 +126,7 @@ def decode_ids(encoded: DataFrame, keep: list[str], ranks: str, pattern: str, id
 
     def make():
         encoding = load(ranks, pattern)
-        return lambda rows: {"decoded": [decode(encoding, r or [], leaf) for r in rows]}
+        return lambda rows: {"decoded": [decode(encoding, r.tolist(), leaf) for r in rows]}
 
     out = common.map_texts(carried.take(encoded, _text=F.col(f"`{ids}`")), carried, "decoded binary", make)
     return out.select(*carried.back(), "decoded")

@@ -100,7 +100,8 @@ def map_texts(
         work = make()
         arrow = None
         for batch in batches:
-            out = work(batch.column(text).to_pylist())
+            column = batch.column(text)
+            out = work(arrays(column) if pa.types.is_list(column.type) else column.to_pylist())
             arrow = arrow or arrow_types(own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [as_array(out[n], t) for n, t in arrow.items()],
@@ -110,6 +111,12 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a column of numbers, null ones empty; as arrays they take a fifth of the memory of lists."""
+    flat, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().fill_null(0).to_numpy()
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, (pa.Array, pa.ChunkedArray)):
         return values

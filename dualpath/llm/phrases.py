@@ -241,11 +241,14 @@ def bit_map(survivors: DataFrame, most_bits: int) -> np.ndarray:
     """One bit for each survivor, in a map of 16 bits a survivor and at most 2 ** most_bits."""
     n = survivors.agg(F.sum("n")).first()[0] or 0
     bits = min(most_bits, max(SEGMENT_BITS, (16 * n).bit_length()))
-    return np.packbits(cells(survivors, bits, pack=True), bitorder="little")
+    return cells(survivors, bits, pack=True)
 
 
 def cells(found: DataFrame, bits: int, pack: bool = False) -> np.ndarray:
-    """2 ** bits cells (part, n, data): at each hash's place the logarithm of its largest count, or 1 if none is packed."""
+    """2 ** bits cells of hashes (part, n, data): at each one's place the logarithm of its largest count.
+
+    With `pack` a cell is one bit, set where a hash is, eight to a byte.
+    """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,10 +276,10 @@ def cells(found: DataFrame, bits: int, pack: bool = False) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["segment", "cells"])
 
     dealt = found.mapInArrow(places, "segment int, places binary, most binary").repartition(common.partitions(found.sparkSession), "segment")
-    whole = np.zeros(1 << bits, np.uint8)
+    each = 1 << (SEGMENT_BITS - 3 * pack)
+    whole = np.zeros(1 << (bits - 3 * pack), np.uint8)
     for r in dealt.mapInArrow(filled, "segment int, cells binary").collect():  # the map in segments, of a size that is given
-        own = np.frombuffer(r["cells"], np.uint8)
-        whole[r["segment"] << SEGMENT_BITS : r["segment"] + 1 << SEGMENT_BITS] = np.unpackbits(own, bitorder="little") if pack else own
+        whole[r["segment"] * each : (r["segment"] + 1) * each] = np.frombuffer(r["cells"], np.uint8)
     return whole
 
 
