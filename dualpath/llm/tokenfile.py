@@ -39,8 +39,11 @@ CACHE_WORDS = 1_000_000
 JOINED = 500  # new words encoded in one call
 CACHE_BYTES = 64  # longer words are not kept
 READ_IDS = 1 << 20
+READ_DOCS = 1 << 12
 MARK = b"<|"  # how special tokens begin; words that hold it are encoded alone
-TAIL = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?]+)(?=\s|$)")
+TAIL = re.compile(rb"(?<=[A-Za-z0-9])[.,;:!?]+$")
+ENDS = frozenset(b".,;:!?")
+LONG = 1 << 40
 ACCURACY = 10_000
 
 
@@ -107,16 +110,35 @@ def load(path: str):
     return tokenizer, WordIds(path, tokenizer)
 
 
-def split_words(text: str) -> list[bytes]:
-    """Words that a lower-casing tokenizer encodes on their own: punctuation after a letter or digit is its own word.
+ENCODED = "shard long, doc_id long, ids binary"
 
-    Words that are wholly ASCII are lowered here already, except where a special token, whose case matters, may stand.
-    Others are left to the tokenizer, which composes a letter and its marks before it lowers them.
+
+class Forms(dict):
+    """Numbers of words as they stand in texts. Forms with the same ids share a number or are put together from two.
+
+    Words that are wholly ASCII are looked up in lower case, except where a special token, whose case matters, may stand;
+    others are left to the tokenizer, which composes a letter and its marks before it lowers them. Punctuation after a letter
+    or digit is a word of its own. Very long words are numbered from LONG on and forgotten after each batch.
     """
-    data = text.encode()
-    plain = data.isascii() and MARK not in data
-    split = TAIL.sub(rb" \1", data.lower() if plain else data).split()
-    return split if plain else [w.lower() if w.isascii() and MARK not in w else w for w in split]
+
+    def __init__(self):
+        super().__init__()
+        self.size, self.plain, self.joined, self.long = 0, [], [], {}
+
+    def __missing__(self, word: bytes) -> int:
+        if len(word) > CACHE_BYTES:
+            return LONG + self.long.setdefault(word, len(self.long))
+        if not word.islower() and word.isascii() and MARK not in word and (base := word.lower()) != word:
+            code = self[base]
+        elif word[-1] in ENDS and (tail := TAIL.search(word)):
+            parts = self[word[: tail.start()]], self[word[tail.start() :]]
+            code, self.size = self.size, self.size + 1
+            self.joined.append((code, *parts))
+        else:
+            code, self.size = self.size, self.size + 1
+            self.plain.append((code, word))
+        self[word] = code
+        return code
 
 
 class WordIds:
@@ -132,77 +154,77 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
+        self.forms = Forms()
         self.ids = np.zeros(0, np.int32)
         self.sizes = np.zeros(0, np.int64)
 
-    def add(self, words: list[bytes]) -> None:
-        if not words:
-            return
-        alone = [w for w in words if self.mark is None or MARK in w]
-        joined = sorted(set(words).difference(alone)) if alone else words
-        tokenizer = load(self.path)[0]
+    def tokens(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word, in order."""
+        out: list = [None] * len(words)
+        apart = [i for i, w in enumerate(words) if self.mark is None or MARK in w]
+        alone = set(apart)
+        together = [i for i in range(len(words)) if i not in alone]
         # A special token between words is one id and keeps them apart, and few long calls are quicker than many short.
-        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
-        texts = [(self.mark or b"").join(g).decode() for g in groups] + [w.decode() for w in alone]
-        sizes, ids = [], []
-        for group, encoded in zip([*groups, *[[w] for w in alone]], tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        groups = [together[i : i + JOINED] for i in range(0, len(together), JOINED)] + [[i] for i in apart]
+        texts = [(self.mark or b"").join([words[i] for i in g]).decode() for g in groups]
+        for group, encoded in zip(groups, load(self.path)[0].encode_batch_fast(texts, add_special_tokens=False)):
             own = np.array(encoded.ids, np.int32)
             marks = np.flatnonzero(own == self.mark_id) if len(group) > 1 else np.zeros(0, np.int64)
             if len(marks) != len(group) - 1:
                 raise ValueError("the tokenizer changed a special token")
-            sizes.append(np.diff(np.concatenate(([-1], marks, [len(own)]))) - 1)
-            ids.append(np.delete(own, marks))
-        self.codes.update(zip([*joined, *alone], range(len(self.sizes), len(self.sizes) + len(words))))
-        self.sizes = np.concatenate([self.sizes, *sizes])
-        self.ids = np.concatenate([self.ids, *ids])
+            for i, a, b in zip(group, [0, *(marks + 1).tolist()], [*marks.tolist(), len(own)]):
+                out[i] = own[a:b]
+        return out
+
+    def learn(self) -> None:
+        """Ids of the forms that are new since the last call."""
+        forms, known = self.forms, len(self.sizes)
+        if forms.size == known:
+            return
+        new: list = [None] * (forms.size - known)
+        for (code, _), ids in zip(forms.plain, self.tokens([w for _, w in forms.plain])):
+            new[code - known] = ids
+        starts = np.cumsum(self.sizes) - self.sizes
+        old = lambda c: self.ids[starts[c] : starts[c] + self.sizes[c]]
+        for code, *parts in forms.joined:  # parts have smaller numbers
+            new[code - known] = np.concatenate([new[c - known] if c >= known else old(c) for c in parts])
+        forms.plain, forms.joined = [], []
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), np.int64, len(new))])
+        self.ids = np.concatenate([self.ids, *new])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.sizes) > CACHE_WORDS:
+        if len(self.forms) > CACHE_WORDS:
             self.clear()
-        split = [split_words(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.codes}
-        rare = sorted(w for w in new if len(w) > CACHE_BYTES)
-        self.add(sorted(new.difference(rare)))
-        stay = len(self.sizes)
-        self.add(rare)
-        starts = np.cumsum(self.sizes) - self.sizes
-        codes = [np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words)) for words in split]
-        out = [self.ids[common.ranges(starts[c], self.sizes[c])] for c in codes]
-        if rare:
-            for word in rare:
-                del self.codes[word]
-            self.ids, self.sizes = self.ids[: int(self.sizes[:stay].sum())], self.sizes[:stay]
-        return out
+        split = [t.encode().split() for t in texts]
+        codes = [np.fromiter(map(self.forms.__getitem__, words), np.int64, len(words)) for words in split]
+        self.learn()
+        ids, sizes, long = self.ids, self.sizes, self.forms.long
+        if long:
+            more = self.tokens(list(long))
+            codes = [np.where(c >= LONG, c - LONG + len(sizes), c) for c in codes]
+            ids, sizes = np.concatenate([ids, *more]), np.append(sizes, [len(m) for m in more])
+            self.forms.long = {}
+        starts = np.cumsum(sizes) - sizes
+        return [ids[common.ranges(starts[c], sizes[c])] for c in codes]
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str, text: str, end_id: int, width: int, bounds: list[int]) -> DataFrame:
     """shard, doc_id, ids (bytes, the end id included), encoded where the texts are read."""
-    carried = common.Carried(docs, [id_col])
+    read = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     edges = np.array(bounds, np.int64)
+    kinds = pa.schema(list(common.arrow_types(ENCODED).items()))
 
-    def work_on(texts: list, words: WordIds) -> list[bytes]:
-        found = words.encode([t or "" for t in texts])
-        return [np.append(ids, end_id).astype(f"<u{width}").tobytes() for ids in found]
-
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(tokenizer)[1]
-        return lambda texts: {"ids": work_on(texts, words)}
-
-    out = common.map_texts(carried.take(docs, _text=F.col(f"`{text}`")), carried, "ids binary", make)
-    # The bounds are as many as files, and rise, so an id's file is the number of bounds it reaches.
-    key = F.col("_c0")
-    if len(edges):
-        shard = F.lit(0)
-        step = 1 << (len(edges).bit_length() - 1)
-        lookup = F.array(*[F.lit(int(b)) for b in edges])
-        while step:  # binary search
-            to = shard + F.lit(step)
-            shard = F.when((to <= len(edges)) & (F.get(lookup, to - 1) <= key), to).otherwise(shard)
-            step //= 2
-    else:
-        shard = F.lit(0)
-    return out.select(shard.cast("long").alias("shard"), key.cast("long").alias("doc_id"), "ids")
+        for batch in batches:
+            found = words.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids = pa.array([np.append(own, end_id).astype(f"<u{width}").tobytes() for own in found], pa.binary())
+            # The bounds are as many as files, and rise: an id's file is the number of bounds it reaches. Nulls go first.
+            names = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()
+            shard = pa.array(np.searchsorted(edges, names, side="right"), pa.int64())
+            yield pa.RecordBatch.from_arrays([shard, batch.column("doc_id"), ids], schema=kinds)
+
+    return read.mapInArrow(run, ENCODED)
 
 
 def filesystem(folder: str):
@@ -294,14 +316,19 @@ class Reader:
         return np.frombuffer(self.file.read_at((b - a) * self.width, len(MAGIC) + a * self.width), f"<u{self.width}")
 
     def rows(self) -> Iterator[tuple[list, np.ndarray, list[np.ndarray]]]:
-        """Documents in blocks of about READ_IDS ids: their ids, offsets and token ids."""
-        starts = self.starts.values()
-        names = [None] * self.nulls + (self.docs.values() + self.base).tolist()
+        """Documents in blocks of READ_DOCS or about READ_IDS ids: their ids, offsets and token ids.
+
+        Offsets and ids come from the select structures, a block's at a time; no table of a file's offsets is made.
+        """
         at = 0
         while at < len(self):
-            to = max(at + 1, int(np.searchsorted(starts, starts[at] + READ_IDS, side="right")) - 1)
-            ids = self.span(int(starts[at]), int(starts[to]))
-            yield names[at:to], starts[at : to + 1], np.split(ids, starts[at + 1 : to] - starts[at])
+            to = min(at + READ_DOCS, len(self))
+            first = self.starts.select(at)
+            while to > at + 1 and self.starts.select(to) - first > READ_IDS:
+                to = at + (to - at) // 2
+            starts = np.array([first, *(self.starts.select(i) for i in range(at + 1, to + 1))], np.int64)
+            ids = self.span(first, int(starts[-1]))
+            yield [self.doc_id(i) for i in range(at, to)], starts, np.split(ids, starts[1:-1] - first)
             at = to
 
 
