@@ -101,3 +101,17 @@ SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id, conv FROM given) AS g LEFT JOIN totals USING (conv) LEFT JOIN best USING (conv) LEFT JOIN hashes USING (conv)
 """
+
+ORACLE["op2_top_k"] = r"""
+WITH whole AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM whole AS q JOIN whole AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

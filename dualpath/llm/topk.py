@@ -23,7 +23,9 @@ SHARD_ROWS = 8192
 BLOCK_QUERIES = 2048
 STEP = 2048  # candidates between two rises of the threshold
 PROBE = 8  # terms probed between two looks at what is still competitive
-EXACT = float(1 << 53)
+# Sums up to here are exact in doubles, and in 64-bit integers; beyond, Python's own integers take over.
+EXACT, WIDE = float(1 << 53), float(1 << 63)
+LONG = np.iinfo(np.int64)
 
 
 class Shard:
@@ -39,11 +41,12 @@ class Shard:
         terms = np.argsort(-bound, kind="stable")
         rest = np.append(np.cumsum(bound[terms][::-1])[::-1], 0)  # what the terms from here on can add
         floor = base.sum()
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
+        ids, scores = np.zeros(0, np.int64), np.zeros(0, self.rows.dtype)
         for at in range(0, len(self.ids), STEP):
             rows, here = self.rows[at : at + STEP], np.arange(at, min(at + STEP, len(self.ids)))
-            least = scores[k - 1] if len(scores) == k else -np.inf
-            essential = int(np.searchsorted(-rest, -(least - floor), side="right")) if least > -np.inf else len(terms)
+            full = len(scores) == k
+            least = scores[k - 1] if full else floor  # no score is below the floor
+            essential = int(np.searchsorted(-rest, floor - least, side="right")) if full else len(terms)
             # Terms from `essential` on sum to less than what is needed: no candidate gets in by them alone.
             essential = min(max(essential, 1), len(terms))
             use = terms[:essential]
@@ -58,22 +61,45 @@ class Shard:
                 keep = got + rest[essential] >= least
                 here, got, rows = here[keep], got[keep], rows[keep]
             ids, scores = np.concatenate((ids, self.ids[here])), np.concatenate((scores, got))
-            top = np.lexsort((ids, -scores))[:k]
+            top = _order(ids, scores)[:k]
             ids, scores = ids[top], scores[top]
         return ids, scores
 
 
+def _order(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Highest scores first, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i])), np.int64)
+    return np.lexsort((ids, -scores))
+
+
+def _exact(x: np.ndarray, q: np.ndarray) -> type:
+    """A type in which partial sums of the products, which start at the base, are exact."""
+    most = 4 * max(1, x.shape[1]) * np.abs(x).max(initial=0) * np.abs(q).max(initial=0)
+    return np.float64 if most < EXACT else np.int64 if most < WIDE else object
+
+
+def _as(rows: np.ndarray, kind: type) -> np.ndarray:
+    """Whole doubles in another type."""
+    if kind is object:
+        return np.array([int(x) for x in rows.ravel().tolist()], object).reshape(rows.shape)
+    return rows.astype(kind, copy=False)
+
+
 def top_k(df: DataFrame, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (long): the k highest integer inner products of each query.
 
     Components are floor(scale * x). Queries are the rows whose id is divisible by 50, candidates all rows but a query's
     own id. Ties go to the smaller id; with fewer candidates all are returned. Rows whose id is null, or whose vector is
     null or holds null, NaN or infinite components, take no part; an id that repeats counts once, with its least vector;
-    shorter vectors are padded with zeros, so an empty one scores 0. Scores must stay below 2^53, else it fails. An empty
+    shorter vectors are padded with zeros, so an empty one scores 0. Scores are exact, whatever the components (scaled ones
+    beyond the largest double count as that); a score that a long can't hold is given as the largest or smallest long. An empty
     table gives an empty result. Other columns are not read.
     """
     common.tune(df.sparkSession)
-    whole = F.transform("vector", lambda x: F.floor(x * scale).cast("double"))
+    # Doubles from 2^53 on are whole already, and floor() would cut them to a long.
+    top = F.lit(float(np.finfo(float).max))
+    whole = F.transform("vector", lambda x: F.when(F.abs(x * scale) < EXACT, F.floor(x * scale).cast("double")).otherwise(F.least(F.greatest(x * scale, -top), top)))
     rows = common.written(vectors.usable(df, id_col, vector).select("vec_id", whole.alias("vector")), "quantized")
     queries = vectors.queries_of(rows)
     n, asked = rows.count(), queries.count()
@@ -88,15 +114,13 @@ def top_k(df: DataFrame, k: int = 5, id_col: str = "vec_id", vector: str = "embe
             x, q = vectors.matrix(candidates.column("vector")), vectors.matrix(asked.column("vector"))
             width = max(x.shape[1], q.shape[1])
             x, q = vectors.matrix(candidates.column("vector"), width), vectors.matrix(asked.column("vector"), width)
-            # Partial sums start at the base, so it and the bounds must be exact too.
-            if 4 * width * np.abs(x).max(initial=0) * np.abs(q).max(initial=0) >= EXACT:
-                raise ValueError("inner products beyond 2^53")
-            shard = Shard(candidates.column("vec_id").to_numpy(), x)
-            for own, query in zip(asked.column("query_id").to_pylist(), q):
+            kind = _exact(x, q)
+            shard = Shard(candidates.column("vec_id").to_numpy(), _as(x, kind))
+            for own, query in zip(asked.column("query_id").to_pylist(), _as(q, kind)):
                 ids, scores = shard.search(query, own, k)
                 found["query_id"] += [own] * len(ids)
                 found["vec_id"] += ids.tolist()
-                found["score"] += scores.astype(np.int64).tolist()
+                found["score"] += [min(max(int(s), LONG.min), LONG.max) for s in scores.tolist()]
         return pa.table({n: pa.array(v, pa.int64()) for n, v in found.items()})
 
     scored = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score long")
