@@ -6,8 +6,8 @@ either; the bytes that the toxic dictionary saves are its distance. A text's sco
 of LEVELS, through a logistic calibration fitted on labelled texts that the dictionaries have not seen.
 
 Most of a toxic text is ordinary prose, so a dictionary trained on all of it would be prose too. The toxic dictionary is
-trained on the spans whose grams are in far more toxic than ordinary texts, and then holds the ordinary one, so that prose
-costs the same with both.
+trained on the spans of toxic texts whose grams are in far more toxic than ordinary texts, and then follows the ordinary one, so
+that prose costs the same with both. Both serve as content: a window is too short for the entropy tables to pay.
 
 The fit is bounded: at most SAMPLE labelled texts of a class, of at most LONGEST characters, near copies left out. They are
 collected to the driver; the model is under 100 kB. All texts are scored whole.
@@ -29,11 +29,12 @@ from dualpath.llm import common
 SAMPLE = {1: 2500, 0: 6000}
 LONGEST = 20_000
 FIT_SHARE = 0.6  # of the sample to train on; the rest calibrates
-GRAM = 5
-RATIO = 8.0
-LEAST_SHARE = 0.006
+GRAMS = (7, 9)  # bytes, the blank before or after a word among them
+RATIO = 12.0
+LEAST_SHARE, LEAST = 0.01, 4
 ORDINARY_BYTES = 32 << 10
-TOXIC_BYTES = 16 << 10
+TOXIC_BYTES = 4 << 10
+SEGMENT, MATCH = 24, 6  # of the toxic dictionary's training
 CARRIER = 32
 WINDOW = 64
 OVERLAP = 16
@@ -117,32 +118,44 @@ def _without_copies(texts: list[str]) -> list[str]:
 
 def _grams(word: bytes) -> list[bytes]:
     word = b" " + word + b" "
-    return [word[i : i + GRAM] for i in range(len(word) - GRAM + 1)]
+    return [word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1)]
 
 
-def _toxic_content(toxic: list[str], ordinary: list[str]) -> bytes:
-    """Spans of toxic words made of telling grams, the commonest last, where matches are cheapest."""
+def _telling_spans(toxic: list[str], ordinary: list[str]) -> Counter:
+    """Spans of toxic words that are made of telling grams, and in how many texts' words they stand."""
 
     def texts_with(texts: list[str]) -> Counter:
         return Counter(g for t in texts for g in {g for w in set(words(t)) for g in _grams(w)})
 
     inside, outside = texts_with(toxic), texts_with(ordinary)
-    least = max(3, LEAST_SHARE * len(toxic))
+    least = max(LEAST, LEAST_SHARE * len(toxic))
     telling = {
         g for g, n in inside.items() if n >= least and n / len(toxic) >= RATIO * (outside[g] + 1) / max(1, len(ordinary))
     }
     spans: Counter = Counter()
     for text in toxic:
         for word in set(words(text)):
-            grams = _grams(word)
-            mark = np.zeros(len(word) + 2, bool)
-            for i, gram in enumerate(grams):
-                if gram in telling:
-                    mark[i : i + GRAM] = True
+            padded = b" " + word + b" "
+            mark = np.zeros(len(padded), bool)
+            for n in GRAMS:
+                for i in range(len(padded) - n + 1):
+                    if padded[i : i + n] in telling:
+                        mark[i : i + n] = True
             edges = np.flatnonzero(np.diff(np.concatenate(([False], mark, [False])).astype(np.int8)))
             for a, b in zip(edges[::2], edges[1::2]):
-                spans[(b" " + word + b" ")[a:b]] += 1
-    return b"".join(sorted(spans, key=lambda s: (spans[s], s)))[-TOXIC_BYTES:]
+                spans[padded[a:b]] += 1
+    return spans
+
+
+def _toxic_content(toxic: list[str], ordinary: list[str]) -> bytes:
+    """A dictionary trained on the telling spans, each as often as it stands there."""
+    spans = _telling_spans(toxic, ordinary)
+    mixed = sorted((zlib.crc32(b"%d %b" % (i, s)), s) for s, n in spans.items() for i in range(n))
+    samples = [b" " + s + b" " for _, s in mixed]
+    try:
+        return zstandard.train_dictionary(TOXIC_BYTES, samples, k=SEGMENT, d=MATCH).as_bytes()
+    except (zstandard.ZstdError, ValueError):  # too little to train on: the spans themselves, the commonest last
+        return b"".join(sorted(spans, key=lambda s: (spans[s], s)))[-TOXIC_BYTES:]
 
 
 def _ordinary_content(texts: list[str]) -> bytes:
