@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 # The given events read as bronze pitches and corrections.
 PITCHES = """
 pitches as (
@@ -1010,3 +1012,171 @@ select event_time, ingest_time as emitted_time,
   'fatigue_v1.0' as model_version, at_bat_number, pitch_number, fatigue, leverage, matchup_edge
 from risen where rnk > before""",
 }
+
+
+def _newton(rounds: int, ridge: float) -> str:
+    """Newton steps of a logistic fit of y to x1..x4 of `train`, as a recursive relation fit(k, w0..w4).
+
+    Each step solves the five normal equations by a Cholesky factor; later columns of a select may use earlier ones.
+    """
+    size = 5
+    lower = [(i, j) for i in range(size) for j in range(i + 1)]
+    grams = ", ".join(f"sum(v * x{i} * x{j}) as a{i}{j}" for i, j in lower)
+    slopes = ", ".join(f"sum((y - p) * x{i}) as g{i}" for i in range(size))
+    weights = ", ".join(f"w{i}" for i in range(size))
+    columns = []
+    for i, j in lower:
+        base = f"a{i}{j}" + (f" + {ridge} * n" if i == j and i else "")
+        rest = "".join(f" - l{i}{k} * l{j}{k}" for k in range(j))
+        columns.append(f"sqrt({base}{rest}) as l{i}{i}" if i == j else f"({base}{rest}) / l{j}{j} as l{i}{j}")
+    for i in range(size):
+        own = f"g{i}" + (f" - {ridge} * n * w{i}" if i else "")
+        columns.append(f"({own}{''.join(f' - l{i}{k} * z{k}' for k in range(i))}) / l{i}{i} as z{i}")
+    for i in reversed(range(size)):
+        columns.append(f"(z{i}{''.join(f' - l{k}{i} * d{k}' for k in range(i + 1, size))}) / l{i}{i} as d{i}")
+    return f"""
+fit as (
+  select 0 as k, {", ".join(f"0e0 as w{i}" for i in range(size))}
+  union all
+  select k + 1, {", ".join(f"w{i} + d{i}" for i in range(size))} from (
+    select k, {weights}, {", ".join(columns)} from (
+      select k, {weights}, count(*) as n, {grams}, {slopes} from (
+        select *, p * (1 - p) as v from (
+          select *, 1 / (1 + exp(-(w0{"".join(f" + w{i} * x{i}" for i in range(1, size))}))) as p from fit, train where k < {rounds}
+        )
+      ) group by k, {weights}
+    )
+  )
+)"""
+
+
+_PARTS = ["velocity", "spin", "command", "pitch_count"]
+_POSITIVE = " + ".join(f"greatest(w{i}, 0e0)" for i in range(1, 5))
+
+ORACLE["calibrated_weights"] = f"""with recursive {CANONICAL},
+at_bats as (
+  select game_pk, inning_topbot, at_bat_number, max(row(pitch_number, event_time, pitcher_id))[3] as pitcher_id
+  from staged group by all
+),
+removed as (
+  select game_pk, at_bat_number, pitcher_id, (coalesce(lead(pitcher_id, 1) over w <> pitcher_id, false)
+    or coalesce(lead(pitcher_id, 2) over w <> pitcher_id, false))::integer as y
+  from at_bats window w as (partition by game_pk, inning_topbot order by at_bat_number)
+),
+train as materialized (
+  select 1e0 as x0, coalesce(fatigue_velocity_component, 0e0) as x1, coalesce(fatigue_spin_component, 0e0) as x2,
+    coalesce(fatigue_command_component, 0e0) as x3, least(1e0, pitch_idx / 110e0) as x4, y
+  from canonical join removed using (game_pk, at_bat_number, pitcher_id)
+), {_newton(8, 0.01)}
+select 'fatigue_v1.1' as model_version,
+  {", ".join(f"round(greatest(w{i}, 0e0) / nullif({_POSITIVE}, 0), 6) as {n}" for i, n in enumerate(_PARTS, 1))},
+  round(w0, 6) as intercept, {", ".join(f"round(w{i}, 6) as {n}_coefficient" for i, n in enumerate(_PARTS, 1))},
+  concat_ws(',', {", ".join(f"case when w{i} < 0 then '{n}' end" for i, n in enumerate(["fatigue_velocity_component", "fatigue_spin_component", "fatigue_command_component", "pitch_count_component"], 1))}) as negative,
+  (select count(*) from train) as n
+from fit where k = 8"""
+
+_RISEN = """{0}_banded as (select *, """ + SEVERITY.format("composite") + """ as severity from {0}),
+{0}_ranked as (select *, """ + RANK.format("severity") + """ as rnk from {0}_banded),
+{0}_risen as (
+  select *, coalesce(lag(rnk) over (""" + ORDINAL + """), 0) as before, """ + POSITION + """ as position from {0}_ranked
+),
+{0}_alerts as (
+  select *, concat_ws('-', game_pk, pitcher_id, at_bat_number, pitch_number, severity) as alert_uid from {0}_risen where rnk > before
+)"""
+
+_MATCHED = f"""{BOTH}, {_RISEN.format("provisional")}, {_RISEN.format("canonical")},
+paired as (
+  select s.*, c.severity as c_severity, c.composite as c_score, c.position as c_position, c.rnk as c_rnk,
+    abs(s.at_bat_number - c.at_bat_number) as apart
+  from provisional_alerts s left join canonical_alerts c on c.game_pk = s.game_pk and c.pitcher_id = s.pitcher_id
+    and abs(s.at_bat_number - c.at_bat_number) <= 2
+  qualify row_number() over (partition by s.game_pk, s.pitcher_id, s.position order by apart nulls last, c.position) = 1
+),
+matched as (
+  select game_pk, pitcher_id, at_bat_number, pitch_number, alert_uid, severity, composite as streaming_score,
+    c_severity as canonical_severity, c_score as canonical_score, apart as at_bats_apart,
+    case when c_rnk is null then 'reversed' when c_rnk > rnk then 'escalated' when c_rnk < rnk then 'softened'
+      when c_position > position then 'confirmed_late' else 'confirmed' end as outcome
+  from paired
+  union all
+  select game_pk, pitcher_id, at_bat_number, pitch_number, null, null, null, severity, composite, null, 'suppressed_but_warranted'
+  from canonical_alerts c where not exists (
+    select 1 from provisional_alerts s where s.game_pk = c.game_pk and s.pitcher_id = c.pitcher_id
+      and abs(s.at_bat_number - c.at_bat_number) <= 2)
+)"""
+
+
+def _changes(column: str) -> str:
+    return f"""select '{column}' as signal, event_time, ingest_time from (
+    select *, lag({column}) over ({ORDINAL}) as was from provisional) where was is null or was <> {column}"""
+
+
+ORACLE |= {
+    "matched_alerts": f"with {_MATCHED} select * from matched",
+    "matched_outcomes": f"with {_MATCHED} select outcome, count(*) as n from matched group by 1",
+    "kpi_signal_latency": f"""with {BOTH},
+emitted as (
+  select 'fatigue' as signal, event_time, ingest_time from provisional
+  union all {_changes("leverage")} union all {_changes("matchup_edge")}
+),
+timed as (select signal, cast(event_time as date) as day, epoch_us(ingest_time) // 1000000 - epoch_us(event_time) // 1000000 as latency from emitted),
+spread as (select signal, day, latency from timed union all select signal, null, latency from timed)
+select signal, day, count(*) as n, round(quantile_cont(latency, 0.5), 3) as p50, round(quantile_cont(latency, 0.95), 3) as p95,
+  round(quantile_cont(latency, 0.99), 3) as p99, true as sketch_within_error
+from spread group by 1, 2""",
+    "matchup_facts": f"""with {_HANDED},
+valued as (select *, (events is not null)::integer as v from handed where pitch_type is not null),
+hand_rates as (select batter_hand, cast(sum(v) as double) / count(v) as r0 from valued group by 1),
+type_rates as (
+  select batter_hand, pitch_type, (cast(sum(v) as double) + 20e0 * any_value(r0)) / (count(v) + 20e0) as r1
+  from valued join hand_rates using (batter_hand) group by 1, 2
+),
+batter_rates as (
+  select batter_id, batter_hand, pitch_type, (cast(sum(v) as double) + 20e0 * any_value(r1)) / (count(v) + 20e0) as r2
+  from valued join type_rates using (batter_hand, pitch_type) group by 1, 2, 3
+),
+met as (
+  select pitcher_id, batter_id, batter_hand, count(*) as meetings, sum(0.9e0 + (n_nationkey % 20) / 100e0) / count(*) as park
+  from handed join nation on n_nationkey = game_pk % 25 group by 1, 2, 3
+),
+thrown as (select pitcher_id, batter_hand, pitch_type, count(*) as n from valued group by 1, 2, 3),
+mix as (select *, cast(n as double) / cast(sum(n) over (partition by pitcher_id, batter_hand) as double) as share from thrown),
+terms as (
+  select m.*, x.pitch_type, r2, share * coalesce(r2, r1) as term
+  from met m join mix x using (pitcher_id, batter_hand) join type_rates t on t.batter_hand = m.batter_hand and t.pitch_type = x.pitch_type
+    left join batter_rates b on b.batter_id = m.batter_id and b.batter_hand = m.batter_hand and b.pitch_type = x.pitch_type
+),
+summed as (
+  select pitcher_id, batter_id, batter_hand, meetings, park, {rounded("sum(term)", 6)} as expected,
+    max(row(round(term, 9), pitch_type))[2] as top_contributing_pitch_type, count(r2) as types_seen
+  from terms group by 1, 2, 3, 4, 5
+)
+select * exclude (park), {rounded("expected * round(park, 9) - 0.25e0", 6)} as matchup_edge from summed""",
+}
+
+ORACLE |= {
+    "stream_violations": f"""with {BRONZE},
+bounds as (select min(event_id) as low, max(event_id) as high from events),
+loads as (
+  select b.*, cast((select count(*) from range(1, 4) r(n) where low + (high + 1 - low) * n // 4 <= source_offset) as integer) as load
+  from bronze b, bounds
+)
+select load, count(*) as rows, count(*) filter (pitch_type is null) as no_pitch_type,
+  count(*) filter (release_speed is null) as no_release_speed, count(*) filter (is_duplicate) as flagged
+from loads group by 1""",
+    "missing_fields": """select unnest(['pitcher_id', 'batter_id', 'home_score', 'is_late_arrival', 'is_duplicate', 'correction_of']) as field,
+  (select count(*) from events) as rows""",
+    "raw_day": """select ts as event_time, cast(event_id // 1000 as varchar) as game_pk,
+  cast(user_id % 4 + case when ((event_id % 1000) // 50) % 2 = 0 then 100 else 200 end as varchar) as pitcher,
+  case event_id % 5 when 0 then 'nan' when 1 then '5.9' when 2 then 'inf' when 3 then '-2.7'
+    else cast(event_id % 14 + 1 as varchar) end as zone, cast(ts as date) as game_date
+from events where cast(ts as date) = date '2024-01-10'""",
+    "source_positions": f"""select event_id, row_number() over (order by event_id) - 1 as source_offset,
+  {zlib.crc32(b"events.parquet") % 3}::integer as kafka_partition from events""",
+    "ingestion_stamps": f"with {BRONZE} select count(*) as rows, count(*) as stamped, 1::bigint as batches from bronze",
+    "declared_relations": f"""with {STATES}, other as (with {ALERTS} select cast(event_time as date) as event_day from alerts)
+select 'pitches' as relation, cast(event_time as date) as event_day, count(*) as n from bronze group by all
+union all select 'game_state', cast(event_time as date), count(*) from states group by all
+union all select 'corrections', cast(event_time as date), count(*) from corrections group by all
+union all select 'alerts', event_day, count(*) from other group by all""",
+}

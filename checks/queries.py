@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import functools
 from collections.abc import Callable
 
@@ -15,6 +16,7 @@ from dualpath.operators.ordered import OrderedGroups, find_hot_groups
 from dualpath.plans import features, incremental, lookups, marts, reconcile, signals, staging
 from dualpath.session import new_run_dir, tune, written
 from dualpath.sources import bindings, raw, topics
+from dualpath.sources import lake as lake_tables
 from dualpath.sources.lake import Lake
 from dualpath.streaming import jobs, live, sources, steps
 
@@ -255,27 +257,112 @@ def quality_report(spark, sf_dir):
         n: bindings.table(spark, sf_dir, n)
         for n in "customer documents events labels lineitem nation orders part supplier".split()
     }
-    bronze = _bronze(spark, sf_dir)
-    return quality.report(
-        quality.column_checks(
-            bronze,
-            "pitches",
-            [*schemas.required_fields(schemas.PITCH), "pitch_type", "release_speed", "on_1b"],
-            {"inning_topbot": schemas.ALLOWED_VALUES["inning_topbot"]},
-        ),
-        quality.column_checks(t["lineitem"], "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
-        quality.column_checks(t["events"], "events", allowed={"event_type": ["view", "click"]}),
-        quality.column_checks(t["orders"], "orders", allowed={"o_orderstatus": ["F", "O", "P"]}),
-        quality.unique(bronze, schemas.PITCH_KEY, "pitches"),
-        quality.unique(t["lineitem"], ["l_orderkey", "l_linenumber"], "lineitem"),
-        quality.unique(t["orders"], ["o_orderkey"], "orders"),
-        quality.unique(t["documents"], ["doc_id"], "documents"),
-        quality.references(t["lineitem"], "l_orderkey", t["orders"], "o_orderkey", "lineitem.l_orderkey"),
-        quality.references(t["orders"], "o_custkey", t["customer"], "c_custkey", "orders.o_custkey"),
-        quality.references(t["lineitem"], "l_suppkey", t["supplier"], "s_suppkey", "lineitem.l_suppkey"),
-        quality.references(t["customer"], "c_nationkey", t["nation"], "n_nationkey", "customer.c_nationkey"),
-        quality.references(t["documents"], "doc_id", t["labels"], "doc_id", "documents.doc_id"),
-    )
+    Checks = quality.TableChecks
+    return quality.one_pass(
+        [
+            Checks(
+                "pitches",
+                _bronze(spark, sf_dir),
+                [*schemas.required_fields(schemas.PITCH), "pitch_type", "release_speed", "on_1b"],
+                {"inning_topbot": schemas.ALLOWED_VALUES["inning_topbot"]},
+                [schemas.PITCH_KEY],
+            ),
+            Checks(
+                "lineitem", t["lineitem"], ["l_orderkey", "l_linenumber", "l_shipdate"], unique=[["l_orderkey", "l_linenumber"]],
+                refers={"lineitem.l_orderkey": "l_orderkey", "lineitem.l_suppkey": "l_suppkey"},
+            ),
+            Checks("events", t["events"], allowed={"event_type": ["view", "click"]}),
+            Checks(
+                "orders", t["orders"], allowed={"o_orderstatus": ["F", "O", "P"]}, unique=[["o_orderkey"]],
+                refers={"orders.o_custkey": "o_custkey"}, serves={"lineitem.l_orderkey": "o_orderkey"},
+            ),
+            Checks("documents", t["documents"], unique=[["doc_id"]], refers={"documents.doc_id": "doc_id"}),
+            Checks("customer", t["customer"], refers={"customer.c_nationkey": "c_nationkey"}, serves={"orders.o_custkey": "c_custkey"}),
+            Checks("supplier", t["supplier"], serves={"lineitem.l_suppkey": "s_suppkey"}),
+            Checks("nation", t["nation"], serves={"customer.c_nationkey": "n_nationkey"}),
+            Checks("labels", t["labels"], serves={"documents.doc_id": "doc_id"}),
+        ]
+    )
+
+
+@query
+def stream_violations(spark, sf_dir):
+    """What each start of the bronze stream reports of its own rows, over four loads."""
+    root, found = new_run_dir(spark, "violations"), []
+    checks = {
+        "no_pitch_type": F.col("pitch_type").isNull(),
+        "no_release_speed": F.col("release_speed").isNull(),
+        "flagged": F.col("is_duplicate"),
+    }
+    for n, events in enumerate(_four_loads(spark, sf_dir)):
+        rows = quality.observed(bindings.bronze_pitches(events), "quality", checks)
+        run = jobs.append_bronze(rows, f"{root}/pitches", f"{root}/checkpoint", once=True)
+        run.awaitTermination()
+        reports = [p["observedMetrics"]["quality"] for p in run.recentProgress if "quality" in p["observedMetrics"]]
+        found.append((n, *[sum(r[name] for r in reports) for name in ("rows", *checks)]))
+    return spark.createDataFrame(found, "load int, rows bigint, no_pitch_type bigint, no_release_speed bigint, flagged bigint")
+
+
+@query
+def missing_fields(spark, sf_dir):
+    """Fields of a pitch that the raw rows lack, by name."""
+    rows = bindings.raw_rows(_events(spark, sf_dir))
+    lacking = quality.missing_columns(rows, schemas.PITCH)
+    n = rows.agg(F.count(F.lit(1)).alias("rows"))
+    return n.select(F.explode(F.lit(lacking)).alias("field"), "rows")
+
+
+@query
+def raw_day(spark, sf_dir):
+    """One day of raw rows from a table laid out by day."""
+    path = new_run_dir(spark, "raw")
+    rows = bindings.raw_rows(_events(spark, sf_dir)).withColumn("game_date", F.to_date("event_time"))
+    rows.hint("rebalance", "game_date").write.partitionBy("game_date").parquet(path)
+    day = raw.load_day(spark, path, datetime.date(2024, 1, 10))
+    return day.select("event_time", "game_pk", "pitcher", "zone", "game_date")
+
+
+@query
+def source_positions(spark, sf_dir):
+    """Where each event of the stream stood in its file."""
+    root = new_run_dir(spark, "positions")
+    stream = sources.with_file_position(sources.read_events(spark, sf_dir)).select("event_id", "source_offset", "kafka_partition")
+    jobs.append_files(stream, f"{root}/out", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+@query
+def ingestion_stamps(spark, sf_dir):
+    """Bronze rows of a run, and how many were stamped while it ran."""
+    root = new_run_dir(spark, "stamps")
+    began = datetime.datetime.now(datetime.timezone.utc)
+    jobs.append_bronze(_bronze_stream(spark, sf_dir), f"{root}/pitches", f"{root}/checkpoint", once=True).awaitTermination()
+    ended = datetime.datetime.now(datetime.timezone.utc)
+    rows = spark.read.parquet(f"{root}/pitches")
+    # The stamp is the batch's, in whole milliseconds.
+    during = F.col("ingestion_time").between(F.lit(began - datetime.timedelta(seconds=1)), F.lit(ended))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(during).alias("stamped"), F.countDistinct("ingestion_time").alias("batches"))
+
+
+@query
+def declared_relations(spark, sf_dir):
+    """The four bronze relations, created, filled and read under their declared names."""
+    lake = _lake(spark, "relations")
+    bronze, fixes = bindings.load_bronze(spark, sf_dir)
+    given = {
+        "pitches": bronze,
+        "game_state": _states(spark, sf_dir),
+        "corrections": fixes,
+        "alerts": _alerts(spark, sf_dir),
+    }
+    out = []
+    for name, identifier in lake_tables.BRONZE_RELATIONS.items():
+        dated = given[name].withColumn("event_day", F.to_date("event_time"))
+        lake.ensure_table(identifier, dated.schema, ["event_day"])
+        lake.overwrite_partitions(dated, identifier, "event_day")
+        rows = lake.read_plain(identifier)
+        out.append(rows.groupBy("event_day").agg(F.count(F.lit(1)).alias("n")).withColumn("relation", F.lit(name)))
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 @query
@@ -409,6 +496,38 @@ def kpi_latency(spark, sf_dir):
     return reconcile.latency_percentiles(_alerts(spark, sf_dir))
 
 
+@query
+def kpi_signal_latency(spark, sf_dir):
+    """Every emission of a signal: fatigue at each state, the others where they change."""
+    snapshots = _provisional(spark, sf_dir)
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    times = snapshots.select(*signals.STATE_KEY, "event_time", "ingest_time")
+    emitted = times.select(F.lit("fatigue").alias("signal"), "event_time", "ingest_time")
+    for name in ("leverage", "matchup_edge"):
+        changed = signals.changes_only(snapshots.select(*signals.STATE_KEY, "event_time", "ingest_time", name), name, hot, ["event_time", "ingest_time"])
+        emitted = emitted.unionByName(changed.select(F.lit(name).alias("signal"), "event_time", "ingest_time"))
+    return reconcile.latency_report(*reconcile.signal_latencies(emitted))
+
+
+def _matched(spark, sf_dir):
+    hot = features.hot_pitchers(_bronze(spark, sf_dir))
+    sides = []
+    for snapshots in (_provisional(spark, sf_dir), _canonical(spark, sf_dir)):
+        rows = signals.with_rises(snapshots.withColumn("score", F.col("composite")), hot).where("rises")
+        sides.append(rows.withColumn("alert_uid", signals.alert_uid()))
+    return reconcile.match_alerts(*sides)
+
+
+@query
+def matched_alerts(spark, sf_dir):
+    return _matched(spark, sf_dir)
+
+
+@query
+def matched_outcomes(spark, sf_dir):
+    return _matched(spark, sf_dir).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def kpi_first_signal(spark, sf_dir):
     return reconcile.first_signals(_staged(spark, sf_dir), _alerts(spark, sf_dir))
@@ -470,6 +589,13 @@ def matchup_edge(spark, sf_dir):
     )
 
 
+@query
+def matchup_facts(spark, sf_dir):
+    pitches = _handed(spark, sf_dir).withColumn("park_id", F.col("game_pk") % 25)
+    rates = lookups.shrunk_rates(pitches, F.col("events").isNotNull().cast("int"))
+    return lookups.matchup_facts(pitches, rates, _parks(spark, sf_dir))
+
+
 @query
 def splits_as_of(spark, sf_dir):
     pitches = _handed(spark, sf_dir).withColumn("season", F.year("event_time"))
@@ -517,7 +643,7 @@ def removal_label(spark, sf_dir):
 @query
 def calibrated_weights(spark, sf_dir):
     rows = marts.training_rows(_canonical(spark, sf_dir), _labels(spark, sf_dir))
-    return marts.weights_table(spark, marts.fit_weights(rows, "fatigue_v1.1"))
+    return marts.calibration_table(spark, marts.calibrate(written(rows, "training")), "fatigue_v1.1")
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,7 +45,8 @@ def column_checks(
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row; counted in each map task first."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_held"))
+    return held.where(F.col("_held") > 1).withColumnRenamed("_held", "n")
 
 
 def unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
@@ -54,9 +56,73 @@ def unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
 
 def references(child: DataFrame, column: str, parent: DataFrame, key: str, subject: str) -> DataFrame:
     """Child rows whose value no parent holds. Values are counted before the join, so none is hot."""
-    held = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    held = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_held"))
     lost = held.join(parent.select(F.col(key).alias(column)).distinct(), column, "left_anti")
-    return _result(lost.agg(F.sum("n").alias("violations")), "references", subject)
+    return _result(lost.agg(F.sum("_held").alias("violations")), "references", subject)
+
+
+@dataclass(frozen=True)
+class TableChecks:
+    """What to check of one table. `refers` names columns by the subject of a reference, `serves` the keys that answer it."""
+
+    name: str
+    df: DataFrame
+    not_null: Sequence[str] = ()
+    allowed: dict[str, Sequence[str]] = field(default_factory=dict)
+    unique: Sequence[Sequence[str]] = ()
+    refers: dict[str, str] = field(default_factory=dict)
+    serves: dict[str, str] = field(default_factory=dict)
+
+    def subjects(self) -> list[tuple[str, str]]:
+        return [
+            *[("not_null", f"{self.name}.{c}") for c in self.not_null],
+            *[("allowed_values", f"{self.name}.{c}") for c in self.allowed],
+            *[("unique", f"{self.name}({','.join(keys)})") for keys in self.unique],
+            *[("references", subject) for subject in self.refers],
+        ]
+
+    def tagged(self) -> DataFrame:
+        """check_name, subject, key, held, known: what each row says to each check, in one pass over the table."""
+
+        def says(check: str, subject: str, key: Column, held: int = 1) -> Column:
+            return F.struct(
+                F.lit(check).alias("check_name"), F.lit(subject).alias("subject"), key.cast("string").alias("key"),
+                F.lit(held).cast("bigint").alias("held"), F.lit(1 - held).alias("known"),
+            )
+
+        none = F.lit(None)
+        tags = [F.when(F.col(c).isNull(), says("not_null", f"{self.name}.{c}", none)) for c in self.not_null]
+        tags += [F.when(~F.col(c).isin(*v), says("allowed_values", f"{self.name}.{c}", none)) for c, v in self.allowed.items()]
+        for keys in self.unique:
+            whole = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+            tags.append(says("unique", f"{self.name}({','.join(keys)})", whole))
+        tags += [F.when(F.col(c).isNotNull(), says("references", subject, F.col(c))) for subject, c in self.refers.items()]
+        tags += [F.when(F.col(c).isNotNull(), says("references", subject, F.col(c), 0)) for subject, c in self.serves.items()]
+        return self.df.select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("t")).select("t.*")
+
+
+def one_pass(tables: Sequence[TableChecks]) -> DataFrame:
+    """check_name, subject, violations of all checks, each table read once.
+
+    Rows become tagged keys that are counted in map tasks first, so no key is hot; a row per check keeps those that find nothing.
+    Repeated keys, rows of keys that no parent has, NULLs and values outside a vocabulary are counted as by the single checks.
+    """
+    spark = tables[0].df.sparkSession
+    asked = [(check, subject, None, 0, 0) for t in tables for check, subject in t.subjects()]
+    seeds = spark.createDataFrame(asked, "check_name string, subject string, key string, held bigint, known int")
+    rows = reduce(DataFrame.unionByName, [t.tagged() for t in tables], seeds)
+    keys = rows.groupBy("check_name", "subject", "key").agg(F.sum("held").alias("held"), F.max("known").alias("known"))
+    found = (
+        F.when(F.col("check_name") == "unique", (F.col("held") > 1).cast("bigint"))
+        .when(F.col("check_name") == "references", F.when(F.col("known") == 0, F.col("held")).otherwise(0))
+        .otherwise(F.col("held"))
+    )
+    return keys.groupBy("check_name", "subject").agg(F.sum(found).alias("violations"))
+
+
+def observed(df: DataFrame, name: str, checks: dict[str, Column]) -> DataFrame:
+    """df, which reports with each batch its rows and how many violate each check; a stream's progress carries them."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(n) for n, bad in checks.items()])
 
 
 def missing_columns(df: DataFrame, schema: T.StructType) -> list[str]:

@@ -96,22 +96,24 @@ def with_pace(pitches: DataFrame, hot: HotGroups | None = None, width: int = 10)
             "_pace": F.unix_micros("event_time") - F.lag(F.unix_micros("event_time")).over(w),
         },
     )
-    rows = groups.frames(
-        rows, width - 1, lambda w: {"_paces": F.collect_list("_pace").over(w.rowsBetween(1 - width, 0))}
-    )
-    rows = rows.merged()
-    n = F.size("_paces").cast("bigint")
-    pairs = F.zip_with(
-        F.sequence(F.lit(1), F.greatest(F.size("_paces"), F.lit(1))),
-        "_paces",
-        lambda i, y: F.struct(i.cast("bigint").alias("x"), y.alias("y")),
-    )
-    xy = F.aggregate(pairs, F.lit(0).cast("bigint"), lambda a, p: a + p["x"] * F.coalesce(p["y"], F.lit(0)))
-    y = F.aggregate("_paces", F.lit(0).cast("bigint"), lambda a, v: a + v)
+    # Known paces are numbered in their key; in a frame they count from one.
+    rows = groups.running(rows, {"_k": ("sum", F.col("_pace").isNotNull().cast("bigint"))})
+
+    def sums(w) -> dict[str, Column]:
+        frame = w.rowsBetween(1 - width, 0)
+        return {
+            "_n": F.count("_pace").over(frame),
+            "_y": F.coalesce(F.sum("_pace").over(frame), F.lit(0)),
+            "_ky": F.coalesce(F.sum(F.col("_k") * F.col("_pace")).over(frame), F.lit(0)),
+        }
+
+    rows = groups.frames(rows, width - 1, sums).merged()
+    n, y = F.col("_n"), F.col("_y")
+    xy = F.col("_ky") - (F.col("_k") - n) * y
     # x runs 1..n: sum x = n(n+1)/2 and n * sum x^2 - (sum x)^2 = n^2 (n^2 - 1) / 12.
     top = (n * xy * 2 - n * (n + 1) * y) * 6
     bottom = n * n * (n * n - 1) * F.lit(1_000_000)
     slope = F.when(n >= 2, top.cast("double") / bottom.cast("double"))
     return rows.withColumns(
         {"pace_seconds": F.col("_pace") / F.lit(1_000_000.0), "pace_trend_last_10": slope}
-    ).drop("_pace", "_paces")
+    ).drop("_pace", "_k", "_n", "_y", "_ky")

@@ -154,3 +154,53 @@ def matchup_edges(
 
 def recommendation(edge: Column, warm: float = 0.02, replace: float = 0.08) -> Column:
     return F.when(edge >= replace, "REPLACE").when(edge >= warm, "WARM").otherwise("KEEP")
+
+
+def shrunk_rates(pitches: DataFrame, value: Column, prior: float = 20.0) -> DataFrame:
+    """batter_id (NULL: any), batter_hand, pitch_type, rate: mean outcome values, small samples drawn to the level above.
+
+    One pass counts all levels. A batter's rate against a type counts `prior` pitches of the league's rate against it, and that
+    one as many of the league's rate of the hand.
+    """
+    typed = pitches.where(F.col("pitch_type").isNotNull()).select("batter_id", "batter_hand", "pitch_type", value.cast("double").alias("v"))
+    levels = [["batter_id", "batter_hand", "pitch_type"], ["batter_hand", "pitch_type"], ["batter_hand"]]
+    sums = typed.groupingSets(levels, *levels[0]).agg(F.grouping_id().alias("level"), F.sum("v").alias("s"), F.count("v").alias("n"))
+    # Levels above the batter's have a row per hand and type.
+    hands = sums.where("level = 5").select(F.col("batter_hand").alias("_h"), (F.col("s") / F.col("n")).alias("above"))
+    drawn = ((F.col("s") + prior * F.col("above")) / (F.col("n") + prior)).alias("rate")
+    types = sums.where("level = 4").join(hands, F.col("batter_hand").eqNullSafe(F.col("_h"))).select("batter_id", "batter_hand", "pitch_type", drawn)
+    league = types.select(F.col("batter_hand").alias("_h"), F.col("pitch_type").alias("_t"), F.col("rate").alias("above"))
+    same = [F.col("batter_hand").eqNullSafe(F.col("_h")), F.col("pitch_type") == F.col("_t")]
+    return sums.where("level = 0").join(league, same).select("batter_id", "batter_hand", "pitch_type", drawn).unionByName(types)
+
+
+def matchup_facts(pitches: DataFrame, rates: DataFrame, parks: DataFrame, league: float = 0.25) -> DataFrame:
+    """One row per (pitcher, batter, hand) that met: the pitcher's season mix against the batter's drawn rates, over the league.
+
+    `pitches` has park_id, `rates` comes from shrunk_rates. Types a batter has not seen take the league's rate. The pitches are
+    shuffled once, for the counts; all after that has a row per pair or per pitcher.
+    """
+    counts = pitches.groupBy("pitcher_id", "batter_id", "batter_hand", "pitch_type", "park_id").agg(F.count(F.lit(1)).alias("n"))
+    met = counts.join(parks, "park_id").groupBy("pitcher_id", "batter_id", "batter_hand").agg(
+        F.sum("n").alias("meetings"), (F.sum(F.col("n") * F.col("park_factor")) / F.sum("n")).alias("park")
+    )
+    thrown = counts.where(F.col("pitch_type").isNotNull()).groupBy("pitcher_id", "batter_hand", "pitch_type").agg(F.sum("n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("pitcher_id", "batter_hand"))  # a row per type by now
+    mix = thrown.select("pitcher_id", "batter_hand", "pitch_type", (F.col("n") / total).alias("share"))
+    own = rates.where("batter_id is not null").withColumnRenamed("rate", "own_rate")
+    any_batter = rates.where("batter_id is null").select("batter_hand", "pitch_type", F.col("rate").alias("league_rate"))
+    terms = (
+        met.join(mix, ["pitcher_id", "batter_hand"])
+        .join(any_batter, ["batter_hand", "pitch_type"])
+        .join(own, ["batter_id", "batter_hand", "pitch_type"], "left")
+        .withColumn("term", F.col("share") * F.coalesce("own_rate", "league_rate"))
+    )
+    summed = terms.groupBy("pitcher_id", "batter_id", "batter_hand", "meetings", "park").agg(
+        rounded(F.sum("term"), 6).alias("expected"),
+        F.max_by("pitch_type", F.struct(F.round("term", 9), F.col("pitch_type"))).alias("top_contributing_pitch_type"),
+        F.count("own_rate").alias("types_seen"),
+    )
+    edge = rounded(F.col("expected") * F.round("park", 9) - F.lit(league), 6)
+    return summed.select(
+        "pitcher_id", "batter_id", "batter_hand", "meetings", "types_seen", "expected", edge.alias("matchup_edge"), "top_contributing_pitch_type"
+    )

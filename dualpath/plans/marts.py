@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,18 +116,76 @@ def training_rows(snapshots: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def fit_weights(rows: DataFrame, version: str) -> Weights:
-    """Component weights from a logistic fit, negative ones dropped, scaled to sum to one."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
+# Newton steps from zero, and the ridge a row that keeps them stable where a component never varies.
+ROUNDS = 8
+RIDGE = 0.01
+
+
+@dataclass(frozen=True)
+class Calibration:
+    """A logistic fit: the intercept, a coefficient per component, and the rows it saw."""
+
+    intercept: float
+    coefficients: tuple[float, ...]
+    rows: int
+
+    @property
+    def negative(self) -> list[str]:
+        """Components whose fit says that they work the other way: they get no weight."""
+        return [name for name, c in zip(COMPONENTS, self.coefficients) if c < 0]
+
+    def shares(self) -> list[float] | None:
+        """The positive coefficients scaled to sum to one; None where no component helps."""
+        positive = [max(0.0, c) for c in self.coefficients]
+        total = sum(positive)
+        return [c / total for c in positive] if total else None
 
-    vectors = VectorAssembler(inputCols=COMPONENTS, outputCol="features").transform(rows)
-    model = LogisticRegression(maxIter=25, regParam=0.01).fit(vectors)
-    positive = [max(0.0, float(c)) for c in model.coefficients]
-    total = sum(positive)
-    parts = [c / total for c in positive] if total else [0.25] * len(positive)
-    return Weights(*parts, model_version=version)
 
+def calibrate(rows: DataFrame, rounds: int = ROUNDS, ridge: float = RIDGE) -> Calibration:
+    """Fit the label to the components by iteratively reweighted least squares.
 
-def weights_table(spark: SparkSession, weights: Weights) -> DataFrame:
-    return spark.createDataFrame([weights.__dict__])
+    Each round is one aggregation of the Gram sums over all rows; what comes back is five by five. The intercept has no ridge.
+    `rows` is read once a round, so give it as a table. Without rows, or with labels all alike, the fit is all zeros.
+    """
+    x = [F.lit(1.0), *[F.col(c) for c in COMPONENTS]]
+    size = len(x)
+    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
+    w = np.zeros(size)
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).first()
+    if not total["n"] or total["low"] == total["high"]:
+        return Calibration(0.0, (0.0,) * len(COMPONENTS), total["n"])
+    penalty = ridge * total["n"] * np.diag([0.0, *[1.0] * len(COMPONENTS)])
+    for _ in range(rounds):
+        z = sum((c * F.lit(float(b)) for c, b in zip(x, w)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-z))
+        part = rows.select(*[c.alias(f"x{i}") for i, c in enumerate(x)], p.alias("p"), "label")
+        part = part.withColumns({"v": F.col("p") * (1 - F.col("p")), "e": F.col("label") - F.col("p")})
+        gram = [F.sum(F.col("v") * F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs]
+        sums = part.agg(*gram, *[F.sum(F.col("e") * F.col(f"x{i}")) for i in range(size)]).first()
+        h = np.zeros((size, size))
+        for (i, j), value in zip(pairs, sums):
+            h[i, j] = h[j, i] = value
+        w = w + np.linalg.solve(h + penalty, np.array(sums[len(pairs) :]) - penalty @ w)
+    return Calibration(float(w[0]), tuple(float(c) for c in w[1:]), total["n"])
+
+
+def fit_weights(rows: DataFrame, version: str) -> Weights:
+    """Component weights from the calibration, negative ones dropped, scaled to sum to one.
+
+    Fails where no component helps: such a fit is no artifact to pin.
+    """
+    shares = calibrate(rows).shares()
+    if shares is None:
+        raise ValueError("no component has a positive coefficient; there is nothing to weigh")
+    return Weights(*shares, model_version=version)
+
+
+def calibration_table(spark: SparkSession, fit: Calibration, version: str) -> DataFrame:
+    """One row: the weights (NULL where no component helps), the coefficients, the components left out, the rows seen."""
+    names = ["velocity", "spin", "command", "pitch_count"]
+    shares = fit.shares() or [None] * len(names)
+    values = [version, *shares, fit.intercept, *fit.coefficients, ",".join(fit.negative), fit.rows]
+    doubles = [*names, "intercept", *[f"{n}_coefficient" for n in names]]
+    schema = ", ".join(["model_version string", *[f"{n} double" for n in doubles], "negative string", "n bigint"])
+    table = spark.createDataFrame([tuple(values)], schema)
+    return table.withColumns({n: F.round(n, 6) for n in doubles})

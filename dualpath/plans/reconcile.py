@@ -15,6 +15,11 @@ from dualpath.schemas import PITCHER_GAME_KEY
 # The signals compared.
 SIGNALS = ["fatigue", "leverage", "matchup_edge"]
 
+POINTS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+# The sketch's size and the rank error that its size gives, with room.
+SKETCH_K, SKETCH_ERROR = 200, 0.03
+
 NEAR_MARGIN = 0.05
 MATERIAL_DELTA = 0.002
 
@@ -198,25 +203,105 @@ def decision_outcomes(streaming: DataFrame, canonical: DataFrame) -> DataFrame:
     return flat.withColumn("fired_first", first)
 
 
-def percentiles(df: DataFrame, by: str, value: str, points: dict[str, float]) -> DataFrame:
+def percentiles(df: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
     """Exact percentiles of an integer column per group.
 
     Values are counted first, so a group reaches its task as one row per distinct value.
     """
-    histogram = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    histogram = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     grid = list(points.values())
-    got = histogram.groupBy(by).agg(
+    got = histogram.groupBy(*by).agg(
         F.percentile(value, grid, F.col("_n")).alias("_p"), F.sum("_n").alias("n")
     )
-    return got.select(by, "n", *[F.get("_p", F.lit(i)).alias(name) for i, name in enumerate(points)])
+    return got.select(*by, "n", *[F.get("_p", F.lit(i)).alias(name) for i, name in enumerate(points)])
 
 
 def latency_percentiles(alerts: DataFrame) -> DataFrame:
     """Seconds from event to emission per severity: p50, p95, p99."""
     latency = F.unix_seconds("emitted_time") - F.unix_seconds("event_time")
-    points = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    got = percentiles(alerts.withColumn("latency", latency), "severity", "latency", points)
-    return got.select("severity", "n", *[F.round(p, 3).alias(p) for p in points])
+    got = percentiles(alerts.withColumn("latency", latency), ["severity"], "latency", POINTS)
+    return got.select("severity", "n", *[F.round(p, 3).alias(p) for p in POINTS])
+
+
+def signal_latencies(signals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Latency per signal and day: value counts, and a mergeable quantile sketch of each group.
+
+    `signals` has signal, event_time and ingest_time, one row per emission. A day's sketch has a fixed size, so any range of
+    days is answered from its days' sketches without reading emissions again.
+    """
+    seconds = F.unix_seconds("ingest_time") - F.unix_seconds("event_time")
+    rows = signals.select("signal", F.to_date("event_time").alias("day"), seconds.alias("latency")).where("latency is not null")
+    counts = rows.groupBy("signal", "day", "latency").agg(F.count(F.lit(1)).alias("n"))
+    return counts, rows.groupBy("signal", "day").agg(F.kll_sketch_agg_bigint("latency", SKETCH_K).alias("sketch"))
+
+
+def latency_report(counts: DataFrame, sketches: DataFrame) -> DataFrame:
+    """signal, day (NULL: all days), n, exact p50, p95, p99, and whether the sketch's percentiles are within its rank error.
+
+    The rows of all days come from merged counts and merged sketches.
+    """
+    every = F.explode(F.array(F.col("day"), F.lit(None).cast("date")))
+    both = counts.select("signal", every.alias("day"), "latency", "n").groupBy("signal", "day", "latency").agg(F.sum("n").alias("n"))
+    merged = sketches.select("signal", every.alias("day"), "sketch").groupBy("signal", "day").agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    key = [F.col("c.signal") == F.col("s.signal"), F.col("c.day").eqNullSafe(F.col("s.day"))]
+    asked = [F.kll_sketch_get_quantile_bigint("s.sketch", F.lit(p)).alias(f"about_{name}") for name, p in POINTS.items()]
+    rows = both.alias("c").join(merged.alias("s"), key).select("c.signal", "c.day", "latency", "n", *asked)
+    checks = []
+    for name, p in POINTS.items():
+        below = F.sum(F.when(F.col("latency") < F.col(f"about_{name}"), F.col("n")).otherwise(0)) / F.sum("n")
+        upto = F.sum(F.when(F.col("latency") <= F.col(f"about_{name}"), F.col("n")).otherwise(0)) / F.sum("n")
+        checks.append((below <= p + SKETCH_ERROR) & (upto >= p - SKETCH_ERROR))
+    out = rows.groupBy("signal", "day").agg(
+        F.sum("n").alias("n"),
+        F.percentile("latency", list(POINTS.values()), F.col("n")).alias("p"),
+        (checks[0] & checks[1] & checks[2]).alias("sketch_within_error"),
+    )
+    exact = [F.round(F.get("p", F.lit(i)), 3).alias(name) for i, name in enumerate(POINTS)]
+    return out.select("signal", "day", "n", *exact, "sketch_within_error")
+
+
+def match_alerts(streaming: DataFrame, canonical: DataFrame, within: int = 2) -> DataFrame:
+    """Each streaming alert with the nearest alert the batch raises for that pitcher, no more than `within` at-bats away, and
+    each batch alert that no streaming alert is near.
+
+    Both sides are dealt by runs of at-bats, the batch side to the neighbouring runs too, so alerts meet only near ones. Of
+    equally near ones the earlier counts. No near one: reversed; a lower or higher severity there: softened, escalated; the same
+    at or before the alert: confirmed, after it: confirmed_late; a batch alert alone: suppressed_but_warranted.
+    """
+    run = F.floor(F.col("at_bat_number") / max(1, within))
+    kept = {"severity": "severity", "score": "score", "position": pitcher_order_slot()}
+    columns = [*STATE_KEY, *[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in kept.items()]]
+    said = streaming.select(*columns, "alert_uid", run.alias("run"))
+    meant = canonical.select(*columns, F.explode(F.sequence(run - 1, run + 1)).alias("run"))
+    names = [*STATE_KEY, *kept]
+    meant = meant.select(*[F.col(n).alias(f"c_{n}") for n in [*names, "run"]])
+    apart = F.abs(F.col("at_bat_number") - F.col("c_at_bat_number"))
+    near = [F.col(n) == F.col(f"c_{n}") for n in [*PITCHER_GAME_KEY, "run"]] + [apart <= within]
+    both = said.join(meant, near, "full_outer").withColumn("apart", apart)
+
+    nearest = F.min(F.when(F.col("apart").isNotNull(), F.struct("apart", "c_position", "c_severity", "c_score"))).alias("best")
+    matched = both.where(F.col("alert_uid").isNotNull()).groupBy(*names, "alert_uid").agg(nearest)
+    ours, theirs = (scores.severity_rank(F.col(c)) for c in ("severity", "best.c_severity"))
+    outcome = (
+        F.when(F.col("best").isNull(), "reversed")
+        .when(theirs > ours, "escalated")
+        .when(theirs < ours, "softened")
+        .when(F.col("best.c_position") > F.col("position"), "confirmed_late")
+        .otherwise("confirmed")
+    )
+    found = matched.select(
+        *STATE_KEY, "alert_uid", "severity", F.col("score").alias("streaming_score"), F.col("best.c_severity").alias("canonical_severity"),
+        F.col("best.c_score").alias("canonical_score"), F.col("best.apart").alias("at_bats_apart"), outcome.alias("outcome"),
+    )
+    # A batch alert is alone if none of its runs holds a near one.
+    theirs_only = both.where(F.col("c_position").isNotNull()).groupBy(*[F.col(f"c_{n}").alias(n) for n in names]).agg(F.count("alert_uid").alias("met"))
+    none = F.lit(None).cast("string")
+    alone = theirs_only.where("met = 0").select(
+        *STATE_KEY, none.alias("alert_uid"), none.alias("severity"), F.lit(None).cast("double").alias("streaming_score"),
+        F.col("severity").alias("canonical_severity"), F.col("score").alias("canonical_score"),
+        F.lit(None).cast("int").alias("at_bats_apart"), F.lit("suppressed_but_warranted").alias("outcome"),
+    )
+    return found.unionByName(alone)
 
 
 def delta_histogram(deltas: DataFrame, low: float = -0.5, high: float = 0.5, bins: int = 20) -> DataFrame:

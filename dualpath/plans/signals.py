@@ -181,10 +181,10 @@ def velocity_line(staged: DataFrame, hot: HotGroups | None = None, width: int =
     )
 
 
-def changes_only(snapshots: DataFrame, column: str, hot: HotGroups | None = None) -> DataFrame:
-    """A signal as its own stream: one row when its value changes."""
+def changes_only(snapshots: DataFrame, column: str, hot: HotGroups | None = None, keep: list[str] | None = None) -> DataFrame:
+    """A signal as its own stream: one row when its value changes, with the columns `keep`."""
     rows = pitcher_groups(hot).frames(
-        snapshots.select(*STATE_KEY, column), 1, lambda w: {"_was": F.lag(column).over(w)}
+        snapshots.select(*STATE_KEY, column, *(keep or [])), 1, lambda w: {"_was": F.lag(column).over(w)}
     )
     return rows.where(F.col("_was").isNull() | (F.col("_was") != F.col(column))).drop("_was")
 
