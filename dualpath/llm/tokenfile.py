@@ -38,6 +38,7 @@ FILE_BYTES = 32 << 20  # text a file, about
 CACHE_WORDS = 1_000_000
 JOINED = 500  # new words encoded in one call
 CACHE_BYTES = 64  # longer words are not kept
+PROBES = 500  # words that must have the same ids by the model alone, for it to be used
 READ_IDS = 1 << 20
 READ_DOCS = 1 << 12
 MARK = b"<|"  # how special tokens begin; words that hold it are encoded alone
@@ -151,8 +152,18 @@ class WordIds:
         self.path = path
         special = [(t.content, i) for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.special and not t.normalized and t.content.startswith(MARK.decode())]
         self.mark, self.mark_id = (special[0][0].encode(), special[0][1]) if special else (None, -1)
+        self.model = self._model(tokenizer)
         self.clear()
 
+    @staticmethod
+    def _model(tokenizer):
+        """The tokenizer's inner model, where it gives lower-case ASCII letters the ids that the whole tokenizer gives."""
+        stems = sorted({"".join(c for c in token if "a" <= c <= "z") for token in tokenizer.get_vocab()} - {""})
+        tried = [a + b for a, b in zip(stems[:: max(1, len(stems) // PROBES)], stems[7 :: max(1, len(stems) // PROBES)])]
+        whole = tokenizer.encode_batch_fast(tried, add_special_tokens=False)
+        same = all([t.id for t in tokenizer.model.tokenize(w)] == e.ids for w, e in zip(tried, whole))
+        return tokenizer.model if same and tried else None
+
     def clear(self) -> None:
         self.forms = Forms()
         self.ids = np.zeros(0, np.int32)
@@ -161,9 +172,12 @@ class WordIds:
     def tokens(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word, in order."""
         out: list = [None] * len(words)
-        apart = [i for i, w in enumerate(words) if self.mark is None or MARK in w]
-        alone = set(apart)
-        together = [i for i in range(len(words)) if i not in alone]
+        apart, together = [], []
+        for i, w in enumerate(words):
+            if self.model is not None and w.isalpha() and w.islower():  # ASCII letters: nothing to normalize or split
+                out[i] = np.array([t.id for t in self.model.tokenize(w.decode())], np.int32)
+            else:
+                (apart if self.mark is None or MARK in w else together).append(i)
         # A special token between words is one id and keeps them apart, and few long calls are quicker than many short.
         groups = [together[i : i + JOINED] for i in range(0, len(together), JOINED)] + [[i] for i in apart]
         texts = [(self.mark or b"").join([words[i] for i in g]).decode() for g in groups]

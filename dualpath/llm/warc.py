@@ -1,8 +1,8 @@
 """WARC archives with a two-level capture index.
 
 Archives: one gzip member per record, one file per task, under a name of its own; a file is closed at FILE_BYTES. The first
-of the records with equal payloads (the smallest id) is a response; the others are revisits that refer to it and have no
-payload, only the HTTP headers.
+of the records with equal payloads (the smallest id) is a response; the others are revisits that refer to it, by its id and URL,
+and have no payload, only the HTTP headers. Reading finds what revisits refer to by a lookup in the index.
 
 Index: captures are sorted by reversed-host URL key and dealt to files by key range. A file is a row of compressed blocks of
 LINES captures, and a directory with each block's first key, place and length. The table of index files, one row a file, is
@@ -44,13 +44,18 @@ LOW = (1 << 64) - 1
 
 CAPTURE = "key string, page_id long, url string, file string, at long, length long, type string, digest string"
 FILES = "file string, first string, captures long"
-RECORD = "page_id long, url string, type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
+RECORD = "page_id long, url string, type string, refers_to long, target string, payload_digest string, payload_bytes long, payload binary"
+TARGET = "key string, refers_to long, payload_digest string"
 
 
 def url_key(url: str | None) -> str:
-    """Host parts reversed, then port, path and query: com,example)/path?query. What has no host is its own key."""
+    """Host parts reversed, then port, path and query: com,example)/path?query. What has no host is its own key.
+
+    The key of a URL is that of its form in a header, so a URL that is read back has the key it was filed under.
+    """
     if url is None:
         return ""
+    url = header_safe(url)
     try:
         parts = urlsplit(url.strip())
         host, port = parts.hostname, parts.port
@@ -83,8 +88,8 @@ def header_safe(text: str) -> str:
     return "".join(c if c.isprintable() and not c.isspace() else "".join(f"%{b:02X}" for b in c.encode()) for c in text)
 
 
-def record(page_id, url, digest: str, size: int, payload: bytes | None, first) -> bytes:
-    """A response with its payload, or, where payload is None, a revisit of page `first`."""
+def record(page_id, url, digest: str, size: int, payload: bytes | None, first, target: str | None) -> bytes:
+    """A response with its payload, or, where payload is None, a revisit of page `first` at `target`."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if payload is None else 'response'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {DATE}"]
@@ -93,6 +98,8 @@ def record(page_id, url, digest: str, size: int, payload: bytes | None, first) -
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if payload is None:
         head += [f"WARC-Refers-To: {record_id(first)}", f"WARC-Profile: {PROFILE}"]
+        if target is not None:
+            head.append(f"WARC-Refers-To-Target-URI: {header_safe(target)}")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return gzip.compress("\r\n".join(head).encode() + block + b"\r\n\r\n", 6, mtime=0)
 
@@ -111,7 +118,8 @@ def parse(member: bytes) -> dict:
         raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
     return {
         "page_id": page_of(fields["WARC-Record-ID"]), "url": fields.get("WARC-Target-URI"), "type": kind,
-        "refers_to": page_of(fields["WARC-Refers-To"]) if kind == "revisit" else None, "payload_digest": digest,
+        "refers_to": page_of(fields["WARC-Refers-To"]) if kind == "revisit" else None,
+        "target": fields.get("WARC-Refers-To-Target-URI"), "payload_digest": digest,
         "payload_bytes": size, "payload": payload if kind == "response" else None,
     }
 
@@ -151,7 +159,7 @@ def write_archives(folder: str, file_bytes: int):
             for r in batch.to_pylist():
                 digest = base32(bytes.fromhex(r["digest"]))
                 payload = None if r["payload"] is None else r["payload"].encode()
-                data = record(r["page_id"], r["url"], digest, r["size"], payload, r["first"])
+                data = record(r["page_id"], r["url"], digest, r["size"], payload, r["first"], r["target"])
                 name, at = out.write(data)
                 rows.append(
                     {"key": url_key(r["url"]), "page_id": r["page_id"], "url": r["url"], "file": name, "at": at, "length": len(data),
@@ -202,14 +210,19 @@ class IndexFile:
         (length,) = struct.unpack("<I", self.file.read_at(4, size - 4))
         self.directory = json.loads(zlib.decompress(self.file.read_at(length, size - 4 - length)))
 
+        self.keys = [d[0] for d in self.directory]
+        self.latest: tuple[int, list[dict]] = -1, []
+
     def block(self, i: int) -> list[dict]:
-        _, at, length = self.directory[i]
-        return [json.loads(line) for line in zlib.decompress(self.file.read_at(length, at)).decode().split("\n")]
+        """Block i; the latest is kept, for keys that are asked in order."""
+        if self.latest[0] != i:
+            _, at, length = self.directory[i]
+            self.latest = i, [json.loads(line) for line in zlib.decompress(self.file.read_at(length, at)).decode().split("\n")]
+        return self.latest[1]
 
     def find(self, key: str) -> list[dict]:
         """All captures of a key; they may begin in the block before the first that starts with it."""
-        keys = [d[0] for d in self.directory]
-        a, b = max(0, bisect.bisect_left(keys, key) - 1), bisect.bisect_right(keys, key)
+        a, b = max(0, bisect.bisect_left(self.keys, key) - 1), bisect.bisect_right(self.keys, key)
         return [c for i in range(a, b) for c in self.block(i) if c["key"] == key]
 
 
@@ -237,11 +250,12 @@ def write(
         F.sha1(body.cast("binary")).alias("digest"), F.octet_length(body).cast("long").alias("size"),
     )
     # Only payloads that occur twice are joined: few rows as a rule, and one a payload, so Spark may split the pages of a hot one.
-    firsts = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    firsts = firsts.filter("n > 1 and first is not null").select("digest", "first")
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    firsts = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min(named).alias("f"), F.count("*").alias("n"))
+    firsts = firsts.filter("n > 1 and f is not null").select("digest", F.col("f.page_id").alias("first"), F.col("f.url").alias("target"))
     revisits = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     joined = rows.join(firsts, "digest", "left").select(
-        "page_id", "url", "digest", "size", F.when(~revisits, F.col("payload")).alias("payload"), "first"
+        "page_id", "url", "digest", "size", F.when(~revisits, F.col("payload")).alias("payload"), "first", "target"
     )
     folder, index = new_run_dir(spark, "warc"), new_run_dir(spark, "cdx")
     captures = common.written(joined.mapInArrow(write_archives(folder, file_bytes), CAPTURE), "captures")
@@ -251,7 +265,75 @@ def write(
 
 
 def read(spark: SparkSession, archives: Archives, payloads: bool = True) -> DataFrame:
-    """All records, by way of the index, as rows of RECORD; payload is null for revisits, or for all without `payloads`."""
+    """All records, by way of the index, as rows of RECORD; payload is null for revisits, or for all without `payloads`.
+
+    refers_to is the page of the response that a lookup of the revisit's target finds with the same digest, null if it finds none.
+    """
+    records = common.written(listed(spark, archives, payloads), "records")
+    found = resolved(records.filter("type = 'revisit'"), archives)
+    named = records.withColumnRenamed("refers_to", "_asked").join(
+        found, (F.col("_asked") == F.col("_found")) & (F.col("payload_digest") == F.col("_digest")) & (F.col("type") == "revisit"), "left"
+    )
+    return named.withColumn("refers_to", F.col("_found")).select(*common.arrow_types(RECORD))
+
+
+def resolved(revisits: DataFrame, archives: Archives) -> DataFrame:
+    """_found, _digest: the pages and digests of the responses that revisits refer to, by binary search and range reads.
+
+    Targets are asked in the order of their keys, so a block of the index that several are in is read once.
+    """
+    spark = revisits.sparkSession
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.array([url_key(t) for t in batch.column("target").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([own, batch.column("refers_to"), batch.column("payload_digest")], names=["key", "refers_to", "payload_digest"])
+
+    asked = revisits.select("target", "refers_to", "payload_digest").distinct().mapInArrow(keys, TARGET)
+    dealt = asked.repartitionByRange(common.partitions(spark), "key", "refers_to").sortWithinPartitions("key", "refers_to")
+    search = finder(archives)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = search()
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                rows += [c for c in look(r["key"]) if c["type"] == "response" and c["page_id"] == r["refers_to"] and c["digest"] == r["payload_digest"]]
+            yield batch_of(rows, CAPTURE)
+
+    captures = dealt.mapInArrow(find, CAPTURE).select("file", "at", "length")
+    # The record itself is read too: its payload must have the digest.
+    found = captures.mapInArrow(read_records(archives.records, False), RECORD)
+    return found.select(F.col("page_id").alias("_found"), F.col("payload_digest").alias("_digest")).distinct()
+
+
+def finder(archives: Archives):
+    """A function that gives a task its search: from a key to its captures, by the upper table and the directories.
+
+    The upper table, one row for a million captures, is sent to every task.
+    """
+    top = sorted((r["first"], r["file"]) for r in archives.files.collect())
+    folder = archives.index
+
+    def start():
+        firsts, opened = [t[0] for t in top], {}
+
+        def look(key: str) -> list[dict]:
+            a, b = max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)
+            out = []
+            for _, name in top[a:b]:
+                if name not in opened:
+                    opened[name] = IndexFile(folder, name)
+                out += opened[name].find(key)
+            return out
+
+        return look
+
+    return start
+
+
+def listed(spark: SparkSession, archives: Archives, payloads: bool) -> DataFrame:
+    """All records as they say of themselves."""
 
     folder = archives.index
 
@@ -289,23 +371,14 @@ def read_records(folder: str, payloads: bool):
 def lookup(urls: DataFrame, archives: Archives, url: str = "url") -> DataFrame:
     """The records of the given URLs (a column of strings), found by binary search and range reads.
 
-    URLs that nothing has give no row; a null URL finds records without one. The upper table, one row for a million
-    captures, is sent to every task.
+    URLs that nothing has give no row; a null URL finds records without one.
     """
-    top = sorted((r["first"], r["file"]) for r in archives.files.collect())
-    folder = archives.index
+    search = finder(archives)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        firsts, opened = [t[0] for t in top], {}
+        look = search()
         for batch in batches:
-            rows = []
-            for wanted in batch.column(0).to_pylist():
-                key = url_key(wanted)
-                a, b = max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)
-                for _, name in top[a:b]:
-                    if name not in opened:
-                        opened[name] = IndexFile(folder, name)
-                    rows += [c for c in opened[name].find(key) if c["url"] == wanted]
+            rows = [c for wanted in batch.column(0).to_pylist() for c in look(url_key(wanted)) if c["url"] == wanted]
             yield batch_of(rows, CAPTURE)
 
     found = urls.select(F.col(f"`{url}`").cast("string")).distinct().mapInArrow(find, CAPTURE)

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dualpath.llm import phrases
@@ -50,9 +51,8 @@ def plain(rows, least, top, covered=50):
     return out
 
 
-@pytest.mark.parametrize("chunk, bits, top", [(1 << 20, 28, 2000), (50, 28, 2000), (300, 19, 7)])
-def test_phrases(spark, monkeypatch, chunk, bits, top):
-    monkeypatch.setattr(phrases, "CHUNK", chunk)
+@pytest.mark.parametrize("bits, top", [(28, 2000), (19, 7)])
+def test_phrases(spark, bits, top):
     df = spark.createDataFrame([(i, t, lang, 1, "p", 2) for i, t, lang in texts()], SCHEMA).repartition(3)
     got = phrases.phrases(df, top=top, map_bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -61,6 +61,41 @@ def test_phrases(spark, monkeypatch, chunk, bits, top):
     assert len(rows) == len(want) and set(rows) == want and len(want) > 20
 
 
+@pytest.mark.parametrize("chunk, codes", [(1 << 20, 21), (7, 21), (30, 6), (100, 8)])
+def test_counts_in_small_chunks(monkeypatch, chunk, codes):
+    """Texts longer than a chunk, and word numbers that run out, against a plain count; tasks call these functions."""
+    monkeypatch.setattr(phrases, "CHUNK", chunk)
+    monkeypatch.setattr(phrases, "CODE_BITS", codes)
+    rows = [r for r in texts() if r[1]][:60] + texts()[-9:]
+    rows = [(i, " ".join(t.split(" ")[:40]) if codes < 21 and t else t, lang) for i, t, lang in rows]
+    batches = [pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows[i : i + 10]], "text": [r[1] for r in rows[i : i + 10]]}) for i in range(0, len(rows), 10)]
+    batches = [b.set_column(1, "text", b.column("text").cast(pa.string())) for b in batches]
+    want, n = Counter(), Counter()
+    for _, text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(ws)
+            want.update((lang or "und", " ".join(ws[i : i + k])) for k in (1, 2, 3) for i in range(len(ws) - k + 1))
+
+    class All:
+        value = np.full(8, 255, np.uint8)
+
+    packed = sorted(b for batch in phrases.exact_counts(3, 5, All)(iter(batches)) for b in (tuple(r.values()) for r in batch.to_pylist()))
+    names = ["bucket", "lang", "n", "phrases", "counts"]
+    found = phrases.summed(1)(iter([pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in packed])]))
+    got, words = Counter(), Counter()
+    for r in (r for b in found for r in b.to_pylist()):
+        (got if r["size"] else words)[(r["lang"], r["phrase"]) if r["size"] else r["lang"]] += r["f"]
+    assert got == want and {k: v for k, v in words.items() if v} == {k: v for k, v in n.items() if v}
+    hashed = Counter()
+    for b in phrases.summaries(3)(iter(batches)):
+        for r in b.to_pylist():
+            hashes, counts = phrases.unpacked(r["data"], r["n"])
+            assert r["mass"] == counts.sum()
+            hashed.update({(r["part"], h): c for h, c in zip(hashes.tolist(), counts.tolist())})
+    assert sorted(hashed.values()) == sorted(want.values())
+
+
 def test_phrases_of_no_rows(spark):
     assert phrases.phrases(spark.createDataFrame([], SCHEMA)).count() == 0
     assert phrases.phrases(spark.createDataFrame([(1, None, None, 1, "p", 2)], SCHEMA)).count() == 0
