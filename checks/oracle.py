@@ -785,6 +785,9 @@ def _arrived_last(n: int) -> str:
     return f"{_ARRIVED} rows between {n - 1} preceding and current row"
 
 
+_EDGE = """((abs(abs(plate_x) - 0.83e0) <= 0.25e0 and plate_z between 1.25e0 and 3.75e0)
+    or ((abs(plate_z - 1.5e0) <= 0.25e0 or abs(plate_z - 3.5e0) <= 0.25e0) and abs(plate_x) <= 1.08e0))"""
+
 _THROWN = ", ".join(
     f"count(*) filter (pitch_type = '{t}') over ({_ARRIVED}) as thrown_{t.lower()}"
     for t in ["FF", "SL", "CH", "CU", "SI", "FC", "KC", "FT", "FS"]
@@ -801,7 +804,9 @@ live_raw as (
     {mean("release_spin_rate", _arrived_last(20))} as spin_last_20_avg,
     {mean("pace / 1000000e0", _arrived_last(10))} as pace_last_10_avg,
     count(*) filter (zone <= 9) over ({_arrived_last(15)})
-      / cast(count(*) over ({_arrived_last(15)}) as double) as zone_last_15_share, {_THROWN}
+      / cast(count(*) over ({_arrived_last(15)}) as double) as zone_last_15_share,
+    count(*) filter (zone <= 9 or {_EDGE}) over ({_arrived_last(15)})
+      / cast(count(*) over ({_arrived_last(15)}) as double) as command_last_15_share, {_THROWN}
   from paced
 )"""
 )
@@ -817,7 +822,7 @@ union all select 'bronze', pitcher_id, count(*), max(event_time) from bronze gro
 union all select 'counts', pitcher_id, cast(sum(pitch_count) as bigint), max(window_end) from closed group by all""",
     "stream_features": f"""with {LIVE}
 select game_pk, pitcher_id, at_bat_number, pitch_number, is_late_arrival, event_time, pitch_idx, velocity_last_20_avg,
-  spin_last_20_avg, pace_last_10_avg, zone_last_15_share, columns('thrown_.*')
+  spin_last_20_avg, pace_last_10_avg, zone_last_15_share, command_last_15_share, columns('thrown_.*')
 from live_raw""",
     "stream_alerts": f"with {ALERTS} select * from alerts",
     "stream_game_state": f"with {PITCHES}, {transitions_of('pitches')} select * from states",
@@ -917,10 +922,17 @@ paced_states as (
   from arriving
   window w as (partition by game_pk order by inning, inning_topbot desc, at_bat_number, pitch_number, is_late_arrival, source_offset)
 ),
+ended as (
+  select game_pk, max(row(at_bat_number, pitch_number, home_score - away_score))[3] as final from marked group by 1
+),
+wins as (
+  select {_STATE_COLUMNS}, sum(case when final > 0 then 1e0 when final = 0 then 0.5e0 else 0e0 end) / count(*) as win_prob_home
+  from marked join ended using (game_pk) group by all
+),
 live_leverage as (
   select game_pk, at_bat_number, pitch_number, pitcher_id, event_time, home_score - away_score as score_differential, recent_late,
-    1 - cast(recent_late as double) / recent as confidence, leverage_index
-  from paced_states left join li using ({_STATE_COLUMNS})
+    1 - cast(recent_late as double) / recent as confidence, leverage_index, win_prob_home
+  from paced_states left join li using ({_STATE_COLUMNS}) left join wins using ({_STATE_COLUMNS})
   where was is null or was <> context
 )"""
 
@@ -994,6 +1006,7 @@ from range(4) r(n)""",
 select game_pk, pitcher_id, window_start, count(*) as refused from judged
 where refused and window_end <= (select max(window_end) from counted) group by all""",
     "live_leverage": f"{_LIVE_LEVERAGE} select * from live_leverage",
+    "win_table": f"{_LIVE_LEVERAGE} select * from wins",
     "live_matchup": f"""with {PITCHES}, {_MATCHUP_CTES}
 select * exclude (edge), edge as matchup_edge,
   case when edge >= 0.08e0 then 'REPLACE' when edge >= 0.02e0 then 'WARM' when edge is not null then 'KEEP' end as recommendation
@@ -1180,3 +1193,34 @@ union all select 'game_state', cast(event_time as date), count(*) from states gr
 union all select 'corrections', cast(event_time as date), count(*) from corrections group by all
 union all select 'alerts', event_day, count(*) from other group by all""",
 }
+
+ORACLE["fatigue_parts"] = f"""with {CORRECTED},
+games as (
+  select pitcher_id, game_pk, min(event_time) as start, year(min(event_time)) as season, count(*) as n from corrected group by 1, 2
+),
+usual as (
+  select pitcher_id, game_pk, sum(n) over w / cast(count(n) over w as double) as usual_pitches from games
+  window w as (partition by pitcher_id, season order by start, game_pk rows between unbounded preceding and 1 preceding)
+),
+typed as (
+  select pitcher_id, game_pk, pitch_type, sum(cast(release_spin_rate as decimal(18,6))) as spin, count(release_spin_rate) as spins
+  from corrected where pitch_type is not null group by 1, 2, 3
+),
+usual_spins as (
+  select t.pitcher_id, t.game_pk, pitch_type,
+    case when sum(spins) over w > 0 then cast(sum(spin) over w as double) / sum(spins) over w end as usual_spin
+  from typed t join games g on g.pitcher_id = t.pitcher_id and g.game_pk = t.game_pk
+  window w as (partition by t.pitcher_id, season, pitch_type order by start, t.game_pk rows between unbounded preceding and 1 preceding)
+),
+rows_seen as (
+  select c.*, release_spin_rate - usual_spin as gap, zone <= 9 or {_EDGE} as commanded
+  from corrected c left join usual_spins u on u.pitcher_id = c.pitcher_id and u.game_pk = c.game_pk and u.pitch_type = c.pitch_type
+),
+parts as (
+  select *, row_number() over ({ORDINAL}) as pitch_idx, {mean("gap", _last(20))} as spin_vs_type_last_20,
+    count(*) filter (commanded) over ({_last(15)}) / cast(count(*) over ({_last(15)}) as double) as command_last_15
+  from rows_seen
+)
+select game_pk, pitcher_id, at_bat_number, pitch_number, pitch_idx, pitch_idx / usual_pitches as relative_pitch_count,
+  spin_vs_type_last_20, command_last_15
+from parts left join usual using (pitcher_id, game_pk)"""

@@ -372,6 +372,11 @@ def pace_trend(spark, sf_dir):
     return features.with_pace(rows, hot)
 
 
+@query
+def fatigue_parts(spark, sf_dir):
+    return features.fatigue_parts(_corrected(spark, sf_dir), features.hot_pitchers(_bronze(spark, sf_dir)))
+
+
 def _canonical(spark, sf_dir):
     hot = features.hot_pitchers(_bronze(spark, sf_dir))
     return signals.signal_snapshots(signals.canonical_features(_corrected(spark, sf_dir), hot))
@@ -857,7 +862,13 @@ def refused_rows(spark, sf_dir):
 def _leverage_table(spark, sf_dir):
     """The table as it is pinned when the stream starts."""
     pitches = staging.deduplicated(_bronze(spark, sf_dir))
-    return written(lookups.leverage_table(pitches, _hot_games(spark, sf_dir)), "leverage")
+    table = lookups.leverage_table(pitches, _hot_games(spark, sf_dir))
+    return written(table.join(lookups.win_table(pitches), lookups.LEVERAGE_STATE), "leverage")
+
+
+@query
+def win_table(spark, sf_dir):
+    return lookups.win_table(staging.deduplicated(_bronze(spark, sf_dir)))
 
 
 @query

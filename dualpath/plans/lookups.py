@@ -50,6 +50,19 @@ def leverage_table(pitches: DataFrame, hot: HotGroups | None = None) -> DataFram
     return states.select(*LEVERAGE_STATE, (rate / overall.scalar()).alias("leverage_index"))
 
 
+def win_table(pitches: DataFrame) -> DataFrame:
+    """How often the home side won from each state, over history; a game that ended level counts half.
+
+    A game's end is its last pitch, a value per game that the pitches are joined to by game.
+    """
+    lead = F.col("home_score") - F.col("away_score")
+    final = pitches.groupBy("game_pk").agg(F.max_by(lead, F.struct("at_bat_number", "pitch_number")).alias("final"))
+    won = F.when(F.col("final") > 0, 1.0).when(F.col("final") == 0, 0.5).otherwise(0.0)
+    states = pitches.withColumns(leverage_state()).groupBy("game_pk", *LEVERAGE_STATE).agg(F.count(F.lit(1)).alias("n"))
+    rows = states.join(final, "game_pk").withColumn("won", won)
+    return rows.groupBy(*LEVERAGE_STATE).agg((F.sum(F.col("won") * F.col("n")) / F.sum("n")).alias("win_prob_home"))
+
+
 def leverage_changes(pitches: DataFrame, table: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     """Leverage after each change of count, bases, outs, score or half, and how many of the last ten
     rows of the game came late."""

@@ -14,6 +14,7 @@ from dualpath.functions.scores import Composite, Weights
 from dualpath.operators.corrections import RECENCY
 from dualpath.operators.dedup import newest_per_key
 from dualpath.operators.transitions import STATE, transition_rows
+from dualpath.plans.features import on_the_edge
 from dualpath.plans.marts import USAGE_TYPES
 from dualpath.plans.signals import SIGNAL_COLUMNS, STATE_KEY, TRAILING_WIDTH, WARM_UP, alert_rows, in_zone, with_signals
 from dualpath.schemas import GAME_STATE, PITCHER_GAME_KEY
@@ -32,6 +33,7 @@ LIVE_FEATURES = [
     "spin_last_20_avg",
     "pace_last_10_avg",
     "zone_last_15_share",
+    "command_last_15_share",
     *_TYPES.values(),
 ]
 
@@ -41,6 +43,7 @@ LIVE = Running(
         "speed_20": ("speed", TAIL),
         "spin_20": ("spin", TAIL),
         "zone_15": ("zoned", ZONE_WIDTH),
+        "command_15": ("commanded", ZONE_WIDTH),
         "speed_16": ("speed", TRAILING_WIDTH),
         "spin_16": ("spin", TRAILING_WIDTH),
         "zone_16": ("zoned", TRAILING_WIDTH),
@@ -78,6 +81,7 @@ def live_features(pitches: DataFrame, weights: Weights = Weights(), mix: Composi
         micros(F.col("release_speed")).alias("speed"),
         micros(F.col("release_spin_rate")).alias("spin"),
         _flag(in_zone(F.col("zone"))).alias("zoned"),
+        _flag(in_zone(F.col("zone")) | on_the_edge(F.col("plate_x"), F.col("plate_z"))).alias("commanded"),
         *[_flag(F.col("pitch_type") == t).alias(source) for t, source in zip(_TYPES, LIVE.totals.values())],
     )
     order = [F.col("at_bat_number"), F.col("pitch_number"), F.col("is_late_arrival").cast("int"), F.col("place")]
@@ -91,6 +95,7 @@ def live_features(pitches: DataFrame, weights: Weights = Weights(), mix: Composi
         _mean("spin_20").alias("spin_last_20_avg"),
         _mean("pace_10").alias("pace_last_10_avg"),
         _share("zone_15").alias("zone_last_15_share"),
+        _share("command_15").alias("command_last_15_share"),
         *_TYPES.values(),
         _mean("speed_16").alias("velocity_mean"),
         _mean("spin_16").alias("spin_mean"),
