@@ -899,7 +899,7 @@ def live_matchup(spark, sf_dir):
     return spark.read.schema(out.schema).parquet(f"{root}/out")
 
 
-def _live_scores(spark, sf_dir):
+def _live_scores(spark, sf_dir, with_alerts):
     """Three jobs write a topic each, the orchestrator joins them; matchup is always one load behind.
 
     A last heartbeat on every topic closes what is still waiting.
@@ -926,10 +926,11 @@ def _live_scores(spark, sf_dir):
     def orchestrate():
         scored = live.scored(topic("fatigue"), topic("leverage"), topic("matchup"))
         jobs.append_files(scored, f"{root}/scores", f"{root}/checkpoint/scores", once=True).awaitTermination()
+        if not with_alerts:
+            return live.without_heartbeats(spark.read.schema(scored.schema).parquet(f"{root}/scores"))
         alerts = steps.rising(live.without_heartbeats(sources.read_files(spark, f"{root}/scores", scored.schema)))
         jobs.append_files(alerts, f"{root}/alerts", f"{root}/checkpoint/alerts", once=True).awaitTermination()
-        scores = spark.read.schema(scored.schema).parquet(f"{root}/scores")
-        return live.without_heartbeats(scores), spark.read.schema(alerts.schema).parquet(f"{root}/alerts")
+        return spark.read.schema(alerts.schema).parquet(f"{root}/alerts")
 
     spark.createDataFrame([], kinds["matchup"]).write.parquet(f"{root}/matchup")
     for n, folder in enumerate(_load_folders(spark, sf_dir)):
@@ -949,12 +950,12 @@ def _live_scores(spark, sf_dir):
 
 @query
 def live_scores(spark, sf_dir):
-    return _live_scores(spark, sf_dir)[0]
+    return _live_scores(spark, sf_dir, False)
 
 
 @query
 def live_alerts(spark, sf_dir):
-    return _live_scores(spark, sf_dir)[1]
+    return _live_scores(spark, sf_dir, True)
 
 
 def _lake(spark, name):
