@@ -1224,3 +1224,5 @@ parts as (
 select game_pk, pitcher_id, at_bat_number, pitch_number, pitch_idx, pitch_idx / usual_pitches as relative_pitch_count,
   spin_vs_type_last_20, command_last_15
 from parts left join usual using (pitcher_id, game_pk)"""
+
+ORACLE["quality_one_pass"] = ORACLE["quality_report"]

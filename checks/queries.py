@@ -253,6 +253,36 @@ def nested_lineups(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    t = {
+        n: bindings.table(spark, sf_dir, n)
+        for n in "customer documents events labels lineitem nation orders part supplier".split()
+    }
+    bronze = _bronze(spark, sf_dir)
+    return quality.report(
+        quality.column_checks(
+            bronze,
+            "pitches",
+            [*schemas.required_fields(schemas.PITCH), "pitch_type", "release_speed", "on_1b"],
+            {"inning_topbot": schemas.ALLOWED_VALUES["inning_topbot"]},
+        ),
+        quality.column_checks(t["lineitem"], "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
+        quality.column_checks(t["events"], "events", allowed={"event_type": ["view", "click"]}),
+        quality.column_checks(t["orders"], "orders", allowed={"o_orderstatus": ["F", "O", "P"]}),
+        quality.unique(bronze, schemas.PITCH_KEY, "pitches"),
+        quality.unique(t["lineitem"], ["l_orderkey", "l_linenumber"], "lineitem"),
+        quality.unique(t["orders"], ["o_orderkey"], "orders"),
+        quality.unique(t["documents"], ["doc_id"], "documents"),
+        quality.references(t["lineitem"], "l_orderkey", t["orders"], "o_orderkey", "lineitem.l_orderkey"),
+        quality.references(t["orders"], "o_custkey", t["customer"], "c_custkey", "orders.o_custkey"),
+        quality.references(t["lineitem"], "l_suppkey", t["supplier"], "s_suppkey", "lineitem.l_suppkey"),
+        quality.references(t["customer"], "c_nationkey", t["nation"], "n_nationkey", "customer.c_nationkey"),
+        quality.references(t["documents"], "doc_id", t["labels"], "doc_id", "documents.doc_id"),
+    )
+
+
+@query
+def quality_one_pass(spark, sf_dir):
+    """The same checks, each table read once."""
     t = {
         n: bindings.table(spark, sf_dir, n)
         for n in "customer documents events labels lineitem nation orders part supplier".split()

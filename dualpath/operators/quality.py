@@ -94,7 +94,9 @@ class TableChecks:
         tags = [F.when(F.col(c).isNull(), says("not_null", f"{self.name}.{c}", none)) for c in self.not_null]
         tags += [F.when(~F.col(c).isin(*v), says("allowed_values", f"{self.name}.{c}", none)) for c, v in self.allowed.items()]
         for keys in self.unique:
-            whole = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+            # Values of several columns are told apart by their lengths, NULLs by having none.
+            parts = [F.col(c).cast("string") for c in keys]
+            whole = F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
             tags.append(says("unique", f"{self.name}({','.join(keys)})", whole))
         tags += [F.when(F.col(c).isNotNull(), says("references", subject, F.col(c))) for subject, c in self.refers.items()]
         tags += [F.when(F.col(c).isNotNull(), says("references", subject, F.col(c), 0)) for subject, c in self.serves.items()]
