@@ -6,6 +6,7 @@ is laid out by it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,18 @@ WINDOW_SIZE = "1 minute"
 CHECKPOINT_EVERY = "30 seconds"
 
 
+# Bytes of input files a state partition.
+STATE_BYTES = 1 << 20
+
+
+def state_partitions(spark: SparkSession, path: str) -> int:
+    """Of a stateful stream over the files at `path`: one per STATE_BYTES, a core each at least, no more than shuffles have."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, math.ceil(size / STATE_BYTES)))
+
+
 def windowed_counts(pitches: DataFrame, delay: str = WATERMARK_DELAY, size: str = WINDOW_SIZE) -> DataFrame:
     """Pitches per (game, pitcher, tumbling window); on a stream, windows close at the watermark."""
     return (

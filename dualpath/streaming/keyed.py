@@ -4,6 +4,9 @@ A key's rows of a micro-batch are put in order and continue what the rows before
 columns, totals. That is all the state holds, so it is small whatever the stream's length, and Spark keeps it in its state
 store, versioned by batch and restored after a crash. Sums are of whole numbers, so batching never changes them.
 
+Spark hands Python the rows of a keyed state one by one. So they come packed: the rows of a key in an Arrow batch are one row
+that holds them as an Arrow stream, and come out the same way.
+
 The rows of a key in one micro-batch meet in one task. The source bounds what a micro-batch admits (see
 sources.read_files), and with it what a task holds, also where most rows have one key.
 """
@@ -15,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,9 +60,65 @@ class Running:
         )
 
 
-def _longs(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    known = values.notna().to_numpy()
-    return np.where(known, values.to_numpy(), 0).astype(np.int64), known
+# Rows of an output that are packed at a time.
+CHUNK = 1 << 16
+
+
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
+
+
+def _pack(keys: list[str]):
+    """Per batch: the rows of each key as one row of the keys and `rows`, so that few rows pass the state's row by row way."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            group = np.zeros(len(batch), np.int64)
+            for key in keys:
+                codes = batch.column(key).dictionary_encode("encode")
+                group = group * len(codes.dictionary) + codes.indices.to_numpy()
+                group = np.unique(group, return_inverse=True)[1]
+            order = np.argsort(group, kind="stable")
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            rows = pa.Table.from_batches([batch]).take(pa.array(order))
+            data = [_packed(rows.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], len(rows)])]
+            first = rows.select(keys).take(pa.array(starts)).combine_chunks()
+            yield from first.append_column("_rows", pa.array(data, pa.binary())).to_batches()
+
+    return run
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        for packed in batch.column(0):
+            held.append(_unpacked(packed.as_py()))
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+
+def _longs(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    if not values.null_count:
+        return values.cast(pa.int64()).to_numpy(), np.ones(len(values), bool)
+    known = values.is_valid().to_numpy(zero_copy_only=False)
+    return values.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False), known
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
 class _Carry(StatefulProcessor):
@@ -72,65 +132,79 @@ class _Carry(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        spec = self.spec
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch.columns = [*self.keep, *self.order]
-        batch = batch.sort_values(self.order, kind="stable", na_position="last", ignore_index=True)
-        n = len(batch)
-        was = self.carried.get() if self.carried.exists() else None
+        batch = pa.concat_tables([_unpacked(packed) for part in rows for packed in part.iloc[:, -1]])
+        marks = [batch.column(c).to_numpy() for c in reversed(self.order)]
+        batch = batch.take(pa.array(np.lexsort(marks))) if marks else batch
+        out, after = self.continued(batch.combine_chunks(), self.carried.get() if self.carried.exists() else None)
+        self.carried.update(after)
+        for at in range(0, len(out), CHUNK):
+            yield pd.DataFrame({"_rows": [_packed(out.slice(at, CHUNK))]})
+
+    def continued(self, batch: pa.Table, was: tuple | None) -> tuple[pa.Table, tuple]:
+        """The rows of a key, in order, with their values, and what they leave, from what the rows before them left."""
+        spec, n = self.spec, len(batch)
+        columns = {c: _one(batch.column(c)) for c in self.keep}
+        longs: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def numbers(column: str) -> tuple[np.ndarray, np.ndarray]:
+            if column not in longs:
+                longs[column] = _longs(columns[column])
+            return longs[column]
+
         seen = was[0] if was else 0
         frames = len(spec.windows) + len(spec.gaps)
         old = list(was[1 + frames]) if was else [0] * (len(spec.totals) + 2 * len(spec.first)) + [None] * len(spec.highest)
         number = seen + np.arange(1, n + 1)
-        out, after, sums = {c: batch[c] for c in self.keep}, [seen + n], []
+        out, after, sums = dict(columns), [seen + n], []
         if spec.index:
-            out[spec.index] = number
+            out[spec.index] = pa.array(number)
         for i, (name, (column, width)) in enumerate([*spec.windows.items(), *spec.gaps.items()]):
             tail = list(was[1 + i]) if was else []
-            values, known = _longs(pd.Series([*tail, *batch[column].astype("object")], dtype="object"))
+            values, known = numbers(column)
+            values = np.concatenate((np.array([v or 0 for v in tail], np.int64), values))
+            known = np.concatenate((np.array([v is not None for v in tail], bool), known))
             held = width if name in spec.gaps else width - 1
             last = slice(max(0, len(values) - held), None)
-            after.append([int(v) if k else None for v, k in zip(values[last], known[last])])
+            after.append([v if k else None for v, k in zip(values[last].tolist(), known[last].tolist())])
             if name in spec.gaps:
                 known = np.concatenate(([False], known[1:] & known[:-1]))
                 values = np.diff(values, prepend=0) * known
             at = len(tail) + np.arange(1, n + 1)
             for suffix, what in (("", values), ("_n", known.astype(np.int64))):
                 run = np.concatenate(([0], np.cumsum(what)))
-                out[name + suffix] = run[at] - run[np.maximum(at - width, 0)]
+                out[name + suffix] = pa.array(run[at] - run[np.maximum(at - width, 0)])
         for name, column in spec.totals.items():
-            values, _ = _longs(batch[column])
-            out[name] = old.pop(0) + np.cumsum(values)
-            sums.append(int(out[name][-1]))
+            run = old.pop(0) + np.cumsum(numbers(column)[0])
+            out[name] = pa.array(run)
+            sums.append(int(run[-1]))
         for name, (column, limit) in spec.first.items():
-            values, known = _longs(batch[column])
+            values, known = numbers(column)
             early = number <= limit
             for suffix, what in (("", values * early), ("_n", (known & early).astype(np.int64))):
-                out[name + suffix] = old.pop(0) + np.cumsum(what)
-                sums.append(int(out[name + suffix][-1]))
+                run = old.pop(0) + np.cumsum(what)
+                out[name + suffix] = pa.array(run)
+                sums.append(int(run[-1]))
         for name, column in spec.highest.items():
-            values, known = _longs(batch[column])
+            values, known = numbers(column)
             before, least = old.pop(0), np.iinfo(np.int64).min
             top = np.maximum.accumulate(np.where(known, values, least))
             top = top if before is None else np.maximum(top, before)
-            out[name] = pd.array(np.where(top == least, 0, top), dtype="Int64")
-            out[name][top == least] = pd.NA
+            out[name] = pa.array(top, mask=top == least)
             sums.append(None if top[-1] == least else int(top[-1]))
         after.append(sums)
         for i, (name, column) in enumerate(spec.previous.items()):
-            own = batch[column].astype("object").where(batch[column].notna(), None)
-            out[name] = pd.Series([was[2 + frames + i] if was else None, *own.iloc[:-1]], dtype="object")
-            value = own.iloc[-1]
-            after.append(value.item() if hasattr(value, "item") else value)
-        self.carried.update(tuple(after))
-        yield pd.DataFrame(out)[self.out.fieldNames()]
+            own = columns[column]
+            before = pa.array([was[2 + frames + i] if was else None], own.type)
+            out[name] = pa.concat_arrays([before, own.slice(0, n - 1)])
+            after.append(own[-1].as_py())
+        return pa.table([out[c] for c in self.out.fieldNames()], self.out.fieldNames()), tuple(after)
 
 
 def carry(stream: DataFrame, keys: list[str], order: list[Column], spec: Running, keep_ms: int | None = None) -> DataFrame:
     """The stream's rows with the values of `spec`, by the order that rows of one micro-batch have in their key.
 
     Rows of earlier micro-batches come first. `order` are numbers, rising; nulls come last. Null keys are a key. Whole numbers
-    pass through Python exactly up to 2^53. With `keep_ms` the store drops keys that nothing is heard of for so long; such a query
+    pass through Python exactly; those of `order` up to 2^53. With `keep_ms` the store drops keys that nothing is heard of for so long; such a query
     has a clock of its own and never ends by itself, so bounded runs go without.
     """
     keep = stream.columns
@@ -138,4 +212,7 @@ def carry(stream: DataFrame, keys: list[str], order: list[Column], spec: Running
     dealt = stream.select("*", *[c.cast("double").alias(m) for c, m in zip(order, marks)])
     out = T.StructType([*stream.schema.fields, *spec.outputs(stream.schema).fields])
     processor = _Carry(spec, marks, keep, spec.state(stream.schema), out, keep_ms)
-    return dealt.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "ProcessingTime" if keep_ms else "None")
+    packed = T.StructType([*[stream.schema[k] for k in keys], T.StructField("_rows", T.BinaryType())])
+    grouped = dealt.mapInArrow(_pack(keys), packed).groupBy(*keys)
+    rows = grouped.transformWithStateInPandas(processor, "_rows binary", "Append", "ProcessingTime" if keep_ms else "None")
+    return rows.mapInArrow(_unpack, out)
