@@ -726,6 +726,25 @@ def multi_sink(spark, sf_dir):
     )
 
 
+def _stream(fn: Query) -> Query:
+    """Gives the streams of a query as many state partitions as the events and the cluster call for, and no more than shuffles have.
+
+    Each partition of each operator is a store that every batch opens and commits, however few rows it holds.
+    """
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(name)
+        spark.conf.set(name, jobs.state_partitions(spark, f"{sf_dir}/events.parquet"))
+        try:
+            return fn(spark, sf_dir)
+        finally:
+            spark.conf.set(name, before)
+
+    return run
+
+
 def _one_load(spark, sf_dir):
     """The stream of all events at once."""
     yield sources.read_events(spark, sf_dir)
@@ -791,21 +810,25 @@ def _live_changes(spark, sf_dir, loads):
 
 
 @query
+@_stream
 def stream_features(spark, sf_dir):
     return _live_features(spark, sf_dir, _one_load)
 
 
 @query
+@_stream
 def stream_alerts(spark, sf_dir):
     return _live_alerts(spark, sf_dir, _one_load)
 
 
 @query
+@_stream
 def stream_game_state(spark, sf_dir):
     return _live_states(spark, sf_dir, _one_load)
 
 
 @query
+@_stream
 def stream_late_rows(spark, sf_dir):
     return _live_late(spark, sf_dir, _one_load)
 
@@ -816,21 +839,25 @@ def stream_corrections(spark, sf_dir):
 
 
 @query
+@_stream
 def resumed_features(spark, sf_dir):
     return _live_features(spark, sf_dir, _four_loads)
 
 
 @query
+@_stream
 def resumed_alerts(spark, sf_dir):
     return _live_alerts(spark, sf_dir, _four_loads)
 
 
 @query
+@_stream
 def resumed_game_state(spark, sf_dir):
     return _live_states(spark, sf_dir, _four_loads)
 
 
 @query
+@_stream
 def resumed_late_rows(spark, sf_dir):
     return _live_late(spark, sf_dir, _four_loads)
 
@@ -902,6 +929,7 @@ def win_table(spark, sf_dir):
 
 
 @query
+@_stream
 def live_leverage(spark, sf_dir):
     table = _leverage_table(spark, sf_dir)
     return _appended(spark, sf_dir, _four_loads, lambda events: live.leverage_updates(bindings.bronze_pitches(events), table))
@@ -944,10 +972,13 @@ def _live_scores(spark, sf_dir, with_alerts):
     empty = spark.createDataFrame([], sources.EVENTS)
     kinds = {name: job(empty).schema for name, job in jobs_of.items() if name == "matchup"}
 
-    def publish(name, folder):
-        out = jobs_of[name](sources.read_files(spark, folder, sources.EVENTS))
-        kinds[name] = out.schema
-        jobs.append_files(out, f"{root}/{name}", f"{root}/checkpoint/{name}", once=True).awaitTermination()
+    def publish(folder, *names):
+        runs = []
+        for name in names:
+            out = jobs_of[name](sources.read_files(spark, folder, sources.EVENTS))
+            kinds[name] = out.schema
+            runs.append(jobs.append_files(out, f"{root}/{name}", f"{root}/checkpoint/{name}", once=True))
+        jobs.wait_all(runs)
 
     def topic(name):
         beats = sources.read_files(spark, f"{root}/beats/{name}", kinds[name])
@@ -964,13 +995,12 @@ def _live_scores(spark, sf_dir, with_alerts):
 
     spark.createDataFrame([], kinds["matchup"]).write.parquet(f"{root}/matchup")
     for n, folder in enumerate(_load_folders(spark, sf_dir)):
-        publish("fatigue", folder)
-        publish("leverage", folder)
+        publish(folder, "fatigue", "leverage")
         if n == 0:
             for name, kind in kinds.items():
                 spark.createDataFrame([], kind).write.parquet(f"{root}/beats/{name}")
         orchestrate()
-        publish("matchup", folder)
+        publish(folder, "matchup")
         _refresh(spark, folder, sides, n + 1)
     last = spark.read.parquet(f"{root}/fatigue").agg((F.max("event_time") + F.expr("interval 1 day")).alias("event_time"))
     for name, kind in kinds.items():
@@ -979,11 +1009,13 @@ def _live_scores(spark, sf_dir, with_alerts):
 
 
 @query
+@_stream
 def live_scores(spark, sf_dir):
     return _live_scores(spark, sf_dir, False)
 
 
 @query
+@_stream
 def live_alerts(spark, sf_dir):
     return _live_scores(spark, sf_dir, True)
 

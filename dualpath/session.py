@@ -24,6 +24,8 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     CO_PARTITION: "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # A batch's commit writes what has changed; whole snapshots follow in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Both sides of a stream join in one store instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
     # The JVM does not compile methods above this many bytes; wide projections are split instead.

@@ -157,12 +157,20 @@ def matchup_updates(pitches: DataFrame, sides: Sides, parks: DataFrame, league:
 
 
 def _latest_within(rows: DataFrame, signal: DataFrame, keys: list[str], value: str, tolerance: str) -> DataFrame:
-    """Each row with the signal's latest value of its key, no older than the tolerance; an interval join and its reduction."""
+    """Each row with the signal's latest value of its key, no older than the tolerance; an interval join and its reduction.
+
+    Time is cut into slots as long as the tolerance. A signal stands in its own slot and the next, so a row meets in its slot
+    all that are near it, and not the rest of its key.
+    """
     side = signal.select(*[F.col(k).alias(f"{value}_{k}") for k in keys], F.col("event_time").alias(f"{value}_time"), value)
-    side = side.withWatermark(f"{value}_time", WATERMARK_DELAY)
+    width = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {tolerance}"))
+    slot = lambda time: F.unix_micros(time) - F.pmod(F.unix_micros(time), width)
     at = F.col(f"{value}_time")
+    side = side.withColumn(f"{value}_slot", F.explode(F.array(slot(at), slot(at) + width)))
+    side = side.withWatermark(f"{value}_time", WATERMARK_DELAY)
     near = (at <= F.col("event_time")) & (at >= F.col("event_time") - F.expr(f"interval {tolerance}"))
-    both = rows.join(side, [*[F.col(k) == F.col(f"{value}_{k}") for k in keys], near], "leftOuter")
+    same = [F.col(k) == F.col(f"{value}_{k}") for k in [*keys, "slot"]]
+    both = rows.withColumn("slot", slot(F.col("event_time"))).join(side, [*same, near], "leftOuter")
     newest = F.max(F.when(at.isNotNull(), F.struct(at.alias("at"), F.col(value).alias("value"))))
     return both.groupBy(*rows.columns).agg(newest.alias("found")).select(*rows.columns, F.col("found.value").alias(value))
 
