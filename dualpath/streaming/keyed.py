@@ -13,6 +13,7 @@ sources.read_files), and with it what a task holds, also where most rows have on
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -76,7 +77,10 @@ def _unpacked(packed: bytes) -> pa.Table:
 
 
 def _pack(keys: list[str]):
-    """Per batch: the rows of each key as one row of the keys and `rows`, so that few rows pass the state's row by row way."""
+    """Per batch: the rows of each key as one row, so that few rows pass the state's row by row way.
+
+    Its key is text and never null: pandas would turn whole numbers beside a null into doubles, and a null into many keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,8 +95,9 @@ def _pack(keys: list[str]):
             starts = np.flatnonzero(np.diff(group[order], prepend=-1))
             rows = pa.Table.from_batches([batch]).take(pa.array(order))
             data = [_packed(rows.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], len(rows)])]
-            first = rows.select(keys).take(pa.array(starts)).combine_chunks()
-            yield from first.append_column("_rows", pa.array(data, pa.binary())).to_batches()
+            first = rows.select(keys).take(pa.array(starts))
+            names = [json.dumps(row, default=str) for row in zip(*(first.column(k).to_pylist() for k in keys))]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(data, pa.binary())], names=["_key", "_rows"])
 
     return run
 
@@ -212,7 +217,6 @@ def carry(stream: DataFrame, keys: list[str], order: list[Column], spec: Running
     dealt = stream.select("*", *[c.cast("double").alias(m) for c, m in zip(order, marks)])
     out = T.StructType([*stream.schema.fields, *spec.outputs(stream.schema).fields])
     processor = _Carry(spec, marks, keep, spec.state(stream.schema), out, keep_ms)
-    packed = T.StructType([*[stream.schema[k] for k in keys], T.StructField("_rows", T.BinaryType())])
-    grouped = dealt.mapInArrow(_pack(keys), packed).groupBy(*keys)
+    grouped = dealt.mapInArrow(_pack(keys), "_key string, _rows binary").groupBy("_key")
     rows = grouped.transformWithStateInPandas(processor, "_rows binary", "Append", "ProcessingTime" if keep_ms else "None")
     return rows.mapInArrow(_unpack, out)

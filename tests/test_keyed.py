@@ -3,16 +3,17 @@
 import datetime
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from conftest import START
-from dualpath.streaming import jobs, keyed, live
+from dualpath.streaming import jobs, keyed, live, sources
 
 
 def test_rows_of_a_key_reach_the_state_as_one():
     rows = pa.table({"k": [2, None, 2, 1, None], "j": ["a", "b", "a", None, "b"], "x": [2**60 + 1, None, 3, 4, 5]})
     packed = pa.Table.from_batches(keyed._pack(["k", "j"])(iter(rows.to_batches())))
-    assert len(packed) == 3 and packed.column_names == ["k", "j", "_rows"]
-    assert {(r["k"], r["j"]) for r in packed.select(["k", "j"]).to_pylist()} == {(2, "a"), (None, "b"), (1, None)}
+    assert len(packed) == 3 and packed.column_names == ["_key", "_rows"]
+    assert set(packed.column("_key").to_pylist()) == {'[2, "a"]', '[null, "b"]', "[1, null]"}
     out = pa.Table.from_batches(keyed._unpack(iter(packed.select(["_rows"]).to_batches()))).to_pylist()
     assert sorted(map(str, out)) == sorted(map(str, rows.to_pylist()))
 
@@ -39,3 +40,15 @@ def test_signals_meet_within_a_slot_of_time(spark):
     assert got == want
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "slot" in plan[plan.index("Join LeftOuter") :].splitlines()[0]
+
+
+def test_null_keys_are_one_key_beside_others(spark, tmp_path):
+    rows = [(g, p, i) for i in range(3) for g in (1, 2) for p in (None, 10, 11)]
+    df = spark.createDataFrame(rows, "game_pk long, pitcher_id long, i long")
+    for part in ("i < 2", "i >= 2"):
+        df.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = sources.read_files(spark, f"{tmp_path}/in", df.schema)
+        out = keyed.carry(stream, ["game_pk", "pitcher_id"], [F.col("i")], keyed.Running(index="nth", previous={"before": "i"}))
+        jobs.append_files(out, f"{tmp_path}/out", f"{tmp_path}/checkpoint", once=True).awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()), key=str)
+    assert got == sorted([(g, p, i, i + 1, i - 1 if i else None) for g, p, i in rows], key=str)
