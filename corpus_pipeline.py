@@ -38,13 +38,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by shingle similarity of 0.8 or more one stays, the one with the smallest id.
+    """Of documents connected by near fingerprints or by shingle similarity of 0.8 or more one stays, the one with the smallest id.
+
+    SimHash links fingerprints within 3 bits, as op6 does; near_copies adds the pairs that such a radius misses.
 
     Null texts and texts without words are copies of each other. Null ids come last; of rows with the same id and different
     texts in one group the one with the smaller hash of the text stays, of repeated rows any one.
     """
     own = Inner(docs)
-    return own.back(simhash.one_of_each(own.df, near_copies.near_copies(docs), own.names["doc_id"], own.names["text"]))
+    near = simhash.merged(simhash.near_dedup(docs), near_copies.near_copies(docs))
+    return own.back(simhash.one_of_each(own.df, near, own.names["doc_id"], own.names["text"]))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +84,8 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null and empty texts have no ids. Null ids and repeated rows give a row each.
     """
     files = common.tokenizer_path("byte_bpe_50k.tiktoken"), common.pattern()
-    encoded = bpe.encode_texts(docs, ["doc_id"], *files)
+    # Written between, so that a task holds one tokenizer and not two.
+    encoded = common.written(bpe.encode_texts(docs, ["doc_id"], *files), "ids")
     return bpe.digests(bpe.decode_ids(encoded, ["doc_id", "ids"], *files), ["doc_id"])
 
 

@@ -176,6 +176,19 @@ def near_dedup(
     return found.join(named, "fp").select("doc_id", "key", "fp", "component_id", "label")
 
 
+def merged(one: DataFrame, other: DataFrame) -> DataFrame:
+    """doc_id, key, label of `other`: rows of one label are connected by the labels of either table.
+
+    Both have a label per key. Of a label of `one`, the labels of `other` link to the least.
+    """
+    labels = one.select("key", F.col("label").alias("_one")).distinct()
+    both = common.written(other.select("key", "label").distinct().join(labels, "key").select("_one", "label").distinct(), "both")
+    least = both.groupBy("_one").agg(F.min("label").alias("least"))
+    links = both.join(least, "_one").filter("label <> least").select(F.col("label").alias("u"), F.col("least").alias("v")).distinct()
+    whole = components(common.written(links, "links")).toDF("label", "whole")
+    return other.join(whole, "label", "left").select("doc_id", "key", F.coalesce("whole", "label").alias("label"))
+
+
 def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 

@@ -558,3 +558,11 @@ def test_pipeline_of_no_rows(spark, docs, tmp_path):
     frame.limit(0).write.parquet(f"{folder}/documents.parquet")
     labels.limit(0).write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_pipeline_drops_near_fingerprints(spark):
+    cycle = "one two three " * 100
+    texts = [(1, cycle), (2, cycle + "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (3, "something else altogether, said once"), (4, None)]
+    assert plain_fingerprint(texts[0][1]) == plain_fingerprint(texts[1][1]) and plain_labels([t for _, t in texts[:2]]) == [0, 1]
+    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(texts, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4]
