@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,13 +139,12 @@ def parity(own: np.ndarray) -> bytes:
 SETS = "node long, n long, rare long, grams array<long>, pos array<long>, sig binary"
 
 
-def sets(docs: DataFrame, id_col: str, text: str, known: tuple[int, np.ndarray, np.ndarray]) -> DataFrame:
+def sets(docs: DataFrame, id_col: str, text: str, shared: Broadcast) -> DataFrame:
     """doc_id, key, node (a hash of the set), n (its size), rare (its unshared shingles), sig (its parity bits), and of its
-    first fifth the shared shingles and their places."""
+    first fifth the shared shingles and their places. `shared` is what counted() gives."""
     body = F.col(f"`{text}`")
     read = docs.select(F.col(f"`{id_col}`").alias("doc_id"), simhash.text_key(body).alias("key"), body.alias("text"))
     carried = common.Carried(read, ["doc_id", "key"])
-    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def make():
         maps = shared.value
@@ -319,7 +319,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     rows are in the same component. An empty table gives an empty result. Other columns are not read.
     """
     common.tune(docs.sparkSession)
-    found = common.written(sets(docs, id_col, text, counted(docs, text)), "shingles")
+    known = docs.sparkSession.sparkContext.broadcast(counted(docs, text))
+    found = common.written(sets(docs, id_col, text, known), "shingles")
+    known.destroy()  # up to 48 MB, else kept by the driver
     nodes = common.written(found.groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig")).select("node", "n", "sig"), "nodes")
     each = found.select(F.explode(F.arrays_zip("grams", "pos")).alias("e"), "node", "n", "rare")
     rows = common.written(each.select(F.col("e.grams").alias("gram"), "e.pos", "node", "n", "rare").distinct(), "meeting")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dualpath.llm import common
-from dualpath.llm.components import components
+from dualpath.llm.components import Forest, components
 
 SEGMENTS = 32
 HALF = SEGMENTS // 2
@@ -90,28 +90,6 @@ def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-class Forest:
-    """Union of positions 0..n-1, many links at a time."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        while len(a):
-            a, b = self.root[a], self.root[b]
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            apart = low < high
-            if not apart.any():
-                return
-            a, b = low[apart], high[apart]
-            np.minimum.at(self.root, b, a)
-            while True:  # point at the roots
-                up = self.root[self.root]
-                if (up == self.root).all():
-                    break
-                self.root = up
-
-
 def link_cells(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]

@@ -9,17 +9,19 @@ Most of a toxic text is ordinary prose, so a dictionary trained on all of it wou
 trained on the spans of toxic texts whose grams are in far more toxic than ordinary texts, and then follows the ordinary one, so
 that prose costs the same with both. Both serve as content: a window is too short for the entropy tables to pay.
 
-The fit is bounded: at most SAMPLE labelled texts of a class, of at most LONGEST characters, near copies left out. They are
-collected to the driver; the model is under 100 kB. All texts are scored whole.
+The fit is bounded: at most SAMPLE labelled texts of a class, of at most LONGEST characters, near copies left out. They meet in
+one task, which alone sees them; the driver gets the model, under 100 kB. All texts are scored whole.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +57,9 @@ def windows(text: str) -> list[bytes]:
     return out
 
 
+MODEL = "ordinary binary, toxic binary, mean array<double>, scale array<double>, weights array<double>"
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -217,6 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None
 
     Null ids, texts and labels teach nothing. The sample is the same for the same labels, however they are partitioned.
     """
+    common.tune(docs.sparkSession)
     sample = sample or SAMPLE
     usable = labels.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in usable.filter("toxic in (0, 1)").groupBy("toxic").count().collect()}
@@ -224,11 +230,26 @@ def fit(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None
     for kind, most in sample.items():
         some = usable.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = some if chosen is None else chosen.unionByName(some)
-    # At most the sample's rows are broadcast, and at most they come back.
+    # At most the sample's ids are broadcast, and only its texts are shuffled.
     short = docs.select("doc_id", "text").filter(F.length("text") <= LONGEST)
-    rows = short.join(F.broadcast(chosen), "doc_id").select("text", "toxic").collect()
-    texts = {kind: sorted((r["text"] for r in rows if r["toxic"] == kind), key=lambda t: (zlib.crc32(t.encode()), t)) for kind in (0, 1)}
-    return train(texts[1], texts[0], totals)
+    rows = short.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, list[str]] = {0: [], 1: []}
+        for batch in batches:
+            for text, kind in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                texts[kind].append(text)
+        for own in texts.values():
+            own.sort(key=lambda t: (zlib.crc32(t.encode()), t))
+        model = train(texts[1], texts[0], totals)
+        values = model.ordinary, model.toxic, model.mean, model.scale, model.weights
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, common.arrow_types(MODEL).values())], names=list(common.arrow_types(MODEL)))
+
+    found = rows.repartition(1).mapInArrow(trained, MODEL).collect()
+    if not found:  # no rows, no task
+        return train([], [], totals)
+    ordinary, toxic, *numbers = found[0]
+    return Model(bytes(ordinary), bytes(toxic), *map(np.array, numbers))
 
 
 def score(docs: DataFrame, keep: list[str], model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -118,6 +119,21 @@ def test_links_of_dense_fingerprints(spark):
     assert {f: found.get(f, f) for f in signed} == label
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """Rounds are plans that the driver holds: edges that one task sees take none, a path over many tasks a few."""
+    made, plain = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: made.append(name) or plain(df, name))
+    path = spark.createDataFrame([(i, i + 1) for i in range(-200, 200) if i % 50], "u long, v long")
+    hub = path.unionByName(spark.range(1000, 1100).select(F.lit(300).cast("long"), F.col("id")).toDF("u", "v"))
+    want = {i: max(-200, i - i % 50 + (1 if i % 50 else -49)) for i in range(-199, 201)} | {i: 300 for i in (300, *range(1000, 1100))}
+    for edges, most in ((hub.coalesce(1), 1), (hub.unionByName(hub).repartition(6), 16)):
+        made.clear()
+        found = components.components(edges.filter("u <> v")).collect()
+        assert len(found) == len({r["node"] for r in found}) and {r["node"]: r["label"] for r in found} == want
+        assert len(made) <= most
+    assert components.components(hub.limit(0)).count() == 0
+
+
 def edited(draw, text, n):
     """Text with n of its words replaced, each by a word of its own."""
     w = text.split()
@@ -475,6 +491,19 @@ def test_toxicity(spark, docs, empty):
     assert {r["predicted"] for r in toxicity.score(docs, ["doc_id"], none).collect()} == {0}
 
 
+def test_toxicity_is_not_trained_in_the_driver(spark, monkeypatch):
+    texts, labels, _ = toxic_tables(spark)
+    plain, want = toxicity.train, toxicity.fit(texts, labels)
+
+    def in_a_task(*samples):
+        assert TaskContext.get() is not None
+        return plain(*samples)
+
+    monkeypatch.setattr(toxicity, "train", in_a_task)
+    model = toxicity.fit(texts.repartition(7), labels)
+    assert model.ordinary == want.ordinary and model.toxic == want.toxic and model.weights.tolist() == want.weights.tolist()
+
+
 def test_empty_tables(spark, empty):
     manifest, folder = tokenfile.write(empty, WORDS, end_id=1)
     for out in (
