@@ -3,6 +3,7 @@
 A key's rows of a micro-batch are put in order and continue what the rows before them left: a count, the last rows of some
 columns, totals. That is all the state holds, so it is small whatever the stream's length, and Spark keeps it in its state
 store, versioned by batch and restored after a crash. Sums are of whole numbers, so batching never changes them.
+Rows that take the latest values of other streams wait in such a state too, until the watermark has passed them (see latest).
 
 Spark hands Python the rows of a keyed state one by one. So they come packed: the rows of a key in an Arrow batch are one row
 that holds them as an Arrow stream, and come out the same way.
@@ -13,7 +14,9 @@ sources.read_files), and with it what a task holds, also where most rows have on
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -65,9 +68,9 @@ class Running:
 CHUNK = 1 << 16
 
 
-def _packed(rows: pa.Table) -> bytes:
+def _packed(rows: pa.Table, options: pa.ipc.IpcWriteOptions | None = None) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema) as out:
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
         out.write_table(rows)
     return sink.getvalue().to_pybytes()
 
@@ -220,3 +223,114 @@ def carry(stream: DataFrame, keys: list[str], order: list[Column], spec: Running
     grouped = dealt.mapInArrow(_pack(keys), "_key string, _rows binary").groupBy("_key")
     rows = grouped.transformWithStateInPandas(processor, "_rows binary", "Append", "ProcessingTime" if keep_ms else "None")
     return rows.mapInArrow(_unpack, out)
+
+
+def _lz4(rows: pa.Table) -> bytes:
+    return _packed(rows, pa.ipc.IpcWriteOptions(compression="lz4"))
+
+
+class _Latest(StatefulProcessor):
+    """Of a key: the rows that the watermark has not passed and the signals that may still count, as one Arrow stream."""
+
+    def __init__(self, keep: list[str], keys: list[str], matches: list[list[str]], names: list[str], clock: str, within: int):
+        self.keep, self.keys, self.matches, self.names, self.clock, self.within = keep, keys, matches, names, clock, within
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "rows binary, timer bigint")
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = pa.concat_tables([_unpacked(packed) for part in rows for packed in part.iloc[:, -1]])
+        yield from self._advance(fresh, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance(None, timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, fresh: pa.Table | None, watermark: int) -> Iterator[pd.DataFrame]:
+        was = self.held.get()
+        parts = [] if fresh is None else [self.on_time(fresh, watermark * 1000)]
+        if was:
+            parts.append(_unpacked(was[0]))
+        if not parts:
+            return
+        out, held, due = self.passed(pa.concat_tables(parts), watermark * 1000)
+        if was and was[1] != due and was[1] >= watermark:
+            self.handle.deleteTimer(was[1])
+        if due is None:
+            self.held.clear()
+        else:
+            self.held.update((_lz4(held), due))
+            if not was or was[1] != due:
+                self.handle.registerTimer(due)
+        for at in range(0, len(out), CHUNK):
+            yield pd.DataFrame({"_rows": [_packed(out.slice(at, CHUNK))]})
+
+    def on_time(self, fresh: pa.Table, upto: int) -> pa.Table:
+        """Without what came too late, has no time, or is a signal whose key is null."""
+        kind, known = fresh.column("_kind").to_numpy().astype(np.int64), fresh.column(self.clock).is_valid().to_numpy()
+        clock = fresh.column(self.clock).fill_null(0).to_numpy()
+        for column in self.keys:
+            known &= (kind == 0) | fresh.column(column).is_valid().to_numpy()
+        return fresh.filter(pa.array(known & (clock > upto - self.within * np.maximum(kind - 1, 0))))
+
+    def passed(self, rows: pa.Table, upto: int) -> tuple[pa.Table, pa.Table, int | None]:
+        """The rows that the watermark `upto` has passed, with their values; what is held on; when to look again, in ms."""
+        rows = rows.group_by(rows.column_names).aggregate([]).combine_chunks()  # equal rows are one
+        kind, clock = rows.column("_kind").to_numpy(), rows.column(self.clock).to_numpy()
+        value, known = rows.column("_value").fill_null(0.0).to_numpy(), rows.column("_value").is_valid().to_numpy()
+        wait = self.within * len(self.matches)
+        own = kind == 0
+        done = own & (clock <= upto - wait)
+        out = {c: rows.column(c).filter(pa.array(done)) for c in self.keep}
+        for n, (name, match) in enumerate(zip(self.names, self.matches), 1):
+            out[name] = self.found(rows, match, done, kind == n, clock, value, known)
+        waiting = own & ~done
+        oldest = min(clock[waiting].min(), upto) if waiting.any() else upto
+        stay = waiting | (~own & (clock >= oldest - self.within))
+        # Spark calls for timers below the watermark, so this one is called once the watermark is at least its time and one ms.
+        at = clock[waiting].min() + wait if waiting.any() else clock[stay].max() + self.within + 1 if stay.any() else None
+        return pa.table(out), rows.filter(pa.array(stay)), None if at is None else int(-(-at // 1000)) - 1
+
+    def found(self, rows: pa.Table, match: list[str], done: np.ndarray, signal: np.ndarray, clock, value, known) -> pa.Array:
+        """For each done row the latest of the signal's values; of one time the largest, a null the least."""
+        both = np.flatnonzero(done | signal)
+        code, whole = np.zeros(len(both), np.int64), np.ones(len(both), bool)
+        for column in match:
+            codes = rows.column(column).take(pa.array(both)).combine_chunks()
+            whole &= codes.is_valid().to_numpy(zero_copy_only=False)
+            codes = codes.dictionary_encode("encode")
+            code = np.unique(code * len(codes.dictionary) + codes.indices.to_numpy(), return_inverse=True)[1]
+        order = np.lexsort((value[both], known[both], done[both], clock[both], code))
+        at, code, whole = both[order], code[order], whole[order]
+        last = np.maximum.accumulate(np.where(signal[at], np.arange(len(at)), -1))
+        near = (last >= 0) & whole & (code == code[last]) & (clock[at] - clock[at[last]] <= self.within) & known[at[last]]
+        back = done[at]
+        rank = np.argsort(at[back], kind="stable")
+        return pa.array(value[at[last]][back][rank], mask=~near[back][rank])
+
+
+def latest(rows: DataFrame, signals: dict[str, tuple[DataFrame, list[str]]], keys: list[str], clock: str, within: int) -> DataFrame:
+    """Rows with the latest value of each signal that is not after them and at most `within` microseconds before.
+
+    `signals` has, by the name of a column of doubles, a stream and the columns that have to be equal besides `keys`. All
+    streams have `clock`, in microseconds, and a watermark. A row comes out when the watermark has passed it by `within` for
+    each signal; what is behind the watermark is left out, of the n-th signal what is behind by n - 1 times `within` more. So a
+    row has seen all that may reach it. Equal rows are one, rows without a time never come out, and null keys equal nothing.
+
+    The rows and signals of a key in one micro-batch meet in one task; rows with a null key are dealt by time.
+    """
+    keep = rows.columns
+    unknown = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    spread = F.when(unknown, F.col(clock) - F.pmod(F.col(clock), F.lit(within)))
+    met = rows.select(F.lit(0).alias("_kind"), *keep, F.lit(None).cast("double").alias("_value"), spread.alias("_spread"))
+    for n, (name, (signal, match)) in enumerate(signals.items(), 1):
+        own = [F.col(f.name) if f.name in (*keys, *match, clock) else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+        met = met.union(signal.select(F.lit(n).alias("_kind"), *own, F.col(name).cast("double").alias("_value"), spread.alias("_spread")))
+    out = T.StructType([*rows.schema.fields, *[T.StructField(name, T.DoubleType()) for name in signals]])
+    processor = _Latest(keep, keys, [match for _, match in signals.values()], list(signals), clock, within)
+    grouped = met.mapInArrow(_pack([*keys, "_spread"]), "_key string, _rows binary").groupBy("_key")
+    packed = grouped.transformWithStateInPandas(processor, "_rows binary", "Append", "EventTime")
+    return packed.mapInArrow(_unpack, out)

@@ -1,8 +1,8 @@
 """Three live signals as streams of their own, and the alerts that combine them.
 
 Fatigue comes from steps.live_features. Leverage is published whenever a game's state changes, from a table that the caller
-supplies. Matchup reads versions of the pitch mix and of the batters' splits, as of each pitch. The orchestrator joins the
-three by event time, each within a tolerance and each with a watermark, so a signal that is late is waited for.
+supplies. Matchup reads versions of the pitch mix and of the batters' splits, as of each pitch. The orchestrator brings the
+three together by event time, each within a tolerance and each with a watermark, so a signal that is late is waited for.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dualpath.plans.lookups import LEVERAGE_STATE, leverage_state, recommendatio
 from dualpath.plans.signals import STATE_KEY, WARM_UP
 from dualpath.schemas import PITCH_KEY
 from dualpath.streaming.jobs import WATERMARK_DELAY
-from dualpath.streaming.keyed import Running, carry
+from dualpath.streaming.keyed import Running, carry, latest
 
 # What a signal counts as where none is known: an average state, and a matchup that favours nobody.
 NO_LEVERAGE, NO_MATCHUP = 1.0, 0.0
@@ -175,6 +175,22 @@ def _latest_within(rows: DataFrame, signal: DataFrame, keys: list[str], value: s
     return both.groupBy(*rows.columns).agg(newest.alias("found")).select(*rows.columns, F.col("found.value").alias(value))
 
 
+def _latest_of_streams(rows: DataFrame, signals: dict[str, tuple[DataFrame, list[str]]], keys: list[str], tolerance: str) -> DataFrame:
+    """The same of several signals at once, all of them streams: what is near meets in one state and is not joined row by row.
+
+    `signals` has, by value, the signal and its keys besides `keys`.
+    """
+    spark = rows.sparkSession
+    within = spark.sql(f"select unix_micros(timestamp_micros(0) + interval {tolerance})").first()[0]
+    times = [f.name for f in rows.schema if isinstance(f.dataType, T.TimestampType)]
+    in_micros = lambda df: df.withColumns({c: F.unix_micros(c) for c in times if c in df.columns})
+    sides = {}
+    for value, (signal, own) in signals.items():
+        side = signal.select(*keys, *own, "event_time", value).withWatermark("event_time", WATERMARK_DELAY)
+        sides[value] = in_micros(side), own
+    return latest(in_micros(rows), sides, keys, "event_time", within).withColumns({c: F.timestamp_micros(c) for c in times})
+
+
 def scored(fatigue: DataFrame, leverage: DataFrame, matchup: DataFrame, mix: Composite = Composite(), tolerance: str = TOLERANCE) -> DataFrame:
     """Fatigue of each on-time pitch from the warm-up on, with the leverage and matchup known then, and their composite.
 
@@ -184,8 +200,12 @@ def scored(fatigue: DataFrame, leverage: DataFrame, matchup: DataFrame, mix: Com
     """
     rows = fatigue.where((F.col("game_pk") == HEARTBEAT) | (~F.col("is_late_arrival") & (F.col("pitch_idx") >= WARM_UP)))
     rows = rows.select(*STATE_KEY, "event_time", "ingest_time", "pitch_idx", "fatigue").withWatermark("event_time", WATERMARK_DELAY)
-    rows = _latest_within(rows, leverage.withColumnRenamed("leverage_index", "leverage"), ["game_pk"], "leverage", tolerance)
-    rows = _latest_within(rows, matchup, ["game_pk", "pitcher_id"], "matchup_edge", tolerance)
+    signals = {"leverage": (leverage.withColumnRenamed("leverage_index", "leverage"), []), "matchup_edge": (matchup, ["pitcher_id"])}
+    if all(topic.isStreaming for topic in (fatigue, leverage, matchup)):
+        rows = _latest_of_streams(rows, signals, ["game_pk"], tolerance)
+    else:
+        for value, (signal, own) in signals.items():
+            rows = _latest_within(rows, signal, ["game_pk", *own], value, tolerance)
     known = rows.withColumns(
         {
             "leverage": rounded(F.coalesce("leverage", F.lit(NO_LEVERAGE)), 2),

@@ -55,6 +55,49 @@ def test_scores_wait_for_the_late_signal(spark):
     assert run().count() == 12
 
 
+def test_signals_wait_in_one_state_a_game(spark):
+    """Ties, nulls, bounds and equal rows as in plain Python; what is kept is a state per game, not rows to be compared."""
+    root = new_run_dir(spark, "latest")
+    kinds = {name: spark.createDataFrame([], ddl).schema for name, ddl in TOPICS.items()}
+    draw = np.random.default_rng(5)
+    pick = lambda *of: of[draw.integers(len(of))]
+    moment = lambda: at(int(draw.integers(0, 60)))
+    fatigue = [(pick(1, 1, 2, None), pick(8, 9, None), 1, i, False, pick(moment(), moment(), moment(), None), None, 20 + i, 0.5) for i in range(200)]
+    fatigue += fatigue[:20]
+    leverage = [(pick(1, 2, None), pick(moment(), moment(), None), pick(0.5, 1.5, 2.5, None)) for _ in range(40)]
+    matchup = [(pick(1, 2, None), pick(8, 9, None), pick(moment(), moment(), None), pick(0.02, 0.05, None)) for _ in range(40)]
+    last = spark.createDataFrame([(at(500),)], "event_time timestamp")
+    states = []
+    for part in range(2):
+        for name, rows in (("fatigue", fatigue), ("leverage", leverage), ("matchup", matchup)):
+            if part == 0:
+                spark.createDataFrame(rows, kinds[name]).repartition(3).write.parquet(f"{root}/{name}")
+            else:
+                live.heartbeat(kinds[name], last).write.mode("append").parquet(f"{root}/{name}")
+        out = live.scored(*[sources.read_files(spark, f"{root}/{name}", kinds[name]) for name in TOPICS])
+        run = jobs.append_files(out, f"{root}/out", f"{root}/checkpoint", once=True)
+        run.awaitTermination()
+        states.append([(o["operatorName"], o["numRowsTotal"]) for o in run.recentProgress[0]["stateOperators"]])
+
+    def newest(rows, time):
+        near = [(when, value is not None, value or 0) for when, value in rows if when and time - datetime.timedelta(minutes=10) <= when <= time]
+        return max(near)[2] if near and max(near)[1] else None
+
+    want = set()
+    for game, pitcher, _, i, _, time, *_ in fatigue:
+        if time:
+            lev = newest([r[1:] for r in leverage if game and r[0] == game], time)
+            edge = newest([r[2:] for r in matchup if game and pitcher and r[:2] == (game, pitcher)], time)
+            want.add((game, pitcher, i, 1.0 if lev is None else lev, 0.0 if edge is None else edge))
+    rows = spark.read.schema(out.schema).parquet(f"{root}/out").where("game_pk is null or game_pk != -1").collect()
+    got = [(r["game_pk"], r["pitcher_id"], r["pitch_number"], r["leverage"], r["matchup_edge"]) for r in rows]
+    assert len(got) == len(want) and set(got) == want
+    still = live.scored(*[spark.createDataFrame(rows, kinds[name]) for name, rows in (("fatigue", fatigue), ("leverage", leverage), ("matchup", matchup))])
+    assert want == {(r["game_pk"], r["pitcher_id"], r["pitch_number"], r["leverage"], r["matchup_edge"]) for r in still.where("event_time is not null").collect()}
+    # Two games, and the slots of ten minutes of the rows without one.
+    assert [(name, kept <= 2 + 6) for name, kept in states[0]] == [("transformWithStateInPandasExec", True)]
+
+
 def test_alerts_rise_once_over_restarts(spark):
     root = new_run_dir(spark, "rising")
     scores = [0.1, 0.45, 0.5, 0.3, 0.6, 0.75, 0.7, 0.2, 0.41]
