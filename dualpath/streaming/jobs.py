@@ -21,8 +21,8 @@ WINDOW_SIZE = "1 minute"
 CHECKPOINT_EVERY = "30 seconds"
 
 
-# Bytes of input files a state partition.
-STATE_BYTES = 1 << 20
+# Bytes of input files a state partition. Each is a task, a Python process and a commit in every batch of every operator.
+STATE_BYTES = 1 << 23
 
 
 def state_partitions(spark: SparkSession, path: str) -> int:

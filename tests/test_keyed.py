@@ -30,6 +30,34 @@ def test_state_partitions_follow_the_input(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_state_partition_is_worth_its_process(spark, tmp_path):
+    (tmp_path / "some").mkdir()
+    (tmp_path / "some" / "file").write_bytes(bytes(12 << 20))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        # A megabyte a partition would be 12.
+        assert jobs.state_partitions(spark, f"{tmp_path}/some") == max(2, spark.sparkContext.defaultParallelism) < 12
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_loads_have_files_for_all_cores(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("id event_id", "timestamp_ntz '2024-01-01 00:00:00' ts", "id user_id", "'view' event_type", "1.0D value", "string(id) props")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        for _ in sources.append_events(spark, str(tmp_path), f"{tmp_path}/loads", 1):
+            pass
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", before)
+    got = spark.read.schema(sources.EVENTS).parquet(f"{tmp_path}/loads")
+    assert sorted(got.collect()) == sorted(rows.collect())
+    spans = got.groupBy(F.input_file_name()).agg(F.min("event_id").alias("a"), F.max("event_id").alias("z")).orderBy("a").collect()
+    assert len(spans) > 1 and all(x["z"] < y["a"] for x, y in zip(spans, spans[1:]))
+
+
 def test_signals_meet_within_a_slot_of_time(spark):
     minutes = lambda m: START + datetime.timedelta(minutes=m)
     rows = spark.createDataFrame([(g, minutes(m)) for g in (1, 2) for m in range(0, 300, 5)], "game_pk long, event_time timestamp")
